@@ -248,7 +248,8 @@ def defect_rate_calendar7(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def kpi_defect_rate(spark: SparkSession, folder: str) -> DataFrame:
-    return _as_view(_defect_rate(spark, folder), "kpi_defect_rate")
+    name = "kpi_defect_rate"
+    return _as_view(kpis.in_display_order(_defect_rate(spark, folder), name), name)
 
 
 @register
@@ -308,7 +309,9 @@ def high_defect_flag(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def kpi_material_batch(spark: SparkSession, folder: str) -> DataFrame:
     result = kpis.kpi_material_batch(_materials(spark, folder), _quality(spark, folder))
-    return _as_view(_rounded(result, "historical_avg_defect_rate_last_4"), "kpi_material_batch_trends")
+    name = "kpi_material_batch_trends"
+    rounded = _rounded(result, "historical_avg_defect_rate_last_4")
+    return _as_view(kpis.in_display_order(rounded, name), name)
 
 
 # --- checks ---------------------------------------------------------------

@@ -14,6 +14,26 @@ from millwright.workspace import stage
 
 _CELL = ("production_line", "shift_id", "product_category")
 
+# How the indicators are shown: leading keys and whether they descend. The keys
+# behind them settle ties, which also lets the sort split one day or one
+# supplier's day over several tasks.
+_DISPLAY: dict[str, list[tuple[str, bool]]] = {
+    "kpi_defect_rate": [("production_date", True), *[(c, False) for c in _CELL]],
+    "kpi_material_batch_trends": [
+        ("supplier_id", False), ("received_date", True),
+        ("batch_id", False), ("material_id", False), ("defect_rate", False),
+    ],
+}
+
+
+def in_display_order(df: DataFrame, name: str) -> DataFrame:
+    """Sorted as the named indicator is shown, NULLs last; best applied to a stored table."""
+    keys = [
+        F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last()
+        for c, down in _DISPLAY.get(name, [])
+    ]
+    return df.orderBy(*keys) if keys else df
+
 
 def kpi_defect_rate(
     quality: DataFrame,
@@ -22,7 +42,6 @@ def kpi_defect_rate(
     *,
     window_rows: int = 7,
     calendar_days: int | None = None,
-    ordered: bool = True,
 ) -> DataFrame:
     """Daily defect rate per line, shift and category with its rolling mean.
 
@@ -43,13 +62,7 @@ def kpi_defect_rate(
             .orderBy(F.unix_date("production_date").asc_nulls_last())
             .rangeBetween(1 - calendar_days, Window.currentRow)
         )
-    result = daily.withColumn("rolling_7d_defect_rate", F.avg("daily_defect_rate").over(frame))
-    if not ordered:
-        return result
-    # The remaining keys let the sort split a day over several tasks.
-    return result.orderBy(
-        F.col("production_date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in _CELL]
-    )
+    return daily.withColumn("rolling_7d_defect_rate", F.avg("daily_defect_rate").over(frame))
 
 
 def kpi_throughput(production: DataFrame, *, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -118,11 +131,10 @@ def kpi_material_batch(
     high_defect_pct: float = 5.0,
     window_rows: int = 4,
     group_rows: int = GROUP_ROWS,
-    ordered: bool = True,
 ) -> DataFrame:
     """Material rows with their batch's defect rate and the supplier's recent mean."""
     joined = stage(material_with_quality(materials, quality))
-    result = over_preceding(
+    return over_preceding(
         joined.withColumn("is_high_defect_batch", is_high_defect(F.col("defect_rate"), high_defect_pct)),
         ["supplier_id"],
         ["received_date", "batch_id", "material_id", "defect_rate"],
@@ -135,11 +147,3 @@ def kpi_material_batch(
         group_rows=group_rows,
         sized_by=joined,
     )
-    if not ordered:
-        return result
-    # The remaining keys let the sort split a supplier's day over several tasks.
-    return result.orderBy(
-        F.col("supplier_id").asc_nulls_last(),
-        F.col("received_date").desc_nulls_last(),
-        *[F.col(c).asc_nulls_last() for c in ("batch_id", "material_id", "defect_rate")],
-    )

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from millwright.operators.checks import NullShare, Rule, UniqueKeys, run_checks
 from millwright.params import Params
@@ -17,13 +17,13 @@ from millwright.plans.publish import (
 )
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.sources import read_parquet, write_parquet
-from millwright.workspace import stage
+from millwright.workspace import scratch
 
 
 class QualityGateError(RuntimeError):
     """Raised before anything is published; carries the failed report rows."""
 
-    def __init__(self, failures: list) -> None:
+    def __init__(self, failures: list[Row]) -> None:
         self.failures = failures
         super().__init__("; ".join(
             f"{row['check']} on {row['table']}.{row['target']}: "
@@ -35,7 +35,7 @@ class QualityGateError(RuntimeError):
 @dataclass
 class RunReport:
     ingested: list[Ingested] = field(default_factory=list)
-    checks: DataFrame | None = None
+    checks: list[Row] = field(default_factory=list)
     published: dict[str, Published] = field(default_factory=dict)
     views: list[str] = field(default_factory=list)
 
@@ -70,14 +70,14 @@ def default_rules(params: Params) -> list[Rule]:
     return rules
 
 
-def gate(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
-    """Run the rules once; raise if any failed, else return the report.
+def gate(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> list[Row]:
+    """Run the rules; raise if any failed, else return the report.
 
     The report has one row per rule and column, so bringing it to the driver is
     bounded by the rules, not by the data.
     """
-    report = stage(run_checks(tables, rules))
-    failures = report.where("NOT passed").collect()
+    report = run_checks(tables, rules).collect()
+    failures = [row for row in report if not row["passed"]]
     if failures:
         raise QualityGateError(failures)
     return report
@@ -147,8 +147,10 @@ def run_pipeline(
         run.published[name] = publish(conform(df, name, as_of), name, folder=params.serving_path)
         tables[name] = read_published(spark, run.published[name])
 
-    for name, df in build_kpis(tables, params, as_of).items():
-        run.published[name] = publish(df, name, folder=params.serving_path, namespace=ANALYTICS)
-        register_view(read_published(spark, run.published[name]), name)
-        run.views.append(name)
+    with scratch(spark):
+        for name, df in build_kpis(tables, params, as_of).items():
+            run.published[name] = publish(df, name, folder=params.serving_path, namespace=ANALYTICS)
+            stored = read_published(spark, run.published[name])
+            register_view(kpis.in_display_order(stored, name), name)
+            run.views.append(name)
     return run

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +21,6 @@ def open_session(app_name: str = "millwright", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
@@ -47,11 +49,30 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A run folder for everything staged inside the block; it is removed at the end."""
+    folder = run_folder(spark)
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Evaluate `df` once into the shared folder; the result no longer depends on its inputs.
+    """Evaluate `df` once into a table of the shared folder and read that.
 
-    The files survive a lost executor, and every later job over the result reads
-    them instead of repeating the joins and aggregations behind it.
+    The files survive a lost executor, later jobs read only the columns they
+    need, and nobody repeats the joins and aggregations behind the frame. They
+    stay until the enclosing `scratch` block ends, or for the operator to remove.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{_SCRATCH.get() or run_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -177,6 +177,7 @@ def test_row_frame_reaches_over_a_gap_and_calendar_frame_does_not(spark):
 
     def rolling(**options):
         result = kpis.kpi_defect_rate(quality, made, products, **options)
+        result = kpis.in_display_order(result, "kpi_defect_rate")
         return [(r["production_date"], r["rolling_7d_defect_rate"]) for r in result.collect()]
 
     later = DAY + timedelta(days=10)
@@ -188,7 +189,7 @@ def test_row_frame_reaches_over_a_gap_and_calendar_frame_does_not(spark):
 def test_missing_product_has_its_own_window(spark):
     quality, made = _defect_days(spark, [(0, 10), (1, 30)])
     products = spark.createDataFrame([("other", "c")], "product_id string, product_category string")
-    result = kpis.kpi_defect_rate(quality, made, products).collect()
+    result = kpis.kpi_defect_rate(quality, made, products).orderBy("production_date", ascending=False).collect()
     assert [(r["product_category"], r["rolling_7d_defect_rate"]) for r in result] == [(None, 20.0), (None, 10.0)]
     assert result[0]["prod_week"] == DAY
 
@@ -233,7 +234,8 @@ def test_material_batches(spark):
          ("B3", "M1", "S", DAY + timedelta(days=2)), ("B4", "M1", "S", None), ("B9", "M1", "S", DAY)],
         "batch_id string, material_id string, supplier_id string, received_date date",
     )
-    got = [tuple(r) for r in kpis.kpi_material_batch(materials, quality).collect()]
+    result = kpis.in_display_order(kpis.kpi_material_batch(materials, quality), "kpi_material_batch_trends")
+    got = [tuple(r) for r in result.collect()]
     assert [(r[0], r[1], r[5], r[6]) for r in got] == [
         ("B3", "M1", False, 17 / 3),
         ("B2", "M1", True, 5.0),

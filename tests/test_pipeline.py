@@ -14,7 +14,7 @@ from millwright.params import Params
 from millwright.plans import bronze, pipeline, publish
 from millwright.schemas import BRONZE, RAW, SERVING, SILVER
 from millwright.sources import read_csv
-from millwright.workspace import run_folder, shared_folder
+from millwright.workspace import run_folder, scratch, shared_folder, stage
 
 AS_OF = datetime(2000, 1, 1)
 
@@ -84,7 +84,9 @@ def test_views_read_the_published_indicators(spark, run):
     assert rates.isEmpty()
     for view, column in [("kpi_material_batch_trends", "historical_avg_defect_rate_last_4"), ("kpi_downtime", "machine_availability_pct")]:
         assert dict(spark.table(view).dtypes)[column] == "double"
-    assert run.checks.where("NOT passed").isEmpty()
+    dates = [r[0] for r in spark.sql("SELECT production_date FROM kpi_defect_rate").collect()]
+    assert dates == sorted(dates, reverse=True)
+    assert run.checks and all(row["passed"] for row in run.checks)
 
 
 def test_second_run_gives_the_same(spark, params, dimensions, run):
@@ -198,6 +200,15 @@ def test_shared_folder_follows_the_session(spark):
     assert run_folder(spark) != run_folder(spark)
 
 
+def test_scratch_is_removed(spark):
+    import os
+
+    with scratch(spark) as folder:
+        assert stage(spark.range(3)).count() == 3
+        assert os.listdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
 def test_no_temporary_folder_on_a_cluster():
     from types import SimpleNamespace
 
