@@ -11,9 +11,11 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DateType, DoubleType, FloatType
 
 from millwright.functions import delay_hours
+from millwright.operators.frames import total_before
+from millwright.workspace import stage
 
 REPORT_COLUMNS = ("check", "table", "target", "observed", "threshold", "passed")
 
@@ -48,11 +50,15 @@ class LateEvents:
 
 @dataclass(frozen=True)
 class RowCountDeviation:
-    """The latest period's row count may not stray from the mean of the periods before it."""
+    """The latest period's row count may not stray from the mean of the periods before it.
+
+    With `counts` the table holds one row per period and its count in that column.
+    """
 
     table: str
     period: str
     tolerance: float = 0.2
+    counts: str | None = None
 
 
 Rule = UniqueKeys | NullShare | LateEvents | RowCountDeviation
@@ -124,20 +130,33 @@ def late_events(df: DataFrame, event: str, reference: str, max_hours: float = 24
     )
 
 
-def row_count_deviation(df: DataFrame, period: str, tolerance: float = 0.2) -> DataFrame:
+def row_count_deviation(
+    df: DataFrame, period: str, tolerance: float = 0.2, *, counts: str | None = None
+) -> DataFrame:
     """Rows per period against the mean of all periods before it.
 
-    The window has no partition key, but sees one row per period only: with a
-    DATE period that is bounded by the calendar, however many rows there are.
-    The first period has no history and passes, as does a history of 0.
+    `counts` names a column that already holds the rows of a period, one row per
+    period. The first period has no history and passes, as does a history of 0.
+    The running sums see one row per period: the calendar bounds a DATE, and for
+    other types `total_before` measures how many there are.
     """
-    per_period = df.groupBy(period).agg(F.count(F.lit(1)).alias("n_rows"))
-    before = Window.orderBy(F.col(period).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    if counts is None:
+        per_period = df.groupBy(period).agg(F.count(F.lit(1)).alias("n_rows"))
+    else:
+        per_period = df.select(period, F.col(counts).cast("bigint").alias("n_rows"))
+    per_period = per_period.withColumn("_one", F.lit(1))
+    earlier = [F.col(period).asc_nulls_first()]
+    if isinstance(df.schema[period].dataType, DateType):
+        before = Window.orderBy(*earlier).rowsBetween(Window.unboundedPreceding, -1)
+        summed = per_period.withColumns({"_sum": F.sum("n_rows").over(before), "_n": F.sum("_one").over(before)})
+    else:
+        summed = total_before(stage(per_period), [], earlier, {"_sum": "n_rows", "_n": "_one"})
     deviation = F.abs(F.try_divide(F.col("n_rows") - F.col("historical_avg"), F.col("historical_avg")))
     return (
-        per_period.withColumn("historical_avg", F.avg("n_rows").over(before))
+        summed.withColumn("historical_avg", F.try_divide(F.col("_sum"), F.col("_n")))
         .withColumn("deviation", deviation)
         .withColumn("passed", _within(F.col("deviation"), F.lit(float(tolerance))))
+        .drop("_one", "_sum", "_n")
     )
 
 
@@ -197,7 +216,7 @@ def run_checks(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFr
                         F.col("duplicate_rows"), rule.tolerance)
             )
         elif isinstance(rule, RowCountDeviation):
-            periods = row_count_deviation(df, rule.period, rule.tolerance)
+            periods = row_count_deviation(df, rule.period, rule.tolerance, counts=rule.counts)
             latest = periods.agg(F.max_by("deviation", rule.period).alias("deviation"))
             reports.append(
                 _report(latest, "row_count_deviation", rule.table, rule.period,

@@ -23,7 +23,7 @@ GROUP_ROWS = 5_000_000
 # More chunks than this only cost scheduling; chunks then hold more rows.
 MAX_CHUNKS = 20_000
 
-_CHUNK, _HALO, _POS, _ROW, _TAIL = "_chunk", "_halo", "_pos", "_row", "_tail"
+_CHUNK, _HALO, _POS, _ROW, _TAIL, _PEERS = "_chunk", "_halo", "_pos", "_row", "_tail", "_peers"
 
 Measure = Callable[[WindowSpec], Column]
 
@@ -105,6 +105,51 @@ def over_preceding(
     )
 
 
+def total_before(
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    totals: dict[str, str],
+    *,
+    group_rows: int = GROUP_ROWS,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
+    """Add, per name, the sum of a column over all rows of the group before this one.
+
+    The frame has no lower bound, so chunks get the sums of the chunks in front
+    of them instead of single rows. `group` may be empty. The first row gets NULL.
+    """
+    largest, rows = group_sizes(df if sized_by is None else sized_by, group)
+    if largest <= group_rows:
+        before = _all_before(group, order)
+        return df.withColumns({name: F.sum(column).over(before) for name, column in totals.items()})
+
+    chunked = _chunked(df, group, order, rows, group_rows)
+    before_chunk, within = _all_before(group, [F.col(_CHUNK)]), _all_before([*group, _CHUNK], order)
+    offset = {name: f"_offset_{name}" for name in totals}
+    offsets = (
+        chunked.groupBy(*group, _CHUNK)
+        .agg(*[F.sum(column).alias(offset[name]) for name, column in totals.items()])
+        .withColumns({offset[name]: F.sum(offset[name]).over(before_chunk) for name in totals})
+    )
+    local = chunked.withColumns({name: F.sum(column).over(within) for name, column in totals.items()})
+    return (
+        null_safe_join(local, offsets, [*group, _CHUNK])
+        .withColumns({name: _sum_of(name, offset[name]) for name in totals})
+        .drop(_CHUNK, *offset.values())
+    )
+
+
+def _all_before(group: list[str], order: list[Column]) -> WindowSpec:
+    return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _sum_of(*names: str) -> Column:
+    """The sum of two columns, where NULL stands for no rows."""
+    first, second = (F.col(name) for name in names)
+    return F.coalesce(first + second, first, second)
+
+
 def with_rank(
     df: DataFrame,
     group: list[str],
@@ -115,36 +160,23 @@ def with_rank(
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add RANK by `value` descending (NULLs last): ties share a rank, the next one is skipped."""
-    largest, rows = group_sizes(df if sized_by is None else sized_by, group)
+    largest, _ = group_sizes(df if sized_by is None else sized_by, group)
     highest_first = F.col(value).desc_nulls_last()
     if largest <= group_rows:
         return df.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(highest_first)))
 
     # A rank is one plus the number of rows with a greater value. Counting per
     # distinct value first turns any number of ties into one row.
-    peers = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias(_ROW))
-    chunked = _chunked(peers, group, [highest_first], rows, group_rows)
-    before = Window.partitionBy(*group).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        chunked.groupBy(*group, _CHUNK)
-        .agg(F.sum(_ROW).alias(_POS))
-        .withColumn(_POS, F.coalesce(F.sum(_POS).over(before), F.lit(0)))
-    )
-    within = (
-        Window.partitionBy(*group, _CHUNK)
-        .orderBy(highest_first)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    local = chunked.withColumn(_ROW, F.coalesce(F.sum(_ROW).over(within), F.lit(0)))
-    ranked = _null_safe_join(local, offsets, [*group, _CHUNK], "inner").select(
-        *group, value, (F.col(_ROW) + F.col(_POS) + 1).cast("int").alias(name)
-    )
-    return _null_safe_join(df, ranked, [*group, value], "inner")
+    peers = stage(df.groupBy(*group, value).agg(F.count(F.lit(1)).alias(_PEERS)))
+    greater = total_before(peers, group, [highest_first], {name: _PEERS}, group_rows=group_rows)
+    place = (F.coalesce(F.col(name), F.lit(0)) + 1).cast("int").alias(name)
+    return null_safe_join(df, greater.select(*group, value, place), [*group, value])
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join where NULL keys are equal, as they are in a grouping."""
     renamed = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
     matches = F.lit(True)
     for key in keys:
         matches = matches & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
-    return left.join(renamed, matches, how).drop(*[f"_r_{key}" for key in keys])
+    return left.join(renamed, matches, "inner").drop(*[f"_r_{key}" for key in keys])

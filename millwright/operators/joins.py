@@ -2,8 +2,9 @@
 
 A plain shuffle join is left to adaptive execution, which picks a broadcast by
 the measured size of a side and splits a skewed partition. That split does not
-happen when the join feeds an aggregation on the join key, because the
-aggregation relies on the key staying in one partition. Two ways around it:
+happen when the join feeds an aggregation on the join key, or when a side comes
+out of one, because the aggregation relies on the key staying in one partition.
+Two ways around it:
 
 * `weights`: where only sums are wanted, shrink a side to one row per distinct
   combination with a count before joining, so a hot key arrives as few rows;
@@ -84,8 +85,12 @@ def quality_with_product(quality: DataFrame, production: DataFrame, products: Da
     )
 
 
-def material_with_quality(materials: DataFrame, quality: DataFrame) -> DataFrame:
+def material_with_quality(
+    materials: DataFrame, quality: DataFrame, *, hot_key_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
     """One row per material row and metric row of the same batch."""
     left = materials.select("batch_id", "material_id", "supplier_id", "received_date")
     right = quality.select("batch_id", F.col("defect_rate").cast("double").alias("defect_rate"))
-    return left.join(right, "batch_id", "inner").select(*left.columns, "defect_rate")
+    spread_by = ["material_id", "supplier_id", "received_date"]
+    joined = salted_join(left, right, "batch_id", spread_by, hot_key_rows=hot_key_rows)
+    return joined.select(*left.columns, "defect_rate")

@@ -49,6 +49,7 @@ class Params:
             value = (config.get(section) or {}).get(key)
             if value is not None:
                 found[name] = value
+        # An empty serving path publishes to the catalog instead of a folder.
         if "serving_path" not in found and "silver_path" in found:
             found["serving_path"] = found["silver_path"].rstrip("/") + "_serving"
         return cls(**{**found, **overrides})

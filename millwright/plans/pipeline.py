@@ -1,4 +1,8 @@
-"""The whole day: raw files to indicators, with checks in front of the serving tables."""
+"""The whole day: raw files to indicators, with checks in front of the serving tables.
+
+Each step reads what the step before it wrote, so a step can be run again on
+its own: ingest, quality and downtime, check, publish, indicators.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +10,23 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from millwright.operators.checks import NullShare, Rule, UniqueKeys, run_checks
+from millwright.operators.checks import NullShare, RowCountDeviation, Rule, UniqueKeys, run_checks
 from millwright.params import Params
 from millwright.plans import kpis
 from millwright.plans.bronze import Ingested, ingest
 from millwright.plans.publish import (
-    ANALYTICS, Published, conform, publish, read_published, register_view,
+    ANALYTICS, Published, conform, create_namespaces, publish, read_published, register_view,
 )
 from millwright.plans.silver import downtime_metrics, quality_metrics
+from millwright.schemas import INGESTED_AT
 from millwright.sources import read_parquet, write_parquet
 from millwright.workspace import scratch
 
+_HISTORY = "row_count_history"
+_HISTORY_SCHEMA = "dataset string, run_at timestamp, n_rows bigint"
+
 
 class QualityGateError(RuntimeError):
     """Raised before anything is published; carries the failed report rows."""
@@ -40,21 +48,34 @@ class RunReport:
     views: list[str] = field(default_factory=list)
 
 
-def build_silver(spark: SparkSession, params: Params, late_reference: str = "ingestion_timestamp") -> None:
-    def bronze(name: str) -> DataFrame:
-        return read_parquet(spark, f"{params.bronze_path}/{name}")
+def bronze(spark: SparkSession, params: Params, name: str) -> DataFrame:
+    return read_parquet(spark, f"{params.bronze_path}/{name}")
 
-    write_parquet(
-        quality_metrics(
-            bronze("inspection_results"), bronze("production_records"),
-            max_late_hours=params.max_late_event_hours, late_reference=late_reference,
-        ),
-        f"{params.silver_path}/quality_metrics",
-    )
-    write_parquet(
-        downtime_metrics(bronze("machine_logs"), shift_minutes=params.shift_minutes),
-        f"{params.silver_path}/downtime_metrics",
+
+def silver(spark: SparkSession, params: Params, name: str) -> DataFrame:
+    return read_parquet(spark, f"{params.silver_path}/{name}")
+
+
+def build_quality(spark: SparkSession, params: Params, late_reference: str = INGESTED_AT) -> None:
+    metrics = quality_metrics(
+        bronze(spark, params, "inspection_results"), bronze(spark, params, "production_records"),
+        max_late_hours=params.max_late_event_hours, late_reference=late_reference,
     )
+    write_parquet(metrics, f"{params.silver_path}/quality_metrics")
+
+
+def build_downtime(spark: SparkSession, params: Params) -> None:
+    metrics = downtime_metrics(bronze(spark, params, "machine_logs"), shift_minutes=params.shift_minutes)
+    write_parquet(metrics, f"{params.silver_path}/downtime_metrics")
+
+
+def _history(spark: SparkSession, params: Params) -> tuple[DataFrame, str]:
+    """Row counts of the accepted runs, a few rows per run; empty before the first."""
+    path = f"{params.silver_path}/{_HISTORY}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.read.schema(_HISTORY_SCHEMA).parquet(path), path
+    return spark.createDataFrame([], _HISTORY_SCHEMA), path
 
 
 def default_rules(params: Params) -> list[Rule]:
@@ -83,6 +104,54 @@ def gate(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> list[Row]:
     return report
 
 
+def check(
+    spark: SparkSession,
+    params: Params,
+    ingested: Iterable[Ingested] = (),
+    *,
+    rules: Iterable[Rule] | None = None,
+    as_of: datetime | None = None,
+) -> list[Row]:
+    """The gate over the metric tables and the row counts of this run.
+
+    The count of every ingested dataset is held against the mean of the accepted
+    runs before it. A run that passes joins that history.
+    """
+    run_at, ingested = as_of or datetime.now(), list(ingested)
+    tables = {name: silver(spark, params, name) for name in ("quality_metrics", "downtime_metrics")}
+    rules = list(default_rules(params) if rules is None else rules)
+    current = spark.createDataFrame([(i.dataset, run_at, i.rows_kept) for i in ingested], _HISTORY_SCHEMA)
+    history, path = _history(spark, params)
+    earlier = history.where(F.col("run_at") < F.lit(run_at))
+    for i in ingested:
+        table = f"{_HISTORY}.{i.dataset}"
+        tables[table] = earlier.unionByName(current).where(F.col("dataset") == i.dataset)
+        rules.append(RowCountDeviation(table, "run_at", params.row_count_variance_pct, counts="n_rows"))
+    with scratch(spark):
+        report = gate(tables, rules)
+    if ingested and history.where(F.col("run_at") == F.lit(run_at)).isEmpty():
+        current.coalesce(1).write.mode("append").parquet(path)
+    return report
+
+
+def publish_tables(
+    spark: SparkSession, params: Params, dimensions: Mapping[str, DataFrame], as_of: datetime | None = None
+) -> dict[str, Published]:
+    """All serving tables: both metric tables, the facts behind the indicators, the dimensions."""
+    sources = {
+        "fact_quality_metrics": silver(spark, params, "quality_metrics"),
+        "fact_downtime_metrics": silver(spark, params, "downtime_metrics"),
+        "fact_production": bronze(spark, params, "production_records"),
+        "fact_inspection": bronze(spark, params, "inspection_results"),
+        "material_batches": bronze(spark, params, "material_batches"),
+        **dimensions,
+    }
+    folder = params.serving_path or None
+    if folder is None:
+        create_namespaces(spark)
+    return {name: publish(conform(df, name, as_of), name, folder=folder) for name, df in sources.items()}
+
+
 def build_kpis(
     tables: Mapping[str, DataFrame], params: Params, as_of: datetime | None = None
 ) -> dict[str, DataFrame]:
@@ -106,51 +175,44 @@ def build_kpis(
     }
 
 
+def refresh_kpis(
+    spark: SparkSession,
+    params: Params,
+    published: Mapping[str, Published],
+    as_of: datetime | None = None,
+) -> dict[str, Published]:
+    """Indicators as tables of the analytics namespace, each with a view of its name on top."""
+    tables = {name: read_published(spark, p) for name, p in published.items()}
+    stored = {}
+    with scratch(spark):
+        for name, df in build_kpis(tables, params, as_of).items():
+            stored[name] = publish(df, name, folder=params.serving_path or None, namespace=ANALYTICS)
+            register_view(kpis.in_display_order(read_published(spark, stored[name]), name), name)
+    return stored
+
+
 def run_pipeline(
     spark: SparkSession,
     params: Params,
     dimensions: Mapping[str, DataFrame],
     *,
     as_of: datetime | None = None,
-    late_reference: str = "ingestion_timestamp",
+    late_reference: str = INGESTED_AT,
     rules: Iterable[Rule] | None = None,
     infer: bool = False,
 ) -> RunReport:
     """Ingest, build both metric tables, check, publish, and refresh the indicators.
 
     `dimensions` must hold `dim_product` (no raw file carries it) and may hold
-    the other dimensions. Indicators are written as tables of the analytics
-    namespace, and a view of the same name reads each.
+    the other dimensions. An empty `serving_path` publishes to the catalog.
     """
-    run = RunReport(ingested=ingest(spark, params.raw_path, params.bronze_path, infer=infer, as_of=as_of))
-    build_silver(spark, params, late_reference)
-
-    silver = {
-        name: read_parquet(spark, f"{params.silver_path}/{name}")
-        for name in ("quality_metrics", "downtime_metrics")
-    }
-    run.checks = gate(silver, default_rules(params) if rules is None else rules)
-
-    def bronze(name: str) -> DataFrame:
-        return read_parquet(spark, f"{params.bronze_path}/{name}")
-
-    sources = {
-        "fact_quality_metrics": silver["quality_metrics"],
-        "fact_downtime_metrics": silver["downtime_metrics"],
-        "fact_production": bronze("production_records"),
-        "fact_inspection": bronze("inspection_results"),
-        "material_batches": bronze("material_batches"),
-        **dimensions,
-    }
-    tables = {}
-    for name, df in sources.items():
-        run.published[name] = publish(conform(df, name, as_of), name, folder=params.serving_path)
-        tables[name] = read_published(spark, run.published[name])
-
-    with scratch(spark):
-        for name, df in build_kpis(tables, params, as_of).items():
-            run.published[name] = publish(df, name, folder=params.serving_path, namespace=ANALYTICS)
-            stored = read_published(spark, run.published[name])
-            register_view(kpis.in_display_order(stored, name), name)
-            run.views.append(name)
+    run = RunReport()
+    run.ingested = ingest(spark, params.raw_path, params.bronze_path, infer=infer, as_of=as_of)
+    build_quality(spark, params, late_reference)
+    build_downtime(spark, params)
+    run.checks = check(spark, params, run.ingested, rules=rules, as_of=as_of)
+    run.published = publish_tables(spark, params, dimensions, as_of)
+    indicators = refresh_kpis(spark, params, run.published, as_of)
+    run.published.update(indicators)
+    run.views = list(indicators)
     return run

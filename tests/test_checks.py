@@ -65,6 +65,14 @@ def test_row_count_deviation_by_period(spark):
     ]
 
 
+def test_row_count_deviation_of_given_counts(spark):
+    df = spark.createDataFrame([(NOON + timedelta(days=i), n) for i, n in enumerate([100, 100, 121])], "run_at timestamp, n int")
+    got = checks.row_count_deviation(df, "run_at", counts="n").orderBy("run_at").collect()
+    assert [(r["n_rows"], r["historical_avg"], r["passed"]) for r in got] == [
+        (100, None, True), (100, 100.0, True), (121, 100.0, False),
+    ]
+
+
 def test_report(spark):
     tables = {
         "t": table(spark, ("a", None, 1.0), ("a", 1, 1.0)),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from millwright.operators.frames import over_preceding, with_rank
+from millwright.operators.frames import over_preceding, total_before, with_rank
 from millwright.operators.joins import salted_join
 from millwright.workspace import stage
 
@@ -92,3 +92,14 @@ def test_salted_join_without_broadcast(spark, monkeypatch):
     many = skewed(spark, 200, 12)
     one = spark.createDataFrame([("hot", 1), ("a", 3)], "grp string, extra int")
     assert rows(salted_join(many, one, "grp", ["id"], hot_key_rows=5)) == rows(many.join(one, "grp"))
+
+
+@pytest.mark.parametrize("group", [["grp"], []])
+@pytest.mark.parametrize("n,limit,seed", [(400, 9, 1), (60, 1, 2)])
+def test_totals_in_chunks(spark, group, n, limit, seed):
+    df = skewed(spark, n, seed)
+    order = [F.col("day").desc_nulls_last(), F.col("id").asc()]
+    totals = {"ids": "id", "values": "v"}
+    whole = total_before(df, group, order, totals, group_rows=WHOLE)
+    chunked = total_before(df, group, order, totals, group_rows=limit)
+    assert rows(chunked.select(whole.columns)) == rows(whole)

@@ -115,6 +115,48 @@ def test_gate_stops_before_publishing(spark, params, dimensions, tmp_path):
     assert not (tmp_path / "serving").exists()
 
 
+def test_row_counts_are_held_against_accepted_runs(spark, params, run):
+    later = datetime(2000, 1, 2)
+    steady = [replace(i, rows_kept=int(i.rows_kept * 1.19)) for i in run.ingested]
+    jump = [replace(i, rows_kept=int(i.rows_kept * 2)) for i in run.ingested[:1]]
+    with pytest.raises(pipeline.QualityGateError) as failed:
+        pipeline.check(spark, params, jump, as_of=later)
+    assert [row["check"] for row in failed.value.failures] == ["row_count_deviation"]
+    report = pipeline.check(spark, params, steady, as_of=later)
+    assert sum(row["check"] == "row_count_deviation" for row in report) == 4
+    history = spark.read.parquet(f"{params.silver_path}/row_count_history")
+    assert history.groupBy("run_at").count().count() == 2 and history.count() == 8
+
+
+def test_steps_from_the_command_line(spark, params, dimensions, tmp_path):
+    from millwright.__main__ import main
+
+    products = str(tmp_path / "products")
+    dimensions["dim_product"].write.parquet(products)
+    config = tmp_path / "pipeline.yaml"
+    config.write_text(
+        f"storage: {{raw_layer_path: {params.raw_path}, bronze_layer_path: {tmp_path}/b, "
+        f"silver_layer_path: {tmp_path}/s, serving_layer_path: {tmp_path}/out}}"
+    )
+    for step in ("ingest", "quality", "downtime", "check", "publish"):
+        main([step, "--config", str(config), "--dimension", f"dim_product={products}"], spark)
+    by_steps = spark.read.parquet(f"{tmp_path}/out/analytics/KPI_DEFECT_RATE").count()
+    main(["run", "--config", str(config), "--dimension", f"dim_product={products}", "--late-reference", "end_time"], spark)
+    by_end_time = spark.read.parquet(f"{tmp_path}/out/analytics/KPI_DEFECT_RATE").count()
+    assert by_steps > 0 and by_end_time > 0
+    with pytest.raises(SystemExit):
+        main(["unknown", "--config", str(config)], spark)
+
+
+def test_run_into_the_catalog(spark, params, dimensions, run):
+    pipeline.run_pipeline(spark, replace(params, serving_path=""), dimensions, as_of=AS_OF)
+    assert {r["tableName"] for r in spark.sql("SHOW TABLES IN analytics").collect() if not r["isTemporary"]} == {
+        "kpi_defect_rate", "kpi_throughput", "kpi_downtime", "kpi_material_batch_trends",
+    }
+    stored = publish.read_published(spark, run.published["kpi_throughput"])
+    assert rows(spark.table("analytics.KPI_THROUGHPUT")) == rows(stored)
+
+
 def test_conform_defaults_and_missing_columns(spark):
     machines = spark.createDataFrame(
         [(1, "A", None, "extra"), (2, "B", "RETIRED", "extra")], "MACHINE_ID int, production_line string, status string, more string"
