@@ -16,7 +16,7 @@ from millwright.operators.frames import with_rank
 from millwright.plans import bronze, kpis, publish, silver
 from millwright.schemas import INGESTED_AT, RAW
 from millwright.sources import read_parquet
-from millwright.workspace import run_folder, stage
+from millwright.workspace import run_folder, stage_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,8 +267,8 @@ def throughput_uph(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def throughput_rank(spark: SparkSession, folder: str) -> DataFrame:
-    hourly = stage(metrics.units_per_hour(_production(spark, folder)))
-    ranked = with_rank(hourly, ["production_date"], "units_per_hour", "throughput_rank")
+    hourly, n_rows = stage_counted(metrics.units_per_hour(_production(spark, folder)))
+    ranked = with_rank(hourly, ["production_date"], "units_per_hour", "throughput_rank", rows=n_rows)
     return ranked.select("production_line", "shift_id", "production_date", "throughput_rank")
 
 
@@ -282,14 +282,15 @@ def kpi_throughput(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def kpi_downtime(spark: SparkSession, folder: str) -> DataFrame:
-    downtime = stage(silver.downtime_metrics(_machine_logs(spark, folder)))
-    return _as_view(kpis.kpi_downtime(downtime, as_of=AS_OF_DATE), "kpi_downtime")
+    downtime, n_rows = stage_counted(silver.downtime_metrics(_machine_logs(spark, folder)))
+    return _as_view(kpis.kpi_downtime(downtime, as_of=AS_OF_DATE, rows=n_rows), "kpi_downtime")
 
 
 @register
 def downtime_daily_cumulative(spark: SparkSession, folder: str) -> DataFrame:
-    daily = stage(silver.downtime_metrics(_machine_logs(spark, folder), by_date="event_ts"))
-    return kpis.kpi_downtime(daily)
+    metric_rows = silver.downtime_metrics(_machine_logs(spark, folder), by_date="event_ts")
+    daily, n_rows = stage_counted(metric_rows)
+    return kpis.kpi_downtime(daily, rows=n_rows)
 
 
 @register

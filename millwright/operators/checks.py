@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, DoubleType, FloatType
 
 from millwright.functions import delay_hours
 from millwright.operators.frames import total_before
-from millwright.workspace import stage
+from millwright.workspace import stage_counted
 
 REPORT_COLUMNS = ("check", "table", "target", "observed", "threshold", "passed")
 
@@ -150,7 +150,8 @@ def row_count_deviation(
         before = Window.orderBy(*earlier).rowsBetween(Window.unboundedPreceding, -1)
         summed = per_period.withColumns({"_sum": F.sum("n_rows").over(before), "_n": F.sum("_one").over(before)})
     else:
-        summed = total_before(stage(per_period), [], earlier, {"_sum": "n_rows", "_n": "_one"})
+        stored, periods = stage_counted(per_period)
+        summed = total_before(stored, [], earlier, {"_sum": "n_rows", "_n": "_one"}, rows=periods)
     deviation = F.abs(F.try_divide(F.col("n_rows") - F.col("historical_avg"), F.col("historical_avg")))
     return (
         summed.withColumn("historical_avg", F.try_divide(F.col("_sum"), F.col("_n")))

@@ -7,7 +7,8 @@ every partition becomes a chunk, and each chunk gets the few rows in front of
 it that its frames reach back to. The result is the same to the last row.
 
 Inputs are read more than once, so pass a stored table or a staged frame
-(`workspace.stage`), not a long chain of joins.
+(`workspace.stage`), not a long chain of joins. Where the number of rows is
+known (`rows`) and already small, nothing is measured.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from millwright.workspace import stage
+from millwright.workspace import stage, stage_counted
 
 # Rows of one group that one task may take.
 GROUP_ROWS = 5_000_000
@@ -36,12 +37,13 @@ def _descending(columns: list[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in columns]
 
 
-def group_sizes(df: DataFrame, group: list[str]) -> tuple[int, int]:
-    """Rows in the largest group, and rows in all."""
-    row = (
-        df.groupBy(*group).count().agg(F.max("count").alias("top"), F.sum("count").alias("rows"))
-    ).first()
-    return row["top"] or 0, row["rows"] or 0
+def _rows_to_split(df: DataFrame, group: list[str], limit: int, rows: int | None) -> int | None:
+    """None if every group fits one task, else the rows in all."""
+    if rows is not None and rows <= limit:
+        return None
+    sizes = df.groupBy(*group).count()
+    found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("rows")).first()
+    return found["rows"] if (found["largest"] or 0) > limit else None
 
 
 def _chunked(df: DataFrame, group: list[str], order: list[Column], rows: int, limit: int) -> DataFrame:
@@ -63,15 +65,14 @@ def over_preceding(
     measures: dict[str, Measure],
     *,
     group_rows: int = GROUP_ROWS,
-    sized_by: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add window columns whose frames reach at most `depth` rows back and none ahead.
 
-    Order is ascending with NULLs last. `sized_by` may name a cheaper frame
-    with the same groups to measure them on.
+    Order is ascending with NULLs last.
     """
-    largest, rows = group_sizes(df if sized_by is None else sized_by, group)
-    if largest <= group_rows:
+    rows = _rows_to_split(df, group, group_rows, rows)
+    if rows is None:
         window = Window.partitionBy(*group).orderBy(*_ascending(order))
         return df.withColumns({name: make(window) for name, make in measures.items()})
 
@@ -112,15 +113,15 @@ def total_before(
     totals: dict[str, str],
     *,
     group_rows: int = GROUP_ROWS,
-    sized_by: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add, per name, the sum of a column over all rows of the group before this one.
 
     The frame has no lower bound, so chunks get the sums of the chunks in front
     of them instead of single rows. `group` may be empty. The first row gets NULL.
     """
-    largest, rows = group_sizes(df if sized_by is None else sized_by, group)
-    if largest <= group_rows:
+    rows = _rows_to_split(df, group, group_rows, rows)
+    if rows is None:
         before = _all_before(group, order)
         return df.withColumns({name: F.sum(column).over(before) for name, column in totals.items()})
 
@@ -157,18 +158,19 @@ def with_rank(
     name: str,
     *,
     group_rows: int = GROUP_ROWS,
-    sized_by: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add RANK by `value` descending (NULLs last): ties share a rank, the next one is skipped."""
-    largest, _ = group_sizes(df if sized_by is None else sized_by, group)
     highest_first = F.col(value).desc_nulls_last()
-    if largest <= group_rows:
+    if _rows_to_split(df, group, group_rows, rows) is None:
         return df.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(highest_first)))
 
     # A rank is one plus the number of rows with a greater value. Counting per
     # distinct value first turns any number of ties into one row.
-    peers = stage(df.groupBy(*group, value).agg(F.count(F.lit(1)).alias(_PEERS)))
-    greater = total_before(peers, group, [highest_first], {name: _PEERS}, group_rows=group_rows)
+    peers, values = stage_counted(df.groupBy(*group, value).agg(F.count(F.lit(1)).alias(_PEERS)))
+    greater = total_before(
+        peers, group, [highest_first], {name: _PEERS}, group_rows=group_rows, rows=values
+    )
     place = (F.coalesce(F.col(name), F.lit(0)) + 1).cast("int").alias(name)
     return null_safe_join(df, greater.select(*group, value, place), [*group, value])
 

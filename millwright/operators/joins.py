@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millwright.workspace import stage
+from millwright.workspace import stage_counted
 
 WEIGHT = "_weight"
 
@@ -42,18 +42,20 @@ def salted_join(
 ) -> DataFrame:
     """Inner join on `key` where some keys of `many` may hold very many rows.
 
-    Counts the keys of `many` first (one column, partially aggregated). Keys
-    above `hot_key_rows` are split into numbered shares by a hash of
-    `spread_by`, and the matching rows of `one` are repeated once per share.
-    Without hot keys this is a plain join.
+    Unless `many` is small, its keys are counted first (one column, partially
+    aggregated). Keys above `hot_key_rows` are split into numbered shares by a
+    hash of `spread_by`, and the matching rows of `one` are repeated once per
+    share. Without hot keys this is a plain join. `many` should be a stored
+    table or a projection of one, since it is read for the counts too.
     """
-    hot = stage(
+    if many.count() <= hot_key_rows:
+        return many.join(one, key, "inner")
+    hot, n_hot = stage_counted(
         many.groupBy(key)
         .count()
         .where((F.col("count") > hot_key_rows) & F.col(key).isNotNull())
         .select(key, F.ceil(F.col("count") / F.lit(hot_key_rows)).cast("int").alias(_SALTS))
     )
-    n_hot = hot.count()
     if n_hot == 0:
         return many.join(one, key, "inner")
     if n_hot <= BROADCAST_KEYS:

@@ -40,6 +40,8 @@ class Params:
 
     # A window group above this many rows is cut into chunks (operators.frames).
     window_group_rows: int = 5_000_000
+    # A join key above this many rows is spread over several tasks (operators.joins).
+    hot_key_rows: int = 2_000_000
 
     @classmethod
     def from_mapping(cls, config: Mapping[str, Any], **overrides: Any) -> Params:

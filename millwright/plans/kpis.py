@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millwright.functions import is_high_defect, pct_change
 from millwright.operators.frames import GROUP_ROWS, over_preceding, with_rank
-from millwright.operators.joins import material_with_quality
+from millwright.operators.joins import HOT_KEY_ROWS, material_with_quality
 from millwright.operators.metrics import defects_by_category, units_per_hour
-from millwright.workspace import stage
+from millwright.workspace import stage_counted
 
 _CELL = ("production_line", "shift_id", "product_category")
 
@@ -67,7 +67,7 @@ def kpi_defect_rate(
 
 def kpi_throughput(production: DataFrame, *, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Units per hour, the line's previous shift, the change, and the rank of the day."""
-    hourly = stage(
+    hourly, rows = stage_counted(
         units_per_hour(production).select(
             "production_line", "shift_id", "production_date", "units_per_hour"
         )
@@ -79,6 +79,7 @@ def kpi_throughput(production: DataFrame, *, group_rows: int = GROUP_ROWS) -> Da
         1,
         {"prev_shift_uph": lambda window: F.lag("units_per_hour", 1).over(window)},
         group_rows=group_rows,
+        rows=rows,
     ).withColumn("pct_change_vs_prev", pct_change(F.col("units_per_hour"), F.col("prev_shift_uph")))
     return with_rank(
         with_previous,
@@ -86,7 +87,7 @@ def kpi_throughput(production: DataFrame, *, group_rows: int = GROUP_ROWS) -> Da
         "units_per_hour",
         "throughput_rank",
         group_rows=group_rows,
-        sized_by=hourly,
+        rows=rows,
     )
 
 
@@ -96,10 +97,12 @@ def kpi_downtime(
     as_of: date | None = None,
     window_rows: int = 30,
     group_rows: int = GROUP_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Downtime rows with a record date and a running total per machine.
 
-    `downtime` should be a stored or staged table. Without a day in its grain
+    `downtime` should be a stored or staged table, with its number of `rows` if
+    known. Without a day in its grain
     every row gets the same date, and line and shift settle the order.
     """
     if "record_date" not in downtime.columns:
@@ -116,6 +119,7 @@ def kpi_downtime(
             )
         },
         group_rows=group_rows,
+        rows=rows,
     ).select(
         "machine_id", "production_line", "shift_id", "record_date", "planned_maint_mins",
         "unplanned_breakdown_mins", "changeover_mins", "idle_mins", minutes,
@@ -131,9 +135,10 @@ def kpi_material_batch(
     high_defect_pct: float = 5.0,
     window_rows: int = 4,
     group_rows: int = GROUP_ROWS,
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Material rows with their batch's defect rate and the supplier's recent mean."""
-    joined = stage(material_with_quality(materials, quality))
+    joined, rows = stage_counted(material_with_quality(materials, quality, hot_key_rows=hot_key_rows))
     return over_preceding(
         joined.withColumn("is_high_defect_batch", is_high_defect(F.col("defect_rate"), high_defect_pct)),
         ["supplier_id"],
@@ -145,5 +150,5 @@ def kpi_material_batch(
             )
         },
         group_rows=group_rows,
-        sized_by=joined,
+        rows=rows,
     )

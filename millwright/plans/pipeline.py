@@ -57,11 +57,13 @@ def silver(spark: SparkSession, params: Params, name: str) -> DataFrame:
 
 
 def build_quality(spark: SparkSession, params: Params, late_reference: str = INGESTED_AT) -> None:
-    metrics = quality_metrics(
-        bronze(spark, params, "inspection_results"), bronze(spark, params, "production_records"),
-        max_late_hours=params.max_late_event_hours, late_reference=late_reference,
-    )
-    write_parquet(metrics, f"{params.silver_path}/quality_metrics")
+    with scratch(spark):
+        metrics = quality_metrics(
+            bronze(spark, params, "inspection_results"), bronze(spark, params, "production_records"),
+            max_late_hours=params.max_late_event_hours, late_reference=late_reference,
+            hot_key_rows=params.hot_key_rows,
+        )
+        write_parquet(metrics, f"{params.silver_path}/quality_metrics")
 
 
 def build_downtime(spark: SparkSession, params: Params) -> None:
@@ -135,17 +137,27 @@ def check(
 
 
 def publish_tables(
-    spark: SparkSession, params: Params, dimensions: Mapping[str, DataFrame], as_of: datetime | None = None
+    spark: SparkSession,
+    params: Params,
+    dimensions: Mapping[str, DataFrame],
+    as_of: datetime | None = None,
+    *,
+    inspections: bool = False,
 ) -> dict[str, Published]:
-    """All serving tables: both metric tables, the facts behind the indicators, the dimensions."""
+    """Both metric tables, the facts behind the indicators, and the dimensions.
+
+    No indicator reads single inspections, by far the largest table, so they are
+    copied to the serving store only on request.
+    """
     sources = {
         "fact_quality_metrics": silver(spark, params, "quality_metrics"),
         "fact_downtime_metrics": silver(spark, params, "downtime_metrics"),
         "fact_production": bronze(spark, params, "production_records"),
-        "fact_inspection": bronze(spark, params, "inspection_results"),
         "material_batches": bronze(spark, params, "material_batches"),
         **dimensions,
     }
+    if inspections:
+        sources["fact_inspection"] = bronze(spark, params, "inspection_results")
     folder = params.serving_path or None
     if folder is None:
         create_namespaces(spark)
@@ -170,7 +182,7 @@ def build_kpis(
         "kpi_material_batch_trends": kpis.kpi_material_batch(
             tables["material_batches"], tables["fact_quality_metrics"],
             high_defect_pct=params.high_defect_pct, window_rows=params.supplier_window_rows,
-            group_rows=params.window_group_rows,
+            group_rows=params.window_group_rows, hot_key_rows=params.hot_key_rows,
         ),
     }
 
@@ -200,6 +212,7 @@ def run_pipeline(
     late_reference: str = INGESTED_AT,
     rules: Iterable[Rule] | None = None,
     infer: bool = False,
+    publish_inspections: bool = False,
 ) -> RunReport:
     """Ingest, build both metric tables, check, publish, and refresh the indicators.
 
@@ -211,7 +224,7 @@ def run_pipeline(
     build_quality(spark, params, late_reference)
     build_downtime(spark, params)
     run.checks = check(spark, params, run.ingested, rules=rules, as_of=as_of)
-    run.published = publish_tables(spark, params, dimensions, as_of)
+    run.published = publish_tables(spark, params, dimensions, as_of, inspections=publish_inspections)
     indicators = refresh_kpis(spark, params, run.published, as_of)
     run.published.update(indicators)
     run.views = list(indicators)

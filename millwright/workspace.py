@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def open_session(app_name: str = "millwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -76,3 +76,10 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{_SCRATCH.get() or run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """`stage`, with the number of rows counted while they are written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return staged, seen.get["rows"]
