@@ -17,7 +17,7 @@ from millwright.params import Params
 from millwright.plans import kpis
 from millwright.plans.bronze import Ingested, ingest
 from millwright.plans.publish import (
-    ANALYTICS, Published, conform, create_namespaces, publish, read_published, register_view,
+    ANALYTICS, Published, conform, create_tables, publish, read_published, register_view,
 )
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.schemas import INGESTED_AT
@@ -160,7 +160,7 @@ def publish_tables(
         sources["fact_inspection"] = bronze(spark, params, "inspection_results")
     folder = params.serving_path or None
     if folder is None:
-        create_namespaces(spark)
+        create_tables(spark)
     return {name: publish(conform(df, name, as_of), name, folder=folder) for name, df in sources.items()}
 
 

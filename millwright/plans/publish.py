@@ -64,6 +64,36 @@ def create_namespaces(spark: SparkSession) -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
+def table_definition(table: str, source: str = "parquet") -> str:
+    """CREATE TABLE for a serving table: types, defaults and comment.
+
+    Keys and NOT NULL are left to `constraint_rules`, since file tables do not
+    enforce them.
+    """
+    spec = SERVING[table]
+    columns = []
+    for column in spec.columns.fields:
+        default = spec.defaults.get(column.name)
+        suffix = f" DEFAULT {_text(default)}" if default is not None else ""
+        columns.append(f"{column.name} {column.dataType.simpleString()}{suffix}")
+    comment = f" COMMENT {_text(spec.comment)}" if spec.comment else ""
+    return (
+        f"CREATE TABLE IF NOT EXISTS {STAGING}.{table.upper()} ({', '.join(columns)}) "
+        f"USING {source}{comment}"
+    )
+
+
+def create_tables(spark: SparkSession, source: str = "parquet") -> None:
+    """Both namespaces and every serving table that does not exist yet."""
+    create_namespaces(spark)
+    for table in SERVING:
+        spark.sql(table_definition(table, source))
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -76,21 +106,23 @@ def publish(
     """Replace a table with `df`, written by the executors, and report the rows.
 
     With `folder` the table is `<folder>/<namespace>/<TABLE>`; otherwise it is
-    `<namespace>.<TABLE>` of the catalog. `source` and `options` select any
-    Spark data source that is installed. Failures are raised.
+    `<namespace>.<TABLE>` of the catalog, where a defined serving table keeps its
+    definition and any other is created or replaced. `source` and `options`
+    select any Spark data source that is installed. Failures are raised.
     """
     name = table.upper()
     loaded = Observation()
-    writer = (
-        df.observe(loaded, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").format(source).options(**(options or {}))
-    )
-    if folder is None:
-        location = f"{namespace}.{name}"
-        writer.saveAsTable(location)
-    else:
+    counted = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.mode("overwrite").format(source).options(**(options or {}))
+    if folder is not None:
         location = f"{folder.rstrip('/')}/{namespace}/{name}"
         writer.save(location)
+    else:
+        location = f"{namespace}.{name}"
+        if namespace == STAGING and table in SERVING and df.sparkSession.catalog.tableExists(location):
+            counted.write.insertInto(location, overwrite=True)
+        else:
+            writer.saveAsTable(location)
     return Published(name, location, loaded.get["rows"])
 
 

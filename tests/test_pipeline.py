@@ -191,10 +191,28 @@ def test_publish_to_the_catalog(spark):
     publish.create_namespaces(spark)
     df = spark.range(3).selectExpr("cast(id as string) batch_id", "id * 2 AS n")
     for expected in (3, 1):
-        published = publish.publish(df.limit(expected), "material_batches")
-        assert (published.location, published.rows) == ("staging.MATERIAL_BATCHES", expected)
+        published = publish.publish(df.limit(expected), "plain_table")
+        assert (published.location, published.rows) == ("staging.PLAIN_TABLE", expected)
         assert publish.read_published(spark, published).count() == expected
-    spark.sql("DROP TABLE staging.material_batches")
+    spark.sql("DROP TABLE staging.plain_table")
+
+
+def test_defined_tables_keep_their_definition(spark):
+    publish.create_tables(spark)
+    publish.create_tables(spark)
+    spark.sql("INSERT INTO staging.dim_machine (machine_id, production_line) VALUES ('0', 'A')")
+    assert spark.table("staging.dim_machine").first()["status"] == "ACTIVE"
+    machines = spark.createDataFrame([(1, "A", "RETIRED"), (2, "B", None)], "machine_id int, production_line string, status string")
+    for _ in range(2):
+        published = publish.publish(publish.conform(machines, "dim_machine"), "dim_machine")
+        stored = publish.read_published(spark, published)
+        assert published.rows == 2
+        assert rows(stored.select("machine_id", "status")) == [("1", "RETIRED"), ("2", "ACTIVE")]
+    described = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED staging.dim_machine").collect()}
+    assert described["Comment"] == SERVING["dim_machine"].comment
+    for table, spec in SERVING.items():
+        defined = spark.table(f"staging.{table}").schema
+        assert [(f.name, f.dataType) for f in defined] == [(f.name, f.dataType) for f in spec.columns]
 
 
 def test_failed_publish_raises(spark, tmp_path):
