@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import reduce
+from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
 import standins
@@ -30,52 +30,78 @@ PLACES = 6
 QUERIES: dict[str, Query] = {}
 
 
-def register(function: Query) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return function(spark, folder)
+class Factory:
+    """The factory tables over one folder, each read once per query."""
 
-    QUERIES[function.__name__] = run
-    return run
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
 
+    def _load(self, table: str) -> DataFrame:
+        return standins.load(self.spark, self.folder, table)
 
-def _ingested() -> Column:
-    # Zone-less like the test tables, so the late filter compares a bare column
-    # with a literal of its own type and reaches the Parquet scan.
-    return F.lit(AS_OF).cast("timestamp_ntz")
+    @cached_property
+    def machine_logs(self) -> DataFrame:
+        return self._load("machine_logs")
 
+    @cached_property
+    def production(self) -> DataFrame:
+        return self._load("production_records")
 
-def _zoneless(df: DataFrame) -> DataFrame:
-    zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
-    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
+    @cached_property
+    def raw_inspections(self) -> DataFrame:
+        return self._load("inspection_results")
 
+    @cached_property
+    def inspections(self) -> DataFrame:
+        # Zone-less like the test tables, so the late filter compares a bare
+        # column with a literal of its own type and reaches the Parquet scan.
+        return rows.stamp(self.raw_inspections, F.lit(AS_OF).cast("timestamp_ntz"))
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, PLACES) for name in columns})
+    @cached_property
+    def materials(self) -> DataFrame:
+        return self._load("material_batches")
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._load("dim_product")
 
-def _production(spark: SparkSession, folder: str) -> DataFrame:
-    return standins.load(spark, folder, "production_records")
+    @cached_property
+    def machines(self) -> DataFrame:
+        return self._load("dim_machine")
 
+    @cached_property
+    def quality(self) -> DataFrame:
+        return silver.quality_metrics(self.inspections, self.production)
 
-def _products(spark: SparkSession, folder: str) -> DataFrame:
-    return standins.load(spark, folder, "dim_product")
+    @cached_property
+    def quality_with_product(self) -> DataFrame:
+        return joins.quality_with_product(self.quality, self.production, self.products)
 
+    @cached_property
+    def inspected_production(self) -> DataFrame:
+        return joins.inspections_with_production(self.inspections, self.production)
 
-def _materials(spark: SparkSession, folder: str) -> DataFrame:
-    return standins.load(spark, folder, "material_batches")
+    @cached_property
+    def downtime(self) -> DataFrame:
+        return silver.downtime_metrics(self.machine_logs)
 
 
-def _machine_logs(spark: SparkSession, folder: str) -> DataFrame:
-    return standins.load(spark, folder, "machine_logs")
+def register(function: Callable[[Factory], DataFrame]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return function(Factory(spark, folder))
 
+    QUERIES[function.__name__] = run
+    return run
 
-def _inspections(spark: SparkSession, folder: str) -> DataFrame:
-    return rows.stamp(standins.load(spark, folder, "inspection_results"), _ingested())
 
+def _zoneless(df: DataFrame) -> DataFrame:
+    zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
-def _quality(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.quality_metrics(_inspections(spark, folder), _production(spark, folder))
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({name: F.round(name, PLACES) for name in columns})
 
 
 def _as_view(df: DataFrame, name: str) -> DataFrame:
@@ -98,24 +124,30 @@ def _as_raw(df: DataFrame, dataset: str) -> DataFrame:
 
 
 @register
-def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    base = run_folder(spark)
-    raw = _as_raw(_production(spark, folder), "production_records")
+def csv_roundtrip(t: Factory) -> DataFrame:
+    base = run_folder(t.spark)
+    raw = _as_raw(t.production, "production_records")
     raw.write.option("header", True).csv(f"{base}/raw/production_records.csv")
     bronze.ingest(
-        spark, f"{base}/raw", f"{base}/bronze", datasets=["production_records"], as_of=AS_OF
+        t.spark, f"{base}/raw", f"{base}/bronze", datasets=["production_records"], as_of=AS_OF
     )
-    return _zoneless(read_parquet(spark, f"{base}/bronze/production_records"))
+    return _zoneless(read_parquet(t.spark, f"{base}/bronze/production_records"))
 
 
 @register
-def bronze_table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    base = run_folder(spark)
+def bronze_table_counts(t: Factory) -> DataFrame:
+    base = run_folder(t.spark)
+    tables = {
+        "machine_logs": t.machine_logs,
+        "production_records": t.production,
+        "inspection_results": t.raw_inspections,
+        "material_batches": t.materials,
+    }
 
     def counted(dataset: str) -> DataFrame:
-        landed = bronze.land(standins.load(spark, folder, dataset), dataset, base, AS_OF)
+        landed = bronze.land(tables[dataset], dataset, base, AS_OF)
         return (
-            read_parquet(spark, landed.path)
+            read_parquet(t.spark, landed.path)
             .agg(F.count(F.lit(1)).alias("rows_in_bronze"))
             .select(
                 F.lit(dataset).alias("dataset"),
@@ -129,187 +161,168 @@ def bronze_table_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register
-def bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    return _zoneless(bronze.bronze_table(_machine_logs(spark, folder), AS_OF))
+def bronze_ingest(t: Factory) -> DataFrame:
+    return _zoneless(bronze.bronze_table(t.machine_logs, AS_OF))
 
 
 @register
-def bronze_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return rows.distinct_rows(_inspections(spark, folder).select("inspection_id", "batch_id"))
+def bronze_dedup(t: Factory) -> DataFrame:
+    return rows.distinct_rows(t.inspections.select("inspection_id", "batch_id"))
 
 
 @register
-def bronze_dedup_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return rows.distinct_stats(_inspections(spark, folder).select("inspection_id", "batch_id"))
+def bronze_dedup_stats(t: Factory) -> DataFrame:
+    return rows.distinct_stats(t.inspections.select("inspection_id", "batch_id"))
 
 
 # --- silver ---------------------------------------------------------------
 
 
-def _inspected_production(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.inspections_with_production(_inspections(spark, folder), _production(spark, folder))
-
-
 @register
-def inspection_delay_hours(spark: SparkSession, folder: str) -> DataFrame:
-    joined = _inspected_production(spark, folder)
-    return rows.with_delay(joined, "inspection_timestamp", F.col("end_time")).select(
+def inspection_delay_hours(t: Factory) -> DataFrame:
+    return rows.with_delay(t.inspected_production, "inspection_timestamp", F.col("end_time")).select(
         "inspection_id", "batch_id", "inspection_timestamp", "end_time", "delay_hours"
     )
 
 
 @register
-def silver_late_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return rows.drop_late(
-        _inspections(spark, folder), "inspection_timestamp", F.col(INGESTED_AT), 24
-    )
+def silver_late_filter(t: Factory) -> DataFrame:
+    return rows.drop_late(t.inspections, "inspection_timestamp", F.col(INGESTED_AT), 24)
 
 
 @register
-def silver_late_filter_end_time(spark: SparkSession, folder: str) -> DataFrame:
+def silver_late_filter_end_time(t: Factory) -> DataFrame:
     return rows.drop_late(
-        _inspected_production(spark, folder), "inspection_timestamp", F.col("end_time"), 24
+        t.inspected_production, "inspection_timestamp", F.col("end_time"), 24
     ).select("inspection_id", "batch_id", "defect_found", "inspection_timestamp", "end_time")
 
 
 @register
-def join_inspection_production(spark: SparkSession, folder: str) -> DataFrame:
-    return _inspected_production(spark, folder)
+def join_inspection_production(t: Factory) -> DataFrame:
+    return t.inspected_production
 
 
 @register
-def silver_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return _quality(spark, folder)
+def silver_quality(t: Factory) -> DataFrame:
+    return t.quality
 
 
 @register
-def silver_quality_end_time(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.quality_metrics(
-        _inspections(spark, folder), _production(spark, folder), late_reference="end_time"
-    )
+def silver_quality_end_time(t: Factory) -> DataFrame:
+    return silver.quality_metrics(t.inspections, t.production, late_reference="end_time")
 
 
 @register
-def downtime_events(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.downtime_events(_machine_logs(spark, folder))
+def downtime_events(t: Factory) -> DataFrame:
+    return silver.downtime_events(t.machine_logs)
 
 
 @register
-def downtime_by_type(spark: SparkSession, folder: str) -> DataFrame:
-    events = silver.downtime_events(_machine_logs(spark, folder))
+def downtime_by_type(t: Factory) -> DataFrame:
+    events = silver.downtime_events(t.machine_logs)
     return metrics.minutes_by_type(events, "machine_id", "shift_id")
 
 
 @register
-def silver_downtime(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.downtime_metrics(_machine_logs(spark, folder))
+def silver_downtime(t: Factory) -> DataFrame:
+    return t.downtime
 
 
 # --- indicators -----------------------------------------------------------
 
 
 @register
-def join_quality_product_left(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.quality_with_product(
-        _quality(spark, folder), _production(spark, folder), _products(spark, folder)
-    )
+def join_quality_product_left(t: Factory) -> DataFrame:
+    return t.quality_with_product
 
 
 @register
-def prod_week(spark: SparkSession, folder: str) -> DataFrame:
-    return _production(spark, folder).select(
+def prod_week(t: Factory) -> DataFrame:
+    return t.production.select(
         "batch_id", "production_date", fn.week_start(F.col("production_date")).alias("prod_week")
     )
 
 
 @register
-def defect_rate_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(
-        metrics.defects_by_category(
-            _quality(spark, folder), _production(spark, folder), _products(spark, folder)
-        ),
-        "daily_defect_rate",
-    )
+def defect_rate_daily(t: Factory) -> DataFrame:
+    daily = metrics.defects_by_category(t.quality, t.production, t.products)
+    return _rounded(daily, "daily_defect_rate")
 
 
-def _defect_rate(spark: SparkSession, folder: str, **options: int) -> DataFrame:
-    return _rounded(
-        kpis.kpi_defect_rate(
-            _quality(spark, folder), _production(spark, folder), _products(spark, folder), **options
-        ),
-        "daily_defect_rate", "rolling_7d_defect_rate",
-    )
+def _defect_rate(t: Factory, **options: int) -> DataFrame:
+    result = kpis.kpi_defect_rate(t.quality, t.production, t.products, **options)
+    return _rounded(result, "daily_defect_rate", "rolling_7d_defect_rate")
 
 
 @register
-def defect_rate_calendar7(spark: SparkSession, folder: str) -> DataFrame:
-    return _defect_rate(spark, folder, calendar_days=7)
+def defect_rate_calendar7(t: Factory) -> DataFrame:
+    return _defect_rate(t, calendar_days=7)
 
 
 @register
-def kpi_defect_rate(spark: SparkSession, folder: str) -> DataFrame:
+def kpi_defect_rate(t: Factory) -> DataFrame:
     name = "kpi_defect_rate"
-    return _as_view(kpis.in_display_order(_defect_rate(spark, folder), name), name)
+    return _as_view(kpis.in_display_order(_defect_rate(t), name), name)
 
 
 @register
-def batch_duration_minutes(spark: SparkSession, folder: str) -> DataFrame:
-    return _production(spark, folder).select(
+def batch_duration_minutes(t: Factory) -> DataFrame:
+    return t.production.select(
         "batch_id",
         fn.boundary_minutes(F.col("start_time"), F.col("end_time")).alias("duration_minutes"),
     )
 
 
 @register
-def throughput_uph(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(metrics.units_per_hour(_production(spark, folder)), "prod_hours", "units_per_hour")
+def throughput_uph(t: Factory) -> DataFrame:
+    return _rounded(metrics.units_per_hour(t.production), "prod_hours", "units_per_hour")
 
 
 @register
-def throughput_rank(spark: SparkSession, folder: str) -> DataFrame:
-    hourly, n_rows = stage_counted(metrics.units_per_hour(_production(spark, folder)))
+def throughput_rank(t: Factory) -> DataFrame:
+    hourly, n_rows = stage_counted(metrics.units_per_hour(t.production))
     ranked = with_rank(hourly, ["production_date"], "units_per_hour", "throughput_rank", rows=n_rows)
     return ranked.select("production_line", "shift_id", "production_date", "throughput_rank")
 
 
 @register
-def kpi_throughput(spark: SparkSession, folder: str) -> DataFrame:
-    result = kpis.kpi_throughput(_production(spark, folder))
+def kpi_throughput(t: Factory) -> DataFrame:
+    result = kpis.kpi_throughput(t.production)
     return _as_view(
         _rounded(result, "units_per_hour", "prev_shift_uph", "pct_change_vs_prev"), "kpi_throughput"
     )
 
 
 @register
-def kpi_downtime(spark: SparkSession, folder: str) -> DataFrame:
-    downtime, n_rows = stage_counted(silver.downtime_metrics(_machine_logs(spark, folder)))
+def kpi_downtime(t: Factory) -> DataFrame:
+    downtime, n_rows = stage_counted(t.downtime)
     return _as_view(kpis.kpi_downtime(downtime, as_of=AS_OF_DATE, rows=n_rows), "kpi_downtime")
 
 
 @register
-def downtime_daily_cumulative(spark: SparkSession, folder: str) -> DataFrame:
-    metric_rows = silver.downtime_metrics(_machine_logs(spark, folder), by_date="event_ts")
+def downtime_daily_cumulative(t: Factory) -> DataFrame:
+    metric_rows = silver.downtime_metrics(t.machine_logs, by_date="event_ts")
     daily, n_rows = stage_counted(metric_rows)
     return kpis.kpi_downtime(daily, rows=n_rows)
 
 
 @register
-def join_material_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.material_with_quality(_materials(spark, folder), _quality(spark, folder))
+def join_material_quality(t: Factory) -> DataFrame:
+    return joins.material_with_quality(t.materials, t.quality)
 
 
 @register
-def high_defect_flag(spark: SparkSession, folder: str) -> DataFrame:
+def high_defect_flag(t: Factory) -> DataFrame:
     flag = fn.is_high_defect(F.col("defect_rate"))
-    return _quality(spark, folder).select(
+    return t.quality.select(
         "production_line", "shift_id", "batch_id", "production_date", "defect_rate",
         flag.alias("is_high_defect_batch"),
     )
 
 
 @register
-def kpi_material_batch(spark: SparkSession, folder: str) -> DataFrame:
-    result = kpis.kpi_material_batch(_materials(spark, folder), _quality(spark, folder))
+def kpi_material_batch(t: Factory) -> DataFrame:
+    result = kpis.kpi_material_batch(t.materials, t.quality)
     name = "kpi_material_batch_trends"
     rounded = _rounded(result, "historical_avg_defect_rate_last_4")
     return _as_view(kpis.in_display_order(rounded, name), name)
@@ -319,42 +332,39 @@ def kpi_material_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register
-def dq_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.duplicate_counts(_inspections(spark, folder), ["inspection_id"])
+def dq_duplicates(t: Factory) -> DataFrame:
+    return checks.duplicate_counts(t.inspections, ["inspection_id"])
 
 
 @register
-def dq_duplicate_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.duplicate_rows(_inspections(spark, folder), ["inspection_id"])
+def dq_duplicate_rows(t: Factory) -> DataFrame:
+    return checks.duplicate_rows(t.inspections, ["inspection_id"])
 
 
 @register
-def dq_nulls(spark: SparkSession, folder: str) -> DataFrame:
-    joined = joins.quality_with_product(
-        _quality(spark, folder), _production(spark, folder), _products(spark, folder)
-    )
-    shares = checks.null_shares(joined, ["batch_id", "product_id", "product_category", "defect_rate"], 0.05)
+def dq_nulls(t: Factory) -> DataFrame:
+    columns = ["batch_id", "product_id", "product_category", "defect_rate"]
+    shares = checks.null_shares(t.quality_with_product, columns, 0.05)
     return _rounded(shares, "null_pct")
 
 
 @register
-def dq_late_events(spark: SparkSession, folder: str) -> DataFrame:
-    joined = _inspected_production(spark, folder)
-    return checks.late_events(joined, "inspection_timestamp", "end_time", 24)
+def dq_late_events(t: Factory) -> DataFrame:
+    return checks.late_events(t.inspected_production, "inspection_timestamp", "end_time", 24)
 
 
 @register
-def dq_row_count_deviation(spark: SparkSession, folder: str) -> DataFrame:
-    result = checks.row_count_deviation(_production(spark, folder), "production_date", 0.2)
+def dq_row_count_deviation(t: Factory) -> DataFrame:
+    result = checks.row_count_deviation(t.production, "production_date", 0.2)
     return _rounded(result, "historical_avg", "deviation")
 
 
 @register
-def dq_report(spark: SparkSession, folder: str) -> DataFrame:
+def dq_report(t: Factory) -> DataFrame:
     tables = {
-        "inspection_results": _inspections(spark, folder),
-        "production_records": _production(spark, folder),
-        "quality_metrics": _quality(spark, folder),
+        "inspection_results": t.inspections,
+        "production_records": t.production,
+        "quality_metrics": t.quality,
     }
     rules = [
         checks.UniqueKeys("inspection_results", ("inspection_id",)),
@@ -370,36 +380,34 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
 # --- serving --------------------------------------------------------------
 
 
-def _published(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+def _published(t: Factory, df: DataFrame, table: str) -> DataFrame:
     conformed = publish.conform(df, table, AS_OF)
-    published = publish.publish(conformed, table, folder=run_folder(spark))
-    return _zoneless(publish.read_published(spark, published))
+    published = publish.publish(conformed, table, folder=run_folder(t.spark))
+    return _zoneless(publish.read_published(t.spark, published))
 
 
 @register
-def publish_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return _published(spark, _quality(spark, folder), "fact_quality_metrics")
+def publish_quality(t: Factory) -> DataFrame:
+    return _published(t, t.quality, "fact_quality_metrics")
 
 
 @register
-def publish_downtime(spark: SparkSession, folder: str) -> DataFrame:
-    return _published(
-        spark, silver.downtime_metrics(_machine_logs(spark, folder)), "fact_downtime_metrics"
-    )
+def publish_downtime(t: Factory) -> DataFrame:
+    return _published(t, t.downtime, "fact_downtime_metrics")
 
 
 @register
-def publish_inspection(spark: SparkSession, folder: str) -> DataFrame:
-    return _published(spark, _inspections(spark, folder), "fact_inspection")
+def publish_inspection(t: Factory) -> DataFrame:
+    return _published(t, t.inspections, "fact_inspection")
 
 
 @register
-def schema_conformance(spark: SparkSession, folder: str) -> DataFrame:
+def schema_conformance(t: Factory) -> DataFrame:
     sources = {
-        "dim_machine": standins.load(spark, folder, "dim_machine"),
-        "dim_product": _products(spark, folder),
-        "fact_production": _production(spark, folder),
-        "fact_inspection": _inspections(spark, folder),
+        "dim_machine": t.machines,
+        "dim_product": t.products,
+        "fact_production": t.production,
+        "fact_inspection": t.inspections,
     }
     tables = {name: publish.conform(df, name, AS_OF) for name, df in sources.items()}
     rules = [rule for name in tables for rule in publish.constraint_rules(name)]
@@ -407,5 +415,5 @@ def schema_conformance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register
-def dim_machine_defaults(spark: SparkSession, folder: str) -> DataFrame:
-    return publish.conform(standins.load(spark, folder, "dim_machine"), "dim_machine")
+def dim_machine_defaults(t: Factory) -> DataFrame:
+    return publish.conform(t.machines, "dim_machine")
