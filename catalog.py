@@ -13,7 +13,8 @@ import standins
 from millwright import functions as fn
 from millwright.operators import checks, joins, metrics, rows
 from millwright.operators.frames import with_rank
-from millwright.plans import bronze, kpis, publish, silver
+from millwright.params import Params
+from millwright.plans import bronze, kpis, pipeline, publish, silver
 from millwright.schemas import INGESTED_AT, RAW
 from millwright.sources import read_parquet
 from millwright.workspace import run_folder, stage_counted
@@ -51,6 +52,15 @@ class Factory:
     def raw_inspections(self) -> DataFrame:
         return self._load("inspection_results")
 
+    @property
+    def raw_tables(self) -> dict[str, DataFrame]:
+        return {
+            "machine_logs": self.machine_logs,
+            "production_records": self.production,
+            "inspection_results": self.raw_inspections,
+            "material_batches": self.materials,
+        }
+
     @cached_property
     def inspections(self) -> DataFrame:
         # Zone-less like the test tables, so the late filter compares a bare
@@ -109,6 +119,10 @@ def _as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def _counted(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+
+
 # --- bronze ---------------------------------------------------------------
 
 
@@ -123,11 +137,14 @@ def _as_raw(df: DataFrame, dataset: str) -> DataFrame:
     return df.select(*chosen)
 
 
+def _write_raw(df: DataFrame, dataset: str, folder: str) -> None:
+    _as_raw(df, dataset).write.option("header", True).csv(f"{folder}/{dataset}.csv")
+
+
 @register
 def csv_roundtrip(t: Factory) -> DataFrame:
     base = run_folder(t.spark)
-    raw = _as_raw(t.production, "production_records")
-    raw.write.option("header", True).csv(f"{base}/raw/production_records.csv")
+    _write_raw(t.production, "production_records", f"{base}/raw")
     bronze.ingest(
         t.spark, f"{base}/raw", f"{base}/bronze", datasets=["production_records"], as_of=AS_OF
     )
@@ -137,12 +154,7 @@ def csv_roundtrip(t: Factory) -> DataFrame:
 @register
 def bronze_table_counts(t: Factory) -> DataFrame:
     base = run_folder(t.spark)
-    tables = {
-        "machine_logs": t.machine_logs,
-        "production_records": t.production,
-        "inspection_results": t.raw_inspections,
-        "material_batches": t.materials,
-    }
+    tables = t.raw_tables
 
     def counted(dataset: str) -> DataFrame:
         landed = bronze.land(tables[dataset], dataset, base, AS_OF)
@@ -417,3 +429,39 @@ def schema_conformance(t: Factory) -> DataFrame:
 @register
 def dim_machine_defaults(t: Factory) -> DataFrame:
     return publish.conform(t.machines, "dim_machine")
+
+
+# --- the whole day --------------------------------------------------------
+
+
+def _whole_day(t: Factory) -> pipeline.RunReport:
+    """CSV files of all four tables, through every step, to the published indicators."""
+    base = run_folder(t.spark)
+    for dataset, df in t.raw_tables.items():
+        _write_raw(df, dataset, f"{base}/raw")
+    params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/serving")
+    return pipeline.run_pipeline(t.spark, params, {"dim_product": t.products}, as_of=AS_OF)
+
+
+@register
+def end_to_end(t: Factory) -> DataFrame:
+    _whole_day(t)
+    return _rounded(
+        t.spark.table("kpi_defect_rate"), "daily_defect_rate", "rolling_7d_defect_rate"
+    )
+
+
+@register
+def end_to_end_tables(t: Factory) -> DataFrame:
+    published = _whole_day(t).published
+    counts = [_counted(publish.read_published(t.spark, p), name) for name, p in published.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    """Land, build the quality metrics, and compute the defect-rate indicator."""
+    t = Factory(spark, folder)
+    landed = {name: bronze.bronze_table(df, AS_OF) for name, df in t.raw_tables.items()}
+    metrics_table = silver.quality_metrics(landed["inspection_results"], landed["production_records"])
+    result = kpis.kpi_defect_rate(metrics_table, landed["production_records"], t.products)
+    return kpis.in_display_order(result, "kpi_defect_rate")

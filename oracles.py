@@ -135,6 +135,15 @@ deviations AS (
 )
 """
 
+# The landed tables: full-row copies removed.
+_LANDED = f"""
+logs AS (SELECT DISTINCT * FROM ({_LOGS}) r),
+production AS (SELECT DISTINCT * FROM ({_PRODUCTION}) r),
+inspections AS (SELECT DISTINCT * FROM ({_INSPECTIONS}) r),
+materials AS (SELECT DISTINCT * FROM ({_MATERIALS}) r),
+products AS ({_PRODUCTS})
+"""
+
 
 def _with(*parts: str) -> str:
     return "WITH " + ",".join((_TABLES, *parts))
@@ -336,4 +345,21 @@ FROM inspections""",
 SELECT CAST(machine_id AS VARCHAR) AS machine_id, production_line, model,
        CAST(NULL AS DATE) AS installation_date, COALESCE(status, 'ACTIVE') AS status
 FROM machines""",
+    "end_to_end": "WITH " + ",".join((_LANDED, _QUALITY_DEFAULT, _DAILY)) + f"""
+SELECT {_DAILY_COLUMNS},
+       ROUND(AVG(rate) OVER (PARTITION BY production_line, shift_id, product_category
+                             ORDER BY production_date NULLS LAST
+                             ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling_7d_defect_rate
+FROM daily""",
+    "end_to_end_tables": "WITH " + ",".join(
+        (_LANDED, _QUALITY_DEFAULT, _downtime(), _DAILY, _HOURLY, _BATCHES)
+    ) + _UNION.join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows FROM {table}"
+        for name, table in {
+            "fact_quality_metrics": "quality", "fact_downtime_metrics": "downtime",
+            "fact_production": "production", "material_batches": "materials",
+            "dim_product": "products", "kpi_defect_rate": "daily", "kpi_throughput": "hourly",
+            "kpi_downtime": "downtime", "kpi_material_batch_trends": "batches",
+        }.items()
+    ),
 }
