@@ -52,13 +52,15 @@ class LateEvents:
 class RowCountDeviation:
     """The latest period's row count may not stray from the mean of the periods before it.
 
-    With `counts` the table holds one row per period and its count in that column.
+    With `counts` the table holds one row per period and its count in that column;
+    with `series` it holds several such histories, told apart by that column.
     """
 
     table: str
     period: str
     tolerance: float = 0.2
     counts: str | None = None
+    series: str | None = None
 
 
 Rule = UniqueKeys | NullShare | LateEvents | RowCountDeviation
@@ -131,27 +133,34 @@ def late_events(df: DataFrame, event: str, reference: str, max_hours: float = 24
 
 
 def row_count_deviation(
-    df: DataFrame, period: str, tolerance: float = 0.2, *, counts: str | None = None
+    df: DataFrame,
+    period: str,
+    tolerance: float = 0.2,
+    *,
+    counts: str | None = None,
+    series: str | None = None,
 ) -> DataFrame:
     """Rows per period against the mean of all periods before it.
 
     `counts` names a column that already holds the rows of a period, one row per
-    period. The first period has no history and passes, as does a history of 0.
-    The running sums see one row per period: the calendar bounds a DATE, and for
-    other types `total_before` measures how many there are.
+    period; `series` a column that tells several histories apart. The first
+    period has no history and passes, as does a history of 0. The running sums
+    see one row per period: the calendar bounds a DATE, and for other types
+    `total_before` measures how many there are.
     """
+    group = [series] if series else []
     if counts is None:
-        per_period = df.groupBy(period).agg(F.count(F.lit(1)).alias("n_rows"))
+        per_period = df.groupBy(*group, period).agg(F.count(F.lit(1)).alias("n_rows"))
     else:
-        per_period = df.select(period, F.col(counts).cast("bigint").alias("n_rows"))
+        per_period = df.select(*group, period, F.col(counts).cast("bigint").alias("n_rows"))
     per_period = per_period.withColumn("_one", F.lit(1))
     earlier = [F.col(period).asc_nulls_first()]
     if isinstance(df.schema[period].dataType, DateType):
-        before = Window.orderBy(*earlier).rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy(*group).orderBy(*earlier).rowsBetween(Window.unboundedPreceding, -1)
         summed = per_period.withColumns({"_sum": F.sum("n_rows").over(before), "_n": F.sum("_one").over(before)})
     else:
         stored, periods = stage_counted(per_period)
-        summed = total_before(stored, [], earlier, {"_sum": "n_rows", "_n": "_one"}, rows=periods)
+        summed = total_before(stored, group, earlier, {"_sum": "n_rows", "_n": "_one"}, rows=periods)
     deviation = F.abs(F.try_divide(F.col("n_rows") - F.col("historical_avg"), F.col("historical_avg")))
     return (
         summed.withColumn("historical_avg", F.try_divide(F.col("_sum"), F.col("_n")))
@@ -217,10 +226,14 @@ def run_checks(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFr
                         F.col("duplicate_rows"), rule.tolerance)
             )
         elif isinstance(rule, RowCountDeviation):
-            periods = row_count_deviation(df, rule.period, rule.tolerance, counts=rule.counts)
-            latest = periods.agg(F.max_by("deviation", rule.period).alias("deviation"))
+            periods = row_count_deviation(
+                df, rule.period, rule.tolerance, counts=rule.counts, series=rule.series
+            )
+            group = [rule.series] if rule.series else []
+            latest = periods.groupBy(*group).agg(F.max_by("deviation", rule.period).alias("deviation"))
+            target = F.col(rule.series).cast("string") if rule.series else rule.period
             reports.append(
-                _report(latest, "row_count_deviation", rule.table, rule.period,
+                _report(latest, "row_count_deviation", rule.table, target,
                         F.col("deviation"), rule.tolerance)
             )
         else:

@@ -124,11 +124,13 @@ def check(
     rules = list(default_rules(params) if rules is None else rules)
     current = spark.createDataFrame([(i.dataset, run_at, i.rows_kept) for i in ingested], _HISTORY_SCHEMA)
     history, path = _history(spark, params)
-    earlier = history.where(F.col("run_at") < F.lit(run_at))
-    for i in ingested:
-        table = f"{_HISTORY}.{i.dataset}"
-        tables[table] = earlier.unionByName(current).where(F.col("dataset") == i.dataset)
-        rules.append(RowCountDeviation(table, "run_at", params.row_count_variance_pct, counts="n_rows"))
+    if ingested:
+        datasets = [i.dataset for i in ingested]
+        earlier = history.where((F.col("run_at") < F.lit(run_at)) & F.col("dataset").isin(datasets))
+        tables[_HISTORY] = earlier.unionByName(current)
+        rules.append(RowCountDeviation(
+            _HISTORY, "run_at", params.row_count_variance_pct, counts="n_rows", series="dataset"
+        ))
     with scratch(spark):
         report = gate(tables, rules)
     if ingested and history.where(F.col("run_at") == F.lit(run_at)).isEmpty():

@@ -73,6 +73,21 @@ def test_row_count_deviation_of_given_counts(spark):
     ]
 
 
+def test_row_count_deviation_of_several_series(spark):
+    df = spark.createDataFrame(
+        [(name, date(2024, 1, day), n) for name, ns in {"a": [10, 12], "b": [10, 13], "c": [5]}.items() for day, n in enumerate(ns, 1)],
+        "name string, day date, n int",
+    )
+    for period in ("day", "cast(day as timestamp)"):
+        by_period = df.selectExpr("name", f"{period} AS day", "n")
+        rule = checks.RowCountDeviation("t", "day", counts="n", series="name")
+        assert rows(checks.run_checks({"t": by_period}, [rule])) == [
+            ("row_count_deviation", "t", "a", 0.2, 0.2, True),
+            ("row_count_deviation", "t", "b", 0.3, 0.2, False),
+            ("row_count_deviation", "t", "c", None, 0.2, True),
+        ]
+
+
 def test_report(spark):
     tables = {
         "t": table(spark, ("a", None, 1.0), ("a", 1, 1.0)),
