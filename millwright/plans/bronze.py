@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
@@ -12,6 +13,7 @@ from pyspark.sql.types import StructType
 from millwright.operators.rows import distinct_rows, distinct_rows_counted, stamp
 from millwright.schemas import RAW
 from millwright.sources import read_csv, write_parquet
+from millwright.workspace import concurrently
 
 
 @dataclass(frozen=True)
@@ -48,11 +50,11 @@ def ingest(
     infer: bool = False,
     as_of: datetime | None = None,
 ) -> list[Ingested]:
-    """Land `<raw_path>/<dataset>.csv` for every dataset; the first failure is raised."""
-    return [
-        land(
-            read_csv(spark, f"{raw_path}/{name}.csv", schemas.get(name), infer=infer),
-            name, bronze_path, as_of,
-        )
-        for name in (schemas if datasets is None else datasets)
-    ]
+    """Land `<raw_path>/<dataset>.csv` for every dataset, side by side; a failure is raised."""
+
+    def job(name: str) -> Ingested:
+        raw = read_csv(spark, f"{raw_path}/{name}.csv", schemas.get(name), infer=infer)
+        return land(raw, name, bronze_path, as_of)
+
+    names = list(schemas if datasets is None else datasets)
+    return concurrently(spark, [partial(job, name) for name in names])

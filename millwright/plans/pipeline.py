@@ -1,14 +1,16 @@
 """The whole day: raw files to indicators, with checks in front of the serving tables.
 
 Each step reads what the step before it wrote, so a step can be run again on
-its own: ingest, quality and downtime, check, publish, indicators.
+its own: ingest, quality and downtime, check, publish, indicators. Independent
+jobs of a step run side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -22,7 +24,7 @@ from millwright.plans.publish import (
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.schemas import INGESTED_AT
 from millwright.sources import read_parquet, write_parquet
-from millwright.workspace import scratch
+from millwright.workspace import concurrently, scratch
 
 _HISTORY = "row_count_history"
 _HISTORY_SCHEMA = "dataset string, run_at timestamp, n_rows bigint"
@@ -163,28 +165,32 @@ def publish_tables(
     folder = params.serving_path or None
     if folder is None:
         create_tables(spark)
-    return {name: publish(conform(df, name, as_of), name, folder=folder) for name, df in sources.items()}
+    jobs = [
+        partial(publish, conform(df, name, as_of), name, folder=folder) for name, df in sources.items()
+    ]
+    return dict(zip(sources, concurrently(spark, jobs)))
 
 
-def build_kpis(
+def kpi_jobs(
     tables: Mapping[str, DataFrame], params: Params, as_of: datetime | None = None
-) -> dict[str, DataFrame]:
+) -> dict[str, Callable[[], DataFrame]]:
+    """How to build each indicator from the serving tables."""
+    limits = {"group_rows": params.window_group_rows}
     return {
-        "kpi_defect_rate": kpis.kpi_defect_rate(
+        "kpi_defect_rate": partial(
+            kpis.kpi_defect_rate,
             tables["fact_quality_metrics"], tables["fact_production"], tables["dim_product"],
             window_rows=params.defect_window_rows,
         ),
-        "kpi_throughput": kpis.kpi_throughput(
-            tables["fact_production"], group_rows=params.window_group_rows
+        "kpi_throughput": partial(kpis.kpi_throughput, tables["fact_production"], **limits),
+        "kpi_downtime": partial(
+            kpis.kpi_downtime, tables["fact_downtime_metrics"],
+            as_of=as_of.date() if as_of else None, window_rows=params.downtime_window_rows, **limits,
         ),
-        "kpi_downtime": kpis.kpi_downtime(
-            tables["fact_downtime_metrics"], as_of=as_of.date() if as_of else None,
-            window_rows=params.downtime_window_rows, group_rows=params.window_group_rows,
-        ),
-        "kpi_material_batch_trends": kpis.kpi_material_batch(
-            tables["material_batches"], tables["fact_quality_metrics"],
+        "kpi_material_batch_trends": partial(
+            kpis.kpi_material_batch, tables["material_batches"], tables["fact_quality_metrics"],
             high_defect_pct=params.high_defect_pct, window_rows=params.supplier_window_rows,
-            group_rows=params.window_group_rows, hot_key_rows=params.hot_key_rows,
+            hot_key_rows=params.hot_key_rows, **limits,
         ),
     }
 
@@ -197,11 +203,15 @@ def refresh_kpis(
 ) -> dict[str, Published]:
     """Indicators as tables of the analytics namespace, each with a view of its name on top."""
     tables = {name: read_published(spark, p) for name, p in published.items()}
-    stored = {}
+    builders = kpi_jobs(tables, params, as_of)
+
+    def store(name: str) -> Published:
+        return publish(builders[name](), name, folder=params.serving_path or None, namespace=ANALYTICS)
+
     with scratch(spark):
-        for name, df in build_kpis(tables, params, as_of).items():
-            stored[name] = publish(df, name, folder=params.serving_path or None, namespace=ANALYTICS)
-            register_view(kpis.in_display_order(read_published(spark, stored[name]), name), name)
+        stored = dict(zip(builders, concurrently(spark, [partial(store, name) for name in builders])))
+    for name, table in stored.items():
+        register_view(kpis.in_display_order(read_published(spark, table), name), name)
     return stored
 
 
@@ -223,8 +233,10 @@ def run_pipeline(
     """
     run = RunReport()
     run.ingested = ingest(spark, params.raw_path, params.bronze_path, infer=infer, as_of=as_of)
-    build_quality(spark, params, late_reference)
-    build_downtime(spark, params)
+    concurrently(spark, [
+        partial(build_quality, spark, params, late_reference),
+        partial(build_downtime, spark, params),
+    ])
     run.checks = check(spark, params, run.ingested, rules=rules, as_of=as_of)
     run.published = publish_tables(spark, params, dimensions, as_of, inspections=publish_inspections)
     indicators = refresh_kpis(spark, params, run.published, as_of)

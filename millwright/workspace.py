@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
@@ -83,3 +86,20 @@ def stage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     seen = Observation()
     staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     return staged, seen.get["rows"]
+
+
+_Result = TypeVar("_Result")
+
+
+def concurrently(spark: SparkSession, jobs: Sequence[Callable[[], _Result]]) -> list[_Result]:
+    """Run independent jobs side by side, so that one job's last tasks do not idle the cluster.
+
+    Results come in the order of the jobs. All jobs end before a failure is raised.
+    """
+    def start(job: Callable[[], _Result]) -> Callable[[], _Result]:
+        context = copy_context()
+        return inheritable_thread_target(spark)(lambda: context.run(job))
+
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = [pool.submit(start(job)) for job in jobs]
+    return [job.result() for job in running]

@@ -14,7 +14,7 @@ from millwright.params import Params
 from millwright.plans import bronze, pipeline, publish
 from millwright.schemas import BRONZE, RAW, SERVING, SILVER
 from millwright.sources import read_csv
-from millwright.workspace import run_folder, scratch, shared_folder, stage
+from millwright.workspace import concurrently, run_folder, scratch, shared_folder, stage
 
 AS_OF = datetime(2000, 1, 1)
 
@@ -101,10 +101,10 @@ def test_small_chunks_give_the_same(spark, params, run):
     tables = {
         name: publish.read_published(spark, p) for name, p in run.published.items() if not name.startswith("kpi")
     }
-    chunked = pipeline.build_kpis(tables, replace(params, window_group_rows=20, hot_key_rows=2), AS_OF)
-    for name, df in chunked.items():
+    chunked = pipeline.kpi_jobs(tables, replace(params, window_group_rows=20, hot_key_rows=2), AS_OF)
+    for name, build in chunked.items():
         stored = publish.read_published(spark, run.published[name])
-        assert rows(df.select(stored.columns)) == rows(stored)
+        assert rows(build().select(stored.columns)) == rows(stored)
 
 
 def test_gate_stops_before_publishing(spark, params, dimensions, tmp_path):
@@ -271,6 +271,23 @@ def test_scratch_is_removed(spark):
     assert not os.path.exists(folder.removeprefix("file:"))
 
 
+def test_jobs_side_by_side(spark):
+    done = []
+
+    def fail():
+        raise ValueError("second")
+
+    with scratch(spark) as folder:
+        frames = concurrently(spark, [lambda n=n: stage(spark.range(n)) for n in (3, 5)])
+        assert [df.count() for df in frames] == [3, 5]
+        paths = [path for df in frames for path in df.inputFiles()]
+        assert paths and all(folder.removeprefix("file:") in path for path in paths)
+    with pytest.raises(ValueError, match="second"):
+        concurrently(spark, [lambda: done.append(1), fail, lambda: done.append(3)])
+    assert sorted(done) == [1, 3]
+    assert concurrently(spark, []) == []
+
+
 def test_no_temporary_folder_on_a_cluster():
     from types import SimpleNamespace
 
