@@ -65,13 +65,21 @@ def _by_inspection(
 def _by_production_time(
     inspections: DataFrame, production: DataFrame, reference: str, max_hours: float, hot_key_rows: int
 ) -> DataFrame:
-    """The limit depends on the batch, so single inspections meet their batch first."""
+    """The limit depends on the batch, so single inspections meet their batch first.
+
+    Of the inspection id only whether there is one matters, so a flag is
+    shuffled in its place; its hash spreads hot batches and is pruned otherwise.
+    """
     copies = F.col(WEIGHT)
     joined = salted_join(
-        inspections.select("batch_id", "inspection_id", "defect_found", "inspection_timestamp"),
+        inspections.select(
+            "batch_id", "defect_found", "inspection_timestamp",
+            F.col("inspection_id").isNotNull().cast("int").alias("_inspected"),
+            F.xxhash64("inspection_id", "inspection_timestamp").alias("_spread"),
+        ),
         weights(production, *_GRAIN, reference),
         "batch_id",
-        ["inspection_id", "inspection_timestamp"],
+        ["_spread"],
         hot_key_rows=hot_key_rows,
     )
     return (
@@ -79,7 +87,7 @@ def _by_production_time(
         .groupBy(*_GRAIN)
         .agg(
             F.sum(F.col("defect_found") * copies).alias("defect_count"),
-            F.sum(F.when(F.col("inspection_id").isNotNull(), copies).otherwise(F.lit(0))).alias("total_inspected"),
+            F.sum(F.col("_inspected") * copies).alias("total_inspected"),
         )
     )
 

@@ -55,3 +55,19 @@ def test_quality_shuffles_counted_rows_and_reuses_the_batch_partitioning(spark,
 def test_one_window_per_specification(spark, testdata):
     assert plan(spark, testdata, "kpi_throughput").count("Window [") == 2
     assert plan(spark, testdata, "kpi_material_batch").count("Window [") == 1
+
+
+def test_inspection_ids_are_not_shuffled(spark, tmp_path, shuffled):
+    from millwright.plans import silver
+    from millwright.schemas import BRONZE
+
+    tables = {}
+    for name in ("inspection_results", "production_records"):
+        spark.createDataFrame([], BRONZE[name]).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    for reference in ("ingestion_timestamp", "end_time"):
+        df = silver.quality_metrics(*tables.values(), late_reference=reference)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        shuffles = [line for line in text.splitlines() if "Exchange" in line or "Sort " in line]
+        assert shuffles and not any("inspection_id" in line for line in shuffles)
+        assert "xxhash64" not in text
