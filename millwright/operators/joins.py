@@ -21,6 +21,8 @@ WEIGHT = "_weight"
 
 # A key above this many rows is spread over several tasks.
 HOT_KEY_ROWS = 2_000_000
+# Rows to see of a key at that limit when looking for hot keys.
+SAMPLE_PER_KEY = 50
 # The list of hot keys is broadcast up to this many entries, else joined by shuffle.
 BROADCAST_KEYS = 100_000
 
@@ -42,19 +44,25 @@ def salted_join(
 ) -> DataFrame:
     """Inner join on `key` where some keys of `many` may hold very many rows.
 
-    Unless `many` is small, its keys are counted first (one column, partially
-    aggregated). Keys above `hot_key_rows` are split into numbered shares by a
-    hash of `spread_by`, and the matching rows of `one` are repeated once per
-    share. Without hot keys this is a plain join. `many` should be a stored
-    table or a projection of one, since it is read for the counts too.
+    Unless `many` is small, a sample of its keys shows which are hot. Keys above
+    `hot_key_rows` are split into numbered shares by a hash of `spread_by`, and
+    the matching rows of `one` are repeated once per share. Without hot keys this
+    is a plain join. The sample decides only how rows are spread; the result is
+    the join of all rows either way. `many` should be a stored table or a
+    projection of one, since it is read for the sample too.
     """
     if many.count() <= hot_key_rows:
         return many.join(one, key, "inner")
+    fraction = min(1.0, SAMPLE_PER_KEY / hot_key_rows)
+    estimate = F.col("count") / F.lit(fraction)
     hot, n_hot = stage_counted(
-        many.groupBy(key)
+        many.select(key)
+        .where(F.col(key).isNotNull())
+        .sample(fraction, seed=1)
+        .groupBy(key)
         .count()
-        .where((F.col("count") > hot_key_rows) & F.col(key).isNotNull())
-        .select(key, F.ceil(F.col("count") / F.lit(hot_key_rows)).cast("int").alias(_SALTS))
+        .where(estimate > hot_key_rows)
+        .select(key, F.ceil(estimate / F.lit(hot_key_rows)).cast("int").alias(_SALTS))
     )
     if n_hot == 0:
         return many.join(one, key, "inner")

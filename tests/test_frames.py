@@ -85,6 +85,20 @@ def test_salted_join(spark, hot):
     assert rows(got) == rows(wanted)
 
 
+def test_hot_keys_are_found_and_spread(spark, monkeypatch):
+    from millwright.operators import joins
+
+    many = stage(spark.range(60_000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id"))
+    one = spark.range(60_000).withColumnRenamed("id", "k")
+    found = []
+    original = joins.stage_counted
+    monkeypatch.setattr(joins, "stage_counted", lambda df: found.append(original(df)) or found[-1])
+    got = salted_join(many, one, "k", ["id"], hot_key_rows=2_000)
+    (hot, n_hot), = found
+    assert n_hot == 1 and hot.first()["k"] == 7 and 8 <= hot.first()["_salts"] <= 12
+    assert got.count() == 60_000 and got.where("k = 7").count() == 20_001
+
+
 def test_salted_join_without_broadcast(spark, monkeypatch):
     from millwright.operators import joins
 
