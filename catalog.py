@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +22,7 @@ from millwright.workspace import run_folder, stage_counted
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Clocks are fixed so that results repeat.
-AS_OF = datetime(2000, 1, 1)
+AS_OF = datetime(2000, 1, 1, tzinfo=timezone.utc)
 AS_OF_DATE = date(2000, 1, 1)
 
 # Means over a frame may be summed in another order elsewhere; compare 6 places.

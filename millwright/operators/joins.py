@@ -34,29 +34,32 @@ def weights(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
 
 
-def salted_join(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    spread_by: list[str],
-    *,
-    hot_key_rows: int = HOT_KEY_ROWS,
+def weights_if_hot(
+    df: DataFrame, key: str, *columns: str, hot_key_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:
-    """Inner join on `key` where some keys of `many` may hold very many rows.
+    """`weights` if some key holds very many rows, else the rows themselves with weight 1.
 
-    Unless `many` is small, a sample of its keys shows which are hot. Keys above
-    `hot_key_rows` are split into numbered shares by a hash of `spread_by`, and
-    the matching rows of `one` are repeated once per share. Without hot keys this
-    is a plain join. The sample decides only how rows are spread; the result is
-    the join of all rows either way. `many` should be a stored table or a
-    projection of one, since it is read for the sample too.
+    For a side whose key is nearly unique, combining would only add a shuffle.
+    The other side of the join must have one row per key.
     """
-    if many.count() <= hot_key_rows:
-        return many.join(one, key, "inner")
+    if hot_keys(df, key, hot_key_rows) is None:
+        return df.select(*columns).withColumn(WEIGHT, F.lit(1))
+    return weights(df, *columns)
+
+
+def hot_keys(df: DataFrame, key: str, hot_key_rows: int) -> tuple[DataFrame, int] | None:
+    """Keys with more than about `hot_key_rows` rows, with a number of shares each, and their count.
+
+    Estimated from a sample of the key column, so nothing but the sample is
+    shuffled. It may steer how rows are spread, never which rows there are.
+    `df` should be a stored table or a projection of one, since it is read again.
+    """
+    if df.count() <= hot_key_rows:
+        return None
     fraction = min(1.0, SAMPLE_PER_KEY / hot_key_rows)
     estimate = F.col("count") / F.lit(fraction)
-    hot, n_hot = stage_counted(
-        many.select(key)
+    found, n_found = stage_counted(
+        df.select(key)
         .where(F.col(key).isNotNull())
         .sample(fraction, seed=1)
         .groupBy(key)
@@ -64,8 +67,27 @@ def salted_join(
         .where(estimate > hot_key_rows)
         .select(key, F.ceil(estimate / F.lit(hot_key_rows)).cast("int").alias(_SALTS))
     )
-    if n_hot == 0:
+    return (found, n_found) if n_found else None
+
+
+def salted_join(
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    spread_by: list[str],
+    *,
+    hot_key_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """Inner join on `key` where some keys of `many` may hold very many rows.
+
+    Rows of hot keys are split into numbered shares by a hash of `spread_by`, and
+    the matching rows of `one` are repeated once per share. Without hot keys this
+    is a plain join.
+    """
+    found = hot_keys(many, key, hot_key_rows)
+    if found is None:
         return many.join(one, key, "inner")
+    hot, n_hot = found
     if n_hot <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
     salts = F.coalesce(F.col(_SALTS), F.lit(1))

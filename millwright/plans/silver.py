@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.functions import availability_pct, defect_rate
-from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, salted_join, weights
+from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, salted_join, weights, weights_if_hot
 from millwright.operators.metrics import DOWNTIME_COLUMNS, minutes_by_type
 from millwright.operators.rows import drop_late, of_types
 from millwright.schemas import INGESTED_AT
@@ -30,20 +30,24 @@ def quality_metrics(
     if isinstance(late_reference, str) and late_reference not in inspections.columns:
         summed = _by_production_time(inspections, production, late_reference, max_late_hours, hot_key_rows)
     else:
-        summed = _by_inspection(inspections, production, late_reference, max_late_hours)
+        summed = _by_inspection(inspections, production, late_reference, max_late_hours, hot_key_rows)
     rate = defect_rate(F.col("defect_count"), F.col("total_inspected"))
     return summed.withColumn("defect_rate", rate).fillna({"defect_rate": 0.0})
 
 
 def _by_inspection(
-    inspections: DataFrame, production: DataFrame, reference: str | Column, max_hours: float
+    inspections: DataFrame,
+    production: DataFrame,
+    reference: str | Column,
+    max_hours: float,
+    hot_key_rows: int,
 ) -> DataFrame:
-    """Both sides shrink to counted combinations before they meet.
+    """Inspections shrink to one row per batch before they meet production.
 
-    Inspections become one row per batch and production one row per batch,
-    line, shift and day, so neither a batch with a third of all inspections nor
-    repeated production rows make a large task or a large product of rows. The
-    join output stays partitioned by batch, which the last grouping needs.
+    A batch with a third of all inspections is summed inside the scan tasks, and
+    a batch with very many production rows is combined first as well, so neither
+    makes a large task. The join output stays partitioned by batch, which the
+    last grouping needs: one shuffle per side.
     """
     reference = F.col(reference) if isinstance(reference, str) else reference
     per_batch = (
@@ -51,9 +55,10 @@ def _by_inspection(
         .groupBy("batch_id")
         .agg(F.sum("defect_found").alias("_defects"), F.count("inspection_id").alias("_inspected"))
     )
+    made = weights_if_hot(production, "batch_id", *_GRAIN, hot_key_rows=hot_key_rows)
     copies = F.col(WEIGHT)
     return (
-        per_batch.join(weights(production, *_GRAIN), "batch_id", "inner")
+        per_batch.join(made, "batch_id", "inner")
         .groupBy(*_GRAIN)
         .agg(
             F.sum(F.col("_defects") * copies).alias("defect_count"),
