@@ -25,7 +25,7 @@ def quality_metrics(
 
     `late_reference` is what inspection times are compared with: a column of the
     inspections, an expression over them, or a column of production such as
-    `end_time`.
+    `end_time`. Pass stored tables: the key columns are looked at before the join.
     """
     if isinstance(late_reference, str) and late_reference not in inspections.columns:
         summed = _by_production_time(inspections, production, late_reference, max_late_hours, hot_key_rows)
