@@ -17,7 +17,7 @@ _CELL = ("production_line", "shift_id", "product_category")
 # How the indicators are shown: leading keys and whether they descend. The keys
 # behind them settle ties, which also lets the sort split one day or one
 # supplier's day over several tasks.
-_DISPLAY: dict[str, list[tuple[str, bool]]] = {
+DISPLAY: dict[str, list[tuple[str, bool]]] = {
     "kpi_defect_rate": [("production_date", True), *[(c, False) for c in _CELL]],
     "kpi_material_batch_trends": [
         ("supplier_id", False), ("received_date", True),
@@ -27,10 +27,13 @@ _DISPLAY: dict[str, list[tuple[str, bool]]] = {
 
 
 def in_display_order(df: DataFrame, name: str) -> DataFrame:
-    """Sorted as the named indicator is shown, NULLs last; best applied to a stored table."""
+    """Sorted as the named indicator is shown, NULLs last.
+
+    Pass a stored table: a global sort reads its input twice.
+    """
     keys = [
         F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last()
-        for c, down in _DISPLAY.get(name, [])
+        for c, down in DISPLAY.get(name, [])
     ]
     return df.orderBy(*keys) if keys else df
 
