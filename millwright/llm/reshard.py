@@ -66,8 +66,8 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: Callable[[int, i
 def block_moves(blocks: list[tuple[int, int, int]], shards: int) -> dict[tuple[int, int], int]:
     """(old shard, block) -> new shard, from (old shard, block, bytes).
 
-    Old shards beyond the new number lose all blocks. Others part with blocks,
-    largest first, while that brings the bytes moved nearer to the flow.
+    Old shards beyond the new number lose all blocks. Others part with the
+    largest blocks that still fit into the flow.
     """
     old = max([shards - 1, *(b[0] for b in blocks)]) + 1
     supply = [0] * old
@@ -78,16 +78,19 @@ def block_moves(blocks: list[tuple[int, int, int]], shards: int) -> dict[tuple[i
     flow = min_cost_flow(supply, capacity, lambda i, j: int(i != j))
     wanted = {(i, j): f for (i, j), f in flow.items() if i != j}
     moves = {}
-    for i, block, size in sorted(blocks, key=lambda b: (-b[2], b[0], b[1])):
-        targets = [(f, -j) for (k, j), f in wanted.items() if k == i]
-        most, j = max(targets, default=(0, 0))
-        if targets and (i >= shards or size < 2 * most):
-            wanted[i, -j] -= size
-            moves[i, block] = -j
-        elif i >= shards:
-            moves[i, block] = i % shards
-        else:
-            moves[i, block] = i
+
+    def move(largest_first: bool, overshoot: int) -> None:
+        for i, block, size in sorted(blocks, key=lambda b: (-b[2] if largest_first else b[2], b[0], b[1])):
+            if moves.get((i, block), i) != i:
+                continue
+            most, j = max(((f, -j) for (k, j), f in wanted.items() if k == i), default=(0, 0))
+            moves[i, block] = i if i < shards else i % shards
+            if 0 < size < most * overshoot or i >= shards and most:
+                wanted[i, -j] -= size
+                moves[i, block] = -j
+
+    move(True, 1)
+    move(False, 2)  # what is left is rounded by the smallest blocks
     return moves
 
 
