@@ -130,6 +130,22 @@ def identify(documents: DataFrame, training: DataFrame, top: int = TOP) -> DataF
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def in_known_language(documents: DataFrame, training: DataFrame, top: int = TOP) -> DataFrame:
+    """The documents whose text is in some learned language, that is, not `und`; all columns as they are.
+
+    The prediction runs next to the row it decides on, so nothing is joined.
+    """
+    profiles = Profiles([tuple(r) for r in learn_profiles(training, top).collect()], top)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = letter_table()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([profiles.predict(text, letters)[0] != "und" for text in texts], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def training_rows(documents: DataFrame) -> DataFrame:
     """The rows that may be learned from: four fifths by their id, with a lang."""
     return documents.filter((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull())

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, lines, mixing, quality, reshard, simhash, urls
+from . import decontaminate, hpylm, langid, lines, mixing, quality, repeats, reshard, simhash, urls
 from .common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = lines.dedup_lines(read_table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -22,6 +27,14 @@ def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return hpylm.score_documents(read_table(spark, folder, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 def op6_resharding(spark: SparkSession, folder: str) -> DataFrame:
     plan = reshard.shard_plan(read_table(spark, folder, "documents"), reshard.source_shard())
     return plan.select(
@@ -55,8 +68,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op2_line_dedup, op3_url_filters, op6_resharding, op7_source_mixing,
-        op8_language_id, op9_simhash, op10_quality_rules,
+        op1_suffix_dedup, op2_line_dedup, op3_url_filters, op4_lm_scoring, op5_decontamination,
+        op6_resharding, op7_source_mixing, op8_language_id, op9_simhash, op10_quality_rules,
     )
 }
 
