@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+import sys
+from collections import Counter
+from os.path import dirname
+
+import numpy as np
+
+sys.path.insert(0, dirname(__file__))
+from corpus import documents  # noqa: E402
+
+from millwright.llm import langid  # noqa: E402
+
+SYLLABLES = {"en": "the th ing er and sh wh".split(), "fr": "le eau ou ai é ç tion".split(), "de": "der sch ü ß ung ein".split()}
+
+
+def text_in(lang, rng, n=40):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+
+
+def brute_grams(text):
+    counts = Counter()
+    runs = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    padded = "\x01" + "\x01".join(runs) + "\x01" if runs else ""
+    for i, c in enumerate(padded):
+        if c != "\x01":
+            counts[c] += 1
+        for n in (2, 3):
+            gram = padded[i : i + n]
+            if len(gram) == n and "\x01" not in gram[1:-1]:
+                counts[gram] += 1
+    return counts
+
+
+def pack(gram):
+    code = 0
+    for c in gram:
+        code = code << 21 | ord(c)
+    return code
+
+
+def test_grams_equal_brute_force():
+    letters = langid.letter_table()
+    for text in ("The cat, the hat!", "é ß\n9x", "  ", "", "a", "ÀB 12 cd-e", "日本 語"):
+        grams, counts = langid.gram_counts(text, letters)
+        assert dict(zip(grams.tolist(), counts.tolist())) == {pack(g): n for g, n in brute_grams(text).items()}
+
+
+def test_held_out_accuracy(spark):
+    rng = random.Random(1)
+    rows = [(i, text_in(lang, rng), lang) for i, lang in enumerate(rng.choice(list(SYLLABLES)) for _ in range(300))]
+    df = documents(spark, [(*r, "s") for r in rows])
+    learned = langid.training_rows(df)
+    found = {r.doc_id: r for r in langid.identify(df, learned).collect()}
+    held = set(range(300)) - {r.doc_id for r in learned.collect()}
+    assert 30 < len(held) < 90
+    assert sum(found[i].lang_pred == rows[i][2] for i in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in found.values())
+
+
+def test_distance_is_out_of_place():
+    profiles = langid.Profiles([("x", pack("a"), 0), ("x", pack("b"), 1), ("y", pack("b"), 0), ("y", pack("a"), 1)], 5)
+    lang, score = profiles.predict("bb ab", langid.letter_table())
+    own = langid.top_grams("bb ab", 5, langid.letter_table()).tolist()
+    distance = {
+        lang: sum(abs(places[g] - i) if g in places else 5 for i, g in enumerate(own))
+        for lang, places in (("x", {pack("a"): 0, pack("b"): 1}), ("y", {pack("b"): 0, pack("a"): 1}))
+    }
+    assert lang == min(sorted(distance), key=distance.get) and score == 1 - distance[lang] / (5 * len(own))
+
+
+def test_awkward_rows(spark):
+    rng = random.Random(2)
+    known = [(i, text_in(lang, rng), lang) for i, lang in enumerate(["en", "fr"] * 20)]
+    odd = [(100, None, "en"), (101, "", "fr"), (102, "12 34 !?", "en"), (None, text_in("fr", rng), None), (103, text_in("en", rng, 30000), None)]
+    df = documents(spark, [(*r, "s") for r in known + odd + [known[0]]])
+    found = langid.identify(df, langid.training_rows(df)).collect()
+    by_id = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    assert [by_id[i] for i in (100, 101, 102)] == [("und", 0.0)] * 3
+    assert by_id[None][0] == "fr" and by_id[103][0] == "en" and len(found) == len(known) + len(odd) + 1
+    kept = langid.in_known_language(df, langid.training_rows(df))
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in known} | {None, 103}
+
+
+def test_nothing_learned(spark):
+    df = documents(spark, [(1, "abc", None, "s")])
+    assert langid.identify(df, langid.training_rows(df)).collect()[0].lang_pred == "und"
+    assert langid.identify(documents(spark, []), df).collect() == []
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    letters = langid.letter_table()
+    text = text_in("de", random.Random(3), 500)
+    whole = langid.top_grams(text, 20, letters)
+    monkeypatch.setattr(langid, "PIECE", 701)
+    assert len(np.intersect1d(langid.top_grams(text, 20, letters), whole)) >= 19
