@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,6 +14,7 @@ from millwright.workspace import run_folder
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -19,6 +22,29 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def segments(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in runs of whole words of about `size` bytes, so that a very long one is never split up at once."""
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + size)
+        stop = space.start() if space else len(text)
+        yield text[at:stop]
+        at = stop
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or something like it that no column of `df` is called."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def with_ids(documents: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """The documents whose doc_id is (`left_semi`) or is not (`left_anti`) the only column of `ids`; nulls are alike."""
+    name = free_name(documents, "own_id")
+    return documents.join(ids.toDF(name), F.col("doc_id").eqNullSafe(F.col(name)), how)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z only; the plain `lower` is used where it does the same, as it is much faster."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millwright.workspace import stage
 
-from .common import WORD
+from .common import WORD, free_name
 
 # Fixed values of the contract.
 WEIGHTS = (5, 2, 1)
@@ -143,9 +143,12 @@ def mixed_documents(documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS
     Only documents that straddle the edge of a block are rounded. Rows that
     share a doc_id are given the same number of copies.
     """
-    taken = mix(documents, seed, blocks, shards).groupBy(F.col("doc_id").alias("taken_id")).agg(
+    ids, copies, nth = (free_name(documents, n) for n in ("taken_id", "copies", "copy_no"))
+    taken = mix(documents, seed, blocks, shards).groupBy(F.col("doc_id").alias(ids)).agg(
         F.sum("taken").alias("taken"), F.sum("size").alias("size")
     )
-    copies = taken.select("taken_id", F.round(F.col("taken") / F.col("size")).cast("int").alias("copies")).filter("copies > 0")
-    joined = documents.join(copies, F.col("doc_id").eqNullSafe(F.col("taken_id")))
-    return joined.select(*[documents[c] for c in documents.columns], F.explode(F.expr("array_repeat(0, copies)")).alias("copy_no")).drop("copy_no")
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    chosen = taken.select(ids, times.alias(copies)).filter(F.col(copies) > 0)
+    joined = documents.join(chosen, F.col("doc_id").eqNullSafe(F.col(ids)))
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias(nth)
+    return joined.select(*[F.col(f"`{c}`") for c in documents.columns], repeated).drop(nth)

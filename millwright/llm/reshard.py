@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millwright.workspace import stage
 
-from .common import text_bytes
+from .common import free_name, text_bytes
 
 SHARDS = 8
 BLOCKS_PER_SHARD = 256
@@ -134,18 +134,18 @@ def rewrite(documents: DataFrame, plan: DataFrame, folder: str) -> list[int]:
     """Write the shards whose content changes, as `folder`/shard=N, and return which they are.
 
     Shards that neither gain nor lose a document are left as they are on disk.
-    Rows find their shard by doc_id and text; rows alike in both go together.
+    Rows find their shard by doc_id and text; rows alike in both go together. A
+    column `shard` of the input gives way to the new one.
     """
     moved = plan.filter("old_shard <> shard")
     changed = {r[0] for r in moved.select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct().collect()}
-    affected = sorted(s for s in changed)
-    target = plan.filter(F.col("shard").isin(affected)).select(
-        F.col("doc_id").alias("plan_id"), F.col("text_crc32").alias("plan_crc"), "shard", "slot"
-    )
+    affected = sorted(changed)
+    rest = documents.drop("shard")
+    ids, crc = free_name(rest, "plan_id"), free_name(rest, "plan_crc")
+    target = plan.filter(F.col("shard").isin(affected)).select(F.col("doc_id").alias(ids), F.col("text_crc32").alias(crc), "shard")
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    same = F.col("doc_id").eqNullSafe(F.col("plan_id")) & (F.crc32(body).cast("bigint") == F.col("plan_crc"))
-    first = target.dropDuplicates(["plan_id", "plan_crc"])
-    whole = documents.join(first, same).drop("plan_id", "plan_crc", "slot")
+    same = F.col("doc_id").eqNullSafe(F.col(ids)) & (F.crc32(body).cast("bigint") == F.col(crc))
+    whole = rest.join(target.dropDuplicates([ids, crc]), same).drop(ids, crc)
     if affected:
         whole.repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(64))).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"

@@ -21,27 +21,40 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.workspace import stage, stage_counted
 
+from .common import segments, with_ids
+
 SEED = 42
 BUCKET = 2048
+SEGMENT = 1 << 19
 
 
-def simhash(text: bytes | None, shingle: int) -> int:
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
+def _shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
     joined = b" ".join(words)
-    if len(words) < shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = list(accumulate((len(w) + 1 for w in words)))
-        starts = [0, *ends]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[s : e - 1], SEED) for s, e in zip(starts, ends[shingle - 1 :])]
-    ones = np.zeros(64, np.int64)
-    table = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
-    for at in range(0, len(table), 1 << 16):
-        ones += np.unpackbits(table[at : at + (1 << 16)], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+    if len(words) <= shingle:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], "<u8")
+    ends = list(accumulate(len(w) + 1 for w in words))
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[s : e - 1], SEED) for s, e in zip([0, *ends], ends[shingle - 1 :])], "<u8")
+
+
+def simhash(text: bytes | None, shingle: int) -> int:
+    """The fingerprint as a signed number; long texts are worked off in segments that share their edges' words."""
+    ones, total, words = np.zeros(64, np.int64), 0, []
+    for segment in segments((text or b"").lower(), SEGMENT):
+        words += segment.split()
+        if len(words) >= shingle:
+            hashes = _shingle_hashes(words, shingle)
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.int64)
+            total += len(hashes)
+            words = words[len(words) - shingle + 1 :]
+    if not total:
+        if not words:
+            return 0
+        hashes = _shingle_hashes(words, shingle)
+        ones += np.unpackbits(hashes.view(np.uint8), bitorder="little")
+        total = 1
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
@@ -89,19 +102,17 @@ def _bucket_links(distance: int):
             for members in batch.column(0):
                 fps = np.unique(np.asarray(members.values.to_numpy(zero_copy_only=False)))
                 bits = fps.view(np.uint64)
-                root = np.full(len(fps), -1)
+                open_ = np.ones(len(fps), bool)
                 for i in range(len(fps)):
-                    if root[i] >= 0:
-                        continue
-                    root[i], front = i, [i]
-                    while front:  # everything reachable inside this bucket
-                        near = np.bitwise_count(bits ^ bits[front.pop()]) <= distance
-                        new = np.flatnonzero(near & (root < 0))
-                        root[new] = i
+                    front = [i] if open_[i] else []
+                    open_[i] = False
+                    while front:  # everything reachable inside this bucket, each by one link
+                        at = front.pop()
+                        new = np.flatnonzero(open_ & (np.bitwise_count(bits ^ bits[at]) <= distance))
+                        open_[new] = False
+                        left.append(np.full(len(new), fps[at]))
+                        right.append(fps[new])
                         front.extend(new.tolist())
-                linked = np.flatnonzero(root != np.arange(len(fps)))
-                left.append(fps[root[linked]])
-                right.append(fps[linked])
             if left:
                 columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in (left, right)]
                 yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
@@ -186,9 +197,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, distance: int = 3, b
 def one_per_component(documents: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """The documents whose doc_id is the smallest of their component; repeated rows go too."""
     found = near_duplicates(documents, shingle, distance)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    chosen = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return chosen.dropDuplicates(["doc_id"])
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return with_ids(documents, kept, "left_semi").dropDuplicates(["doc_id"])
 
 
 def fingerprint_hex(fp: Column) -> Column:
