@@ -1,7 +1,7 @@
 """Repeated lines across documents, by range-partitioned line hashes.
 
-The lines' 128-bit hashes are written once, range-partitioned by hash, document
-and line and sorted so inside the parts. A very common line spreads over many
+The lines' 128-bit hashes are written once, then range-partitioned by hash,
+document and line and sorted so inside the parts. A very common line spreads over many
 parts, as its documents are part of the range. Each part streams to one summary
 per line before summaries meet, and the verdicts go back to the documents as
 compressed keep bitmaps: runs of kept line numbers, not text.
@@ -38,7 +38,7 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: in
     hashes = stage(line_hashes(documents, min_chars))
     parts = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ["h1", "h2", F.col("doc_id").desc(), "line_no"]
-    ranged = stage(hashes.repartitionByRange(parts, *order).sortWithinPartitions(*order))
+    ranged = hashes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     per_line = ranged.groupBy("h1", "h2").agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("first_id")
     )
