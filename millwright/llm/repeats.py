@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ from .common import blocked
 
 LENGTH = 100
 GRAM = 32
-BLOCK_BYTES = 16 << 20
-BUCKET_KEYS = 1 << 20  # anchors a bucket
+BLOCK_BYTES = 8 << 20
+BUCKET_KEYS = 1 << 19  # anchors a bucket
 PIECE = 1 << 21  # bytes hashed at once
 HOT = 4096  # an anchor with more surroundings is split
 NULL_ID = -(1 << 63)
@@ -101,7 +102,9 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
     new = np.concatenate([[True], (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
-    return at[first], at[last], hashes[place[first].astype(np.int64)]
+    # Minimizers have small hashes; mixed again, they spread evenly over the buckets.
+    least_hashes = hashes[place[first].astype(np.int64)] * _MIX
+    return at[first], at[last], least_hashes ^ (least_hashes >> np.uint64(32))
 
 
 class Block:
@@ -231,23 +234,30 @@ def surroundings(table: DataFrame, flags: DataFrame, buckets: int, length: int,
         order = np.argsort(marks.column("bucket").to_numpy())
         sizes, packed = marks.column("n").to_pylist(), marks.column("flags").to_pylist()
         flag = np.concatenate([np.empty(0, np.uint8), *[_unpack(packed[i], np.uint8, sizes[i]) for i in order.tolist()]])
-        known, _ = _distinct_anchors(block, length, gram)
-        found = _Surroundings()
-        for data, row, offset, first, last, hashes in block.anchored(length, gram):
+        pieces = list(block.anchored(length, gram))
+        known = np.unique(np.concatenate([p[5] for p in pieces]), return_index=True)[0] if pieces else flag
+        found, often = _Surroundings(), set()
+        for data, row, offset, first, last, hashes in pieces:
             mark = flag[np.searchsorted(known, hashes)]
+            often.update(hashes[mark == 2].tolist())
             chosen = np.flatnonzero(mark)
-            for r, o, a, z, h, m in zip(*(x[chosen].tolist() for x in (row, offset, first, last, hashes, mark))):
+            for r, o, a, z, h in zip(*(x[chosen].tolist() for x in (row, offset, first, last, hashes))):
                 doc, row_hash = block.rows[r]
-                if m == 1:
-                    found.add(data[a : z + length], z - a + 1, h, (doc, a + o, row_hash))
-                else:
-                    for p in range(a, z + 1):
-                        body = data[p : p + length]
-                        found.add(body, 1, xxhash.xxh64_intdigest(body), (doc, p + o, row_hash))
-        piles = defaultdict(list)
+                found.add(data[a : z + length], z - a + 1, h, (doc, a + o, row_hash))
+        # What is left of anchors met very often goes by each whole string instead.
+        split, left = _Surroundings(), {}
         for (body, n_starts, h), places in found.first.items():
-            for place in places:
-                piles[(h >> 32) * buckets >> 32].append((body, n_starts, h, *place))
+            if h not in often:
+                left[body, n_starts, h] = places
+            else:
+                for at in range(n_starts):
+                    string = body[at : at + length]
+                    for doc, start, row_hash in places:
+                        split.add(string, 1, xxhash.xxh64_intdigest(string), (doc, start + at, row_hash))
+        piles = defaultdict(list)
+        for (body, n_starts, h), places in chain(left.items(), split.first.items()):
+            piles[(h >> 32) * buckets >> 32] += [(body, n_starts, h, *place) for place in places]
+        found.covered += split.covered
         out = []
         for bucket, rows in piles.items():
             bodies, n_starts, hs, docs, places, row_hashes = zip(*rows)
@@ -309,7 +319,7 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, room: np.ndarray) -> t
     width = -(-int(room.max()) // 8) * 8
     padded = np.concatenate([data, np.zeros(width, np.uint8)])
     table = np.lib.stride_tricks.sliding_window_view(padded, width)[starts]
-    table = np.where(np.arange(width) < room[:, None], table, 0).astype(np.uint8)
+    table[np.arange(width) >= room[:, None]] = 0
     words = table.view(">u8").astype(np.uint64)
     order = np.lexsort((room, *words.T[::-1]))
     table, room = table[order], room[order]
@@ -319,35 +329,63 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, room: np.ndarray) -> t
     return order, lcp
 
 
-def repeats_in_bucket(bodies: list[bytes], n_starts: np.ndarray, rank_of: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(common prefix, surroundings, places in them, earliest) of the maximal repeats among distinct surroundings.
+class MaximalRepeats:
+    """The maximal repeats among distinct surroundings: sorted suffixes and the intervals of their common prefixes.
 
-    All occurrences are given, with a mark for the earliest; rank_of[surroundings] orders them, then the place.
+    `where` has (doc_id, start, row hash) of each of the surroundings, whose
+    first `n_starts` bytes are the suffixes' starts. Only starts whose `length`
+    bytes occur twice are sorted.
     """
-    sizes = np.array([len(b) for b in bodies], np.int64)
-    data = np.frombuffer(b"".join(bodies), np.uint8)
-    base = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(bodies)), n_starts)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(n_starts) - n_starts, n_starts)
-    at = base[owner] + place
-    hashes = _window_hash(data, length)[at]
-    _, back, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    twice = np.flatnonzero(count[back] > 1)
-    if not len(twice):
-        return
-    owner, place, at = owner[twice], place[twice], at[twice]
-    order, lcp = sorted_suffixes(data, at, sizes[owner] - place)
-    owner, place, at = owner[order], place[order], at[order]
-    before = np.where(place > 0, data[at - 1].astype(np.int64), -1 - np.arange(len(at)))  # unknown bytes differ from all
-    changes = np.concatenate([[0], np.cumsum(before[1:] != before[:-1])])
-    for depth, first, last in interval_tree(lcp, length):
-        if changes[first] == changes[last]:
-            continue  # the same byte before all: part of a longer repeat, which is found from there
-        members = slice(first, last + 1)
-        position = rank_of[owner[members], 0], rank_of[owner[members], 1] + place[members]
-        least = min(zip(position[0].tolist(), position[1].tolist()))
-        earliest = (position[0] == least[0]) & (position[1] == least[1])
-        yield depth, owner[members], place[members], earliest
+
+    def __init__(self, bodies: list[bytes], n_starts: np.ndarray, where: np.ndarray, length: int) -> None:
+        self.length = length
+        sizes = np.array([len(b) for b in bodies], np.int64)
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        base = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(bodies)), n_starts)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(n_starts) - n_starts, n_starts)
+        _, back, count = np.unique(_window_hash(data, length)[base[owner] + place], return_inverse=True, return_counts=True)
+        twice = np.flatnonzero(count[back] > 1)
+        owner, place = owner[twice], place[twice]
+        at = base[owner] + place
+        if len(at):
+            order, self.lcp = sorted_suffixes(data, at, sizes[owner] - place)
+        else:
+            order, self.lcp = np.empty(0, np.int64), np.empty(0, np.int64)
+        owner, place, at = owner[order], place[order], at[order]
+        self.doc, self.row_hash, self.start = where[owner, 0], where[owner, 2], where[owner, 1] + place
+        # The order of texts; places that are alike are neither earlier nor later.
+        by_place = np.lexsort((self.start, self.doc))
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(self.doc[by_place]) != 0) | (np.diff(self.start[by_place]) != 0)
+        self.rank = np.empty(len(at), np.int64)
+        self.rank[by_place] = np.cumsum(new)
+        # The byte before each suffix; where it is not known it differs from all.
+        before = np.where(place > 0, data[at - 1].astype(np.int64), -1 - np.arange(len(at)))
+        self.changes = np.concatenate([[0], np.cumsum(before[1:] != before[:-1])])
+
+    def intervals(self) -> Iterator[tuple[int, slice]]:
+        """(bytes in common, all occurrences as a run of the sorted suffixes) of each maximal repeat.
+
+        Where the same byte precedes all, the interval is part of a longer repeat
+        and found from there.
+        """
+        for depth, first, last in interval_tree(self.lcp, self.length):
+            if self.changes[first] != self.changes[last]:
+                yield depth, slice(first, last + 1)
+
+    def covered(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(doc, row hash, start, stop): all occurrences but the first of each repeat.
+
+        A suffix is in several intervals, one inside the other; the deepest in
+        which it is not the first says how far it is covered.
+        """
+        reach = np.zeros(len(self.doc), np.int64)
+        for depth, members in self.intervals():
+            late = self.rank[members] > self.rank[members].min()
+            np.maximum(reach[members], late * depth, out=reach[members])
+        late = reach > 0
+        return self.doc[late], self.row_hash[late], self.start[late], (self.start + reach)[late]
 
 
 def covered_in_buckets(contexts: DataFrame, length: int) -> DataFrame:
@@ -368,32 +406,26 @@ def covered_in_buckets(contexts: DataFrame, length: int) -> DataFrame:
         by_anchor = defaultdict(list)
         for (body, n_starts, h), places in found.first.items():
             by_anchor[h].append((body, n_starts, places))
-        doc, start, row_hash, stop = ([x] for x in np.array(found.covered, np.int64).reshape(-1, 4).T)
-        stop = [stop[0] + start[0]]
+        doc, start, row_hash, size = np.array(found.covered, np.int64).reshape(-1, 4).T
+        spans = [merged(doc, row_hash, start, start + size)]
 
         def sweep(rows: list[tuple[bytes, int, list]]) -> None:
             flat = [(body, k, place) for body, k, places in rows for place in places]
             where = np.array([place for _, _, place in flat], np.int64)
             n_starts = np.array([k for _, k, _ in flat])
-            for depth, owner, place, earliest in repeats_in_bucket([b for b, _, _ in flat], n_starts, where, length):
-                late = owner[~earliest]
-                begin = where[late, 1] + place[~earliest]
-                doc.append(where[late, 0])
-                row_hash.append(where[late, 2])
-                start.append(begin)
-                stop.append(begin + depth)
+            spans.append(merged(*MaximalRepeats([b for b, _, _ in flat], n_starts, where, length).covered()))
 
         pile, size = [], 0
         for rows in by_anchor.values():
             if len(rows) > 1 or len(rows[0][2]) > 1:
                 pile += rows
                 size += sum(k * len(places) for _, k, places in rows)
-                if size > 200_000:  # suffixes sorted at once; never less than an anchor's
+                if size > 50_000:  # suffixes sorted at once; never less than an anchor's
                     sweep(pile)
                     pile, size = [], 0
         if pile:
             sweep(pile)
-        d, r, a, z = merged(*(np.concatenate(x) for x in (doc, row_hash, start, stop)))
+        d, r, a, z = merged(*(np.concatenate(x) for x in zip(*spans)))
         number = np.array([blocks[k] for k in zip(d.tolist(), r.tolist())], np.int32)
         return pa.table([pa.array(x) for x in (number, d, r, a, z)], names=["block", "doc_id", "row_hash", "start", "stop"])
 
