@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, hpylm, langid, lines, mixing, quality, repeats, reshard, simhash, urls
 from .common import fold, read_table
+from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,4 +74,4 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
