@@ -22,26 +22,34 @@ from pyspark.sql import DataFrame, functions as F
 
 from millwright.workspace import stage
 
+from .common import segments, with_ids
+
 ITEMS = 1024  # items worked off at once
 RANK = 192
 EXTRA = 16  # columns of the sketch beyond the rank
 PASSAGE = 64  # words of a passage in the SVD
 STEP = 16  # words; windows of 2 and 4 steps are searched
-MAX_SHARE = 0.05  # terms in more passages than this say too little
+MAX_SHARE = 0.01  # terms in more passages than this say too little
 KEPT_TERMS = 3  # but the rarest terms of an item always count
-CHUNK = 16384  # steps compared at once
+FAN_IN = 8  # sketches added up in one task
+SEGMENT = 1 << 20  # bytes of a text split into words at once
+CHUNK = 2048  # steps compared at once, few enough to stay in the cache
 
 _PLAIN = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
 
+def _plain(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "replace").translate(_PLAIN)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased words without ASCII punctuation."""
-    return (text or "").lower().encode("utf-8", "replace").translate(_PLAIN).split()
+    return _plain(text).split()
 
 
 @dataclass
 class Checks:
-    cosine: float = 0.4
+    cosine: float = 0.25
     copy: float = 0.8  # share of the item's words in order: taken as a copy
     paraphrase: float = 0.6  # or this share, if the answer is there too
     answer: float = 0.8
@@ -89,6 +97,12 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(joined, np.int32), lengths
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; much faster than hashing them."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def _units(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """For each word, the number of its unit of `size` words; for each document, its first unit."""
     counts = -(-lengths // size)
@@ -102,9 +116,9 @@ def encode(documents: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             coded = []
-            for text in batch.column(1).to_pylist():
-                words = words_of(text)
-                coded.append(np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words)).tobytes())
+            for text in batch.column(1):
+                parts = (segment.split() for segment in segments(_plain(text.as_py()), SEGMENT))
+                coded.append(b"".join(np.fromiter(map(vocabulary.get, p, repeat(-1)), np.int32, len(p)).tobytes() for p in parts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coded, pa.binary())], ["doc_id", "ids"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -119,7 +133,7 @@ def passage_frequencies(encoded: DataFrame, n_terms: int) -> tuple[np.ndarray, i
             ids, lengths = _flat(batch.column(0))
             units, first = _units(lengths, PASSAGE)
             known = ids >= 0
-            pairs = np.unique(units[known] * n_terms + ids[known])
+            pairs = _distinct(units[known] * n_terms + ids[known])
             found += np.bincount(pairs % n_terms, minlength=n_terms)
             passages += int(first[-1])
         terms = np.flatnonzero(found)
@@ -181,7 +195,8 @@ def latent_space(encoded: DataFrame, items: list[np.ndarray], weights: np.ndarra
     """(terms x rank): leading right singular vectors of the TF-IDF passages.
 
     One pass: each task sums A^T (A omega) over its passages, in a matrix as wide
-    as the sketch whatever it reads, and the sums are added up in two steps. The
+    as the sketch whatever it reads; the sums of eight tasks are added up in one,
+    and so on until one is left. The
     items are passages too, weighted to count as much as the corpus together.
     """
     n_terms = len(weights)
@@ -199,19 +214,23 @@ def latent_space(encoded: DataFrame, items: list[np.ndarray], weights: np.ndarra
                 _add_sketch(sketch, units[known], ids[known].astype(np.int64), weights, omega, 1.0)
                 some = True
         if some:
-            columns = [pa.array([TaskContext.get().partitionId() % 64]), pa.array([sketch.astype(np.float32).tobytes()], pa.binary())]
+            columns = [pa.array([TaskContext.get().partitionId() // FAN_IN]), pa.array([sketch.astype(np.float32).tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["pile", "part"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(group: pa.Table) -> pa.Table:
         total = np.zeros(n_terms * width)
-        for batch in batches:
-            for part in batch.column(1):
-                total += np.frombuffer(part.as_py(), np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part"])
+        for part in group.column("part"):
+            total += np.frombuffer(part.as_py(), np.float32)
+        pile = group.column("pile")[0].as_py() // FAN_IN
+        return pa.table({"pile": [pile], "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
     parts = encoded.select("ids").mapInArrow(run, "pile bigint, part binary")
+    tasks = encoded.rdd.getNumPartitions()
+    while tasks > 1:
+        parts = parts.groupBy("pile").applyInArrow(add, "pile bigint, part binary")
+        tasks = -(-tasks // FAN_IN)
     sketch = np.zeros((n_terms, width))
-    for row in parts.repartition(8, "pile").mapInArrow(add, "part binary").toLocalIterator():
+    for row in parts.select("part").collect():  # one matrix
         sketch += np.frombuffer(row[0], np.float32).reshape(n_terms, width)
     for item in items:
         own = item[weights[item] > 0].astype(np.int64)
@@ -226,38 +245,49 @@ def latent_space(encoded: DataFrame, items: list[np.ndarray], weights: np.ndarra
     return np.ascontiguousarray(left[:, :rank], np.float32)
 
 
-def _unit_rows(matrix: np.ndarray) -> np.ndarray:
-    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
-
-
 def candidate_windows(ids: np.ndarray, lengths: np.ndarray, term_vectors: np.ndarray, latent_items: np.ndarray, cosine: float) -> Iterator[tuple[int, int, int, int, float]]:
-    """(document, item, first word, words, cosine) of the windows near an item."""
+    """(document, item, first word, words, cosine) of the windows near an item.
+
+    The last column of `term_vectors` is each term's squared weight. Cosines are
+    of latent vectors, with the lengths of the whole TF-IDF vectors: a window
+    most of which lies outside the latent space is near nothing.
+    """
+    counts_for_something = term_vectors.any(axis=1)
     steps, first = _units(lengths, STEP)
     n_steps = int(first[-1])
     owner = np.repeat(np.arange(len(lengths)), np.diff(first))
     known = np.flatnonzero(ids >= 0)
+    known = known[counts_for_something[ids[known]]]
     step_of, term = steps[known], ids[known]
     for low in range(0, n_steps, CHUNK):
         high = min(n_steps, low + CHUNK + 3)  # the last windows reach into the next chunk
         a, b = np.searchsorted(step_of, [low, high])
-        vectors = _rows_sum(term_vectors[term[a:b]], step_of[a:b] - low, high - low)
+        own = owner[low:high]
+        vectors = np.zeros((high - low + 3, term_vectors.shape[1]), np.float32)
+        vectors[: high - low] = _rows_sum(term_vectors[term[a:b]], step_of[a:b] - low, high - low)
+        own = np.concatenate([own, [-1, -2, -3]])
         for size in (2, 4):
-            starts = np.arange(low, min(n_steps, low + CHUNK), size // 2)
-            window, same = np.zeros((len(starts), vectors.shape[1]), np.float32), owner[starts]
-            for k in range(size):  # windows end where the document does
-                at = starts + k
-                inside = at < high
-                inside[inside] = owner[at[inside]] == same[inside]
-                window[inside] += vectors[at[inside] - low]
-            near = _unit_rows(window) @ latent_items.T
-            for w, item in zip(*np.nonzero(near >= cosine)):
-                doc = int(same[w])
-                yield doc, int(item), int(starts[w] - first[doc]) * STEP, size * STEP, float(near[w, item])
+            starts = np.arange(0, min(n_steps - low, CHUNK), size // 2)
+            window = vectors[starts]
+            for k in range(1, size):  # windows end where the document does
+                window += vectors[starts + k] * (own[starts + k] == own[starts])[:, None]
+            near = window[:, :-1] @ latent_items.T
+            least = cosine * np.sqrt(window[:, -1])
+            least[least == 0] = np.inf
+            for w, item in zip(*np.nonzero(near >= least[:, None])):
+                doc, start = int(own[starts[w]]), low + int(starts[w])
+                yield doc, int(item), (start - int(first[doc])) * STEP, size * STEP, float(near[w, item] / least[w] * cosine)
+
+
+def latent_index(items: list[np.ndarray], weights: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms as latent vectors, with their squared weights in a last column; items as latent vectors over their lengths."""
+    term_vectors = np.concatenate([weights[:, None] * space, weights[:, None] ** 2], axis=1)
+    summed = np.stack([term_vectors[item].sum(axis=0) for item in items])
+    return term_vectors, np.ascontiguousarray(summed[:, :-1] / np.sqrt(np.maximum(summed[:, -1:], 1e-9)))
 
 
 def _search(encoded: DataFrame, item_ids: list, items: list[np.ndarray], item_type: str, weights: np.ndarray, space: np.ndarray, checks: Checks) -> DataFrame:
-    term_vectors = weights[:, None] * space
-    latent_items = _unit_rows(np.stack([term_vectors[item].sum(axis=0) for item in items]))
+    term_vectors, latent_items = latent_index(items, weights, space)
     kind = encoded.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_type}, kind string, start_word int, common_words int, item_words int, cosine double"
 
@@ -331,5 +361,5 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, checks: Checks | None
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, checks: Checks | None = None) -> DataFrame:
     """The documents that hold no benchmark item."""
-    leaky = find_leaks(documents, benchmark, checks).select(F.col("doc_id").alias("leaky_id")).distinct()
-    return documents.join(leaky, F.col("doc_id").eqNullSafe(F.col("leaky_id")), "left_anti")
+    leaky = find_leaks(documents, benchmark, checks).select("doc_id").distinct()
+    return with_ids(documents, leaky, "left_anti")
