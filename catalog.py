@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import TimestampType
 
 import standins
@@ -15,9 +16,9 @@ from millwright.operators import checks, joins, metrics, rows
 from millwright.operators.frames import with_rank
 from millwright.params import Params
 from millwright.plans import bronze, kpis, pipeline, publish, silver
-from millwright.schemas import INGESTED_AT, RAW
+from millwright.schemas import INGESTED_AT, RAW, SERVING
 from millwright.sources import read_parquet
-from millwright.workspace import run_folder, stage, stage_counted
+from millwright.workspace import concurrently, run_folder, stage, stage_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +80,14 @@ class Factory:
     def machines(self) -> DataFrame:
         return self._load("dim_machine")
 
+    @cached_property
+    def shifts(self) -> DataFrame:
+        return self._load("dim_shift")
+
+    @property
+    def dimensions(self) -> dict[str, DataFrame]:
+        return {"dim_product": self.products, "dim_machine": self.machines, "dim_shift": self.shifts}
+
     @cached_property
     def quality(self) -> DataFrame:
         return silver.quality_metrics(self.inspections, self.production)
@@ -164,7 +173,8 @@ def bronze_table_counts(t: Factory) -> DataFrame:
     tables = t.raw_tables
 
     def counted(dataset: str) -> DataFrame:
-        landed = bronze.land(tables[dataset], dataset, base, AS_OF)
+        raw = standins.with_copies(tables[dataset], dataset)
+        landed = bronze.land(raw, dataset, base, AS_OF)
         return (
             read_parquet(t.spark, landed.path)
             .agg(F.count(F.lit(1)).alias("rows_in_bronze"))
@@ -181,17 +191,17 @@ def bronze_table_counts(t: Factory) -> DataFrame:
 
 @register
 def bronze_ingest(t: Factory) -> DataFrame:
-    return _zoneless(bronze.bronze_table(t.machine_logs, AS_OF))
+    return _zoneless(bronze.bronze_table(standins.with_copies(t.machine_logs, "machine_logs"), AS_OF))
 
 
 @register
 def bronze_dedup(t: Factory) -> DataFrame:
-    return rows.distinct_rows(t.inspections.select("inspection_id", "batch_id"))
+    return rows.distinct_rows(standins.with_copies(t.raw_inspections, "inspection_results"))
 
 
 @register
 def bronze_dedup_stats(t: Factory) -> DataFrame:
-    return rows.distinct_stats(t.inspections.select("inspection_id", "batch_id"))
+    return rows.distinct_stats(standins.with_copies(t.raw_inspections, "inspection_results"))
 
 
 # --- silver ---------------------------------------------------------------
@@ -231,6 +241,12 @@ def silver_quality_end_time(t: Factory) -> DataFrame:
     return silver.quality_metrics(t.inspections, t.production, late_reference="end_time")
 
 
+@register
+def silver_quality_end_time_split(t: Factory) -> DataFrame:
+    """The same by way of spread hot batches."""
+    return silver.quality_metrics(t.inspections, t.production, late_reference="end_time", hot_key_rows=4)
+
+
 @register
 def downtime_events(t: Factory) -> DataFrame:
     return silver.downtime_events(t.machine_logs)
@@ -303,12 +319,28 @@ def throughput_rank(t: Factory) -> DataFrame:
     return ranked.select("production_line", "shift_id", "production_date", "throughput_rank")
 
 
+def _throughput(t: Factory, **options: int) -> DataFrame:
+    result = kpis.kpi_throughput(t.production, **options)
+    return _rounded(result, "units_per_hour", "prev_shift_uph", "pct_change_vs_prev")
+
+
 @register
 def kpi_throughput(t: Factory) -> DataFrame:
-    result = kpis.kpi_throughput(t.production)
-    return _as_view(
-        _rounded(result, "units_per_hour", "prev_shift_uph", "pct_change_vs_prev"), "kpi_throughput"
-    )
+    return _as_view(_throughput(t), "kpi_throughput")
+
+
+@register
+def kpi_throughput_split(t: Factory) -> DataFrame:
+    """The same by way of chunks of each line's shifts."""
+    return _throughput(t, group_rows=400)
+
+
+@register
+def throughput_rank_split(t: Factory) -> DataFrame:
+    """Ranks by line instead of by day, so that groups are large, by way of chunks."""
+    hourly = stage(metrics.units_per_hour(t.production))
+    ranked = with_rank(hourly, ["production_line"], "units_per_hour", "line_rank", group_rows=400)
+    return ranked.select("production_line", "shift_id", "production_date", "line_rank")
 
 
 @register
@@ -324,6 +356,13 @@ def downtime_daily_cumulative(t: Factory) -> DataFrame:
     return kpis.kpi_downtime(daily, rows=n_rows)
 
 
+@register
+def downtime_daily_cumulative_split(t: Factory) -> DataFrame:
+    """The same by way of chunks of each machine's days."""
+    daily = stage(silver.downtime_metrics(t.machine_logs, by_date="event_ts"))
+    return kpis.kpi_downtime(daily, group_rows=100)
+
+
 @register
 def join_material_quality(t: Factory) -> DataFrame:
     return joins.material_with_quality(t.materials, t.quality)
@@ -338,11 +377,47 @@ def high_defect_flag(t: Factory) -> DataFrame:
     )
 
 
+def _material_batch(t: Factory, **options: int) -> DataFrame:
+    result = kpis.kpi_material_batch(t.materials, t.quality, **options)
+    return _rounded(result, "historical_avg_defect_rate_last_4")
+
+
 @register
 def kpi_material_batch(t: Factory) -> DataFrame:
-    result = kpis.kpi_material_batch(t.materials, t.quality)
-    rounded = _rounded(result, "historical_avg_defect_rate_last_4")
-    return _as_view(rounded, "kpi_material_batch_trends")
+    return _as_view(_material_batch(t), "kpi_material_batch_trends")
+
+
+@register
+def kpi_material_batch_split(t: Factory) -> DataFrame:
+    """The same by way of spread hot batches and chunks of the larger suppliers' rows."""
+    return _material_batch(t, group_rows=600, hot_key_rows=4)
+
+
+def _places(df: DataFrame, name: str) -> DataFrame:
+    """The display keys with the place of each row as the view shows them.
+
+    Rows are numbered as they come out of the sort: inside a part by their
+    position, over parts by how many rows the parts before hold.
+    """
+    shown = stage(kpis.in_display_order(stage(df), name).withColumn("_id", F.monotonically_increasing_id()))
+    part, position = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = shown.withColumn("_part", part)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    offsets = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
+    keys = [column for column, _ in kpis.DISPLAY[name]]
+    return numbered.join(offsets, "_part").select(*keys, (F.col("_before") + position + 1).alias("place"))
+
+
+@register
+def display_order_defect_rate(t: Factory) -> DataFrame:
+    return _places(_defect_rate(t), "kpi_defect_rate")
+
+
+@register
+def display_order_material_batch(t: Factory) -> DataFrame:
+    return _places(_material_batch(t), "kpi_material_batch_trends")
 
 
 # --- checks ---------------------------------------------------------------
@@ -394,6 +469,15 @@ def dq_report(t: Factory) -> DataFrame:
     return _rounded(checks.run_checks(tables, rules), "observed")
 
 
+@register
+def gate_report(t: Factory) -> DataFrame:
+    """What the gate looks at before publishing, by its default rules."""
+    tables = {**t.raw_tables, "inspection_results": t.inspections, "quality_metrics": t.quality, "downtime_metrics": t.downtime}
+    served = {"fact_production": t.production, **t.dimensions}
+    tables |= {name.upper(): publish.conform(df, name, AS_OF) for name, df in served.items()}
+    return _rounded(checks.run_checks(tables, pipeline.default_rules(Params(), t.dimensions)), "observed")
+
+
 # --- serving --------------------------------------------------------------
 
 
@@ -439,13 +523,62 @@ def dim_machine_defaults(t: Factory) -> DataFrame:
 # --- the whole day --------------------------------------------------------
 
 
-def _whole_day(t: Factory) -> pipeline.RunReport:
-    """CSV files of all four tables, through every step, to the published indicators."""
+def _known_faults(rule: checks.Rule) -> bool:
+    """The stand-in inspections repeat ids, and some are late at the fixed clock."""
+    return rule.table == "inspection_results" and isinstance(rule, (checks.UniqueKeys, checks.LateEvents))
+
+
+def _whole_day(t: Factory, prefix: str | None = None) -> pipeline.RunReport:
+    """CSV files of all four tables, through every step, to the published indicators.
+
+    With `prefix` everything is published to the catalog, in namespaces of that prefix.
+    """
     base = run_folder(t.spark)
     for dataset, df in t.raw_tables.items():
         _write_raw(df, dataset, f"{base}/raw")
-    params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/serving")
-    return pipeline.run_pipeline(t.spark, params, {"dim_product": t.products}, as_of=AS_OF)
+    serving = f"{base}/serving" if prefix is None else ""
+    params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", serving, prefix or "")
+    dimensions = {"dim_product": t.products} if prefix is None else t.dimensions
+    rules = [rule for rule in pipeline.default_rules(params, dimensions) if not _known_faults(rule)]
+    return pipeline.run_pipeline(
+        t.spark, params, dimensions, as_of=AS_OF, rules=rules, publish_inspections=prefix is not None
+    )
+
+
+def _in_catalog(t: Factory, read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """The day published to namespaces of its own, read by another session, then dropped."""
+    prefix = f"day_{uuid.uuid4().hex}_"
+    try:
+        _whole_day(t, prefix)
+        other = t.spark.newSession()
+        other.conf.set("spark.sql.session.timeZone", "UTC")
+        path = f"{run_folder(t.spark)}/read"
+        read(other, prefix).write.parquet(path)
+        return read_parquet(t.spark, path)
+    finally:
+        for namespace in (publish.STAGING, publish.ANALYTICS):
+            t.spark.sql(f"DROP SCHEMA IF EXISTS {prefix}{namespace} CASCADE")
+
+
+@register
+def catalog_tables(t: Factory) -> DataFrame:
+    """Rows and columns of every defined serving table, from the catalog."""
+    def read(other: SparkSession, prefix: str) -> DataFrame:
+        tables = {name: other.table(f"{prefix}{publish.STAGING}.{name}") for name in SERVING}
+        counts = [_counted(df, name).withColumn("n_columns", F.lit(len(df.columns))) for name, df in tables.items()]
+        return reduce(DataFrame.unionByName, counts)
+
+    return _in_catalog(t, read)
+
+
+@register
+def catalog_kpi_throughput(t: Factory) -> DataFrame:
+    """The lasting view over an indicator that was built from staging tables."""
+    def read(other: SparkSession, prefix: str) -> DataFrame:
+        view = other.table(f"{prefix}{publish.ANALYTICS}.kpi_throughput")
+        return _rounded(view, "units_per_hour", "prev_shift_uph", "pct_change_vs_prev")
+
+    return _in_catalog(t, read)
 
 
 @register
@@ -464,9 +597,16 @@ def end_to_end_tables(t: Factory) -> DataFrame:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    """Land, build the quality metrics, and compute the defect-rate indicator."""
+    """Land what is needed, build the quality metrics, and compute the defect-rate indicator.
+
+    Every table is written once and read back, as in the daily run.
+    """
     t = Factory(spark, folder)
-    landed = {name: bronze.bronze_table(df, AS_OF) for name, df in t.raw_tables.items()}
-    metrics_table = silver.quality_metrics(landed["inspection_results"], landed["production_records"])
-    result = kpis.kpi_defect_rate(metrics_table, landed["production_records"], t.products)
-    return kpis.in_display_order(result, "kpi_defect_rate")
+    raw = {"inspection_results": t.raw_inspections, "production_records": t.production}
+
+    def land(df: DataFrame) -> Callable[[], DataFrame]:
+        return lambda: stage(bronze.bronze_table(df, AS_OF))
+
+    inspections, production = concurrently(spark, [land(df) for df in raw.values()])
+    quality = stage(silver.quality_metrics(inspections, production))
+    return kpis.in_display_order(stage(kpis.kpi_defect_rate(quality, production, t.products)), "kpi_defect_rate")

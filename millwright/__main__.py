@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from millwright.params import Params
-from millwright.plans import bronze, pipeline
+from millwright.plans import pipeline
 from millwright.schemas import INGESTED_AT
 from millwright.sources import read_parquet
 from millwright.workspace import open_session
@@ -33,6 +33,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
                         help="a dimension table, e.g. dim_product=/path; may be repeated")
     parser.add_argument("--late-reference", default=INGESTED_AT,
                         help="column that inspection times are compared with")
+    parser.add_argument("--accept-row-counts", action="store_true",
+                        help="check: take row counts as they are into the history")
     parser.add_argument("--infer", action="store_true", help="take CSV types from the files")
     return parser.parse_args(argv)
 
@@ -47,19 +49,22 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     }
     ingested, published = [], {}
     if args.step == "ingest":
-        ingested = bronze.ingest(spark, params.raw_path, params.bronze_path, infer=args.infer)
+        ingested = pipeline.ingest_raw(spark, params, infer=args.infer)
     elif args.step == "quality":
         pipeline.build_quality(spark, params, args.late_reference)
     elif args.step == "downtime":
         pipeline.build_downtime(spark, params)
     elif args.step == "check":
-        pipeline.check(spark, params)
+        pipeline.check(spark, params, dimensions=dimensions, accept_row_counts=args.accept_row_counts)
     elif args.step == "publish":
+        pipeline.require_dimensions(dimensions)
+        pipeline.require_passed_gate(spark, params)
         published = pipeline.publish_tables(spark, params, dimensions)
         published |= pipeline.refresh_kpis(spark, params, published)
     else:
         run = pipeline.run_pipeline(
-            spark, params, dimensions, late_reference=args.late_reference, infer=args.infer
+            spark, params, dimensions, late_reference=args.late_reference, infer=args.infer,
+            accept_row_counts=args.accept_row_counts,
         )
         ingested, published = run.ingested, run.published
     for i in ingested:

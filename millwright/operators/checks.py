@@ -264,4 +264,5 @@ def check_late_events(df: DataFrame, event_timestamp_col: str, reference_timesta
 def check_row_count_deviation(current_count: float, historical_avg: float, tolerance: float = 0.2) -> bool:
     if historical_avg == 0:
         return True
-    return abs(current_count - historical_avg) / historical_avg <= tolerance
+    # Not `<=`: without any history the mean is NaN, and what cannot be compared passes.
+    return not abs(current_count - historical_avg) / historical_avg > tolerance

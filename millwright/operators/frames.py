@@ -5,6 +5,7 @@ split it. Here the largest group is measured first. If it fits, the window is
 an ordinary one. If not, the rows are range-partitioned on group and order,
 every partition becomes a chunk, and each chunk gets the few rows in front of
 it that its frames reach back to. The result is the same to the last row.
+Only groups above the limit are cut; all others keep an ordinary window.
 
 Inputs are read more than once, so pass a stored table or a staged frame
 (`workspace.stage`), not a long chain of joins. Where the number of rows is
@@ -14,6 +15,9 @@ known (`rows`) and already small, nothing is measured.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -21,10 +25,8 @@ from millwright.workspace import stage, stage_counted
 
 # Rows of one group that one task may take.
 GROUP_ROWS = 5_000_000
-# More chunks than this only cost scheduling; chunks then hold more rows.
-MAX_CHUNKS = 20_000
 
-_CHUNK, _HALO, _POS, _ROW, _TAIL, _PEERS = "_chunk", "_halo", "_pos", "_row", "_tail", "_peers"
+_CHUNK, _HALO, _POS, _ROW, _TAIL, _PEERS, _SIZE = "_chunk", "_halo", "_pos", "_row", "_tail", "_peers", "_size"
 
 Measure = Callable[[WindowSpec], Column]
 
@@ -37,23 +39,41 @@ def _descending(columns: list[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in columns]
 
 
-def _rows_to_split(df: DataFrame, group: list[str], limit: int, rows: int | None) -> int | None:
-    """None if every group fits one task, else the rows in all."""
+@dataclass(frozen=True)
+class _Split:
+    """Rows of groups that fit one task, those of larger groups, and how many the latter are."""
+
+    fitting: DataFrame
+    hot: DataFrame
+    hot_rows: int
+
+
+def _split(df: DataFrame, group: list[str], limit: int, rows: int | None) -> _Split | None:
+    """None if every group fits one task."""
     if rows is not None and rows <= limit:
         return None
-    sizes = df.groupBy(*group).count()
-    found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("rows")).first()
-    return found["rows"] if (found["largest"] or 0) > limit else None
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias(_SIZE)).where(F.col(_SIZE) > limit)
+    # At most one group per `limit` rows.
+    hot, n_hot = stage_counted(sizes)
+    if not n_hot:
+        return None
+    hot_rows = hot.agg(F.sum(_SIZE)).first()[0]
+    if not group:
+        return _Split(df.where(F.lit(False)), df, hot_rows)
+    keys = hot.select(*[F.col(c).alias(f"_h_{c}") for c in group])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in group])
+    return _Split(df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi"), hot_rows)
 
 
-def _chunked(df: DataFrame, group: list[str], order: list[Column], rows: int, limit: int) -> DataFrame:
-    """Rows in contiguous chunks of the order, chunk numbers rising within each group.
+def _chunked(split: _Split, group: list[str], order: list[Column], limit: int) -> DataFrame:
+    """Hot rows in contiguous chunks of the order, chunk numbers rising within each group.
 
-    The chunk bounds are sampled, so the numbered rows are stored: every reader
-    must see the same chunks, also after a lost executor.
+    There are as many chunks as their rows need. The chunk bounds are sampled,
+    so the numbered rows are stored: every reader must see the same chunks, also
+    after a lost executor.
     """
-    chunks = min(max(2, -(-rows // limit)), MAX_CHUNKS)
-    spread = df.repartitionByRange(chunks, *_ascending(group), *order)
+    chunks = max(2, -(-split.hot_rows // limit))
+    spread = split.hot.repartitionByRange(chunks, *_ascending(group), *order)
     return stage(spread.withColumn(_CHUNK, F.spark_partition_id()))
 
 
@@ -71,12 +91,15 @@ def over_preceding(
 
     Order is ascending with NULLs last.
     """
-    rows = _rows_to_split(df, group, group_rows, rows)
-    if rows is None:
+    def plain(some: DataFrame) -> DataFrame:
         window = Window.partitionBy(*group).orderBy(*_ascending(order))
-        return df.withColumns({name: make(window) for name, make in measures.items()})
+        return some.withColumns({name: make(window) for name, make in measures.items()})
 
-    chunked = _chunked(df, group, _ascending(order), rows, group_rows)
+    split = _split(df, group, group_rows, rows)
+    if split is None:
+        return plain(df)
+
+    chunked = _chunked(split, group, _ascending(order), group_rows)
     # The last `depth` rows of every chunk, oldest first. A chunk may hold fewer,
     # so a chunk looks at the `depth` chunks in front of it, which are never empty.
     from_end = Window.partitionBy(*group, _CHUNK).orderBy(*_descending(order))
@@ -97,13 +120,14 @@ def over_preceding(
         .withColumn(_HALO, F.lit(True))
     )
     window = Window.partitionBy(*group, _CHUNK).orderBy(*_ascending(order))
-    return (
+    hot = (
         chunked.withColumn(_HALO, F.lit(False))
         .unionByName(halo)
         .withColumns({name: make(window) for name, make in measures.items()})
         .where(~F.col(_HALO))
         .drop(_CHUNK, _HALO)
     )
+    return plain(split.fitting).unionByName(hot)
 
 
 def total_before(
@@ -120,12 +144,15 @@ def total_before(
     The frame has no lower bound, so chunks get the sums of the chunks in front
     of them instead of single rows. `group` may be empty. The first row gets NULL.
     """
-    rows = _rows_to_split(df, group, group_rows, rows)
-    if rows is None:
+    def plain(some: DataFrame) -> DataFrame:
         before = _all_before(group, order)
-        return df.withColumns({name: F.sum(column).over(before) for name, column in totals.items()})
+        return some.withColumns({name: F.sum(column).over(before) for name, column in totals.items()})
+
+    split = _split(df, group, group_rows, rows)
+    if split is None:
+        return plain(df)
 
-    chunked = _chunked(df, group, order, rows, group_rows)
+    chunked = _chunked(split, group, order, group_rows)
     before_chunk, within = _all_before(group, [F.col(_CHUNK)]), _all_before([*group, _CHUNK], order)
     offset = {name: f"_offset_{name}" for name in totals}
     offsets = (
@@ -134,11 +161,12 @@ def total_before(
         .withColumns({offset[name]: F.sum(offset[name]).over(before_chunk) for name in totals})
     )
     local = chunked.withColumns({name: F.sum(column).over(within) for name, column in totals.items()})
-    return (
+    hot = (
         null_safe_join(local, offsets, [*group, _CHUNK])
         .withColumns({name: _sum_of(name, offset[name]) for name in totals})
         .drop(_CHUNK, *offset.values())
     )
+    return plain(split.fitting).unionByName(hot) if group else hot
 
 
 def _all_before(group: list[str], order: list[Column]) -> WindowSpec:
@@ -162,17 +190,23 @@ def with_rank(
 ) -> DataFrame:
     """Add RANK by `value` descending (NULLs last): ties share a rank, the next one is skipped."""
     highest_first = F.col(value).desc_nulls_last()
-    if _rows_to_split(df, group, group_rows, rows) is None:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(highest_first)))
+
+    def plain(some: DataFrame) -> DataFrame:
+        return some.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(highest_first)))
+
+    split = _split(df, group, group_rows, rows)
+    if split is None:
+        return plain(df)
 
     # A rank is one plus the number of rows with a greater value. Counting per
     # distinct value first turns any number of ties into one row.
-    peers, values = stage_counted(df.groupBy(*group, value).agg(F.count(F.lit(1)).alias(_PEERS)))
+    peers, values = stage_counted(split.hot.groupBy(*group, value).agg(F.count(F.lit(1)).alias(_PEERS)))
     greater = total_before(
         peers, group, [highest_first], {name: _PEERS}, group_rows=group_rows, rows=values
     )
     place = (F.coalesce(F.col(name), F.lit(0)) + 1).cast("int").alias(name)
-    return null_safe_join(df, greater.select(*group, value, place), [*group, value])
+    hot = null_safe_join(split.hot, greater.select(*group, value, place), [*group, value])
+    return plain(split.fitting).unionByName(hot)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

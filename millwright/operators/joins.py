@@ -34,6 +34,21 @@ def weights(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
 
 
+def weights_by_key(
+    df: DataFrame, key: str, *columns: str, hot_key_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
+    """`weights` of columns that include the join key, in one shuffle where no key is hot.
+
+    Rows go to their key's partition first and are combined there, which the
+    join then reuses. Where some key holds very many rows they are combined by
+    all columns first, so that the key arrives as few rows, at the price of a
+    second shuffle. `df` should be a stored table.
+    """
+    if hot_keys(df, key, hot_key_rows) is None:
+        df = df.select(*columns).repartition(key)
+    return weights(df, *columns)
+
+
 def weights_if_hot(
     df: DataFrame, key: str, *columns: str, hot_key_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millwright.functions import boundary_minutes, percent_of, week_start
-from millwright.operators.joins import WEIGHT, weights
+from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, weights_by_key
 
 # The event types that count as downtime, and their columns.
 DOWNTIME_COLUMNS = {
@@ -30,7 +30,9 @@ def minutes_by_type(events: DataFrame, *keys: str) -> DataFrame:
     return events.groupBy(*keys).agg(*per_type, F.sum(minutes).alias("total_downtime_mins"))
 
 
-def defects_by_category(quality: DataFrame, production: DataFrame, products: DataFrame) -> DataFrame:
+def defects_by_category(
+    quality: DataFrame, production: DataFrame, products: DataFrame, *, hot_key_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
     """Daily defects and inspected units per line, shift and product category.
 
     Same sums as over the row-level joins, but the batch's products enter as
@@ -38,7 +40,9 @@ def defects_by_category(quality: DataFrame, production: DataFrame, products: Dat
     product table is joined: the second join sees line x shift x day x product
     rows instead of one per batch, also for batches without a product.
     """
-    products_of_batch = weights(production, "batch_id", "product_id")
+    products_of_batch = weights_by_key(
+        production, "batch_id", "batch_id", "product_id", hot_key_rows=hot_key_rows
+    )
     copies = F.coalesce(F.col(WEIGHT), F.lit(1))
     per_product = (
         quality.select(

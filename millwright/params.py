@@ -26,6 +26,8 @@ class Params:
     bronze_path: str = "bronze"
     silver_path: str = "silver"
     serving_path: str = "serving"
+    # In front of the catalog's namespaces when publishing there.
+    catalog_prefix: str = ""
 
     # Fixed values of the domain.
     max_late_event_hours: float = 24

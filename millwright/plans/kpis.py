@@ -26,15 +26,17 @@ DISPLAY: dict[str, list[tuple[str, bool]]] = {
 }
 
 
+def display_sql(name: str) -> list[str]:
+    """The sort expressions of the named indicator, NULLs last."""
+    return [f"{c} {'DESC' if down else 'ASC'} NULLS LAST" for c, down in DISPLAY.get(name, [])]
+
+
 def in_display_order(df: DataFrame, name: str) -> DataFrame:
     """Sorted as the named indicator is shown, NULLs last.
 
     Pass a stored table: a global sort reads its input twice.
     """
-    keys = [
-        F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last()
-        for c, down in DISPLAY.get(name, [])
-    ]
+    keys = [F.expr(c).desc_nulls_last() if down else F.expr(c).asc_nulls_last() for c, down in DISPLAY.get(name, [])]
     return df.orderBy(*keys) if keys else df
 
 
@@ -45,6 +47,7 @@ def kpi_defect_rate(
     *,
     window_rows: int = 7,
     calendar_days: int | None = None,
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Daily defect rate per line, shift and category with its rolling mean.
 
@@ -52,7 +55,7 @@ def kpi_defect_rate(
     last `calendar_days` days of the calendar. A window group holds one row per
     day, so the calendar bounds it and an ordinary window is safe.
     """
-    daily = defects_by_category(quality, production, products)
+    daily = defects_by_category(quality, production, products, hot_key_rows=hot_key_rows)
     if calendar_days is None:
         frame = (
             Window.partitionBy(*_CELL)

@@ -1,33 +1,43 @@
 """The whole day: raw files to indicators, with checks in front of the serving tables.
 
 Each step reads what the step before it wrote, so a step can be run again on
-its own: ingest, quality and downtime, check, publish, indicators. Independent
-jobs of a step run side by side.
+its own: ingest, quality and downtime, check, publish, indicators. The row
+counts of the last ingest and the last passed check are stored, so steps run one
+by one check and publish as the whole day does. Independent jobs of a step run
+side by side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from millwright.operators.checks import NullShare, RowCountDeviation, Rule, UniqueKeys, run_checks
+from millwright.operators.checks import (
+    LateEvents, NullShare, RowCountDeviation, Rule, UniqueKeys, run_checks,
+)
 from millwright.params import Params
 from millwright.plans import kpis
 from millwright.plans.bronze import Ingested, ingest
 from millwright.plans.publish import (
-    ANALYTICS, Published, conform, create_tables, publish, read_published, register_view,
+    ANALYTICS, Published, conform, constraint_rules, create_tables, create_view, publish, read_published,
+    register_view,
 )
 from millwright.plans.silver import downtime_metrics, quality_metrics
-from millwright.schemas import INGESTED_AT
+from millwright.schemas import INGESTED_AT, RAW
 from millwright.sources import read_parquet, write_parquet
 from millwright.workspace import concurrently, scratch
 
 _HISTORY = "row_count_history"
 _HISTORY_SCHEMA = "dataset string, run_at timestamp, n_rows bigint"
+# Beside the tables: what the last ingest read and kept, and which ingest last passed the gate.
+_COUNTS = "ingest_counts"
+_COUNTS_SCHEMA = "dataset string, path string, rows_read bigint, rows_kept bigint, run_at timestamp"
+_PASSED = "gate_passed"
+_PASSED_SCHEMA = "run_at timestamp"
 
 
 class QualityGateError(RuntimeError):
@@ -73,17 +83,93 @@ def build_downtime(spark: SparkSession, params: Params) -> None:
     write_parquet(metrics, f"{params.silver_path}/downtime_metrics")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def _history(spark: SparkSession, params: Params) -> tuple[DataFrame, str]:
     """Row counts of the accepted runs, a few rows per run; empty before the first."""
     path = f"{params.silver_path}/{_HISTORY}"
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    if _exists(spark, path):
         return spark.read.schema(_HISTORY_SCHEMA).parquet(path), path
     return spark.createDataFrame([], _HISTORY_SCHEMA), path
 
 
-def default_rules(params: Params) -> list[Rule]:
-    """Keys unique and complete in both metric tables, at the configured thresholds."""
+def ingest_raw(
+    spark: SparkSession, params: Params, *, infer: bool = False, as_of: datetime | None = None
+) -> list[Ingested]:
+    """Land all raw files and store what was read and kept, one row per dataset."""
+    run_at = as_of or datetime.now()
+    ingested = ingest(spark, params.raw_path, params.bronze_path, infer=infer, as_of=as_of)
+    counts = [(i.dataset, i.path, i.rows_read, i.rows_kept, run_at) for i in ingested]
+    table = spark.createDataFrame(counts, _COUNTS_SCHEMA).coalesce(1)
+    write_parquet(table, f"{params.bronze_path}/{_COUNTS}")
+    return ingested
+
+
+def last_ingest(spark: SparkSession, params: Params) -> tuple[list[Ingested], datetime | None]:
+    """What the last ingest kept, and when it ran; nothing if none was stored."""
+    path = f"{params.bronze_path}/{_COUNTS}"
+    if not _exists(spark, path):
+        return [], None
+    rows = spark.read.schema(_COUNTS_SCHEMA).parquet(path).collect()
+    return [Ingested(r.dataset, r.path, r.rows_read, r.rows_kept) for r in rows], rows[0].run_at
+
+
+def require_passed_gate(spark: SparkSession, params: Params) -> None:
+    """An error unless the last ingest has passed the check."""
+    _, run_at = last_ingest(spark, params)
+    path = f"{params.silver_path}/{_PASSED}"
+    passed = spark.read.schema(_PASSED_SCHEMA).parquet(path).first() if _exists(spark, path) else None
+    if run_at is None or passed is None or passed.run_at != run_at:
+        raise RuntimeError("the last ingest has not passed the check; run it before publishing")
+
+
+def require_dimensions(dimensions: Mapping[str, DataFrame]) -> None:
+    """An error unless `dim_product` is there and every dimension has its columns."""
+    if "dim_product" not in dimensions:
+        raise ValueError("dim_product is needed: no raw file carries the product categories")
+    for name, df in dimensions.items():
+        conform(df, name)
+
+
+def serving_sources(
+    spark: SparkSession, params: Params, dimensions: Mapping[str, DataFrame], *, inspections: bool = False
+) -> dict[str, DataFrame]:
+    """What each serving table is filled from."""
+    sources = {
+        "fact_quality_metrics": silver(spark, params, "quality_metrics"),
+        "fact_downtime_metrics": silver(spark, params, "downtime_metrics"),
+        "fact_production": bronze(spark, params, "production_records"),
+        "material_batches": bronze(spark, params, "material_batches"),
+        **dimensions,
+    }
+    if inspections:
+        sources["fact_inspection"] = bronze(spark, params, "inspection_results")
+    return sources
+
+
+def gate_tables(
+    spark: SparkSession, params: Params, dimensions: Mapping[str, DataFrame], as_of: datetime | None = None
+) -> dict[str, DataFrame]:
+    """The tables that rules may name: raw ones as landed, both metric tables, and the serving tables.
+
+    Serving tables go by their upper-case names, as they are in the store, and are
+    looked at in the form that would be published.
+    """
+    tables = {name: bronze(spark, params, name) for name in RAW}
+    tables |= {name: silver(spark, params, name) for name in ("quality_metrics", "downtime_metrics")}
+    served = serving_sources(spark, params, dimensions, inspections=True)
+    return tables | {name.upper(): conform(df, name, as_of) for name, df in served.items()}
+
+
+def default_rules(params: Params, dimensions: Iterable[str] = ()) -> list[Rule]:
+    """Keys and required columns of what is published, raw keys, late events, and the metric tables' keys.
+
+    The metric tables come out of groupings by their keys, so what can go wrong
+    with them is NULL keys; repeated keys can only be in raw and serving tables.
+    """
     grains = {
         "quality_metrics": ("production_line", "shift_id", "batch_id", "production_date"),
         "downtime_metrics": ("machine_id", "production_line", "shift_id"),
@@ -92,6 +178,10 @@ def default_rules(params: Params) -> list[Rule]:
     for table, keys in grains.items():
         rules.append(UniqueKeys(table, keys, params.duplicate_tolerance))
         rules.append(NullShare(table, keys, params.null_threshold_pct))
+    rules.append(UniqueKeys("inspection_results", ("inspection_id",), params.duplicate_tolerance))
+    rules.append(LateEvents("inspection_results", "inspection_timestamp", INGESTED_AT, params.max_late_event_hours))
+    for table in ("fact_production", *dimensions):
+        rules += [replace(rule, table=table.upper()) for rule in constraint_rules(table)]
     return rules
 
 
@@ -111,22 +201,30 @@ def gate(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> list[Row]:
 def check(
     spark: SparkSession,
     params: Params,
-    ingested: Iterable[Ingested] = (),
+    ingested: Iterable[Ingested] | None = None,
     *,
+    dimensions: Mapping[str, DataFrame] | None = None,
     rules: Iterable[Rule] | None = None,
     as_of: datetime | None = None,
+    accept_row_counts: bool = False,
 ) -> list[Row]:
-    """The gate over the metric tables and the row counts of this run.
+    """The gate over raw, metric and serving tables and the row counts of this run.
 
-    The count of every ingested dataset is held against the mean of the accepted
-    runs before it. A run that passes joins that history.
+    The count of every ingested dataset (by default of the last ingest) is held
+    against the mean of the accepted runs before it. A run that passes joins that
+    history, and may be published. Where volumes have changed for good, no run
+    would pass again: `accept_row_counts` leaves that one rule out for this run
+    and takes its counts into the history.
     """
-    run_at, ingested = as_of or datetime.now(), list(ingested)
-    tables = {name: silver(spark, params, name) for name in ("quality_metrics", "downtime_metrics")}
-    rules = list(default_rules(params) if rules is None else rules)
+    dimensions = dimensions or {}
+    stored, stored_at = last_ingest(spark, params)
+    ingested = stored if ingested is None else list(ingested)
+    run_at = as_of or stored_at or datetime.now()
+    tables = gate_tables(spark, params, dimensions, as_of)
+    rules = list(default_rules(params, dimensions) if rules is None else rules)
     current = spark.createDataFrame([(i.dataset, run_at, i.rows_kept) for i in ingested], _HISTORY_SCHEMA)
     history, path = _history(spark, params)
-    if ingested:
+    if ingested and not accept_row_counts:
         datasets = [i.dataset for i in ingested]
         earlier = history.where((F.col("run_at") < F.lit(run_at)) & F.col("dataset").isin(datasets))
         tables[_HISTORY] = earlier.unionByName(current)
@@ -137,6 +235,9 @@ def check(
         report = gate(tables, rules)
     if ingested and history.where(F.col("run_at") == F.lit(run_at)).isEmpty():
         current.coalesce(1).write.mode("append").parquet(path)
+    if stored_at is not None:
+        passed = spark.createDataFrame([(stored_at,)], _PASSED_SCHEMA).coalesce(1)
+        write_parquet(passed, f"{params.silver_path}/{_PASSED}")
     return report
 
 
@@ -153,20 +254,13 @@ def publish_tables(
     No indicator reads single inspections, by far the largest table, so they are
     copied to the serving store only on request.
     """
-    sources = {
-        "fact_quality_metrics": silver(spark, params, "quality_metrics"),
-        "fact_downtime_metrics": silver(spark, params, "downtime_metrics"),
-        "fact_production": bronze(spark, params, "production_records"),
-        "material_batches": bronze(spark, params, "material_batches"),
-        **dimensions,
-    }
-    if inspections:
-        sources["fact_inspection"] = bronze(spark, params, "inspection_results")
-    folder = params.serving_path or None
+    sources = serving_sources(spark, params, dimensions, inspections=inspections)
+    folder, prefix = params.serving_path or None, params.catalog_prefix
     if folder is None:
-        create_tables(spark)
+        create_tables(spark, prefix=prefix)
     jobs = [
-        partial(publish, conform(df, name, as_of), name, folder=folder) for name, df in sources.items()
+        partial(publish, conform(df, name, as_of), name, folder=folder, prefix=prefix)
+        for name, df in sources.items()
     ]
     return dict(zip(sources, concurrently(spark, jobs)))
 
@@ -180,7 +274,7 @@ def kpi_jobs(
         "kpi_defect_rate": partial(
             kpis.kpi_defect_rate,
             tables["fact_quality_metrics"], tables["fact_production"], tables["dim_product"],
-            window_rows=params.defect_window_rows,
+            window_rows=params.defect_window_rows, hot_key_rows=params.hot_key_rows,
         ),
         "kpi_throughput": partial(kpis.kpi_throughput, tables["fact_production"], **limits),
         "kpi_downtime": partial(
@@ -201,17 +295,26 @@ def refresh_kpis(
     published: Mapping[str, Published],
     as_of: datetime | None = None,
 ) -> dict[str, Published]:
-    """Indicators as tables of the analytics namespace, each with a view of its name on top."""
+    """Indicators as tables of the analytics namespace, each with a view of its name on top.
+
+    In the catalog the view lasts and the table behind it is `<NAME>_DATA`. Over
+    folders there is no catalog to keep a view, so it lives as long as the session.
+    """
     tables = {name: read_published(spark, p) for name, p in published.items()}
     builders = kpi_jobs(tables, params, as_of)
+    folder, prefix = params.serving_path or None, params.catalog_prefix
 
     def store(name: str) -> Published:
-        return publish(builders[name](), name, folder=params.serving_path or None, namespace=ANALYTICS)
+        table = name if folder else f"{name}_data"
+        return publish(builders[name](), table, folder=folder, namespace=ANALYTICS, prefix=prefix)
 
     with scratch(spark):
         stored = dict(zip(builders, concurrently(spark, [partial(store, name) for name in builders])))
     for name, table in stored.items():
-        register_view(kpis.in_display_order(read_published(spark, table), name), name)
+        if folder:
+            register_view(kpis.in_display_order(read_published(spark, table), name), name)
+        else:
+            create_view(spark, f"{prefix}{ANALYTICS}.{name}", table.location, kpis.display_sql(name))
     return stored
 
 
@@ -225,19 +328,24 @@ def run_pipeline(
     rules: Iterable[Rule] | None = None,
     infer: bool = False,
     publish_inspections: bool = False,
+    accept_row_counts: bool = False,
 ) -> RunReport:
     """Ingest, build both metric tables, check, publish, and refresh the indicators.
 
     `dimensions` must hold `dim_product` (no raw file carries it) and may hold
     the other dimensions. An empty `serving_path` publishes to the catalog.
     """
+    require_dimensions(dimensions)
     run = RunReport()
-    run.ingested = ingest(spark, params.raw_path, params.bronze_path, infer=infer, as_of=as_of)
+    run.ingested = ingest_raw(spark, params, infer=infer, as_of=as_of)
     concurrently(spark, [
         partial(build_quality, spark, params, late_reference),
         partial(build_downtime, spark, params),
     ])
-    run.checks = check(spark, params, run.ingested, rules=rules, as_of=as_of)
+    run.checks = check(
+        spark, params, run.ingested, dimensions=dimensions, rules=rules, as_of=as_of,
+        accept_row_counts=accept_row_counts,
+    )
     run.published = publish_tables(spark, params, dimensions, as_of, inspections=publish_inspections)
     indicators = refresh_kpis(spark, params, run.published, as_of)
     run.published.update(indicators)

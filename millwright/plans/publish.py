@@ -59,16 +59,16 @@ def constraint_rules(table: str) -> list[Rule]:
     return rules
 
 
-def create_namespaces(spark: SparkSession) -> None:
+def create_namespaces(spark: SparkSession, prefix: str = "") -> None:
     for name in (STAGING, ANALYTICS):
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{name}")
 
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "\\'") + "'"
 
 
-def table_definition(table: str, source: str = "parquet") -> str:
+def table_definition(table: str, source: str = "parquet", prefix: str = "") -> str:
     """CREATE TABLE for a serving table: types, defaults and comment.
 
     Keys and NOT NULL are left to `constraint_rules`, since file tables do not
@@ -82,16 +82,16 @@ def table_definition(table: str, source: str = "parquet") -> str:
         columns.append(f"{column.name} {column.dataType.simpleString()}{suffix}")
     comment = f" COMMENT {_text(spec.comment)}" if spec.comment else ""
     return (
-        f"CREATE TABLE IF NOT EXISTS {STAGING}.{table.upper()} ({', '.join(columns)}) "
+        f"CREATE TABLE IF NOT EXISTS {prefix}{STAGING}.{table.upper()} ({', '.join(columns)}) "
         f"USING {source}{comment}"
     )
 
 
-def create_tables(spark: SparkSession, source: str = "parquet") -> None:
+def create_tables(spark: SparkSession, source: str = "parquet", prefix: str = "") -> None:
     """Both namespaces and every serving table that does not exist yet."""
-    create_namespaces(spark)
+    create_namespaces(spark, prefix)
     for table in SERVING:
-        spark.sql(table_definition(table, source))
+        spark.sql(table_definition(table, source, prefix))
 
 
 def publish(
@@ -100,14 +100,15 @@ def publish(
     *,
     folder: str | None = None,
     namespace: str = STAGING,
+    prefix: str = "",
     source: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> Published:
     """Replace a table with `df`, written by the executors, and report the rows.
 
     With `folder` the table is `<folder>/<namespace>/<TABLE>`; otherwise it is
-    `<namespace>.<TABLE>` of the catalog, where a defined serving table keeps its
-    definition and any other is created or replaced. `source` and `options`
+    `<prefix><namespace>.<TABLE>` of the catalog, where a defined serving table keeps
+    its definition and any other is created or replaced. `source` and `options`
     select any Spark data source that is installed. Failures are raised.
     """
     name = table.upper()
@@ -118,7 +119,7 @@ def publish(
         location = f"{folder.rstrip('/')}/{namespace}/{name}"
         writer.save(location)
     else:
-        location = f"{namespace}.{name}"
+        location = f"{prefix}{namespace}.{name}"
         if namespace == STAGING and table in SERVING and df.sparkSession.catalog.tableExists(location):
             counted.write.insertInto(location, overwrite=True)
         else:
@@ -134,3 +135,12 @@ def read_published(spark: SparkSession, published: Published, source: str = "par
 
 def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
+
+
+def create_view(spark: SparkSession, name: str, table: str, order: list[str]) -> None:
+    """A lasting view over a catalog table, for every session of the catalog.
+
+    `order` is what rows are shown by, as SQL sort expressions.
+    """
+    sort = f" ORDER BY {', '.join(order)}" if order else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}{sort}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.functions import availability_pct, defect_rate
-from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, salted_join, weights, weights_if_hot
+from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, salted_join, weights_by_key, weights_if_hot
 from millwright.operators.metrics import DOWNTIME_COLUMNS, minutes_by_type
 from millwright.operators.rows import drop_late, of_types
 from millwright.schemas import INGESTED_AT
@@ -82,7 +82,7 @@ def _by_production_time(
             F.col("inspection_id").isNotNull().cast("int").alias("_inspected"),
             F.xxhash64("inspection_id", "inspection_timestamp").alias("_spread"),
         ),
-        weights(production, *_GRAIN, reference),
+        weights_by_key(production, "batch_id", *_GRAIN, reference, hot_key_rows=hot_key_rows),
         "batch_id",
         ["_spread"],
         hot_key_rows=hot_key_rows,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -10,7 +12,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
@@ -32,24 +34,54 @@ def open_session(app_name: str = "millwright", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+# All tasks run in the driver's own process; `local-cluster[...]` is a cluster.
+_ONE_PROCESS = re.compile(r"local(\[.*\])?")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's `spark.checkpoint.dir`; a temporary folder only in local mode."""
+    """The session's `spark.checkpoint.dir`; a temporary folder only in local mode.
+
+    Whether a folder named there is shared cannot be seen from its name (a
+    `file:` path may be mounted everywhere), so it is taken at its word.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not _ONE_PROCESS.fullmatch(context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="millwright-")
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+_LEFT: set[str] = set()
+
+
+def _remove(context: SparkContext, folder: str) -> None:
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def _remove_left_folders() -> None:
+    """Run folders that no `scratch` block has removed go when the program ends, if Spark still runs."""
+    context = SparkContext._active_spark_context
+    if context is not None and context._jsc is not None:
+        for folder in _LEFT:
+            _remove(context, folder)
+
+
 def run_folder(spark: SparkSession) -> str:
-    """A fresh sub-folder of the shared folder for tables written and read back in one run."""
-    return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder for tables written and read back in one run.
+
+    Lazy results may read from it, so it stays until the program ends.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _LEFT.add(folder)
+    return folder
 
 
 _SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
@@ -64,8 +96,8 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _SCRATCH.reset(token)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _LEFT.discard(folder)
+        _remove(spark.sparkContext, folder)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -73,7 +105,7 @@ def stage(df: DataFrame) -> DataFrame:
 
     The files survive a lost executor, later jobs read only the columns they
     need, and nobody repeats the joins and aggregations behind the frame. They
-    stay until the enclosing `scratch` block ends, or for the operator to remove.
+    stay until the enclosing `scratch` block ends, or else until the program does.
     """
     spark = df.sparkSession
     path = f"{_SCRATCH.get() or run_folder(spark)}/{uuid.uuid4().hex}"

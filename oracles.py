@@ -13,6 +13,7 @@ _INSPECTIONS = (
 _MATERIALS = standins.sql("material_batches")
 _PRODUCTS = standins.sql("dim_product")
 _MACHINES = standins.sql("dim_machine")
+_SHIFTS = standins.sql("dim_shift")
 
 _TABLES = f"""
 logs AS ({_LOGS}),
@@ -20,7 +21,8 @@ production AS ({_PRODUCTION}),
 inspections AS ({_INSPECTIONS}),
 materials AS ({_MATERIALS}),
 products AS ({_PRODUCTS}),
-machines AS ({_MACHINES})
+machines AS ({_MACHINES}),
+shifts AS ({_SHIFTS})
 """
 
 # Metrics straight from the definition: row-level joins, then one grouping.
@@ -141,7 +143,9 @@ logs AS (SELECT DISTINCT * FROM ({_LOGS}) r),
 production AS (SELECT DISTINCT * FROM ({_PRODUCTION}) r),
 inspections AS (SELECT DISTINCT * FROM ({_INSPECTIONS}) r),
 materials AS (SELECT DISTINCT * FROM ({_MATERIALS}) r),
-products AS ({_PRODUCTS})
+products AS ({_PRODUCTS}),
+machines AS ({_MACHINES}),
+shifts AS ({_SHIFTS})
 """
 
 
@@ -181,18 +185,17 @@ SELECT DISTINCT CAST(batch_id AS VARCHAR) AS batch_id, CAST(product_id AS VARCHA
        TIMESTAMP '2000-01-01 00:00:00' AS ingestion_timestamp
 FROM production""",
     "bronze_table_counts": _with() + _UNION.join([
-        _counts("machine_logs", "logs"),
-        _counts("production_records", "production"),
-        _counts("inspection_results", f"({standins.sql('inspection_results')}) s"),
-        _counts("material_batches", "materials"),
+        _counts(dataset, f"({standins.sql_with_copies(dataset)}) s") for dataset in standins.COPIED
     ]),
-    "bronze_ingest": _with() + """
-SELECT DISTINCT *, TIMESTAMP '2000-01-01 00:00:00' AS ingestion_timestamp FROM logs""",
-    "bronze_dedup": _with() + "SELECT DISTINCT inspection_id, batch_id FROM inspections",
-    "bronze_dedup_stats": _with() + """
+    "bronze_ingest": f"""
+SELECT DISTINCT *, TIMESTAMP '2000-01-01 00:00:00' AS ingestion_timestamp
+FROM ({standins.sql_with_copies("machine_logs")}) r""",
+    "bronze_dedup": f"SELECT DISTINCT * FROM ({standins.sql_with_copies('inspection_results')}) r",
+    "bronze_dedup_stats": f"""
+WITH raw AS ({standins.sql_with_copies("inspection_results")})
 SELECT n AS rows_read, k AS rows_kept, n - k AS rows_dropped
-FROM (SELECT COUNT(*) AS n FROM inspections) a,
-     (SELECT COUNT(*) AS k FROM (SELECT DISTINCT inspection_id, batch_id FROM inspections) d) b""",
+FROM (SELECT COUNT(*) AS n FROM raw) a,
+     (SELECT COUNT(*) AS k FROM (SELECT DISTINCT * FROM raw) d) b""",
     "inspection_delay_hours": _with() + """
 SELECT i.inspection_id, i.batch_id, i.inspection_timestamp, p.end_time,
        (epoch_us(i.inspection_timestamp) - epoch_us(p.end_time)) / 3.6e9 AS delay_hours
@@ -363,3 +366,70 @@ FROM daily""",
         }.items()
     ),
 }
+
+_GRAINS = {
+    "quality": ("quality_metrics", "production_line,shift_id,batch_id,production_date"),
+    "downtime": ("downtime_metrics", "machine_id,production_line,shift_id"),
+}
+_REQUIRED = {
+    "production": ("FACT_PRODUCTION", "batch_id", ("batch_id", "units_produced")),
+    "products": ("DIM_PRODUCT", "product_id", ("product_id",)),
+    "machines": ("DIM_MACHINE", "machine_id", ("machine_id", "production_line")),
+    "shifts": ("DIM_SHIFT", "shift_id", ("shift_id",)),
+}
+_GATE = _UNION.join([
+    *(_duplicate_row(table, keys, alias) for table, (alias, keys) in _GRAINS.items()),
+    *(
+        _null_row(table, column, alias).format(threshold="0.05e0")
+        for table, (alias, keys) in _GRAINS.items() for column in keys.split(",")
+    ),
+    _duplicate_row("inspections", "inspection_id", "inspection_results"),
+    """
+SELECT 'late_events', 'inspection_results', 'inspection_timestamp', CAST(n AS DOUBLE), 0.0e0, n = 0
+FROM (SELECT COUNT(*) FILTER (
+          WHERE epoch_us(inspection_timestamp) - epoch_us(ingestion_timestamp) > 86400000000) AS n
+      FROM inspections) c""",
+    *(_duplicate_row(table, key, alias) for table, (alias, key, _) in _REQUIRED.items()),
+    *(
+        _null_row(table, column, alias).format(threshold="0.0e0")
+        for table, (alias, _, columns) in _REQUIRED.items() for column in columns
+    ),
+])
+
+# The same results by another plan, and what depends on the order of rows or on the catalog.
+ORACLES |= {
+    "silver_quality_end_time_split": ORACLES["silver_quality_end_time"],
+    "kpi_throughput_split": ORACLES["kpi_throughput"],
+    "throughput_rank_split": _with(_HOURLY) + """
+SELECT production_line, shift_id, production_date,
+       CAST(RANK() OVER (PARTITION BY production_line ORDER BY uph DESC NULLS LAST) AS INTEGER) AS line_rank
+FROM hourly""",
+    "downtime_daily_cumulative_split": ORACLES["downtime_daily_cumulative"],
+    "kpi_material_batch_split": ORACLES["kpi_material_batch"],
+    "gate_report": _with(_QUALITY_DEFAULT, _downtime()) + _GATE,
+    "display_order_defect_rate": _with(_QUALITY_DEFAULT, _DAILY) + """
+SELECT production_date, production_line, shift_id, product_category,
+       ROW_NUMBER() OVER (ORDER BY production_date DESC NULLS LAST, production_line NULLS LAST,
+                                   shift_id NULLS LAST, product_category NULLS LAST) AS place
+FROM daily""",
+    "display_order_material_batch": _with(_QUALITY_DEFAULT, _BATCHES) + """
+SELECT supplier_id, received_date, batch_id, material_id, defect_rate,
+       ROW_NUMBER() OVER (ORDER BY supplier_id NULLS LAST, received_date DESC NULLS LAST, batch_id NULLS LAST,
+                                   material_id NULLS LAST, defect_rate NULLS LAST) AS place
+FROM batches""",
+    "catalog_tables": "WITH " + ",".join((_LANDED, _QUALITY_DEFAULT, _downtime())) + _UNION.join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, {columns} AS n_columns FROM {table}"
+        for name, (table, columns) in {
+            "dim_machine": ("machines", 5), "dim_product": ("products", 3), "dim_shift": ("shifts", 4),
+            "fact_production": ("production", 8), "fact_inspection": ("inspections", 7),
+            "fact_quality_metrics": ("quality", 8), "fact_downtime_metrics": ("downtime", 9),
+            "material_batches": ("materials", 5),
+        }.items()
+    ),
+    "catalog_kpi_throughput": "WITH " + ",".join((_LANDED, _HOURLY, _PREVIOUS)) + """
+SELECT production_line, shift_id, production_date,
+       ROUND(uph, 6) AS units_per_hour, ROUND(prev, 6) AS prev_shift_uph,
+       ROUND((uph - prev) / NULLIF(prev, 0) * 100, 6) AS pct_change_vs_prev,
+       CAST(RANK() OVER (PARTITION BY production_date ORDER BY uph DESC NULLS LAST) AS INTEGER) AS throughput_rank
+FROM previous""",
+}

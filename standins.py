@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 class StandIn:
     source: str
     columns: dict[str, str]
-    where: str | None = None
+    distinct: bool = False
 
     def sql(self, source: str) -> str:
         chosen = ", ".join(f"{text} AS {name}" for name, text in self.columns.items())
-        return f"SELECT {chosen} FROM {source}" + (f" WHERE {self.where}" if self.where else "")
+        return f"SELECT {'DISTINCT ' if self.distinct else ''}{chosen} FROM {source}"
 
 
 # The projections.
@@ -58,7 +58,13 @@ STAND_INS: dict[str, StandIn] = {
         "supplier_id": "l_suppkey",
         "received_date": "cast(l_shipdate as date)",
         "quality_grade": "l_returnflag",
-    }, where="l_linenumber = 1"),
+    }),
+    "dim_shift": StandIn("orders", {
+        "shift_id": "concat('S', substring(o_orderpriority, 1, 1))",
+        "shift_name": "substring(o_orderpriority, 3, 20)",
+        "start_time": "concat(lpad(cast((cast(substring(o_orderpriority, 1, 1) as int) - 1) * 4 as varchar(10)), 2, '0'), ':00:00')",
+        "end_time": "concat(lpad(cast(cast(substring(o_orderpriority, 1, 1) as int) * 4 as varchar(10)), 2, '0'), ':00:00')",
+    }, distinct=True),
     "dim_product": StandIn("part", {
         "product_id": "p_partkey",
         "product_category": "p_type",
@@ -73,14 +79,31 @@ STAND_INS: dict[str, StandIn] = {
 }
 
 
+# Which rows of a raw table come a second time where copies are wanted.
+COPIED: dict[str, str] = {
+    "machine_logs": "duration_minutes % 3 = 0",
+    "production_records": "batch_id % 5 = 0",
+    "inspection_results": "batch_id % 4 = 0",
+    "material_batches": "batch_id % 7 = 0",
+}
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     stand_in = STAND_INS[table]
     df = spark.read.parquet(f"{folder}/{stand_in.source}.parquet")
-    if stand_in.where:
-        df = df.where(stand_in.where)
-    return df.selectExpr(*[f"{text} AS {name}" for name, text in stand_in.columns.items()])
+    df = df.selectExpr(*[f"{text} AS {name}" for name, text in stand_in.columns.items()])
+    return df.distinct() if stand_in.distinct else df
 
 
 def sql(table: str) -> str:
     stand_in = STAND_INS[table]
     return stand_in.sql(stand_in.source)
+
+
+def with_copies(df: DataFrame, table: str) -> DataFrame:
+    """A raw table in which a fixed share of the rows comes twice."""
+    return df.unionAll(df.where(COPIED[table]))
+
+
+def sql_with_copies(table: str) -> str:
+    return f"SELECT * FROM ({sql(table)}) a UNION ALL SELECT * FROM ({sql(table)}) b WHERE {COPIED[table]}"

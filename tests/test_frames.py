@@ -50,9 +50,13 @@ def test_chunks_split_the_hot_group(spark):
     from millwright.operators import frames
 
     df = skewed(spark, 2000, 9)
-    chunked = frames._chunked(df, ["grp"], frames._ascending(["day", "id"]), 2000, 100)
+    split = frames._split(df, ["grp"], 300, None)
+    assert {r["grp"] for r in split.hot.select("grp").distinct().collect()} == {"hot", None}
+    assert split.hot.count() == split.hot_rows == 2000 - split.fitting.count()
+    chunked = frames._chunked(split, ["grp"], frames._ascending(["day", "id"]), 100)
     sizes = [r["count"] for r in chunked.groupBy("grp", "_chunk").count().collect()]
-    assert max(sizes) < 400 and sum(sizes) == 2000
+    assert max(sizes) < 400 and sum(sizes) == split.hot_rows
+    assert frames._split(df, ["grp"], 2000, None) is None
 
 
 @pytest.mark.parametrize("n,limit,seed", [(400, 10, 1), (400, 3, 2), (50, 1, 3)])

@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog import QUERIES
+from oracles import ORACLES
 from tools.compare import compare, database
 
 
@@ -13,10 +15,16 @@ def connection(testdata):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+def test_copies_are_dropped(spark, testdata):
+    for row in QUERIES["bronze_table_counts"](spark, testdata).collect():
+        assert row["rows_dropped"] > 0 and row["rows_in_bronze"] == row["rows_read"] - row["rows_dropped"]
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_sql(spark, connection, testdata, name):
     assert compare(spark, connection, testdata, name) is None
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import standins
 from catalog import _as_raw
 from conftest import rows
-from millwright.operators.checks import NullShare, UniqueKeys
+from millwright.operators.checks import LateEvents, NullShare, UniqueKeys
 from millwright.params import Params
 from millwright.plans import bronze, pipeline, publish
 from millwright.schemas import BRONZE, RAW, SERVING, SILVER
@@ -37,9 +37,15 @@ def dimensions(spark, testdata):
     return {name: standins.load(spark, testdata, name) for name in ("dim_product", "dim_machine")}
 
 
+def on_time(params, dimensions):
+    """The default rules but for late events: at the fixed clock, some inspections are."""
+    return [r for r in pipeline.default_rules(params, dimensions) if not isinstance(r, LateEvents)]
+
+
 @pytest.fixture(scope="module")
 def run(spark, params, dimensions):
-    return pipeline.run_pipeline(spark, params, dimensions, as_of=AS_OF, publish_inspections=True)
+    rules = on_time(params, dimensions)
+    return pipeline.run_pipeline(spark, params, dimensions, as_of=AS_OF, rules=rules, publish_inspections=True)
 
 
 def test_bronze(spark, params, run):
@@ -91,7 +97,7 @@ def test_views_read_the_published_indicators(spark, run):
 
 def test_second_run_gives_the_same(spark, params, dimensions, run):
     before = {name: rows(publish.read_published(spark, p)) for name, p in run.published.items()}
-    again = pipeline.run_pipeline(spark, params, dimensions, as_of=AS_OF)
+    again = pipeline.run_pipeline(spark, params, dimensions, as_of=AS_OF, rules=on_time(params, dimensions))
     after = {name: rows(publish.read_published(spark, p)) for name, p in again.published.items()}
     assert set(before) - set(after) == {"fact_inspection"}
     assert after == {name: before[name] for name in after}
@@ -121,13 +127,102 @@ def test_row_counts_are_held_against_accepted_runs(spark, params, run):
     later = datetime(2000, 1, 2)
     steady = [replace(i, rows_kept=int(i.rows_kept * 1.19)) for i in run.ingested]
     jump = [replace(i, rows_kept=int(i.rows_kept * 2)) for i in run.ingested[:1]]
+    rules = on_time(params, ())
     with pytest.raises(pipeline.QualityGateError) as failed:
-        pipeline.check(spark, params, jump, as_of=later)
+        pipeline.check(spark, params, jump, rules=rules, as_of=later)
     assert [row["check"] for row in failed.value.failures] == ["row_count_deviation"]
-    report = pipeline.check(spark, params, steady, as_of=later)
+    report = pipeline.check(spark, params, steady, rules=rules, as_of=later)
     assert sum(row["check"] == "row_count_deviation" for row in report) == 4
     history = spark.read.parquet(f"{params.silver_path}/row_count_history")
     assert history.groupBy("run_at").count().count() == 2 and history.count() == 8
+    # A lasting change is accepted on request, once, and later runs are held against it too.
+    accepted = pipeline.check(spark, params, jump, rules=rules, as_of=datetime(2000, 1, 3), accept_row_counts=True)
+    assert all(row["check"] != "row_count_deviation" for row in accepted)
+    assert spark.read.parquet(f"{params.silver_path}/row_count_history").count() == 9
+
+
+@pytest.fixture
+def small(tmp_path):
+    """Params over a tiny consistent day; a function adds production rows to it."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "machine_logs.csv").write_text(
+        "machine_id,timestamp,event_type,duration_minutes,production_line,shift_id\nM1,2024-01-01 01:00:00,idle,10,A,S1\n"
+    )
+    (raw / "inspection_results.csv").write_text(
+        "inspection_id,batch_id,defect_found,defect_type,measurement_value,inspector_id,inspection_timestamp\n"
+        "I1,B1,0,,1.5,X,2024-01-01 09:00:00\nI2,B1,1,scratch,2.5,X,2024-01-01 09:30:00\n"
+    )
+    (raw / "material_batches.csv").write_text("batch_id,material_id,supplier_id,received_date,quality_grade\nB1,MT,SP,2024-01-01,A\n")
+
+    def made(*more: str) -> Params:
+        lines = ["B1,P1,A,S1,100,2024-01-01,2024-01-01 00:00:00,2024-01-01 06:00:00", *more]
+        header = "batch_id,product_id,production_line,shift_id,units_produced,production_date,start_time,end_time"
+        (raw / "production_records.csv").write_text("\n".join([header, *lines]) + "\n")
+        return Params(str(raw), f"{tmp_path}/b", f"{tmp_path}/s", f"{tmp_path}/out")
+
+    return made
+
+
+@pytest.fixture
+def product(spark):
+    return {"dim_product": spark.createDataFrame([("P1", "pumps", 3.5)], "product_id string, product_category string, unit_price double")}
+
+
+def test_a_clean_day_passes_the_default_rules(spark, small, product):
+    run = pipeline.run_pipeline(spark, small(), product, as_of=datetime(2024, 1, 1, 12))
+    assert run.published["kpi_defect_rate"].rows == 1 and all(row["passed"] for row in run.checks)
+
+
+def test_raw_faults_stop_the_run(spark, small, product, tmp_path):
+    """A repeated batch, missing units and a late inspection; nothing is published."""
+    params = small("B1,P2,A,S1,,2024-01-01,2024-01-01 00:00:00,2024-01-01 06:00:00")
+    with pytest.raises(pipeline.QualityGateError) as failed:
+        pipeline.run_pipeline(spark, params, product, as_of=datetime(2023, 12, 1))
+    found = {(row["check"], row["table"], row["target"]) for row in failed.value.failures}
+    assert found == {
+        ("duplicates", "FACT_PRODUCTION", "batch_id"), ("nulls", "FACT_PRODUCTION", "units_produced"),
+        ("late_events", "inspection_results", "inspection_timestamp"),
+    }
+    assert not (tmp_path / "out").exists()
+    with pytest.raises(RuntimeError, match="not passed"):
+        pipeline.require_passed_gate(spark, params)
+
+
+def test_repeated_inspections_and_products_stop_the_run(spark, small, product, tmp_path):
+    params = small()
+    with open(f"{params.raw_path}/inspection_results.csv", "a") as more:
+        more.write("I2,B1,0,,2.5,X,2024-01-01 09:30:00\n")
+    twice = {"dim_product": product["dim_product"].unionAll(product["dim_product"])}
+    with pytest.raises(pipeline.QualityGateError) as failed:
+        pipeline.run_pipeline(spark, params, twice, as_of=datetime(2024, 1, 1, 12))
+    assert {row["table"] for row in failed.value.failures} == {"inspection_results", "DIM_PRODUCT"}
+    assert not (tmp_path / "out").exists()
+
+
+def test_missing_dimension_is_noticed_first(spark, small, tmp_path):
+    for given in ({}, {"dim_product": spark.range(1).toDF("x")}):
+        with pytest.raises(ValueError, match="product"):
+            pipeline.run_pipeline(spark, small(), given)
+    assert not (tmp_path / "b").exists()
+
+
+def test_steps_report_as_the_whole_day_does(spark, small, product):
+    as_of = datetime(2024, 1, 1, 12)
+    whole = pipeline.run_pipeline(spark, small(), product, as_of=as_of).checks
+    params = small()
+    with pytest.raises(RuntimeError):
+        pipeline.require_passed_gate(spark, replace(params, silver_path=params.silver_path + "x"))
+    pipeline.ingest_raw(spark, params, as_of=as_of)
+    pipeline.build_quality(spark, params)
+    pipeline.build_downtime(spark, params)
+    by_steps = pipeline.check(spark, params, dimensions=product, as_of=as_of)
+    assert sorted(map(str, by_steps)) == sorted(map(str, whole))
+    assert sum(row["check"] == "row_count_deviation" for row in by_steps) == 4
+    pipeline.require_passed_gate(spark, params)
+    pipeline.ingest_raw(spark, params, as_of=datetime(2024, 1, 2))
+    with pytest.raises(RuntimeError):
+        pipeline.require_passed_gate(spark, params)
 
 
 def test_steps_from_the_command_line(spark, params, dimensions, tmp_path):
@@ -140,6 +235,8 @@ def test_steps_from_the_command_line(spark, params, dimensions, tmp_path):
         f"storage: {{raw_layer_path: {params.raw_path}, bronze_layer_path: {tmp_path}/b, "
         f"silver_layer_path: {tmp_path}/s, serving_layer_path: {tmp_path}/out}}"
     )
+    with pytest.raises(RuntimeError, match="not passed"):
+        main(["publish", "--config", str(config), "--dimension", f"dim_product={products}"], spark)
     for step in ("ingest", "quality", "downtime", "check", "publish"):
         main([step, "--config", str(config), "--dimension", f"dim_product={products}"], spark)
     by_steps = spark.read.parquet(f"{tmp_path}/out/analytics/KPI_DEFECT_RATE").count()
@@ -151,12 +248,19 @@ def test_steps_from_the_command_line(spark, params, dimensions, tmp_path):
 
 
 def test_run_into_the_catalog(spark, params, dimensions, run):
-    pipeline.run_pipeline(spark, replace(params, serving_path=""), dimensions, as_of=AS_OF)
-    assert {r["tableName"] for r in spark.sql("SHOW TABLES IN analytics").collect() if not r["isTemporary"]} == {
-        "kpi_defect_rate", "kpi_throughput", "kpi_downtime", "kpi_material_batch_trends",
+    pipeline.run_pipeline(
+        spark, replace(params, serving_path=""), dimensions, as_of=AS_OF, rules=on_time(params, dimensions)
+    )
+    other = spark.newSession()
+    views = {"kpi_defect_rate", "kpi_throughput", "kpi_downtime", "kpi_material_batch_trends"}
+    assert {r["viewName"] for r in other.sql("SHOW VIEWS IN analytics").collect() if not r["isTemporary"]} == views
+    assert views | {f"{v}_data" for v in views} == {
+        r["tableName"] for r in other.sql("SHOW TABLES IN analytics").collect() if not r["isTemporary"]
     }
     stored = publish.read_published(spark, run.published["kpi_throughput"])
-    assert rows(spark.table("analytics.KPI_THROUGHPUT")) == rows(stored)
+    assert rows(other.table("analytics.KPI_THROUGHPUT")) == rows(stored)
+    dates = [r[0] for r in other.sql("SELECT production_date FROM analytics.kpi_defect_rate").collect()]
+    assert dates == sorted(dates, reverse=True)
 
 
 def test_conform_defaults_and_missing_columns(spark):

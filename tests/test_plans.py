@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import queries
 from catalog import Factory
+from millwright.operators import metrics
 from millwright.plans import kpis
 
 HEAVY = ["silver_quality", "silver_quality_end_time", "silver_downtime", "kpi_defect_rate", "kpi_throughput",
@@ -55,6 +56,16 @@ def test_quality_shuffles_each_side_once_and_reuses_the_batch_partitioning(spark
     assert text.index("partial_sum(defect_found") > text.index("Exchange hashpartitioning(batch_id")
 
 
+def test_production_is_shuffled_once(spark, testdata, shuffled):
+    """Rows go to their batch's partition, are combined there, and join there."""
+    assert plan(spark, testdata, "silver_quality_end_time").count("Exchange") == 2
+    t = Factory(spark, testdata)
+    text = metrics.defects_by_category(t.quality, t.production, t.products)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 7
+    hot = metrics.defects_by_category(t.quality, t.production.unionAll(t.production), t.products, hot_key_rows=1)
+    assert hot._jdf.queryExecution().executedPlan().toString().count("Exchange") == 8
+
+
 def test_one_window_per_specification(spark, testdata):
     assert plan(spark, testdata, "kpi_throughput").count("Window [") == 2
     # Stored before it is sorted for display, so the sort does not repeat the window.
