@@ -392,10 +392,27 @@ def test_jobs_side_by_side(spark):
     assert concurrently(spark, []) == []
 
 
-def test_no_temporary_folder_on_a_cluster():
+def test_left_folders_go_with_the_program(spark):
+    import os
+
+    from millwright import workspace
+
+    before, workspace._LEFT = workspace._LEFT, set()
+    try:
+        kept = stage(spark.range(3))
+        path = kept.inputFiles()[0].removeprefix("file://")
+        assert kept.count() == 3 and os.path.exists(path) and len(workspace._LEFT) == 1
+        workspace._remove_left_folders()
+        assert not os.path.exists(path)
+    finally:
+        workspace._LEFT = before
+
+
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[3,2,1024]", "spark://host:7077", "k8s://host"])
+def test_no_temporary_folder_on_a_cluster(master):
     from types import SimpleNamespace
 
-    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(RuntimeError):
         shared_folder(session)
