@@ -50,7 +50,7 @@ def words_of(text: str | None) -> list[bytes]:
 @dataclass
 class Checks:
     cosine: float = 0.25
-    copy: float = 0.8  # share of the item's words in order: taken as a copy
+    copy: float = 0.75  # share of the item's words in order: taken as a copy
     paraphrase: float = 0.6  # or this share, if the answer is there too
     answer: float = 0.8
     answer_words: int = 8

@@ -47,7 +47,7 @@ def test_finds_copies_and_leaves_the_rest(spark):
     rows, items, held = corpus()
     found = d.find_leaks(documents(spark, rows), benchmark(spark, items)).collect()
     assert {(r.doc_id, r.item_id) for r in found} == held
-    assert all(r.common_words >= 0.8 * r.item_words for r in found if r.kind == "copy")
+    assert all(r.common_words >= 0.75 * r.item_words for r in found if r.kind == "copy")
 
 
 def test_recall_of_the_retrieval_against_brute_force(spark):
