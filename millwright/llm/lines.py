@@ -39,17 +39,15 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: in
     parts = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ["h1", "h2", F.col("doc_id").desc(), "line_no"]
     ranged = hashes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    per_line = ranged.groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("first_id")
-    )
-    # Few lines are in more than one document; only those are looked at again.
-    repeated = per_line.filter((F.col("n") >= min_docs) & (F.col("low") <= F.col("first_id")))
-    held = ranged.join(repeated.select("h1", "h2", "first_id"), ["h1", "h2"])
-    held = stage(held.groupBy("h1", "h2", "doc_id", "first_id").agg(F.collect_list("line_no").alias("line_nos")))
-    # Several lines of one document are one here.
-    enough = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs)
+    # Several lines of one document are one here. Each task sends one row per line to the next step.
+    per_document = stage(ranged.groupBy("h1", "h2", "doc_id").agg(F.collect_list("line_no").alias("line_nos")))
+    per_line = per_document.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("first_id"))
+    repeated = stage(per_line.filter(F.col("docs") >= min_docs).select("h1", "h2", "first_id"))
+    # A merge join of stored tables, after which nothing needs a line's rows
+    # together: adaptive execution may split a line that is everywhere.
+    held = per_document.join(repeated.hint("merge"), ["h1", "h2"])
     later = held.filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
-    return later.join(enough, ["h1", "h2"]).select("doc_id", F.explode("line_nos").alias("line_no"))
+    return later.select("doc_id", F.explode("line_nos").alias("line_no"))
 
 
 def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
