@@ -6,6 +6,8 @@ the benchmark items by cosine; what comes near is checked word by word: longest
 common subsequence with the item, and for paraphrases also its answer, taken to
 be the item's last words. The benchmark is the query set: it is worked off in
 blocks of items, and only a block's words, bounded by it, reach the executors.
+The latent space has a direction for each item of a block at least: with fewer,
+an item would lie mostly outside and not even exact copies would be near it.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from millwright.workspace import stage
 
 from .common import segments, with_ids
 
-ITEMS = 1024  # items worked off at once
-RANK = 192
+ITEMS = 256  # items worked off at once
+RANK = 192  # or as many as the block has distinct items, if more
 EXTRA = 16  # columns of the sketch beyond the rank
 PASSAGE = 64  # words of a passage in the SVD
 STEP = 16  # words; windows of 2 and 4 steps are searched
@@ -351,7 +353,9 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, checks: Checks | None
         encoded = stage(encode(documents, vocabulary))
         frequencies, passages = passage_frequencies(encoded, len(vocabulary))
         weights = term_weights(frequencies, passages, items)
-        space = latent_space(encoded, items, weights, passages, rank)
+        # A direction for each distinct item: copies of an item then lie in the space with it.
+        distinct = len({item.tobytes() for item in items})
+        space = latent_space(encoded, items, weights, passages, max(rank, distinct))
         found.append(_search(encoded, [i for i, _ in rows], items, item_type, weights, space, checks))
     if not found:
         schema = f"doc_id {doc_type}, item_id {item_type}, kind string, start_word int, common_words int, item_words int, cosine double"

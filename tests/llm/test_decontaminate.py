@@ -67,6 +67,29 @@ def test_recall_of_the_retrieval_against_brute_force(spark):
     assert len(found & accepted) >= 0.9 * len(accepted) and found <= accepted
 
 
+def test_recall_with_a_full_block_of_items(spark):
+    """Exact copies, and copies without a fifth of their words, the rarest, are found among as many items as a block holds."""
+    rng = random.Random(6)
+    rare = [f"w{k}" for k in range(4000)]
+    often = ["the", "of", "and", "to", "a"]
+    words = lambda k: [rng.choice(often) if rng.random() < 0.4 else rng.choice(rare) for _ in range(k)]
+    items = [words(rng.randint(20, 50)) for _ in range(1024)]
+    texts = [words(300) for _ in range(100)]
+    seen = {}
+    for text in [*items, *texts]:
+        for w in text:
+            seen[w] = seen.get(w, 0) + 1
+    for item in items:
+        changed = list(item)
+        for at in sorted(range(len(item)), key=lambda i: seen[item[i]])[: len(item) // 5]:
+            changed[at] = "other"
+        texts += [item, changed]
+    found = d.find_leaks(documents(spark, enumerate(map(" ".join, texts))), benchmark(spark, enumerate(map(" ".join, items))))
+    held = {(r.doc_id, r.item_id) for r in found.collect()}
+    for copies in (range(100, len(texts), 2), range(101, len(texts), 2)):
+        assert sum((i, (i - 100) // 2) in held for i in copies) >= 0.9 * len(items)
+
+
 def test_paraphrase_needs_the_answer():
     item = np.arange(40, dtype=np.int32)
     other = np.full(40, -1, np.int32)
