@@ -39,10 +39,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def with_ids(documents: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The documents whose doc_id is (`left_semi`) or is not (`left_anti`) the only column of `ids`; nulls are alike."""
-    name = free_name(documents, "own_id")
-    return documents.join(ids.toDF(name), F.col("doc_id").eqNullSafe(F.col(name)), how)
+def row_key() -> Column:
+    """128 bits of doc_id and text: only rows alike in both share a key, whatever else shares the id or has none."""
+    text = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    return F.unhex(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), text)))
+
+
+def with_keys(documents: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The documents whose row key is (`left_semi`) or is not (`left_anti`) in the only column of `keys`, with the key as last column."""
+    name = free_name(documents, "own_key")
+    return documents.withColumn(name, row_key()).join(keys.toDF(name), name, how).select(*[f"`{c}`" for c in documents.columns], name)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millwright.workspace import stage
 
-from .common import segments, with_ids
+from .common import row_key, segments, with_keys
 
 ITEMS = 256  # items worked off at once
 RANK = 192  # or as many as the block has distinct items, if more
@@ -364,6 +364,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, checks: Checks | None
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, checks: Checks | None = None) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    leaky = find_leaks(documents, benchmark, checks).select("doc_id").distinct()
-    return with_ids(documents, leaky, "left_anti")
+    """The rows that hold no benchmark item, each judged by its own text, whatever its doc_id."""
+    keyed = documents.select(row_key().alias("doc_id"), "text")
+    leaky = find_leaks(keyed, benchmark, checks).select("doc_id").distinct()
+    return with_keys(documents, leaky, "left_anti").select(*[f"`{c}`" for c in documents.columns])

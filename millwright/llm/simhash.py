@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.workspace import stage, stage_counted
 
-from .common import segments, with_ids
+from .common import row_key, segments, with_keys
 
 SEED = 42
 BUCKET = 2048
@@ -57,16 +57,19 @@ def simhash(text: bytes | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), one row per row."""
+def fingerprints(documents: DataFrame, shingle: int = 3, *keep: str) -> DataFrame:
+    """doc_id, the columns named in `keep`, fp (the 64 bits as a signed long), one row per row."""
+    narrow = documents.select("doc_id", *keep, F.col("text").cast("binary").alias("text"))
+    names = ["doc_id", *keep, "fp"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [simhash(text, shingle) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            *kept, texts = batch.columns
+            fps = [simhash(text, shingle) for text in texts.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(fps, pa.int64())], names)
 
-    narrow = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
-    kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    kinds = [f"{c} {narrow.schema[c].dataType.simpleString()}" for c in names[:-1]]
+    return narrow.mapInArrow(run, ", ".join([*kinds, "fp bigint"]))
 
 
 def _signed(mask: int) -> int:
@@ -185,20 +188,31 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, distance: int = 3, b
     prints = stage(fingerprints(documents, shingle))
     # One row per distinct fingerprint: copies are folded before the shuffle.
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    roots = components(links(distinct.select("fp"), distance, bucket))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(distinct, distance, bucket)
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(distinct: DataFrame, distance: int, bucket: int = BUCKET) -> DataFrame:
+    """The distinct fingerprints with the root of their component."""
+    roots = components(links(distinct.select("fp"), distance, bucket))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def one_per_component(documents: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """The documents whose doc_id is the smallest of their component; repeated rows go too."""
-    found = near_duplicates(documents, shingle, distance)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return with_ids(documents, kept, "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component: that of the smallest doc_id, null last, and of several texts under that id always the same.
+
+    Rows are told apart by doc_id and text together, so components whose ids are
+    null or shared keep a row each. Rows alike in both are repeated rows; one stays.
+    """
+    keyed = documents.select("doc_id", "text", row_key().alias("key"))
+    prints = stage(fingerprints(keyed, shingle, "key"))
+    row = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    distinct = stage(prints.groupBy("fp").agg(F.min(row).alias("least_row")))
+    kept = _rooted(distinct, distance).groupBy("root").agg(F.min("least_row")["key"].alias("key")).select("key")
+    found = with_keys(documents, kept, "left_semi")
+    return found.dropDuplicates([found.columns[-1]]).select(*[f"`{c}`" for c in documents.columns])
 
 
 def fingerprint_hex(fp: Column) -> Column:

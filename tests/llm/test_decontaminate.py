@@ -150,3 +150,13 @@ def test_awkward_rows(spark):
     clean = d.without_leaks(documents(spark, rows), benchmark(spark, [(7, item)]))
     assert sorted(r.doc_id for r in clean.collect()) == [2, 3, 4] and clean.columns == documents(spark, rows).columns
     assert d.find_leaks(documents(spark, []), benchmark(spark, [(7, item)])).collect() == []
+
+
+def test_rows_go_by_their_own_text(spark):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(None, f"x {item}"), (None, "clean"), (None, None), (3, item), (3, "clean too"), (4, ""), (None, "clean")]
+    df = documents(spark, rows)
+    clean = d.without_leaks(df, benchmark(spark, [(7, item)]))
+    assert clean.columns == df.columns
+    expected = [r for r in rows if item not in (r[1] or "")]
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(expected, key=str)

@@ -91,6 +91,14 @@ def test_one_per_component(spark):
     assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 9, 4, None], key=str)
 
 
+def test_components_with_null_or_shared_ids_keep_a_row_each(spark):
+    rows = [(None, "z y x w"), (None, "p q r s"), (None, "p q r s"), (None, "a b c d"), (2, "a b c d"), (5, "k l m n"), (5, "e f g h"), (6, "E f g h")]
+    df = documents(spark, rows)
+    kept = [(r.doc_id, r.text) for r in simhash.one_per_component(df).collect()]
+    expected = [(None, "z y x w"), (None, "p q r s"), (2, "a b c d"), (5, "k l m n"), (5, "e f g h")]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     found = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
