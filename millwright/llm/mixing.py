@@ -5,6 +5,10 @@ equally many words. The quotients target / 1, 3, 5, ... of all sources, highest
 first, deal out the blocks: a run of them fills each shard, which gives integer
 quotas per shard. A source's quota takes its blocks in a seeded order, at most
 twice each.
+
+Sources whose words or target make fewer than `LEAST_BLOCKS` blocks would be
+rounded away, so they stand alone: of their seeded stream as many words are taken
+from the start, over and over, as the target says.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ SEED = 7
 BLOCKS = 4096
 SHARDS = 8
 
+LEAST_BLOCKS = 8  # of a source that shares the common blocks
+
 
 def _seeded(seed: int, *parts: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
@@ -60,32 +66,54 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     )
 
 
-def block_quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
-    """place, seat, shard, width (words of a block), n_blocks: a row for each block dealt out.
+def sized_sources(targets: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """The targets with width (words of a block), n_blocks, alone, and for sources that stand alone whole and rest.
 
-    About `blocks` rows, whatever the size of the input. A source has no more
-    seats than twice its blocks.
+    All words of such a source are taken `whole` times, the first `rest` once more.
     """
-    total = F.col("total")
     width = F.greatest(F.lit(1), F.expr(f"(3 * total) div (2 * {blocks})"))
     sized = targets.withColumn("width", width).withColumn("n_blocks", F.expr("(source_size + width - 1) div width"))
-    sized = sized.filter(F.col("n_blocks") > 0).withColumn("n_seats", F.expr("(3 * total + width) div (2 * width)"))
-    seats = sized.select("*", F.explode(F.expr("sequence(1L, 2 * n_blocks)")).alias("seat"))
+    few = F.least(F.col("source_size"), F.col("target")) < LEAST_BLOCKS * F.col("width")
+    sized = sized.withColumn("alone", few & (F.col("width") > 1) & (F.col("source_size") > 0))
+    words = F.when(F.col("alone"), F.round("target").cast("bigint"))
+    sized = sized.withColumn("whole", F.when(F.col("alone"), F.floor(words / F.col("source_size"))))
+    return sized.withColumn("rest", words - F.col("whole") * F.col("source_size"))
+
+
+def block_quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
+    """place, seat, shard, width (words of a block), n_blocks, alone: a row for each block dealt out.
+
+    About `blocks` rows, whatever the size of the input, and one for each source
+    that stands alone; those fill the shards evenly in turn. A source has no more
+    seats than twice its blocks.
+    """
+    sized = sized_sources(targets, blocks).filter(F.col("n_blocks") > 0)
+    everything = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    together = sized.withColumn("any_alone", F.max("alone").over(everything)).filter(~F.col("alone"))
+    of_these = F.floor(F.sum("target").over(everything) / F.col("width") + 0.5)
+    together = together.withColumn("n_seats", F.when(F.col("any_alone"), of_these).otherwise(F.expr("(3 * total + width) div (2 * width)")))
+    seats = together.select("*", F.explode(F.expr("sequence(1L, 2 * n_blocks)")).alias("seat"))
     quotient = F.col("target") / (2 * F.col("seat") - 1)
     ranked = seats.withColumn("rank", F.row_number().over(W.orderBy(quotient.desc(), "place", "seat")))
-    dealt = ranked.filter(F.col("rank") <= F.col("n_seats"))
-    return dealt.select(
-        "place", "seat", "width", "n_blocks",
-        F.expr(f"cast(((rank - 1) * {shards}) div n_seats as int)").alias("shard"),
+    dealt = ranked.filter(F.col("rank") <= F.col("n_seats")).select(
+        "place", "seat", F.expr(f"cast(((rank - 1) * {shards}) div n_seats as int)").alias("shard"), "width", "n_blocks", "alone"
+    )
+    # The shard in which the middle of a source's words falls, with those that stand alone laid side by side.
+    before = F.coalesce(F.sum("target").over(W.orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    middle = (before + F.col("target") / 2) / F.sum("target").over(everything)
+    single = sized.filter("alone").select(
+        "place", F.lit(1).cast("bigint").alias("seat"), F.floor(middle * shards).cast("int").alias("shard"),
+        F.round("target").cast("bigint").alias("width"), F.lit(1).cast("bigint").alias("n_blocks"), "alone",
     )
+    return dealt.unionByName(single)
 
 
 def block_takes(quotas: DataFrame, seed: int = SEED) -> DataFrame:
-    """place, block, times, taken_before: how often each block is taken, and the words taken of those before it.
+    """place, block, times, taken_before: how often each common block is taken, and the words taken of those before it.
 
     One block more than the source has closes the list, for documents that end there.
     """
-    dealt = quotas.groupBy("place", "width").agg(F.count(F.lit(1)).alias("quota"), F.max("n_blocks").alias("n_blocks"))
+    dealt = quotas.filter(~F.col("alone")).groupBy("place", "width").agg(F.count(F.lit(1)).alias("quota"), F.max("n_blocks").alias("n_blocks"))
     every = dealt.select("*", F.explode(F.expr("sequence(0L, n_blocks)")).alias("block"))
     closing = F.col("block") == F.col("n_blocks")
     order = W.partitionBy("place").orderBy(closing, _seeded(seed, F.col("place"), F.col("block")), "block")
@@ -116,8 +144,7 @@ def mix(documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS, shards: in
     offsets = chunks.select(
         F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("chunk_size").over(earlier), F.lit(0)).alias("offset")
     )
-    width = F.greatest(F.lit(1), F.expr(f"(3 * total) div (2 * {blocks})"))
-    per_chunk = offsets.join(targets.withColumn("width", width), F.col("s").eqNullSafe(F.col("source"))).drop("source", "total")
+    per_chunk = offsets.join(sized_sources(targets, blocks).drop("n_blocks"), F.col("s").eqNullSafe(F.col("source"))).drop("source", "total")
     inside = W.partitionBy("source", "chunk").orderBy("key", "size").rowsBetween(W.unboundedPreceding, -1)
     laid = sizes.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     laid = laid.join(per_chunk, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
@@ -128,6 +155,7 @@ def mix(documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS, shards: in
     def upto(rows: DataFrame, at: str) -> DataFrame:
         keyed = rows.withColumn("block", F.expr(f"`{at}` div width"))
         words = F.coalesce(F.col("taken_before") + F.col("times") * (F.col(at) - F.col("block") * F.col("width")), F.lit(0))
+        words = F.when(F.col("alone"), F.col("whole") * F.col(at) + F.least(F.col(at), F.col("rest"))).otherwise(words)
         joined = keyed.join(takes, ["place", "block"], "left").withColumn(f"taken_to_{at}", words)
         return joined.drop("block", "times", "taken_before")
 

@@ -69,6 +69,23 @@ def test_quotas_are_highest_quotients(spark):
     assert max(per_shard) - min(per_shard) <= 1
 
 
+@pytest.mark.parametrize("huge, small, n_small", [(400_000, 80, 400), (0, 40, 1200)])
+def test_small_sources_come_near_their_targets(spark, huge, small, n_small):
+    """One huge source beside many, each smaller than a block, and many small ones alone."""
+    rows = [(i, "w " * 2000, "en", "huge") for i in range(huge // 2000)]
+    rows += [(10_000 + 4 * k + i, "w " * (small // 4), "en", f"s{k:05}") for k in range(n_small) for i in range(4)]
+    df = documents(spark, rows, clash=False)
+    assert mixing.block_quotas(mixing.source_targets(mixing.document_sizes(df)), blocks=512).filter("seat < 1 or shard not between 0 and 7").count() == 0
+    found = mixing.mix(df, blocks=512).collect()
+    source = {r[0]: r[3] for r in rows}
+    taken, target = {}, {r.doc_id: r.target for r in found}
+    for r in found:
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+    for doc_id, name in source.items():
+        assert target[doc_id] > 0 and abs(taken[name] - target[doc_id]) <= max(1, 0.01 * target[doc_id])
+    assert all(0 <= r.taken <= 2 * r["size"] for r in found)
+
+
 def test_documents_are_repeated_or_left_out(spark):
     rows = [(i, "w " * 5, "en", "ab"[i % 2]) for i in range(200)]
     df = documents(spark, rows)
