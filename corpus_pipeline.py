@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """From the layout by source to eight shards of equal bytes, moving as few bytes as that takes."""
-    return reshard.shard_plan(docs, reshard.source_shard()).select(
+    """From the layout by source to eight shards of equal bytes, moving as few bytes as that takes; changed shards are written."""
+    return reshard.reshard(docs, reshard.source_shard()).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", "old_shard"
     )
 

@@ -37,8 +37,8 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_resharding(spark: SparkSession, folder: str) -> DataFrame:
-    plan = reshard.shard_plan(read_table(spark, folder, "documents"), reshard.source_shard())
-    return plan.select(
+    done = reshard.reshard(read_table(spark, folder, "documents"), reshard.source_shard())
+    return done.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard",
     )

@@ -3,19 +3,21 @@
 Documents are hash-split into blocks inside their old shard. Sizes of blocks
 (a bounded list) decide; a minimum-cost flow from old shards to new capacities
 says how many bytes go where, blocks that fit best are moved, and only shards
-whose content changes are written again.
+whose content changes are written again. `shard_plan` plans, `reshard` also
+writes the affected shards and tells what is in them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from millwright.workspace import stage
+from millwright.workspace import run_folder, stage
 
-from .common import free_name, text_bytes
+from .common import text_bytes
 
 SHARDS = 8
 BLOCKS_PER_SHARD = 256
@@ -94,26 +96,31 @@ def block_moves(blocks: list[tuple[int, int, int]], shards: int) -> dict[tuple[i
     return moves
 
 
-def shard_plan(documents: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, shard, slot for each row.
+PLAN = ("doc_id", "size", "text_crc32", "old_shard", "shard", "slot")
+# Columns of a written shard that replace those of the input.
+PLACE = ("old_shard", "shard", "slot")
 
-    A null text has no bytes, so size 1 and crc 0. Repeated rows and equal
-    texts are rows like any other. Slots run from 0 in each shard without gaps,
-    by block, then by doc_id, crc and size; rows that tie in these are alike.
-    Shards are as equal in bytes as whole documents allow. An empty table gives no rows.
-    """
-    spark = documents.sparkSession
-    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    sized = stage(
-        documents.select(
-            "doc_id", (text_bytes(F.col("text")) + 1).alias("size"), F.crc32(body).cast("bigint").alias("text_crc32"),
-            old_shard.cast("int").alias("old_shard"),
-        )
-    )
+
+def _crc() -> Column:
+    return F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("bigint")
+
+
+def _measured(documents: DataFrame, old_shard: Column, *carry: Column) -> DataFrame:
+    """doc_id, size, text_crc32, old_shard, and what is carried along."""
+    size = (text_bytes(F.col("text")) + 1).alias("size")
+    return documents.select("doc_id", size, _crc().alias("text_crc32"), old_shard.cast("int").alias("old_shard"), *carry)
+
+
+def _block(per_shard: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(per_shard)).cast("int")
+
+
+def _placed(sized: DataFrame, shards: int) -> tuple[int, list[tuple[int, int, int, int]]]:
+    """Blocks an old shard has, and (old shard, block, new shard, first slot) of every block."""
     old_sizes = sized.groupBy("old_shard").agg(F.sum("size").alias("bytes"))
     largest = old_sizes.agg(F.max("bytes")).first()[0] or 0
     per_shard = max(BLOCKS_PER_SHARD, -(-largest // BLOCK_BYTES))
-    blocked = sized.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(per_shard)).cast("int"))
+    blocked = sized.withColumn("block", _block(per_shard))
     # One row per block: 256 a shard, or one per GiB.
     blocks = blocked.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
     moves = block_moves([(b.old_shard, b.block, b.bytes) for b in blocks], shards)
@@ -122,34 +129,88 @@ def shard_plan(documents: DataFrame, old_shard: Column, shards: int = SHARDS) ->
         to = moves[b.old_shard, b.block]
         placed.append((b.old_shard, b.block, to, next_slot[to]))
         next_slot[to] += b.n
-    table = spark.createDataFrame(placed, "old_shard int, block int, shard int, first_slot bigint")
+    return per_shard, placed
+
+
+def _with_slots(sized: DataFrame, per_shard: int, placed: list[tuple[int, int, int, int]]) -> DataFrame:
+    """The rows with their shard and slot."""
+    table = sized.sparkSession.createDataFrame(placed, "old_shard int, block int, shard int, first_slot bigint")
     inside = W.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
-    numbered = blocked.withColumn("nth", F.row_number().over(inside) - 1)
-    return numbered.join(table, ["old_shard", "block"]).select(
-        "doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("first_slot") + F.col("nth")).cast("bigint").alias("slot")
-    )
+    numbered = sized.withColumn("block", _block(per_shard)).withColumn("nth", F.row_number().over(inside) - 1)
+    slotted = numbered.join(F.broadcast(table), ["old_shard", "block"])
+    return slotted.withColumn("slot", (F.col("first_slot") + F.col("nth")).cast("bigint")).drop("block", "nth", "first_slot")
+
+
+def shard_plan(documents: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFrame:
+    """doc_id, size, text_crc32, old_shard, shard, slot for each row.
+
+    A null text has no bytes, so size 1 and crc 0. Repeated rows and equal
+    texts are rows like any other. Slots run from 0 in each shard without gaps,
+    by block, then by doc_id, crc and size; rows that tie in these are alike.
+    Shards are as equal in bytes as whole documents allow. An empty table gives no rows.
+    """
+    sized = stage(_measured(documents, old_shard))
+    return _with_slots(sized, *_placed(sized, shards)).select(*PLAN)
+
 
+def _write_shards(rows: DataFrame, folder: str) -> None:
+    """Rows with shard and slot as `folder`/shard=N, each file in the order of slots."""
+    rows.sortWithinPartitions("shard", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "shard"
+    ).parquet(folder)
 
-def rewrite(documents: DataFrame, plan: DataFrame, folder: str) -> list[int]:
+
+def reshard(documents: DataFrame, old_shard: Column, shards: int = SHARDS, folder: str | None = None) -> DataFrame:
+    """The plan of `shard_plan` carried out: the same columns and rows.
+
+    Shards that gain or lose a row are written as `folder`/shard=N (by default
+    in the shared folder), whole rows with old_shard and slot; columns of these
+    names in the input give way. For them the result is measured on what was
+    written. The others stay as they are on disk; for them it tells the input.
+    """
+    spark = documents.sparkSession
+    sized = stage(_measured(documents, old_shard))
+    per_shard, placed = _placed(sized, shards)
+    affected = sorted({s for old, _, new, _ in placed if old != new for s in (old, new)})
+    staying = _with_slots(sized.filter(~F.col("old_shard").isin(affected)), per_shard, placed).select(*PLAN)
+    if not affected:
+        return staying
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole")
+    moving = _with_slots(_measured(documents, old_shard, whole).filter(F.col("old_shard").isin(affected)), per_shard, placed)
+    own = [F.col("whole").getField(c).alias(c) for c in documents.columns if c.lower() not in PLACE]
+    rows = moving.select(*own, *PLACE)
+    folder = folder or f"{run_folder(spark)}/shards_{uuid.uuid4().hex}"
+    _write_shards(rows, folder)
+    written = spark.read.schema(rows.schema).parquet(folder).filter(F.col("shard").isin(affected))
+    return _measured(written, F.col("old_shard"), F.col("shard"), F.col("slot")).select(*PLAN).unionByName(staying)
+
+
+def rewrite(documents: DataFrame, plan: DataFrame, folder: str, old_shard: Column | None = None) -> list[int]:
     """Write the shards whose content changes, as `folder`/shard=N, and return which they are.
 
     Shards that neither gain nor lose a document are left as they are on disk.
-    Rows find their shard by doc_id and text; rows alike in both go together. A
-    column `shard` of the input gives way to the new one.
+    Each row follows a plan row of its own: rows find theirs by doc_id, text and,
+    if it is given, `old_shard`; of several alike the first takes the first slot.
+    Columns old_shard, shard and slot of the input give way to the new ones.
     """
     moved = plan.filter("old_shard <> shard")
     changed = {r[0] for r in moved.select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct().collect()}
     affected = sorted(changed)
-    rest = documents.drop("shard")
-    ids, crc = free_name(rest, "plan_id"), free_name(rest, "plan_crc")
-    target = plan.filter(F.col("shard").isin(affected)).select(F.col("doc_id").alias(ids), F.col("text_crc32").alias(crc), "shard")
-    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    same = F.col("doc_id").eqNullSafe(F.col(ids)) & (F.crc32(body).cast("bigint") == F.col(crc))
-    whole = rest.join(target.dropDuplicates([ids, crc]), same).drop(ids, crc)
     if affected:
-        whole.repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(64))).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("shard").parquet(folder)
+        alike = ["doc_id", "text_crc32", "size", *(["old_shard"] if old_shard is not None else [])]
+        nth = F.row_number().over(W.partitionBy(*alike).orderBy(F.lit(1)))
+        planned = plan.withColumn("nth", F.row_number().over(W.partitionBy(*alike).orderBy("shard", "slot")))
+        planned = planned.select(*[F.col(c).alias(f"plan_{c}") for c in [*alike, "nth"]], *PLACE)
+        whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole")
+        rows = _measured(documents, F.lit(0) if old_shard is None else old_shard, whole).withColumn("nth", nth)
+        if old_shard is None:
+            rows = rows.drop("old_shard")
+        else:
+            planned = planned.drop("old_shard")
+        same = [F.col(c).eqNullSafe(F.col(f"plan_{c}")) for c in [*alike, "nth"]]
+        own = [F.col("whole").getField(c).alias(c) for c in documents.columns if c.lower() not in PLACE]
+        found = rows.join(planned, same).filter(F.col("shard").isin(affected)).select(*own, *PLACE)
+        _write_shards(found.repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(64))), folder)
     return affected
 
 

@@ -63,6 +63,36 @@ def test_rewrites_only_changed_shards(spark, tmp_path):
     assert reshard.rewrite(df, plan.withColumn("old_shard", F.col("shard")), str(tmp_path / "none")) == []
 
 
+def test_reshard_writes_what_it_tells(spark, tmp_path):
+    rows = awkward(22, n=300)
+    df = documents(spark, rows)
+    done = reshard.reshard(df, reshard.source_shard(), folder=str(tmp_path / "out"))
+    planned = reshard.shard_plan(df, reshard.source_shard())
+    assert sorted(map(tuple, done.collect()), key=str) == sorted(map(tuple, planned.collect()), key=str)
+    written = spark.read.parquet(str(tmp_path / "out")).collect()
+    moved = planned.filter("shard <> old_shard").collect()
+    affected = {s for r in moved for s in (r.shard, r.old_shard)}
+    told = lambda found: sorted(((r.shard, r.slot, r.doc_id) for r in found if r.shard in affected), key=str)
+    assert moved and told(written) == told(done.collect()) and {r.shard for r in written} <= affected
+    texts = [(r.doc_id, r.text, r.source) for r in written] + [(i, t, s) for i, t, _, s in rows if zlib.crc32((s or "").encode()) % 8 not in affected]
+    assert sorted(texts, key=str) == sorted(((i, t, s) for i, t, _, s in rows), key=str)
+    assert reshard.reshard(documents(spark, []), reshard.source_shard()).collect() == []
+
+
+def test_rows_alike_follow_their_own_plan_rows(spark, tmp_path):
+    """One copy lies in a shard that stays as it is; the others go to two shards."""
+    df = documents(spark, [(1, "same", "en", s) for s in "abc"] + [(2, "other", "en", "b")], clash=False)
+    old = F.when(F.col("source") == "a", 0).when(F.col("source") == "b", 1).otherwise(2)
+    crc = zlib.crc32(b"same"), zlib.crc32(b"other")
+    plan = [(1, 5, crc[0], 0, 0, 0), (1, 5, crc[0], 1, 1, 0), (1, 5, crc[0], 2, 2, 0), (2, 6, crc[1], 1, 2, 1)]
+    plan = spark.createDataFrame(plan, "doc_id bigint, size bigint, text_crc32 bigint, old_shard int, shard int, slot bigint")
+    for name, given in (("with", old), ("without", None)):
+        assert reshard.rewrite(df, plan, str(tmp_path / name), given) == [1, 2]
+        written = spark.read.parquet(str(tmp_path / name)).collect()
+        assert sorted((r.doc_id, r.shard, r.slot) for r in written) == [(1, 1, 0), (1, 2, 0), (2, 2, 1)]
+        assert given is None or {(r.source, r.shard) for r in written if r.doc_id == 1} == {("b", 1), ("c", 2)}
+
+
 def test_no_rows_and_only_nulls(spark):
     assert reshard.shard_plan(documents(spark, []), reshard.source_shard()).collect() == []
     rows = reshard.shard_plan(documents(spark, [(None, None, None, None)] * 3), reshard.source_shard()).collect()
