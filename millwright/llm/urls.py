@@ -61,13 +61,13 @@ def url_tokens(url: Column) -> Column:
 
 
 def mine_rules(
-    labelled_urls: DataFrame, min_share: float = 0.002, min_pages: int = 30, min_confidence: float = 0.8, max_tokens: int = 3
+    labelled_urls: DataFrame, min_share: float = 0.002, min_pages: int = 30, min_confidence: float = 0.8
 ) -> DataFrame | None:
     """(rule_id, tokens, key, confidence, support) with `tokens` -> bad, or None without labelled pages.
 
     `labelled_urls` has url and bad (boolean). A rule needs `min_share` of the
     labelled pages and `min_pages` of them: a few pages prove nothing, whatever
-    the share. `key` is the rule's rarest token.
+    the share. A rule has as many tokens as its evidence takes. `key` is its rarest token.
     """
     baskets = labelled_urls.select(
         F.when(F.col("bad"), F.concat(url_tokens(F.col("url")), F.array(F.lit(BAD)))).otherwise(url_tokens(F.col("url"))).alias("items")
@@ -77,7 +77,7 @@ def mine_rules(
     if not n or min_pages > n:
         return None
     model = FPGrowth(itemsCol="items", minSupport=max(min_share, min_pages / n), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter((F.col("consequent")[0] == BAD) & (F.size("antecedent") <= max_tokens))
+    rules = model.associationRules.filter(F.col("consequent")[0] == BAD)
     # A rule that only adds tokens to another says nothing new, but is harmless; both are kept.
     # Frequent items are bounded by the support: at most tokens per URL / min_share of them.
     singles = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")

@@ -42,6 +42,16 @@ def test_mined_combinations(spark):
     assert result[None].verdict == "block"
 
 
+def test_rules_of_four_independent_tokens(spark):
+    bit = lambda i, k: i >> k & 1
+    found = [
+        (i, f"{'https' if bit(i, 0) else 'http'}://{'m' if bit(i, 1) else 'w'}.site{i % 7}.net/{'promo' if bit(i, 2) else 'news'}/x?{'ref' if bit(i, 3) else 'q'}=1")
+        for i in range(640)
+    ]
+    result = judged(spark, found, [(i, int(i % 16 != 15), 0) for i, _ in found])
+    assert {i for i, r in result.items() if r.verdict == "block"} == {i for i, _ in found if i % 16 == 15}
+
+
 def test_rules_need_support_and_confidence(spark):
     found = [(i, f"https://a{i % 2}.net/x{'y' if i < 5 else ''}") for i in range(100)]
     marks = [(i, int(i >= 5), int(i % 2 and i % 4 == 1)) for i in range(100)]
