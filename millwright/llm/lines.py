@@ -2,9 +2,10 @@
 
 The lines' 128-bit hashes are written once, then range-partitioned by hash,
 document and line and sorted so inside the parts. A very common line spreads over many
-parts, as its documents are part of the range. Each part streams to one summary
-per line before summaries meet, and the verdicts go back to the documents as
-compressed keep bitmaps: runs of kept line numbers, not text.
+parts, as its documents are part of the range. Groupings by hash follow, first by
+line and document, then by line; they do not use the order of the parts. The
+verdicts go back to the documents as the numbers of the dropped lines, not text,
+one for each dropped line: runs of them are not folded.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: in
 def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, dropped (sorted line numbers), for documents that lose lines.
 
-    The keep bitmap is run-length coded: the lines between two entries stay.
+    The lines between two entries stay. Every dropped line is an entry.
     """
     found = dropped_lines(documents, min_chars, min_docs)
     return found.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
