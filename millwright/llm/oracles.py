@@ -134,8 +134,62 @@ SELECT j.doc_id, j.n_words, j.word_chars, j.n_symbols, j.n_dup_lines, j.n_repeat
        NOT j.base_failed AND NOT v.host_failed AS kept
 FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source"""
 
+CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+escaped AS (
+    SELECT *, len(text) + len(regexp_extract_all(text, '<\\*/?s>|\[\\*(?:/?INST|/?ANS|/?TURN|AS)\]')) AS text_chars,
+           len(role) + len(regexp_extract_all(role, '<\\*/?s>|\[\\*(?:/?INST|/?ANS|/?TURN|AS)\]')) AS role_chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(len('<s></s>') + sum(text_chars + CASE role WHEN 'user' THEN len('[INST][/INST]') WHEN 'assistant' THEN len('[ANS][/ANS]')
+            ELSE len('[TURN][AS][/TURN]') + role_chars END) AS BIGINT) AS formatted_chars
+FROM escaped
+GROUP BY conv_id"""
+
+RANKING = r"""WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms
+    FROM documents
+),
+items AS (
+    SELECT row_number() OVER () AS i, item_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms
+    FROM benchmark
+),
+asked AS (SELECT i, term, count(*) AS times FROM (SELECT i, unnest(terms) AS term FROM items) GROUP BY i, term),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS all_terms FROM docs),
+spread AS (SELECT r, doc_id, 25 + (75 * len(terms) * n_docs) // all_terms AS m FROM docs, totals WHERE len(terms) > 0),
+postings AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM postings, totals GROUP BY term
+),
+scored AS (
+    SELECT i, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN spread USING (r)
+    GROUP BY i, r
+),
+ranked AS (
+    SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+    FROM scored JOIN spread USING (r) WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 10"""
+
 ORACLES: dict[str, str] = {
     "op2_line_dedup": LINES,
     "op7_source_mixing": MIXING,
     "op10_quality_rules": QUALITY,
+    "op11_chat_formatting": CHAT,
+    "op13_ranked_search": RANKING,
 }

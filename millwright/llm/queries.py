@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hpylm, langid, lines, mixing, quality, repeats, reshard, simhash, urls
+from . import chat, decontaminate, hpylm, langid, lines, mixing, quality, ranking, repeats, reshard, runs, simhash, urls
 from .common import fold, read_table
 from .oracles import ORACLES
 
@@ -66,11 +66,35 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    # Fixed by the contract: a conversation whose texts hold control strings.
+    marked = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", marked), (-7, 1, "assistant", marked)], conversations.schema)
+    return chat.read_back(chat.format_conversations(conversations.unionByName(extra)))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents").select("doc_id", runs.with_loops(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.collapse_runs(documents)
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(runs.run_lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_line_dedup, op3_url_filters, op4_lm_scoring, op5_decontamination,
         op6_resharding, op7_source_mixing, op8_language_id, op9_simhash, op10_quality_rules,
+        op11_chat_formatting, op12_periodic_runs, op13_ranked_search,
     )
 }
 
