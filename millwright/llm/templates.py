@@ -122,11 +122,17 @@ _TAGS = re.compile(r"\{\{(-?)(.*?)(-?)\}\}|\{%(-?)(.*?)(-?)%\}|\{#(-?).*?(-?)#\}
 _TOKEN = re.compile(r"\s*(?:('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|([A-Za-z_][\w.]*)|(==|!=|[()|~]))", re.DOTALL)
 
 
+def _closed(text: str) -> str:
+    if "{%" in text or "{{" in text or "{#" in text:
+        raise TemplateError("a tag is not closed")
+    return text
+
+
 def _pieces(source: str) -> Iterator[tuple[str, str]]:
     """('text' | 'output' | 'tag', content) in order."""
     at, strip = 0, False
     for m in _TAGS.finditer(source):
-        text = source[at : m.start()]
+        text = _closed(source[at : m.start()])
         text = text.lstrip() if strip else text
         yield "text", text.rstrip() if "-" in (m[1], m[4], m[7]) else text
         at, strip = m.end(), "-" in (m[3], m[6], m[8])
@@ -134,10 +140,8 @@ def _pieces(source: str) -> Iterator[tuple[str, str]]:
             yield "output", m[2]
         elif m[5] is not None:
             yield "tag", m[5].strip()
-    text = source[at:]
+    text = _closed(source[at:])
     yield "text", text.lstrip() if strip else text
-    if "{%" in text or "{{" in text or "{#" in text:
-        raise TemplateError("a tag is not closed")
 
 
 class _Expression:
