@@ -57,6 +57,8 @@ class Controls:
         return self._bare.sub(lambda m: m[0] + "\\", text)
 
     def unescape(self, text: str) -> str:
+        if "\\" not in text:  # the pattern looks behind itself at every place
+            return text
         return self._escaped.sub("", text)
 
 
