@@ -59,8 +59,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.step == "publish":
         pipeline.require_dimensions(dimensions)
         pipeline.require_passed_gate(spark, params)
-        published = pipeline.publish_tables(spark, params, dimensions)
-        published |= pipeline.refresh_kpis(spark, params, published)
+        published = pipeline.publish_all(spark, params, dimensions)
     else:
         run = pipeline.run_pipeline(
             spark, params, dimensions, late_reference=args.late_reference, infer=args.infer,

@@ -40,12 +40,17 @@ class NullShare:
 
 @dataclass(frozen=True)
 class LateEvents:
-    """No event may lie more than `max_hours` after its reference; unknown times pass."""
+    """Events may not lie more than `max_hours` after their reference; unknown times pass.
+
+    By default not one event may. With `share` that share of all events may, as
+    the late filter drops them; the share is observed then, and equal passes.
+    """
 
     table: str
     event: str
     reference: str
     max_hours: float = 24
+    share: float | None = None
 
 
 @dataclass(frozen=True)
@@ -195,7 +200,10 @@ def _one_pass(df: DataFrame, table: str, rules: list[NullShare | LateEvents]) ->
             ]
         else:
             late = _count_where(_late(rule.event, rule.reference, rule.max_hours)).cast("double")
-            entries.append(("late_events", rule.event, late, 0.0))
+            if rule.share is None:
+                entries.append(("late_events", rule.event, late, 0.0))
+            else:
+                entries.append(("late_share", rule.event, F.try_divide(late, n_rows), rule.share))
     observed = df.agg(*[value.alias(f"_o{i}") for i, (_, _, value, _) in enumerate(entries)])
     rows = F.array(
         *[

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from millwright.operators.rows import distinct_rows, distinct_rows_counted, stamp
+from millwright.plans.manifest import write_recorded
 from millwright.schemas import RAW
-from millwright.sources import read_csv, write_parquet
+from millwright.sources import read_csv
 from millwright.workspace import concurrently
 
 
@@ -33,11 +34,10 @@ def bronze_table(raw: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 
 def land(raw: DataFrame, dataset: str, bronze_path: str, as_of: datetime | None = None) -> Ingested:
-    """Write one dataset; the input is read once and shuffled once, counts included."""
+    """Write one dataset; the input is read once and shuffled once, counts and fingerprint included."""
     seen = Observation()
-    path = f"{bronze_path}/{dataset}"
-    write_parquet(stamp(distinct_rows_counted(raw, seen), as_of), path)
-    return Ingested(dataset, path, seen.get["rows_read"], seen.get["rows_kept"])
+    write_recorded(stamp(distinct_rows_counted(raw, seen), as_of), bronze_path, dataset)
+    return Ingested(dataset, f"{bronze_path}/{dataset}", seen.get["rows_read"], seen.get["rows_kept"])
 
 
 def ingest(

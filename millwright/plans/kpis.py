@@ -12,6 +12,8 @@ from millwright.operators.joins import HOT_KEY_ROWS, material_with_quality
 from millwright.operators.metrics import defects_by_category, units_per_hour
 from millwright.workspace import stage_counted
 
+INDICATORS = ("kpi_defect_rate", "kpi_throughput", "kpi_downtime", "kpi_material_batch_trends")
+
 _CELL = ("production_line", "shift_id", "product_category")
 
 # How the indicators are shown: leading keys and whether they descend. The keys

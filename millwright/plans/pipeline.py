@@ -1,10 +1,11 @@
 """The whole day: raw files to indicators, with checks in front of the serving tables.
 
 Each step reads what the step before it wrote, so a step can be run again on
-its own: ingest, quality and downtime, check, publish, indicators. The row
-counts of the last ingest and the last passed check are stored, so steps run one
-by one check and publish as the whole day does. Independent jobs of a step run
-side by side.
+its own: ingest, quality and downtime, check, publish, indicators. Every step
+records what it wrote and from what (`manifest`). A passed check is tied to
+those records: it is withdrawn before tables are looked at again, and no longer
+counts once any table has changed. Tables and indicators are published as one
+version. Independent jobs of a step run side by side.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ from millwright.operators.checks import (
     LateEvents, NullShare, RowCountDeviation, Rule, UniqueKeys, run_checks,
 )
 from millwright.params import Params
-from millwright.plans import kpis
+from millwright.plans import kpis, versions
 from millwright.plans.bronze import Ingested, ingest
+from millwright.plans.manifest import Entry, exists, recorded, remove, require_current, write_recorded
 from millwright.plans.publish import (
-    ANALYTICS, Published, conform, constraint_rules, create_tables, create_view, publish, read_published,
-    register_view,
+    ANALYTICS, STAGING, Published, conform, constraint_rules, create_tables, create_view, namespace_folder, publish,
+    read_published, register_view,
 )
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.schemas import INGESTED_AT, RAW
@@ -33,11 +35,12 @@ from millwright.workspace import concurrently, scratch
 
 _HISTORY = "row_count_history"
 _HISTORY_SCHEMA = "dataset string, run_at timestamp, n_rows bigint"
-# Beside the tables: what the last ingest read and kept, and which ingest last passed the gate.
+# Beside the tables: what the last ingest read and kept, and the tables that last passed the gate.
 _COUNTS = "ingest_counts"
 _COUNTS_SCHEMA = "dataset string, path string, rows_read bigint, rows_kept bigint, run_at timestamp"
 _PASSED = "gate_passed"
-_PASSED_SCHEMA = "run_at timestamp"
+_PASSED_SCHEMA = "table string, content string, files string"
+_METRICS = ("quality_metrics", "downtime_metrics")
 
 
 class QualityGateError(RuntimeError):
@@ -68,30 +71,32 @@ def silver(spark: SparkSession, params: Params, name: str) -> DataFrame:
     return read_parquet(spark, f"{params.silver_path}/{name}")
 
 
+def _inputs(spark: SparkSession, params: Params, *names: str) -> dict[str, str]:
+    """Fingerprints of the raw tables a metric table is about to be made from."""
+    return {name: entry.content for name, entry in recorded(spark, params.bronze_path, names).items()}
+
+
 def build_quality(spark: SparkSession, params: Params, late_reference: str = INGESTED_AT) -> None:
+    made_from = _inputs(spark, params, "inspection_results", "production_records")
     with scratch(spark):
         metrics = quality_metrics(
             bronze(spark, params, "inspection_results"), bronze(spark, params, "production_records"),
             max_late_hours=params.max_late_event_hours, late_reference=late_reference,
             hot_key_rows=params.hot_key_rows,
         )
-        write_parquet(metrics, f"{params.silver_path}/quality_metrics")
+        write_recorded(metrics, params.silver_path, "quality_metrics", made_from)
 
 
 def build_downtime(spark: SparkSession, params: Params) -> None:
+    made_from = _inputs(spark, params, "machine_logs")
     metrics = downtime_metrics(bronze(spark, params, "machine_logs"), shift_minutes=params.shift_minutes)
-    write_parquet(metrics, f"{params.silver_path}/downtime_metrics")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    write_recorded(metrics, params.silver_path, "downtime_metrics", made_from)
 
 
 def _history(spark: SparkSession, params: Params) -> tuple[DataFrame, str]:
     """Row counts of the accepted runs, a few rows per run; empty before the first."""
     path = f"{params.silver_path}/{_HISTORY}"
-    if _exists(spark, path):
+    if exists(spark, path):
         return spark.read.schema(_HISTORY_SCHEMA).parquet(path), path
     return spark.createDataFrame([], _HISTORY_SCHEMA), path
 
@@ -111,19 +116,29 @@ def ingest_raw(
 def last_ingest(spark: SparkSession, params: Params) -> tuple[list[Ingested], datetime | None]:
     """What the last ingest kept, and when it ran; nothing if none was stored."""
     path = f"{params.bronze_path}/{_COUNTS}"
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return [], None
     rows = spark.read.schema(_COUNTS_SCHEMA).parquet(path).collect()
     return [Ingested(r.dataset, r.path, r.rows_read, r.rows_kept) for r in rows], rows[0].run_at
 
 
+def current_tables(spark: SparkSession, params: Params) -> dict[str, Entry]:
+    """What the steps have recorded of raw and metric tables; an error if a table is absent, changed or out of date."""
+    layers = {name: params.bronze_path for name in RAW} | {name: params.silver_path for name in _METRICS}
+    entries = recorded(spark, params.bronze_path, RAW) | recorded(spark, params.silver_path, _METRICS)
+    require_current(spark, layers, entries)
+    return entries
+
+
 def require_passed_gate(spark: SparkSession, params: Params) -> None:
-    """An error unless the last ingest has passed the check."""
-    _, run_at = last_ingest(spark, params)
+    """An error unless the tables as they are now have passed the last check."""
     path = f"{params.silver_path}/{_PASSED}"
-    passed = spark.read.schema(_PASSED_SCHEMA).parquet(path).first() if _exists(spark, path) else None
-    if run_at is None or passed is None or passed.run_at != run_at:
+    passed = spark.read.schema(_PASSED_SCHEMA).parquet(path).collect() if exists(spark, path) else []
+    if not passed:
         raise RuntimeError("the last ingest has not passed the check; run it before publishing")
+    now = {entry.mark for entry in current_tables(spark, params).values()}
+    if now != {tuple(row) for row in passed}:
+        raise RuntimeError("tables were written again and have not passed the check since; run it before publishing")
 
 
 def require_dimensions(dimensions: Mapping[str, DataFrame]) -> None:
@@ -179,7 +194,9 @@ def default_rules(params: Params, dimensions: Iterable[str] = ()) -> list[Rule]:
         rules.append(UniqueKeys(table, keys, params.duplicate_tolerance))
         rules.append(NullShare(table, keys, params.null_threshold_pct))
     rules.append(UniqueKeys("inspection_results", ("inspection_id",), params.duplicate_tolerance))
-    rules.append(LateEvents("inspection_results", "inspection_timestamp", INGESTED_AT, params.max_late_event_hours))
+    rules.append(LateEvents(
+        "inspection_results", "inspection_timestamp", INGESTED_AT, params.max_late_event_hours, params.late_event_share
+    ))
     for table in ("fact_production", *dimensions):
         rules += [replace(rule, table=table.upper()) for rule in constraint_rules(table)]
     return rules
@@ -212,11 +229,15 @@ def check(
 
     The count of every ingested dataset (by default of the last ingest) is held
     against the mean of the accepted runs before it. A run that passes joins that
-    history, and may be published. Where volumes have changed for good, no run
+    history, and may be published: its mark names the tables as they are. The mark
+    of an earlier check is taken away first, and metric tables that were not made
+    from the raw tables as they are now are refused. Where volumes have changed for good, no run
     would pass again: `accept_row_counts` leaves that one rule out for this run
     and takes its counts into the history.
     """
     dimensions = dimensions or {}
+    remove(spark, f"{params.silver_path}/{_PASSED}")
+    entries = current_tables(spark, params)
     stored, stored_at = last_ingest(spark, params)
     ingested = stored if ingested is None else list(ingested)
     run_at = as_of or stored_at or datetime.now()
@@ -235,9 +256,8 @@ def check(
         report = gate(tables, rules)
     if ingested and history.where(F.col("run_at") == F.lit(run_at)).isEmpty():
         current.coalesce(1).write.mode("append").parquet(path)
-    if stored_at is not None:
-        passed = spark.createDataFrame([(stored_at,)], _PASSED_SCHEMA).coalesce(1)
-        write_parquet(passed, f"{params.silver_path}/{_PASSED}")
+    marks = spark.createDataFrame([entry.mark for entry in entries.values()], _PASSED_SCHEMA).coalesce(1)
+    write_parquet(marks, f"{params.silver_path}/{_PASSED}")
     return report
 
 
@@ -245,23 +265,18 @@ def publish_tables(
     spark: SparkSession,
     params: Params,
     dimensions: Mapping[str, DataFrame],
+    folder: str,
     as_of: datetime | None = None,
     *,
     inspections: bool = False,
 ) -> dict[str, Published]:
-    """Both metric tables, the facts behind the indicators, and the dimensions.
+    """Both metric tables, the facts behind the indicators, and the dimensions, written below `folder`.
 
     No indicator reads single inspections, by far the largest table, so they are
     copied to the serving store only on request.
     """
     sources = serving_sources(spark, params, dimensions, inspections=inspections)
-    folder, prefix = params.serving_path or None, params.catalog_prefix
-    if folder is None:
-        create_tables(spark, prefix=prefix)
-    jobs = [
-        partial(publish, conform(df, name, as_of), name, folder=folder, prefix=prefix)
-        for name, df in sources.items()
-    ]
+    jobs = [partial(publish, conform(df, name, as_of), name, folder=folder) for name, df in sources.items()]
     return dict(zip(sources, concurrently(spark, jobs)))
 
 
@@ -290,32 +305,67 @@ def kpi_jobs(
 
 
 def refresh_kpis(
-    spark: SparkSession,
-    params: Params,
-    published: Mapping[str, Published],
-    as_of: datetime | None = None,
+    spark: SparkSession, params: Params, published: Mapping[str, Published], folder: str, as_of: datetime | None = None
 ) -> dict[str, Published]:
-    """Indicators as tables of the analytics namespace, each with a view of its name on top.
-
-    In the catalog the view lasts and the table behind it is `<NAME>_DATA`. Over
-    folders there is no catalog to keep a view, so it lives as long as the session.
-    """
+    """Indicators as tables of the analytics namespace below `folder`, from the published tables."""
     tables = {name: read_published(spark, p) for name, p in published.items()}
     builders = kpi_jobs(tables, params, as_of)
-    folder, prefix = params.serving_path or None, params.catalog_prefix
 
     def store(name: str) -> Published:
-        table = name if folder else f"{name}_data"
-        return publish(builders[name](), table, folder=folder, namespace=ANALYTICS, prefix=prefix)
+        return publish(builders[name](), name, folder=folder, namespace=ANALYTICS)
 
     with scratch(spark):
-        stored = dict(zip(builders, concurrently(spark, [partial(store, name) for name in builders])))
-    for name, table in stored.items():
-        if folder:
-            register_view(kpis.in_display_order(read_published(spark, table), name), name)
-        else:
+        return dict(zip(builders, concurrently(spark, [partial(store, name) for name in builders])))
+
+
+def _into_catalog(spark: SparkSession, prefix: str, written: Mapping[str, Published]) -> dict[str, Published]:
+    """Turn the catalog's tables to the written ones; indicators are `<NAME>_DATA` with a lasting view on top."""
+    create_tables(spark, prefix=prefix)
+    named = {}
+    for name, table in written.items():
+        is_indicator = f"/{ANALYTICS}/" in table.location
+        full = f"{name}_data".upper() if is_indicator else table.table
+        named[name] = replace(table, table=full, location=f"{prefix}{ANALYTICS if is_indicator else STAGING}.{full}")
+    versions.turn_catalog(spark, {named[name].location: table.location for name, table in written.items()})
+    for name, table in named.items():
+        if table.table.endswith("_DATA"):
             create_view(spark, f"{prefix}{ANALYTICS}.{name}", table.location, kpis.display_sql(name))
-    return stored
+    return named
+
+
+def publish_all(
+    spark: SparkSession,
+    params: Params,
+    dimensions: Mapping[str, DataFrame],
+    as_of: datetime | None = None,
+    *,
+    inspections: bool = False,
+) -> dict[str, Published]:
+    """Tables and indicators as one new version of the store; if anything fails, readers keep the one before.
+
+    Each indicator has a view of its name on top. In the catalog the view lasts;
+    over a folder there is no catalog to keep it, so it lives as long as the
+    session, and `versions.read_current` finds the tables.
+    """
+    prefix = params.catalog_prefix
+    if params.serving_path:
+        store = params.serving_path
+    else:
+        create_tables(spark, prefix=prefix)
+        store = namespace_folder(spark, f"{prefix}{STAGING}")
+    with versions.prepared(spark, store) as version:
+        folder = versions.version_folder(store, version)
+        written = publish_tables(spark, params, dimensions, folder, as_of, inspections=inspections)
+        indicators = refresh_kpis(spark, params, written, folder, as_of)
+    if params.serving_path:
+        versions.turn_folder(spark, store, version)
+        for name, table in indicators.items():
+            register_view(kpis.in_display_order(read_published(spark, table), name), name)
+        written |= indicators
+    else:
+        written = _into_catalog(spark, prefix, written | indicators)
+    versions.forget(spark, store, version)
+    return written
 
 
 def run_pipeline(
@@ -346,8 +396,6 @@ def run_pipeline(
         spark, params, run.ingested, dimensions=dimensions, rules=rules, as_of=as_of,
         accept_row_counts=accept_row_counts,
     )
-    run.published = publish_tables(spark, params, dimensions, as_of, inspections=publish_inspections)
-    indicators = refresh_kpis(spark, params, run.published, as_of)
-    run.published.update(indicators)
-    run.views = list(indicators)
+    run.published = publish_all(spark, params, dimensions, as_of, inspections=publish_inspections)
+    run.views = [name for name in run.published if name in kpis.INDICATORS]
     return run

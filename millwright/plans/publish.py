@@ -64,6 +64,12 @@ def create_namespaces(spark: SparkSession, prefix: str = "") -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{name}")
 
 
+def namespace_folder(spark: SparkSession, namespace: str) -> str:
+    """Where the catalog keeps a namespace; dropping the namespace removes it."""
+    described = {row[0]: row[1] for row in spark.sql(f"DESCRIBE SCHEMA {namespace}").collect()}
+    return described["Location"]
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "\\'") + "'"
 

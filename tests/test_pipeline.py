@@ -1,7 +1,7 @@
 """Files in, indicators out."""
 
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from catalog import _as_raw
 from conftest import rows
 from millwright.operators.checks import LateEvents, NullShare, UniqueKeys
 from millwright.params import Params
-from millwright.plans import bronze, pipeline, publish
+from millwright.plans import bronze, manifest, pipeline, publish, versions
 from millwright.schemas import BRONZE, RAW, SERVING, SILVER
 from millwright.sources import read_csv
 from millwright.workspace import concurrently, run_folder, scratch, shared_folder, stage
@@ -225,6 +225,120 @@ def test_steps_report_as_the_whole_day_does(spark, small, product):
         pipeline.require_passed_gate(spark, params)
 
 
+def _steps(spark, params, as_of):
+    pipeline.ingest_raw(spark, params, as_of=as_of)
+    pipeline.build_quality(spark, params)
+    pipeline.build_downtime(spark, params)
+
+
+def test_a_failed_second_check_takes_the_pass_away(spark, small, product):
+    params, as_of = small(), datetime(2024, 1, 1, 12)
+    _steps(spark, params, as_of)
+    pipeline.check(spark, params, dimensions=product, as_of=as_of)
+    pipeline.require_passed_gate(spark, params)
+    with pytest.raises(pipeline.QualityGateError):
+        pipeline.check(spark, params, dimensions=product, rules=[UniqueKeys("inspection_results", ("batch_id",))], as_of=as_of)
+    with pytest.raises(RuntimeError, match="not passed"):
+        pipeline.require_passed_gate(spark, params)
+
+
+def test_metric_tables_of_an_older_ingest_are_refused(spark, small, product):
+    params = small()
+    _steps(spark, params, datetime(2024, 1, 1, 12))
+    pipeline.ingest_raw(spark, small("B2,P1,A,S1,70,2024-01-02,2024-01-02 00:00:00,2024-01-02 06:00:00"), as_of=datetime(2024, 1, 1, 12))
+    with pytest.raises(manifest.StaleTableError, match="quality_metrics was made from another production_records"):
+        pipeline.check(spark, params, dimensions=product, as_of=datetime(2024, 1, 1, 12))
+    pipeline.build_quality(spark, params)
+    pipeline.check(spark, params, dimensions=product, as_of=datetime(2024, 1, 1, 12), accept_row_counts=True)
+    pipeline.require_passed_gate(spark, params)
+
+
+def test_tables_changed_behind_the_steps_are_refused(spark, small, product):
+    params, as_of = small(), datetime(2024, 1, 1, 12)
+    _steps(spark, params, as_of)
+    pipeline.check(spark, params, dimensions=product, as_of=as_of)
+    spark.read.parquet(f"{params.silver_path}/downtime_metrics").limit(1).write.mode("append").parquet(f"{params.silver_path}/downtime_metrics")
+    with pytest.raises(manifest.StaleTableError, match="downtime_metrics changed"):
+        pipeline.require_passed_gate(spark, params)
+    with pytest.raises(manifest.StaleTableError):
+        pipeline.check(spark, params, dimensions=product, as_of=as_of)
+    manifest.remove(spark, f"{params.bronze_path}/manifest/machine_logs")
+    with pytest.raises(manifest.StaleTableError, match="no finished step has written machine_logs"):
+        pipeline.check(spark, params, dimensions=product, as_of=as_of)
+
+
+def test_fingerprints(spark):
+    def content(rows, schema="a int, b string"):
+        return manifest.content_of(spark.createDataFrame(rows, schema).repartition(3).agg(*manifest.fingerprint(spark.createDataFrame(rows, schema))).first().asDict())
+
+    assert content([(1, "x"), (2, None)]) == content([(2, None), (1, "x")])
+    different = [[(1, "x")], [(1, "x"), (1, "x")], [(1, None)], [(None, "x")], [(None, None)], [], [(1, "x")] * 3]
+    assert len({content(rows) for rows in different}) == len(different)
+    assert content([(None, "x")], "a string, b string") != content([("x", None)], "a string, b string")
+
+
+def test_a_share_of_late_inspections_may_pass(spark, small, product):
+    params, as_of = replace(small(), late_event_share=0.5), datetime(2024, 1, 1, 9) - timedelta(hours=24)
+    run = pipeline.run_pipeline(spark, params, product, as_of=as_of)
+    (late,) = [row for row in run.checks if row["check"] == "late_share"]
+    assert (late["observed"], late["threshold"], late["passed"]) == (0.5, 0.5, True)
+    with pytest.raises(pipeline.QualityGateError, match="late_share"):
+        pipeline.run_pipeline(spark, replace(params, late_event_share=0.4), product, as_of=as_of)
+
+
+def _some_tables(spark, n):
+    return {name: spark.range(n).selectExpr(f"cast(id as string) {key}") for name, key in (("dim_a", "a"), ("dim_b", "b"), ("dim_c", "c"))}
+
+
+def test_a_failure_at_the_third_table_leaves_the_old_set(spark, tmp_path):
+    store = str(tmp_path)
+
+    def publish_set(tables, fails=False):
+        with versions.prepared(spark, store) as version:
+            folder = versions.version_folder(store, version)
+            for i, (name, df) in enumerate(tables.items()):
+                df = df.withColumn("x", F.raise_error(F.lit("boom")).cast("string")) if fails and i == 2 else df
+                publish.publish(df, name, folder=folder)
+        versions.turn_folder(spark, store, version)
+        versions.forget(spark, store, version)
+
+    with pytest.raises(LookupError):
+        versions.read_current(spark, store, "staging", "dim_a")
+    publish_set(_some_tables(spark, 3))
+    with pytest.raises(Exception, match="boom"):
+        publish_set(_some_tables(spark, 5), fails=True)
+    assert len(versions.versions(spark, store)) == 1
+    assert [versions.read_current(spark, store, "staging", t).count() for t in ("dim_a", "dim_b", "dim_c")] == [3, 3, 3]
+    held = versions.read_current(spark, store, "staging", "dim_a")
+    publish_set(_some_tables(spark, 5))
+    assert held.count() == 3  # a reader of the version before is not disturbed
+    assert versions.read_current(spark, store, "staging", "dim_c").count() == 5
+    publish_set(_some_tables(spark, 6))
+    assert len(versions.versions(spark, store)) == versions.KEPT
+
+
+def test_a_failed_run_leaves_the_catalog_as_it_was(spark, small, product, monkeypatch):
+    params = replace(small(), serving_path="", catalog_prefix="safe_")
+    try:
+        pipeline.run_pipeline(spark, params, product, as_of=datetime(2024, 1, 1, 12))
+        before = {t: rows(spark.table(f"safe_{t}")) for t in ("staging.FACT_PRODUCTION", "analytics.kpi_defect_rate")}
+        more = replace(small("B2,P1,A,S1,70,2024-01-02,2024-01-02 00:00:00,2024-01-02 06:00:00"), serving_path="", catalog_prefix="safe_")
+
+        def broken(*_, **__):
+            raise OSError("disk gone")
+
+        with monkeypatch.context() as patch:
+            patch.setattr(pipeline.kpis, "kpi_downtime", broken)
+            with pytest.raises(OSError):
+                pipeline.run_pipeline(spark, more, product, as_of=datetime(2024, 1, 1, 12), accept_row_counts=True)
+        assert {t: rows(spark.table(f"safe_{t}")) for t in before} == before
+        pipeline.run_pipeline(spark, more, product, as_of=datetime(2024, 1, 1, 12), accept_row_counts=True)
+        assert spark.newSession().table("safe_staging.FACT_PRODUCTION").count() == 2
+    finally:
+        for namespace in (publish.STAGING, publish.ANALYTICS):
+            spark.sql(f"DROP SCHEMA IF EXISTS safe_{namespace} CASCADE")
+
+
 def test_steps_from_the_command_line(spark, params, dimensions, tmp_path):
     from millwright.__main__ import main
 
@@ -239,9 +353,9 @@ def test_steps_from_the_command_line(spark, params, dimensions, tmp_path):
         main(["publish", "--config", str(config), "--dimension", f"dim_product={products}"], spark)
     for step in ("ingest", "quality", "downtime", "check", "publish"):
         main([step, "--config", str(config), "--dimension", f"dim_product={products}"], spark)
-    by_steps = spark.read.parquet(f"{tmp_path}/out/analytics/KPI_DEFECT_RATE").count()
+    by_steps = versions.read_current(spark, f"{tmp_path}/out", "analytics", "kpi_defect_rate").count()
     main(["run", "--config", str(config), "--dimension", f"dim_product={products}", "--late-reference", "end_time"], spark)
-    by_end_time = spark.read.parquet(f"{tmp_path}/out/analytics/KPI_DEFECT_RATE").count()
+    by_end_time = versions.read_current(spark, f"{tmp_path}/out", "analytics", "kpi_defect_rate").count()
     assert by_steps > 0 and by_end_time > 0
     with pytest.raises(SystemExit):
         main(["unknown", "--config", str(config)], spark)
