@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timezone
 from functools import cached_property, reduce
 
@@ -15,7 +16,7 @@ from millwright import functions as fn
 from millwright.operators import checks, joins, metrics, rows
 from millwright.operators.frames import with_rank
 from millwright.params import Params
-from millwright.plans import bronze, kpis, pipeline, publish, silver
+from millwright.plans import bronze, daily, kpis, manifest, pipeline, publish, silver, versions
 from millwright.schemas import INGESTED_AT, RAW, SERVING
 from millwright.sources import read_parquet
 from millwright.workspace import concurrently, run_folder, stage, stage_counted
@@ -271,6 +272,13 @@ def join_quality_product_left(t: Factory) -> DataFrame:
     return t.quality_with_product
 
 
+@register
+def join_quality_product_left_split(t: Factory) -> DataFrame:
+    """Production holds some batches twice; their rows are spread over shares."""
+    production = standins.with_copies(t.production, "production_records")
+    return joins.quality_with_product(t.quality, stage(production), t.products, hot_key_rows=1)
+
+
 @register
 def prod_week(t: Factory) -> DataFrame:
     return t.production.select(
@@ -469,6 +477,18 @@ def dq_report(t: Factory) -> DataFrame:
     return _rounded(checks.run_checks(tables, rules), "observed")
 
 
+@register
+def dq_late_share(t: Factory) -> DataFrame:
+    """The late inspections held against shares that may be late."""
+    tables = {"inspection_results": t.inspections}
+    limits = [("strict", 0.1), ("loose", 0.5)]
+    reports = [
+        checks.run_checks(tables, [checks.LateEvents("inspection_results", "inspection_timestamp", INGESTED_AT, 24, share)])
+        .withColumn("limit", F.lit(name)) for name, share in limits
+    ]
+    return _rounded(reduce(DataFrame.unionByName, reports), "observed")
+
+
 @register
 def gate_report(t: Factory) -> DataFrame:
     """What the gate looks at before publishing, by its default rules."""
@@ -523,9 +543,13 @@ def dim_machine_defaults(t: Factory) -> DataFrame:
 # --- the whole day --------------------------------------------------------
 
 
+# At the fixed clock some stand-in inspections are late; this share may be.
+LATE_SHARE = 0.5
+
+
 def _known_faults(rule: checks.Rule) -> bool:
-    """The stand-in inspections repeat ids, and some are late at the fixed clock."""
-    return rule.table == "inspection_results" and isinstance(rule, (checks.UniqueKeys, checks.LateEvents))
+    """The stand-in inspections repeat ids."""
+    return rule.table == "inspection_results" and isinstance(rule, checks.UniqueKeys)
 
 
 def _whole_day(t: Factory, prefix: str | None = None) -> pipeline.RunReport:
@@ -537,7 +561,7 @@ def _whole_day(t: Factory, prefix: str | None = None) -> pipeline.RunReport:
     for dataset, df in t.raw_tables.items():
         _write_raw(df, dataset, f"{base}/raw")
     serving = f"{base}/serving" if prefix is None else ""
-    params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", serving, prefix or "")
+    params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", serving, prefix or "", late_event_share=LATE_SHARE)
     dimensions = {"dim_product": t.products} if prefix is None else t.dimensions
     rules = [rule for rule in pipeline.default_rules(params, dimensions) if not _known_faults(rule)]
     return pipeline.run_pipeline(
@@ -596,6 +620,146 @@ def end_to_end_tables(t: Factory) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@register
+def gate_states(t: Factory) -> DataFrame:
+    """Whether a day may be published: after a passed check, after one that failed, after a new ingest, and after its metrics."""
+    base = run_folder(t.spark)
+    for dataset, df in t.raw_tables.items():
+        _write_raw(df, dataset, f"{base}/raw")
+    params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/serving", late_event_share=LATE_SHARE)
+    rules = pipeline.default_rules(params)
+    fitting = [rule for rule in rules if not _known_faults(rule)]
+    states: list[tuple[str, bool, int | None]] = []
+
+    def note(state: str, repeated: int | None = None) -> None:
+        try:
+            pipeline.require_passed_gate(t.spark, params)
+            allowed = True
+        except RuntimeError:
+            allowed = False
+        states.append((state, allowed, repeated))
+
+    def checked(state: str, chosen: list[checks.Rule]) -> None:
+        try:
+            pipeline.check(t.spark, params, rules=chosen, as_of=AS_OF)
+            note(state)
+        except pipeline.QualityGateError as failed:
+            note(state, sum(int(row["observed"]) for row in failed.failures))
+        except manifest.StaleTableError:
+            note(state)
+
+    pipeline.ingest_raw(t.spark, params, as_of=AS_OF)
+    checked("ingested, no metrics", fitting)
+    pipeline.build_quality(t.spark, params)
+    pipeline.build_downtime(t.spark, params)
+    note("not checked")
+    checked("passed", fitting)
+    checked("failed after a pass", rules)
+    checked("passed again", fitting)
+    pipeline.ingest_raw(t.spark, params, as_of=datetime(2000, 1, 2, tzinfo=timezone.utc))
+    checked("new ingest, old metrics", fitting)
+    return t.spark.createDataFrame(states, "state string, may_publish boolean, repeated_rows bigint")
+
+
+@register
+def publish_version(t: Factory) -> DataFrame:
+    """A set of tables, read back after a second set broke off at its third table."""
+    store = run_folder(t.spark)
+    tables = {"dim_product": t.products, "dim_shift": t.shifts, "fact_production": t.production}
+
+    def publish_set(sources: dict[str, DataFrame]) -> None:
+        with versions.prepared(t.spark, store) as version:
+            for name, df in sources.items():
+                publish.publish(publish.conform(df, name, AS_OF), name, folder=versions.version_folder(store, version))
+        versions.turn_folder(t.spark, store, version)
+
+    publish_set(tables)
+    broken = t.production.withColumn("units_produced", F.raise_error(F.lit("lost")).cast("int"))
+    try:
+        publish_set({**{name: df.limit(0) for name, df in tables.items()}, "fact_production": broken})
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    keys = {"dim_product": "product_id", "dim_shift": "shift_id", "fact_production": "batch_id"}
+    read = [
+        versions.read_current(t.spark, store, publish.STAGING, name).select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"))
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, read)
+
+
+# --- three deliveries -------------------------------------------------------
+
+_LANDED: dict[tuple[str, str], tuple[daily.Store, daily.Store, list[daily.Delivery]]] = {}
+
+
+def _delivered(t: Factory) -> tuple[daily.Store, daily.Store, list[daily.Delivery]]:
+    """Three deliveries with late rows and copies, landed one after the other; once a session and folder.
+
+    The logs are kept by day, the other tables by quarter, as they reach over years.
+    """
+    key = t.spark.sparkContext.applicationId, t.folder
+    if key not in _LANDED:
+        base = run_folder(t.spark)
+        day_of = {**daily.DAY_OF, "machine_logs": "event_ts"}
+        logs, rest = (
+            daily.Store(Params(f"{base}/{name}/raw", f"{base}/{name}/bronze", f"{base}/{name}/silver", f"{base}/{name}/serving"), unit, day_of)
+            for name, unit in (("logs", "day"), ("rest", "quarter"))
+        )
+        landed = []
+        stamp = F.lit(AS_OF).cast("timestamp_ntz")
+        for number in range(len(standins.DELIVERIES)):
+            parts = {name: df.where(standins.delivered(name, number)) for name, df in t.raw_tables.items()}
+            for store, names in ((logs, ["machine_logs"]), (rest, [n for n in parts if n != "machine_logs"])):
+                seen = daily.land(t.spark, store, {n: parts[n] for n in names}, stamp)
+                landed += [replace(d, dataset=f"{d.dataset} {number + 1}") for d in seen]
+                daily.refresh(t.spark, store, t.products)
+        _LANDED[key] = logs, rest, landed
+    return _LANDED[key]
+
+
+@register
+def daily_deliveries(t: Factory) -> DataFrame:
+    """What each delivery held and what of it was new."""
+    counts = [(d.dataset, d.rows_read, d.rows_new) for d in _delivered(t)[2]]
+    return t.spark.createDataFrame(counts, "delivery string, rows_read bigint, rows_new bigint")
+
+
+@register
+def daily_quality(t: Factory) -> DataFrame:
+    return daily.quality_table(t.spark, _delivered(t)[1])
+
+
+@register
+def daily_downtime(t: Factory) -> DataFrame:
+    return daily.downtime_totals(t.spark, _delivered(t)[0])
+
+
+def _carried(t: Factory, logs: bool, name: str) -> DataFrame:
+    store = _delivered(t)[0 if logs else 1]
+    return daily.read_periods(t.spark, store.serving(name)).drop(daily.PERIOD)
+
+
+@register
+def daily_kpi_downtime(t: Factory) -> DataFrame:
+    return _carried(t, True, "kpi_downtime")
+
+
+@register
+def daily_kpi_defect_rate(t: Factory) -> DataFrame:
+    return _rounded(_carried(t, False, "kpi_defect_rate"), "daily_defect_rate", "rolling_7d_defect_rate")
+
+
+@register
+def daily_kpi_throughput(t: Factory) -> DataFrame:
+    return _rounded(_carried(t, False, "kpi_throughput"), "units_per_hour", "prev_shift_uph", "pct_change_vs_prev")
+
+
+@register
+def daily_kpi_material_batch(t: Factory) -> DataFrame:
+    return _rounded(_carried(t, False, "kpi_material_batch_trends"), "historical_avg_defect_rate_last_4")
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Land what is needed, build the quality metrics, and compute the defect-rate indicator.
 

@@ -27,6 +27,7 @@ from millwright.workspace import stage, stage_counted
 GROUP_ROWS = 5_000_000
 
 _CHUNK, _HALO, _POS, _ROW, _TAIL, _PEERS, _SIZE = "_chunk", "_halo", "_pos", "_row", "_tail", "_peers", "_size"
+_EARLIER = "_earlier"
 
 Measure = Callable[[WindowSpec], Column]
 
@@ -130,6 +131,40 @@ def over_preceding(
     return plain(split.fitting).unionByName(hot)
 
 
+@dataclass(frozen=True)
+class Carried:
+    """New rows with their window columns, and the last rows of every group for the next run."""
+
+    rows: DataFrame
+    tail: DataFrame
+
+
+def over_carried(
+    new: DataFrame,
+    tail: DataFrame | None,
+    group: list[str],
+    order: list[str],
+    depth: int,
+    measures: dict[str, Measure],
+    *,
+    group_rows: int = GROUP_ROWS,
+) -> Carried:
+    """`over_preceding` for rows that come behind all earlier ones, whose last `depth` per group are in `tail`.
+
+    The tail stands in front of the new rows and goes again; the result is the
+    same as over all rows. Only `depth` rows per group are kept, whatever lies
+    before. `new` should be staged, since it is read more than once.
+    """
+    columns = new.columns
+    marked = new.withColumn(_EARLIER, F.lit(False))
+    if tail is not None:
+        marked = marked.unionByName(tail.select(*columns).withColumn(_EARLIER, F.lit(True)))
+    done = over_preceding(marked, group, order, depth, measures, group_rows=group_rows)
+    from_end = Window.partitionBy(*group).orderBy(*_descending(order))
+    last = marked.withColumn(_POS, F.row_number().over(from_end)).where(F.col(_POS) <= depth)
+    return Carried(done.where(~F.col(_EARLIER)).drop(_EARLIER), last.select(*columns))
+
+
 def total_before(
     df: DataFrame,
     group: list[str],

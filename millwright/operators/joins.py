@@ -26,7 +26,8 @@ SAMPLE_PER_KEY = 50
 # The list of hot keys is broadcast up to this many entries, else joined by shuffle.
 BROADCAST_KEYS = 100_000
 
-_SALTS, _SALT = "_salts", "_salt"
+_SPREAD = "_spread"
+_SALTS, _SALT, _MATCHED = "_salts", "_salt", "_matched"
 
 
 def weights(df: DataFrame, *columns: str) -> DataFrame:
@@ -116,6 +117,33 @@ def salted_join(
     return many_salted.join(one_salted, [key, _SALT], "inner").drop(_SALT)
 
 
+def salted_left_join(
+    left: DataFrame, right: DataFrame, key: str, spread_by: list[str], *, hot_key_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
+    """Left outer join on `key` where some keys of the right side may hold very many rows.
+
+    Adaptive execution can split the left side of an outer join but not the right.
+    Rows of the right side's hot keys are split into numbered shares by a hash of
+    `spread_by`, and the left rows of such a key are repeated once per share. In
+    shares without a right row a repeated left row finds nothing and goes: a hot
+    key was seen on the right, so every left row of it has a match in some
+    share, and rows of all other keys stay once, matched or not. `right` should be
+    a stored table or a projection of one.
+    """
+    found = hot_keys(right, key, hot_key_rows)
+    if found is None:
+        return left.join(right, key, "left")
+    hot, n_hot = found
+    if n_hot <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+    salts = F.coalesce(F.col(_SALTS), F.lit(1))
+    share = F.pmod(F.xxhash64(*spread_by), salts).cast("int")
+    right_salted = right.join(hot, key, "left").withColumn(_SALT, share).drop(_SALTS).withColumn(_MATCHED, F.lit(True))
+    left_salted = left.join(hot, key, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
+    joined = left_salted.join(right_salted, [key, _SALT], "left")
+    return joined.where(F.col(_SALTS).isNull() | F.col(_MATCHED).isNotNull()).drop(_SALT, _SALTS, _MATCHED)
+
+
 def inspections_with_production(inspections: DataFrame, production: DataFrame) -> DataFrame:
     """Inspections inner-joined to their batch.
 
@@ -125,11 +153,17 @@ def inspections_with_production(inspections: DataFrame, production: DataFrame) -
     return inspections.join(production.drop(*shared), "batch_id", "inner")
 
 
-def quality_with_product(quality: DataFrame, production: DataFrame, products: DataFrame) -> DataFrame:
-    """Metric rows with product id and category; rows without a match keep NULLs."""
-    return quality.join(production.select("batch_id", "product_id"), "batch_id", "left").join(
-        products.select("product_id", "product_category"), "product_id", "left"
-    )
+def quality_with_product(
+    quality: DataFrame, production: DataFrame, products: DataFrame, *, hot_key_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
+    """Metric rows with product id and category, one per production row of the batch; rows without a match keep NULLs.
+
+    A batch with very many production rows is spread over several tasks, by a
+    hash of whole rows; the hash is pruned where no batch is hot.
+    """
+    made = production.select("batch_id", "product_id", F.xxhash64(*production.columns).alias(_SPREAD))
+    joined = salted_left_join(quality, made, "batch_id", [_SPREAD], hot_key_rows=hot_key_rows).drop(_SPREAD)
+    return joined.join(products.select("product_id", "product_category"), "product_id", "left")
 
 
 def material_with_quality(

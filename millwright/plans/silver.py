@@ -31,6 +31,10 @@ def quality_metrics(
         summed = _by_production_time(inspections, production, late_reference, max_late_hours, hot_key_rows)
     else:
         summed = _by_inspection(inspections, production, late_reference, max_late_hours, hot_key_rows)
+    return _with_rate(summed)
+
+
+def _with_rate(summed: DataFrame) -> DataFrame:
     rate = defect_rate(F.col("defect_count"), F.col("total_inspected"))
     return summed.withColumn("defect_rate", rate).fillna({"defect_rate": 0.0})
 
@@ -50,11 +54,24 @@ def _by_inspection(
     last grouping needs: one shuffle per side.
     """
     reference = F.col(reference) if isinstance(reference, str) else reference
-    per_batch = (
+    return _summed(inspected_per_batch(inspections, reference, max_hours, "batch_id"), production, hot_key_rows)
+
+
+def inspected_per_batch(inspections: DataFrame, reference: Column, max_hours: float, *keys: str) -> DataFrame:
+    """Defects (`_defects`) and units (`_inspected`) of inspections that are not late, per key."""
+    return (
         drop_late(inspections, "inspection_timestamp", reference, max_hours)
-        .groupBy("batch_id")
+        .groupBy(*keys)
         .agg(F.sum("defect_found").alias("_defects"), F.count("inspection_id").alias("_inspected"))
     )
+
+
+def metrics_of_batches(per_batch: DataFrame, production: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """The quality metrics from inspections that have been summed per batch."""
+    return _with_rate(_summed(per_batch, production, hot_key_rows))
+
+
+def _summed(per_batch: DataFrame, production: DataFrame, hot_key_rows: int) -> DataFrame:
     made = weights_if_hot(production, "batch_id", *_GRAIN, hot_key_rows=hot_key_rows)
     copies = F.col(WEIGHT)
     return (

@@ -59,10 +59,15 @@ def version_folder(store: str, version: str) -> str:
     return f"{store.rstrip('/')}/{VERSIONS}/{version}"
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, sorted; nothing if there is none."""
+    files, folder = _files(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+
+
 def versions(spark: SparkSession, store: str) -> list[str]:
     """All versions in the store, oldest first."""
-    files, folder = _files(spark, f"{store}/{VERSIONS}")
-    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+    return names(spark, f"{store}/{VERSIONS}")
 
 
 def forget(spark: SparkSession, store: str, current: str, kept: int = KEPT) -> None:

@@ -433,3 +433,78 @@ SELECT production_line, shift_id, production_date,
        CAST(RANK() OVER (PARTITION BY production_date ORDER BY uph DESC NULLS LAST) AS INTEGER) AS throughput_rank
 FROM previous""",
 }
+
+# Deliveries, versions, the gate's states, and a hot right side.
+_PRODUCTION_COPIES = f"copied AS ({standins.sql_with_copies('production_records')})"
+_DELIVERED = {
+    "machine_logs": "logs", "production_records": "production", "inspection_results": "raw_inspections",
+    "material_batches": "materials",
+}
+
+
+def _delivery(table: str, alias: str, number: int) -> str:
+    """Rows of a delivery, and its distinct rows that no delivery before it held."""
+    part = f"SELECT * FROM {alias} WHERE {standins.delivered(table, number)}"
+    before = "".join(f" EXCEPT SELECT * FROM {alias} WHERE {standins.delivered(table, n)}" for n in range(number))
+    return f"""
+SELECT '{table} {number + 1}' AS delivery, (SELECT COUNT(*) FROM ({part}) r) AS rows_read,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM ({part}) d {before}) f) AS rows_new"""
+
+
+ORACLES |= {
+    "join_quality_product_left_split": _with(_QUALITY_DEFAULT, _PRODUCTION_COPIES) + """
+SELECT q.*, p.product_id, d.product_category
+FROM quality q LEFT JOIN copied p ON q.batch_id = p.batch_id LEFT JOIN products d ON p.product_id = d.product_id""",
+    "dq_late_share": _with() + """,
+late AS (
+    SELECT COUNT(*) FILTER (WHERE epoch_us(inspection_timestamp) - epoch_us(ingestion_timestamp) > 86400000000)
+           / CAST(COUNT(*) AS DOUBLE) AS share
+    FROM inspections
+)
+SELECT 'late_share' AS "check", 'inspection_results' AS "table", 'inspection_timestamp' AS target,
+       ROUND(share, 6) AS observed, threshold, share <= threshold AS passed, "limit"
+FROM late, (VALUES ('strict', 0.1e0), ('loose', 0.5e0)) t("limit", threshold)""",
+    "gate_states": _with() + """,
+repeated AS (
+    SELECT CAST(SUM(n) AS BIGINT) AS n FROM (SELECT COUNT(*) AS n FROM inspections GROUP BY inspection_id HAVING COUNT(*) > 1) r
+)
+SELECT state, may_publish, CASE WHEN state = 'failed after a pass' THEN (SELECT n FROM repeated) END AS repeated_rows
+FROM (VALUES ('ingested, no metrics', false), ('not checked', false), ('passed', true), ('failed after a pass', false),
+             ('passed again', true), ('new ingest, old metrics', false)) s(state, may_publish)""",
+    "publish_version": _with() + _UNION.join(
+        f"SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key FROM {table}"
+        for name, (table, key) in {
+            "dim_product": ("products", "product_id"), "dim_shift": ("shifts", "shift_id"),
+            "fact_production": ("production", "batch_id"),
+        }.items()
+    ),
+    "daily_deliveries": _with() + f", raw_inspections AS ({standins.sql('inspection_results')})" + _UNION.join(
+        _delivery(table, alias, number)
+        for table, alias in _DELIVERED.items() for number in range(len(standins.DELIVERIES))
+    ),
+}
+
+# Landed in three deliveries, metrics and indicators are those of the distinct rows at once.
+_ONCE = f"""
+logs AS (SELECT DISTINCT * FROM ({_LOGS}) r),
+production AS (SELECT DISTINCT * FROM ({_PRODUCTION}) r),
+inspections AS (SELECT DISTINCT * FROM ({_INSPECTIONS}) r),
+materials AS (SELECT DISTINCT * FROM ({_MATERIALS}) r),
+products AS ({_PRODUCTS})
+"""
+
+
+def _once(name: str) -> str:
+    """The SQL of a registered query over the distinct raw rows."""
+    assert _TABLES in ORACLES[name]
+    return ORACLES[name].replace(_TABLES, _ONCE)
+
+
+ORACLES |= {
+    "daily_quality": _once("silver_quality"),
+    "daily_downtime": _once("silver_downtime"),
+    "daily_kpi_downtime": _once("downtime_daily_cumulative"),
+    "daily_kpi_defect_rate": _once("kpi_defect_rate"),
+    "daily_kpi_throughput": _once("kpi_throughput"),
+    "daily_kpi_material_batch": _once("kpi_material_batch"),
+}

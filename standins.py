@@ -88,6 +88,19 @@ COPIED: dict[str, str] = {
 }
 
 
+# Three deliveries of each raw table. The second holds what comes after the first; the third
+# the rest, rows of the second's time that were late, and copies of rows that were landed before.
+_FIRST, _SECOND = "{day} < timestamp '{from_}'", "{day} >= timestamp '{from_}' and {day} < timestamp '{to}' and {key} % 10 <> 3"
+_THIRD = "{day} is null or {day} >= timestamp '{to}' or {day} >= timestamp '{from_}' and ({key} % 10 = 3 or {key} % 7 = 0)"
+_DELIVERED = {
+    "machine_logs": {"day": "event_ts", "key": "duration_minutes", "from_": "2024-01-15 00:00:00", "to": "2024-01-25 00:00:00"},
+    "production_records": {"day": "start_time", "key": "batch_id", "from_": "1998-01-01 00:00:00", "to": "1999-01-01 00:00:00"},
+    "inspection_results": {"day": "inspection_timestamp", "key": "batch_id", "from_": "1998-01-01 00:00:00", "to": "1999-01-01 00:00:00"},
+    "material_batches": {"day": "received_date", "key": "batch_id", "from_": "1998-01-01 00:00:00", "to": "1999-01-01 00:00:00"},
+}
+DELIVERIES = (_FIRST, _SECOND, _THIRD)
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     stand_in = STAND_INS[table]
     df = spark.read.parquet(f"{folder}/{stand_in.source}.parquet")
@@ -107,3 +120,8 @@ def with_copies(df: DataFrame, table: str) -> DataFrame:
 
 def sql_with_copies(table: str) -> str:
     return f"SELECT * FROM ({sql(table)}) a UNION ALL SELECT * FROM ({sql(table)}) b WHERE {COPIED[table]}"
+
+
+def delivered(table: str, number: int) -> str:
+    """The condition that rows of a delivery meet; together the deliveries hold every row."""
+    return DELIVERIES[number].format(**_DELIVERED[table])
