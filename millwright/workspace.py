@@ -100,15 +100,21 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         _remove(spark.sparkContext, folder)
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage_path(spark: SparkSession) -> str:
+    """Where the next staged table would go: below the enclosing `scratch` block, or a fresh run folder."""
+    return f"{_SCRATCH.get() or run_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Evaluate `df` once into a table of the shared folder and read that.
 
     The files survive a lost executor, later jobs read only the columns they
     need, and nobody repeats the joins and aggregations behind the frame. They
-    stay until the enclosing `scratch` block ends, or else until the program does.
+    stay until the enclosing `scratch` block ends, or else until the program does;
+    a `path` taken before an inner block began outlives that one.
     """
     spark = df.sparkSession
-    path = f"{_SCRATCH.get() or run_folder(spark)}/{uuid.uuid4().hex}"
+    path = path or stage_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
