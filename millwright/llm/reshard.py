@@ -1,10 +1,12 @@
 """Resharding with the fewest moved bytes, by minimum-cost flow over shards.
 
-Documents are hash-split into blocks inside their old shard. Sizes of blocks
+Documents are hash-split into blocks inside their old shard; rows that are alike
+are numbered, so that any number of them spreads over the blocks. Sizes of blocks
 (a bounded list) decide; a minimum-cost flow from old shards to new capacities
 says how many bytes go where, blocks that fit best are moved, and only shards
-whose content changes are written again. `shard_plan` plans, `reshard` also
-writes the affected shards and tells what is in them.
+whose content changes are written again. Planning works on narrow rows; the text is
+shuffled once, to join its plan row. `shard_plan` plans, `reshard` also writes
+shards and tells what is in them.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millwright.workspace import run_folder, stage
@@ -20,8 +23,9 @@ from millwright.workspace import run_folder, stage
 from .common import text_bytes
 
 SHARDS = 8
-BLOCKS_PER_SHARD = 256
-BLOCK_BYTES = 1 << 30  # above this, blocks get more instead of larger
+BLOCKS_PER_SHARD = 2048
+BLOCK_BYTES = 1 << 27  # above this, blocks get more instead of larger
+CHUNKS = 256  # of a group of rows alike, which are numbered chunk by chunk
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: Callable[[int, int], int]) -> dict[tuple[int, int], int]:
@@ -99,6 +103,8 @@ def block_moves(blocks: list[tuple[int, int, int]], shards: int) -> dict[tuple[i
 PLAN = ("doc_id", "size", "text_crc32", "old_shard", "shard", "slot")
 # Columns of a written shard that replace those of the input.
 PLACE = ("old_shard", "shard", "slot")
+# Where a row lies: its file and its place in it, the same whenever it is read.
+ROW = ("_file", "_place")
 
 
 def _crc() -> Column:
@@ -111,17 +117,49 @@ def _measured(documents: DataFrame, old_shard: Column, *carry: Column) -> DataFr
     return documents.select("doc_id", size, _crc().alias("text_crc32"), old_shard.cast("int").alias("old_shard"), *carry)
 
 
+def _row(documents: DataFrame) -> list[Column]:
+    of = documents.metadataColumn("_metadata")
+    return [of["file_path"].alias(ROW[0]), of["row_index"].alias(ROW[1])]
+
+
+def _stored(documents: DataFrame) -> DataFrame:
+    """The documents as a table of files, so that each row can be told from any other."""
+    try:
+        documents.select(*_row(documents))
+    except AnalysisException:
+        return stage(documents)
+    return documents
+
+
+def _numbered(sized: DataFrame) -> DataFrame:
+    """The rows with `nth`, from 0 without gaps among rows alike in doc_id, crc, size and old shard.
+
+    Counted by chunks of such a group first, so no task holds a large one whole.
+    """
+    alike = ["doc_id", "text_crc32", "size", "old_shard"]
+    chunked = sized.withColumn("_chunk", F.pmod(F.xxhash64(*ROW), F.lit(CHUNKS)))
+    counts = chunked.groupBy(*alike, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = W.partitionBy(*alike).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*alike, "_chunk"]], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    inside = W.partitionBy(*alike, "_chunk").orderBy(*ROW)
+    within = chunked.withColumn("_within", F.row_number().over(inside) - 1)
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*alike, "_chunk"]]
+    return within.join(offsets, same).select(*sized.columns, (F.col("_before") + F.col("_within")).alias("nth"))
+
+
 def _block(per_shard: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(per_shard)).cast("int")
+    return F.pmod(F.xxhash64("doc_id", "text_crc32", "nth"), F.lit(per_shard)).cast("int")
 
 
-def _placed(sized: DataFrame, shards: int) -> tuple[int, list[tuple[int, int, int, int]]]:
+def _placed(numbered: DataFrame, shards: int) -> tuple[int, list[tuple[int, int, int, int]]]:
     """Blocks an old shard has, and (old shard, block, new shard, first slot) of every block."""
-    old_sizes = sized.groupBy("old_shard").agg(F.sum("size").alias("bytes"))
+    old_sizes = numbered.groupBy("old_shard").agg(F.sum("size").alias("bytes"))
     largest = old_sizes.agg(F.max("bytes")).first()[0] or 0
     per_shard = max(BLOCKS_PER_SHARD, -(-largest // BLOCK_BYTES))
-    blocked = sized.withColumn("block", _block(per_shard))
-    # One row per block: 256 a shard, or one per GiB.
+    blocked = numbered.withColumn("block", _block(per_shard))
+    # One row per block: so many a shard, or one per 128 MB.
     blocks = blocked.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
     moves = block_moves([(b.old_shard, b.block, b.bytes) for b in blocks], shards)
     next_slot, placed = [0] * shards, []
@@ -132,25 +170,28 @@ def _placed(sized: DataFrame, shards: int) -> tuple[int, list[tuple[int, int, in
     return per_shard, placed
 
 
-def _with_slots(sized: DataFrame, per_shard: int, placed: list[tuple[int, int, int, int]]) -> DataFrame:
-    """The rows with their shard and slot."""
-    table = sized.sparkSession.createDataFrame(placed, "old_shard int, block int, shard int, first_slot bigint")
-    inside = W.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
-    numbered = sized.withColumn("block", _block(per_shard)).withColumn("nth", F.row_number().over(inside) - 1)
-    slotted = numbered.join(F.broadcast(table), ["old_shard", "block"])
-    return slotted.withColumn("slot", (F.col("first_slot") + F.col("nth")).cast("bigint")).drop("block", "nth", "first_slot")
+def _plan(stored: DataFrame, old_shard: Column, shards: int) -> tuple[DataFrame, list[tuple[int, int, int, int]]]:
+    """The plan's columns with where each row lies, as a stored table, and the blocks' places."""
+    numbered = stage(_numbered(stage(_measured(stored, old_shard, *_row(stored)))))
+    per_shard, placed = _placed(numbered, shards)
+    table = stored.sparkSession.createDataFrame(placed, "old_shard int, block int, shard int, first_slot bigint")
+    inside = W.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size", "nth")
+    rows = numbered.withColumn("block", _block(per_shard)).withColumn("_inside", F.row_number().over(inside) - 1)
+    slotted = rows.join(F.broadcast(table), ["old_shard", "block"])
+    slot = (F.col("first_slot") + F.col("_inside")).cast("bigint").alias("slot")
+    return stage(slotted.select("doc_id", "size", "text_crc32", "old_shard", "shard", slot, *ROW)), placed
 
 
 def shard_plan(documents: DataFrame, old_shard: Column, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, old_shard, shard, slot for each row.
 
     A null text has no bytes, so size 1 and crc 0. Repeated rows and equal
-    texts are rows like any other. Slots run from 0 in each shard without gaps,
-    by block, then by doc_id, crc and size; rows that tie in these are alike.
-    Shards are as equal in bytes as whole documents allow. An empty table gives no rows.
+    texts are rows like any other, and spread like any other. Slots run from 0 in
+    each shard without gaps, by block, then by doc_id, crc and size; rows that tie
+    in these are alike. Shards are as equal in bytes as whole documents allow; a
+    very long one is never split. An empty table gives no rows.
     """
-    sized = stage(_measured(documents, old_shard))
-    return _with_slots(sized, *_placed(sized, shards)).select(*PLAN)
+    return _plan(_stored(documents), old_shard, shards)[0].select(*PLAN)
 
 
 def _write_shards(rows: DataFrame, folder: str) -> None:
@@ -160,29 +201,36 @@ def _write_shards(rows: DataFrame, folder: str) -> None:
     ).parquet(folder)
 
 
-def reshard(documents: DataFrame, old_shard: Column, shards: int = SHARDS, folder: str | None = None) -> DataFrame:
-    """The plan of `shard_plan` carried out: the same columns and rows.
+def reshard(
+    documents: DataFrame, old_shard: Column, shards: int = SHARDS, folder: str | None = None, first: bool = True
+) -> DataFrame:
+    """The plan of `shard_plan` carried out: the same columns and rows, measured on what was written.
 
-    Shards that gain or lose a row are written as `folder`/shard=N (by default
-    in the shared folder), whole rows with old_shard and slot; columns of these
-    names in the input give way. For them the result is measured on what was
-    written. The others stay as they are on disk; for them it tells the input.
+    Shards are written as `folder`/shard=N (by default in the shared folder, until
+    the program ends), whole rows with old_shard and slot; columns of these names in
+    the input give way. The `first` time `folder` holds no shards, so all are
+    written. Later the folder holds the old layout, and only shards that gain or
+    lose a row are written again; for the others the result tells the input.
     """
     spark = documents.sparkSession
-    sized = stage(_measured(documents, old_shard))
-    per_shard, placed = _placed(sized, shards)
-    affected = sorted({s for old, _, new, _ in placed if old != new for s in (old, new)})
-    staying = _with_slots(sized.filter(~F.col("old_shard").isin(affected)), per_shard, placed).select(*PLAN)
+    stored = _stored(documents)
+    plan, placed = _plan(stored, old_shard, shards)
+    affected = sorted({s for old, _, new, _ in placed if first or old != new for s in (old, new)})
     if not affected:
-        return staying
+        return plan.select(*PLAN)
+    # A row's text meets its plan row by where it lies; such keys are never skewed.
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole")
-    moving = _with_slots(_measured(documents, old_shard, whole).filter(F.col("old_shard").isin(affected)), per_shard, placed)
+    texts = stored.select(*[c.alias(f"{name}_text") for c, name in zip(_row(stored), ROW)], whole)
+    moving = plan.filter(F.col("old_shard").isin(affected))
+    joined = moving.join(texts, [F.col(name) == F.col(f"{name}_text") for name in ROW])
     own = [F.col("whole").getField(c).alias(c) for c in documents.columns if c.lower() not in PLACE]
-    rows = moving.select(*own, *PLACE)
+    rows = joined.select(*own, *PLACE)
     folder = folder or f"{run_folder(spark)}/shards_{uuid.uuid4().hex}"
     _write_shards(rows, folder)
+    # A new shard has rows of its own only if they moved there, so its old shard is written too.
     written = spark.read.schema(rows.schema).parquet(folder).filter(F.col("shard").isin(affected))
-    return _measured(written, F.col("old_shard"), F.col("shard"), F.col("slot")).select(*PLAN).unionByName(staying)
+    told = _measured(written, F.col("old_shard"), F.col("shard"), F.col("slot")).select(*PLAN)
+    return told.unionByName(plan.filter(~F.col("old_shard").isin(affected)).select(*PLAN))
 
 
 def rewrite(documents: DataFrame, plan: DataFrame, folder: str, old_shard: Column | None = None) -> list[int]:

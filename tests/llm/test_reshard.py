@@ -5,6 +5,7 @@ import sys
 import zlib
 from os.path import dirname
 
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, dirname(__file__))
@@ -66,7 +67,7 @@ def test_rewrites_only_changed_shards(spark, tmp_path):
 def test_reshard_writes_what_it_tells(spark, tmp_path):
     rows = awkward(22, n=300)
     df = documents(spark, rows)
-    done = reshard.reshard(df, reshard.source_shard(), folder=str(tmp_path / "out"))
+    done = reshard.reshard(df, reshard.source_shard(), folder=str(tmp_path / "out"), first=False)
     planned = reshard.shard_plan(df, reshard.source_shard())
     assert sorted(map(tuple, done.collect()), key=str) == sorted(map(tuple, planned.collect()), key=str)
     written = spark.read.parquet(str(tmp_path / "out")).collect()
@@ -93,6 +94,29 @@ def test_rows_alike_follow_their_own_plan_rows(spark, tmp_path):
         assert given is None or {(r.source, r.shard) for r in written if r.doc_id == 1} == {("b", 1), ("c", 2)}
 
 
+@pytest.mark.parametrize("rows", [
+    [(1, "x" * 999, "en", "a")] * 3000 + [(i, "y" * 5, "en", "b") for i in range(20)],
+    [(None, None, None, None)] * 3000 + [(i, "y" * (i % 9), "en", f"s{i % 5}") for i in range(120)],
+])
+def test_rows_alike_spread(spark, rows):
+    """Shards come within a row of equal bytes however many rows are alike."""
+    found = reshard.reshard(documents(spark, rows), reshard.source_shard()).collect()
+    sizes = [sum(r["size"] for r in found if r.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= max(r["size"] for r in found) and len(found) == len(rows)
+    for s in range(8):
+        assert sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found)))
+
+
+def test_the_first_time_all_shards_are_written(spark, tmp_path):
+    """One shard keeps its rows; it is written all the same, and later it is not."""
+    df = documents(spark, [(i, "x" * 9) for i in range(64)], clash=False)
+    old = F.when(F.col("doc_id") < 16, 0).when(F.col("doc_id") < 40, 1).when(F.col("doc_id") < 48, 2).otherwise(3)
+    for first, expected in ((True, {0, 1, 2, 3}), (False, {1, 2})):
+        folder = str(tmp_path / str(first))
+        done = reshard.reshard(df, old, shards=4, folder=folder, first=first)
+        assert done.count() == 64 and {r.shard for r in spark.read.parquet(folder).select("shard").distinct().collect()} == expected
+
+
 def test_no_rows_and_only_nulls(spark):
     assert reshard.shard_plan(documents(spark, []), reshard.source_shard()).collect() == []
     rows = reshard.shard_plan(documents(spark, [(None, None, None, None)] * 3), reshard.source_shard()).collect()
