@@ -1,14 +1,12 @@
 """Mixing sources to target weights with Sainte-Lague apportionment.
 
 Each source is a stream of its documents in a seeded order, cut into blocks of
-equally many words. The quotients target / 1, 3, 5, ... of all sources, highest
-first, deal out the blocks: a run of them fills each shard, which gives integer
-quotas per shard. A source's quota takes its blocks in a seeded order, at most
-twice each.
-
-Sources whose words or target make fewer than `LEAST_BLOCKS` blocks would be
-rounded away, so they stand alone: of their seeded stream as many words are taken
-from the start, over and over, as the target says.
+equally many words: as many words in all sources, but fewer where a source or its
+target would make less than `LEAST_BLOCKS` of them. The quotients target /
+(1, 3, 5, ... times the words of a block) of all sources, highest first, deal out
+the blocks until their words make up the total: a run of them fills each shard,
+which gives integer quotas per shard. A source's quota takes its blocks in a
+seeded order, at most twice each.
 """
 
 from __future__ import annotations
@@ -17,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millwright.workspace import stage
 
-from .common import WORD, free_name
+from .common import WORD, free_name, row_key
 
 # Fixed values of the contract.
 WEIGHTS = (5, 2, 1)
@@ -25,17 +23,20 @@ SEED = 7
 BLOCKS = 4096
 SHARDS = 8
 
-LEAST_BLOCKS = 8  # of a source that shares the common blocks
+_OWN, _KEY, _SOURCE = "_mix_own_key", "_mix_key", "_mix_source"
+
+LEAST_BLOCKS = 8  # of the common width that a source and its target make; with fewer it gets its own width,
+OWN_BLOCKS = 32  # so that it, or its target if that is less, makes so many
 
 
 def _seeded(seed: int, *parts: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
 
 
-def document_sizes(documents: DataFrame, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size in words, seeded key, and chunk (the key's first digits)."""
+def document_sizes(documents: DataFrame, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size in words, seeded key, chunk (the key's first digits), and the columns to carry."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    keyed = documents.select("doc_id", "source", size.alias("size"), _seeded(seed, F.col("doc_id")).alias("key"))
+    keyed = documents.select("doc_id", "source", size.alias("size"), _seeded(seed, F.col("doc_id")).alias("key"), *[c for c in carry if c != "source"])
     return keyed.withColumn("chunk", F.substring("key", 1, 3))
 
 
@@ -67,53 +68,41 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
 
 
 def sized_sources(targets: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """The targets with width (words of a block), n_blocks, alone, and for sources that stand alone whole and rest.
-
-    All words of such a source are taken `whole` times, the first `rest` once more.
-    """
-    width = F.greatest(F.lit(1), F.expr(f"(3 * total) div (2 * {blocks})"))
-    sized = targets.withColumn("width", width).withColumn("n_blocks", F.expr("(source_size + width - 1) div width"))
-    few = F.least(F.col("source_size"), F.col("target")) < LEAST_BLOCKS * F.col("width")
-    sized = sized.withColumn("alone", few & (F.col("width") > 1) & (F.col("source_size") > 0))
-    words = F.when(F.col("alone"), F.round("target").cast("bigint"))
-    sized = sized.withColumn("whole", F.when(F.col("alone"), F.floor(words / F.col("source_size"))))
-    return sized.withColumn("rest", words - F.col("whole") * F.col("source_size"))
+    """The targets with width (words of a block) and n_blocks."""
+    common, words = F.expr(f"(3 * total) div (2 * {blocks})"), F.least(F.col("source_size").cast("double"), F.col("target"))
+    own = F.floor(words / OWN_BLOCKS).cast("bigint")
+    width = F.when(words < LEAST_BLOCKS * common, own).otherwise(common)
+    sized = targets.withColumn("width", F.greatest(F.lit(1).cast("bigint"), width))
+    return sized.withColumn("n_blocks", F.expr("(source_size + width - 1) div width"))
 
 
 def block_quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
-    """place, seat, shard, width (words of a block), n_blocks, alone: a row for each block dealt out.
+    """place, seat, shard, width (words of a block), n_blocks: a row for each block dealt out.
 
-    About `blocks` rows, whatever the size of the input, and one for each source
-    that stands alone; those fill the shards evenly in turn. A source has no more
-    seats than twice its blocks.
+    About `blocks` rows and up to twice `OWN_BLOCKS` for each small source, whatever
+    the size of the input. Blocks are dealt while the middle of the next one lies
+    within the total; shards are filled one after the other, with equally many
+    words. A source has no more seats than twice its blocks.
     """
     sized = sized_sources(targets, blocks).filter(F.col("n_blocks") > 0)
+    seats = sized.select("*", F.explode(F.expr("sequence(1L, 2 * n_blocks)")).alias("seat"))
+    quotient = F.col("target") / ((2 * F.col("seat") - 1) * F.col("width"))
+    highest = W.orderBy(quotient.desc(), "place", "seat").rowsBetween(W.unboundedPreceding, -1)
+    ranked = seats.withColumn("dealt", F.coalesce(F.sum("width").over(highest), F.lit(0)))
+    chosen = ranked.filter(2 * F.col("dealt") + F.col("width") <= 3 * F.col("total"))
     everything = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    together = sized.withColumn("any_alone", F.max("alone").over(everything)).filter(~F.col("alone"))
-    of_these = F.floor(F.sum("target").over(everything) / F.col("width") + 0.5)
-    together = together.withColumn("n_seats", F.when(F.col("any_alone"), of_these).otherwise(F.expr("(3 * total + width) div (2 * width)")))
-    seats = together.select("*", F.explode(F.expr("sequence(1L, 2 * n_blocks)")).alias("seat"))
-    quotient = F.col("target") / (2 * F.col("seat") - 1)
-    ranked = seats.withColumn("rank", F.row_number().over(W.orderBy(quotient.desc(), "place", "seat")))
-    dealt = ranked.filter(F.col("rank") <= F.col("n_seats")).select(
-        "place", "seat", F.expr(f"cast(((rank - 1) * {shards}) div n_seats as int)").alias("shard"), "width", "n_blocks", "alone"
+    in_all = chosen.withColumn("in_all", F.sum("width").over(everything))
+    return in_all.select(
+        "place", "seat", F.expr(f"cast((dealt * {shards}) div in_all as int)").alias("shard"), "width", "n_blocks"
     )
-    # The shard in which the middle of a source's words falls, with those that stand alone laid side by side.
-    before = F.coalesce(F.sum("target").over(W.orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    middle = (before + F.col("target") / 2) / F.sum("target").over(everything)
-    single = sized.filter("alone").select(
-        "place", F.lit(1).cast("bigint").alias("seat"), F.floor(middle * shards).cast("int").alias("shard"),
-        F.round("target").cast("bigint").alias("width"), F.lit(1).cast("bigint").alias("n_blocks"), "alone",
-    )
-    return dealt.unionByName(single)
 
 
 def block_takes(quotas: DataFrame, seed: int = SEED) -> DataFrame:
-    """place, block, times, taken_before: how often each common block is taken, and the words taken of those before it.
+    """place, block, times, taken_before: how often each block is taken, and the words taken of those before it.
 
     One block more than the source has closes the list, for documents that end there.
     """
-    dealt = quotas.filter(~F.col("alone")).groupBy("place", "width").agg(F.count(F.lit(1)).alias("quota"), F.max("n_blocks").alias("n_blocks"))
+    dealt = quotas.groupBy("place", "width").agg(F.count(F.lit(1)).alias("quota"), F.max("n_blocks").alias("n_blocks"))
     every = dealt.select("*", F.explode(F.expr("sequence(0L, n_blocks)")).alias("block"))
     closing = F.col("block") == F.col("n_blocks")
     order = W.partitionBy("place").orderBy(closing, _seeded(seed, F.col("place"), F.col("block")), "block")
@@ -126,15 +115,18 @@ def block_takes(quotas: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def mix(documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, source_size, target, taken for each row.
+def mix(
+    documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS, shards: int = SHARDS, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken for each row, and the columns to carry.
 
-    Null and empty texts have size 0 and nothing is taken of them. Null is a
-    source of its own, the last. Repeated rows are taken row by row. If
-    documents tie in the seeded order (the same doc_id twice), sizes break the
-    tie; rows that tie in both are alike in the result. Empty tables give no rows.
+    Null and empty texts have size 0 and nothing is taken of them; whole texts
+    are counted, however long. Null is a source of its own, the last. Repeated rows
+    are taken row by row. If documents tie in the seeded order (the same doc_id
+    twice), sizes and then carried columns break the tie; rows that tie in all are
+    alike in the result. Empty tables give no rows.
     """
-    sizes = stage(document_sizes(documents, seed))
+    sizes = stage(document_sizes(documents, seed, carry))
     targets = stage(source_targets(sizes))
     takes = stage(block_takes(block_quotas(targets, blocks, shards), seed))
 
@@ -145,7 +137,7 @@ def mix(documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS, shards: in
         F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("chunk_size").over(earlier), F.lit(0)).alias("offset")
     )
     per_chunk = offsets.join(sized_sources(targets, blocks).drop("n_blocks"), F.col("s").eqNullSafe(F.col("source"))).drop("source", "total")
-    inside = W.partitionBy("source", "chunk").orderBy("key", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "chunk").orderBy("key", "size", *carry).rowsBetween(W.unboundedPreceding, -1)
     laid = sizes.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     laid = laid.join(per_chunk, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
 
@@ -155,28 +147,33 @@ def mix(documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS, shards: in
     def upto(rows: DataFrame, at: str) -> DataFrame:
         keyed = rows.withColumn("block", F.expr(f"`{at}` div width"))
         words = F.coalesce(F.col("taken_before") + F.col("times") * (F.col(at) - F.col("block") * F.col("width")), F.lit(0))
-        words = F.when(F.col("alone"), F.col("whole") * F.col(at) + F.least(F.col(at), F.col("rest"))).otherwise(words)
         joined = keyed.join(takes, ["place", "block"], "left").withColumn(f"taken_to_{at}", words)
         return joined.drop("block", "times", "taken_before")
 
     counted = upto(upto(laid, "start"), "end")
     return counted.select(
-        "doc_id", "size", "source_size", "target", (F.col("taken_to_end") - F.col("taken_to_start")).cast("bigint").alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("taken_to_end") - F.col("taken_to_start")).cast("bigint").alias("taken"), *carry
     )
 
 
 def mixed_documents(documents: DataFrame, seed: int = SEED, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
-    """The mix as documents: each as often as the words taken of it come nearest to, 0 to 2 times.
+    """The mix as documents: each row as often as the words taken of it come nearest to, 0 to 2 times.
 
-    Only documents that straddle the edge of a block are rounded. Rows that
-    share a doc_id are given the same number of copies.
+    Only documents that straddle the edge of a block are rounded. Every row goes by
+    its own id, text and source, whatever else shares the id or has none; rows
+    alike in these get the same number of copies. Null and empty texts, of which
+    nothing is taken, go; very long ones are rows like any other. An empty table
+    gives no rows; all columns stay.
     """
-    ids, copies, nth = (free_name(documents, n) for n in ("taken_id", "copies", "copy_no"))
-    taken = mix(documents, seed, blocks, shards).groupBy(F.col("doc_id").alias(ids)).agg(
-        F.sum("taken").alias("taken"), F.sum("size").alias("size")
-    )
+    copies, nth = (free_name(documents, n) for n in ("copies", "copy_no"))
+    keyed = documents.select("doc_id", "text", "source", row_key().alias("row_key"))
+    mixed = mix(keyed, seed, blocks, shards, ("row_key", "source"))
+    taken = mixed.groupBy("row_key", "source").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     times = F.round(F.col("taken") / F.col("size")).cast("int")
-    chosen = taken.select(ids, times.alias(copies)).filter(F.col(copies) > 0)
-    joined = documents.join(chosen, F.col("doc_id").eqNullSafe(F.col(ids)))
+    chosen = taken.select(F.col("row_key").alias(_KEY), F.col("source").alias(_SOURCE), times.alias(copies)).filter(F.col(copies) > 0)
+    own = [F.col(f"`{c}`") for c in documents.columns]
+    joined = documents.withColumn(_OWN, row_key()).join(
+        chosen, (F.col(_OWN) == F.col(_KEY)) & F.col("source").eqNullSafe(F.col(_SOURCE))
+    )
     repeated = F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias(nth)
-    return joined.select(*[F.col(f"`{c}`") for c in documents.columns], repeated).drop(nth)
+    return joined.select(*own, repeated).drop(nth)

@@ -52,21 +52,25 @@ levels AS (
     FROM (SELECT *, source_size * 2 / CAST(weight AS DOUBLE) AS room FROM weighed) w
     WINDOW earlier AS (ORDER BY room, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
-targets AS (
-    SELECT source, place, source_size, total, least(source_size * 2.0e0, level * weight) AS target,
-           greatest(1, (3 * total) // 8192) AS width
+levelled AS (
+    SELECT source, place, source_size, total, least(source_size * 2.0e0, level * weight) AS target
     FROM (SELECT *, max((total * 1.5e0 - CAST(capped AS DOUBLE)) / CAST(all_weight - gone AS DOUBLE)) OVER () AS level FROM levels) l
 ),
+targets AS (
+    SELECT *, greatest(1, CASE WHEN words < 8 * common THEN CAST(floor(words / 32) AS BIGINT) ELSE common END) AS width
+    FROM (SELECT *, least(CAST(source_size AS DOUBLE), target) AS words, (3 * total) // 8192 AS common FROM levelled) c
+),
 sized AS (
-    SELECT *, (source_size + width - 1) // width AS n_blocks, (3 * total + width) // (2 * width) AS n_seats FROM targets
+    SELECT *, (source_size + width - 1) // width AS n_blocks FROM targets
 ),
 seats AS (
-    SELECT place, n_blocks, n_seats, target, unnest(range(1, 2 * n_blocks + 1)) AS seat FROM sized WHERE n_blocks > 0
+    SELECT place, n_blocks, total, width, target, unnest(range(1, 2 * n_blocks + 1)) AS seat FROM sized WHERE n_blocks > 0
 ),
 quotas AS (
     SELECT place, n_blocks, count(*) AS quota
-    FROM (SELECT *, row_number() OVER (ORDER BY target / (2 * seat - 1) DESC, place, seat) AS nth FROM seats) r
-    WHERE nth <= n_seats GROUP BY place, n_blocks
+    FROM (SELECT *, coalesce(sum(width) OVER (ORDER BY target / ((2 * seat - 1) * width) DESC, place, seat
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS dealt FROM seats) r
+    WHERE 2 * dealt + width <= 3 * total GROUP BY place, n_blocks
 ),
 blocks AS (
     SELECT place, quota, n_blocks, unnest(range(0, n_blocks)) AS block FROM quotas

@@ -86,6 +86,45 @@ def test_small_sources_come_near_their_targets(spark, huge, small, n_small):
     assert all(0 <= r.taken <= 2 * r["size"] for r in found)
 
 
+def test_sql_knows_small_sources(spark, tmp_path):
+    """Thousands of small sources beside a huge one, in the operator and in the SQL."""
+    import duckdb
+
+    from millwright.llm.oracles import MIXING
+
+    rows = [(i, "w " * 1500, "en", "huge") for i in range(300)]
+    rows += [(10_000 + 3 * k + i, "w " * (20 + k % 90 + i), "en", f"s{k:05}") for k in range(1500) for i in range(3)]
+    df = documents(spark, rows, clash=False)
+    df.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+        expected = con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({MIXING}) m").fetchall()
+    found = mixing.mix(df).collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+    source = {r[0]: r[3] for r in rows}
+    taken, target = {}, {}
+    for r in found:
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+        target[source[r.doc_id]] = r.target
+    width = {r.source: r.width for r in mixing.sized_sources(mixing.source_targets(mixing.document_sizes(df))).collect()}
+    # At most two blocks off, of which one may be the shorter last one; the huge source is as near.
+    assert all(abs(taken[s] - target[s]) <= 2 * width[s] <= max(2, 0.04 * target[s]) for s in target)
+    assert sum(taken.values()) == pytest.approx(sum(target.values()), rel=0.01)
+
+
+def test_rows_that_share_an_id_go_by_themselves(spark):
+    """Rows without an id, and with one id, in several sources, and what else each source holds."""
+    rows = [(None, f"a{i} " * 7, "en", "abc"[i % 3]) for i in range(240)] + [(5, f"b{i} " * 7, "en", "abc"[i % 3]) for i in range(240)]
+    rows += [(100 + i, "w " * 7, "en", "abc"[i % 3]) for i in range(240)]
+    df = documents(spark, rows)
+    mixed = mixing.mixed_documents(df, blocks=64)
+    words = {r.source: 7 * r.n for r in mixed.groupBy("source").count().toDF("source", "n").collect()}
+    assert mixed.columns == df.columns
+    names = mixing.source_targets(mixing.document_sizes(df)).collect()
+    for row in names:
+        assert abs(words[row.source] - row.target) <= 0.1 * row.target, row
+
+
 def test_documents_are_repeated_or_left_out(spark):
     rows = [(i, "w " * 5, "en", "ab"[i % 2]) for i in range(200)]
     df = documents(spark, rows)
