@@ -11,12 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import fold
 
 TOP = 300
-PIECE = 1 << 20  # code points looked at in one go while counting
+PIECE = 1 << 20  # code points looked at in one go while counting, and what is left of a run of letters
 EDGE = 1  # stands for any run of characters that are no letters
 
 
@@ -27,7 +28,11 @@ def letter_table() -> np.ndarray:
 
 def gram_counts(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct 1- to 3-grams of letters as packed numbers, and how often each occurs."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    return _lowered_counts(text.lower(), letters)
+
+
+def _lowered_counts(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     letter = letters[points]
     if not letter.any():
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -46,7 +51,14 @@ def gram_counts(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _pieces(text: str) -> Iterator[str]:
-    return (text[at : at + PIECE] for at in range(0, len(text), PIECE))
+    """The text in pieces that end behind a character that is no letter, so no n-gram is cut."""
+    at = 0
+    while at < len(text):
+        stop = at + PIECE
+        while stop < len(text) and text[stop - 1].isalpha():
+            stop += 1
+        yield text[at:stop]
+        at = stop
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +70,8 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def top_grams(text: str | None, top: int, letters: np.ndarray) -> np.ndarray:
     """The `top` most frequent n-grams of the whole text, best first; ties by the n-gram."""
-    parts = [gram_counts(piece, letters) for piece in _pieces(text or "")]
+    # Lower-cased as a whole: how a letter is lowered may depend on its neighbours.
+    parts = [_lowered_counts(piece, letters) for piece in _pieces((text or "").lower())]
     if not parts:
         return np.empty(0, np.int64)
     grams, counts = _summed(parts)
@@ -74,8 +87,8 @@ def learn_profiles(documents: DataFrame, top: int = TOP) -> DataFrame:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.setdefault(lang, []).append(text)
             for lang, texts in held.items():
-                joined = "\n".join(texts)
-                grams, counts = _summed([gram_counts(piece, letters) for piece in _pieces(joined)] or [gram_counts("", letters)])
+                joined = "\n".join(texts).lower()
+                grams, counts = _summed([_lowered_counts(piece, letters) for piece in _pieces(joined)] or [_lowered_counts("", letters)])
                 columns = [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
@@ -114,7 +127,8 @@ def identify(documents: DataFrame, training: DataFrame, top: int = TOP) -> DataF
 
     A null text, one without letters, or one met without any profile is `und`
     with score 0. Languages that tie go by name. Rows with a null lang teach
-    nothing; a null doc_id or repeated rows are rows like any other. An empty
+    nothing; a null doc_id or repeated rows are rows like any other. A very long
+    text is counted in pieces, with the same counts. An empty
     table gives no rows. Only doc_id and text are read to predict.
     """
     profiles = Profiles([tuple(r) for r in learn_profiles(training, top).collect()], top)  # `top` rows a language
@@ -131,9 +145,11 @@ def identify(documents: DataFrame, training: DataFrame, top: int = TOP) -> DataF
 
 
 def in_known_language(documents: DataFrame, training: DataFrame, top: int = TOP) -> DataFrame:
-    """The documents whose text is in some learned language, that is, not `und`; all columns as they are.
+    """The documents whose text is in some learned language, that is, not `und`.
 
-    The prediction runs next to the row it decides on, so nothing is joined.
+    A row without a `lang` gets the prediction, so that later steps know the language of
+    every row; all else stays as it is. The prediction runs next to the row it
+    decides on, so nothing is joined.
     """
     profiles = Profiles([tuple(r) for r in learn_profiles(training, top).collect()], top)
 
@@ -141,7 +157,11 @@ def in_known_language(documents: DataFrame, training: DataFrame, top: int = TOP)
         letters = letter_table()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([profiles.predict(text, letters)[0] != "und" for text in texts], pa.bool_()))
+            found = pa.array([profiles.predict(text, letters)[0] for text in texts], pa.string())
+            at = batch.schema.get_field_index("lang")
+            told = batch.column(at)
+            batch = batch.set_column(at, batch.schema.field(at), pc.coalesce(told, found.cast(told.type)))
+            yield batch.filter(pc.not_equal(found, "und"))
 
     return documents.mapInArrow(run, documents.schema)
 

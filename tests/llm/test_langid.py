@@ -89,9 +89,33 @@ def test_nothing_learned(spark):
     assert langid.identify(documents(spark, []), df).collect() == []
 
 
-def test_pieces_of_long_texts(monkeypatch):
+def test_pieces_of_long_texts(monkeypatch, spark):
     letters = langid.letter_table()
-    text = text_in("de", random.Random(3), 500)
-    whole = langid.top_grams(text, 20, letters)
-    monkeypatch.setattr(langid, "PIECE", 701)
-    assert len(np.intersect1d(langid.top_grams(text, 20, letters), whole)) >= 19
+    texts = [text_in("de", random.Random(3), 500), "ΑΣ ΟΔΟΣ' " * 300, "x" * 3000, "a1b2 " * 400]
+    whole = [langid.top_grams(text, 40, letters) for text in texts]
+    df = documents(spark, [(i, t, "en" if i % 2 else "de", "s") for i, t in enumerate(texts * 5)])
+    assert langid.learn_profiles(df, 40).count() > 40
+    for piece in (701, 64, 1):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        for text, grams in zip(texts, whole):
+            assert langid.top_grams(text, 40, letters).tolist() == grams.tolist()
+
+
+def test_profiles_do_not_depend_on_batches(spark):
+    rows = [(i, text_in(("de", "fr")[i % 2], random.Random(i), 40), ("de", "fr")[i % 2], "s") for i in range(300)]
+    df, found = documents(spark, rows), []
+    for size in (1, 7, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found.append(sorted(map(tuple, langid.learn_profiles(df.repartition(1 + size % 5)).collect())))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_missing_languages_are_filled_in(spark):
+    rng = random.Random(8)
+    known = [(i, text_in(lang, rng), lang) for i, lang in enumerate(["en", "fr"] * 20)]
+    df = documents(spark, [(*r, "s") for r in [*known, (200, text_in("fr", rng), None), (201, "42", None), (202, text_in("en", rng), "fr")]])
+    kept = {r.doc_id: r.lang for r in langid.in_known_language(df, langid.training_rows(df)).collect()}
+    assert kept[200] == "fr" and 201 not in kept and kept[202] == "fr" and all(kept[i] == lang for i, _, lang in known)
