@@ -38,9 +38,26 @@ def test_awkward_documents_pass(spark, testdata):
         assert at.columns[0] == "doc_id"
 
 
+def test_the_shards_stay_when_the_scratch_is_gone(spark, testdata, tmp_path):
+    from millwright import workspace
+
+    spark.conf.set(corpus_pipeline.OUTPUT, str(tmp_path / "shards"))
+    before, workspace._LEFT = workspace._LEFT, set()
+    try:
+        told = [tuple(r) for r in corpus_pipeline.run(spark, testdata).collect()]
+        workspace._remove_left_folders()
+    finally:
+        workspace._LEFT = before
+        spark.conf.unset(corpus_pipeline.OUTPUT)
+    shards = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted((r[0], r[4], r[5]) for r in told) == sorted((r.doc_id, r.shard, r.slot) for r in shards.collect())
+    assert {r.shard for r in shards.select("shard").distinct().collect()} == set(range(8))
+    assert {"text", "lang", "source"} <= set(shards.columns) and shards.filter("lang is null").isEmpty()
+
+
 def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] and corpus_pipeline.run is queries()["pipeline"]
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in queries() if n.startswith("op")}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in queries() if n.startswith("op")}
     assert set(oracle_sql()) <= set(queries())
 
 
