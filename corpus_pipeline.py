@@ -1,20 +1,31 @@
 """A training-data pipeline over `documents`: each stage calls one of the corpus operators.
 
 Every stage works on all that its predecessor kept; its result is written to the
-shared folder and read again, so a lost executor repeats one stage at most.
+shared folder and read again, so a lost executor repeats one stage at most. The
+product are the shards: whole documents as `shard=N` below a folder that stays.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millwright.llm import decontaminate, langid, mixing, reshard, simhash
 from millwright.llm.common import read_table
-from millwright.workspace import stage
+from millwright.workspace import scratch, shared_folder, stage, stage_path
+
+# The session setting that names the folder of the shards; without it they go to a new one in the shared folder.
+OUTPUT = "millwright.corpus.output"
+
+
+def output_folder(spark: SparkSession) -> str:
+    """Where this run's shards go. Nothing removes them."""
+    return spark.conf.get(OUTPUT, None) or f"{shared_folder(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in none of the learned languages (no text, or no letter in it) go."""
+    """Documents in none of the learned languages (no text, or no letter in it) go; a missing `lang` is filled in."""
     return langid.in_known_language(docs, langid.training_rows(docs))
 
 
@@ -34,8 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """From the layout by source to eight shards of equal bytes, moving as few bytes as that takes; changed shards are written."""
-    return reshard.reshard(docs, reshard.source_shard()).select(
+    """From the layout by source to eight shards of equal bytes, moving as few bytes as that takes; all shards are written."""
+    return reshard.reshard(docs, reshard.source_shard(), folder=output_folder(spark)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", "old_shard"
     )
 
@@ -52,8 +63,10 @@ ORACLE_SQL = None  # profiles, fingerprints and latent spaces have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the `documents` table."""
+    """All stages over the `documents` table. What a stage wrote on the way goes when it ends."""
     docs = read_table(spark, sf_dir, "documents")
     for _, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir))
+        path = stage_path(spark)
+        with scratch(spark):
+            docs = stage(function(spark, docs, sf_dir), path)
     return docs
