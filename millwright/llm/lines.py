@@ -1,16 +1,18 @@
-"""Repeated lines across documents, by range-partitioned line hashes.
-
-The lines' 128-bit hashes are written once, then range-partitioned by hash,
-document and line and sorted so inside the parts. A very common line spreads over many
-parts, as its documents are part of the range. Groupings by hash follow, first by
-line and document, then by line; they do not use the order of the parts. The
-verdicts go back to the documents as the numbers of the dropped lines, not text,
-one for each dropped line: runs of them are not folded.
+"""Repeated lines across documents, from range-partitioned and sorted line hashes.
+
+The lines' 128-bit hashes are range-partitioned by hash, document (largest first)
+and line, and every part is walked in that order: `lag` shows where a line or a
+document begins, so the first occurrence comes first and the documents of a line
+are counted as they pass. A very common line spreads over many parts, as its
+documents are part of the range; only the first and last line of a part can go
+on in another, and a table of these, two rows a part, joins what the parts have
+counted. Documents get the verdicts as bitmaps of 64-line words, of which those
+without a dropped line are left out; no text travels before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millwright.workspace import stage
 
@@ -18,6 +20,7 @@ from .common import SPACES, ascii_lower
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+WORD_LINES = 64  # lines of a bitmap word
 
 
 def line_key(line: Column) -> Column:
@@ -34,71 +37,131 @@ def line_hashes(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, line_no of the lines to drop: the line is in `min_docs` documents, and not the last of them."""
+def _order() -> list[Column]:
+    return [F.col("h1"), F.col("h2"), F.col("doc_id").desc_nulls_last(), F.col("line_no")]
+
+
+def ranged_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The line hashes with the number of the range they lie in.
+
+    Ranges are sampled, so the numbered rows are stored: whoever reads them sees the same parts.
+    """
     hashes = stage(line_hashes(documents, min_chars))
     parts = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = ["h1", "h2", F.col("doc_id").desc(), "line_no"]
-    ranged = hashes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    # Several lines of one document are one here. Each task sends one row per line to the next step.
-    per_document = stage(ranged.groupBy("h1", "h2", "doc_id").agg(F.collect_list("line_no").alias("line_nos")))
-    per_line = per_document.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("first_id"))
-    repeated = stage(per_line.filter(F.col("docs") >= min_docs).select("h1", "h2", "first_id"))
-    # A merge join of stored tables, after which nothing needs a line's rows
-    # together: adaptive execution may split a line that is everywhere.
-    held = per_document.join(repeated.hint("merge"), ["h1", "h2"])
-    later = held.filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
-    return later.select("doc_id", F.explode("line_nos").alias("line_no"))
-
-
-def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, dropped (sorted line numbers), for documents that lose lines.
-
-    The lines between two entries stay. Every dropped line is an entry.
+    return stage(hashes.repartitionByRange(parts, *_order()).withColumn("part", F.spark_partition_id()))
+
+
+def walked(ranged: DataFrame) -> DataFrame:
+    """Each row with the number of its line in the part (`run`), the documents that hold it there, and the first of them."""
+    in_part = W.partitionBy("part").orderBy(*_order())
+    before = F.lag(F.struct("h1", "h2", "doc_id")).over(in_part)
+    marked = ranged.withColumn("before", before).withColumn("pos", F.row_number().over(in_part))
+    new_line = F.col("before").isNull() | (F.col("before.h1") != F.col("h1")) | (F.col("before.h2") != F.col("h2"))
+    new_document = new_line | ~F.col("before.doc_id").eqNullSafe(F.col("doc_id"))
+    marked = marked.select("part", "pos", "h1", "h2", "doc_id", "line_no", new_line.cast("long").alias("new_line"), new_document.cast("long").alias("new_document"))
+    so_far = W.partitionBy("part").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    numbered = marked.withColumn("run", F.sum("new_line").over(so_far))
+    whole = W.partitionBy("part", "run").orderBy("pos").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    part = W.partitionBy("part").orderBy("run").rangeBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return numbered.select(
+        "part", "run", "pos", "h1", "h2", "doc_id", "line_no",
+        F.sum("new_document").over(whole).alias("docs"), F.first("doc_id").over(whole).alias("first_id"),
+        F.max("run").over(part).alias("last_run"),
+    )
+
+
+def _at_edge() -> Column:
+    return (F.col("run") == 1) | (F.col("run") == F.col("last_run"))
+
+
+def joined_edges(edges: DataFrame) -> DataFrame:
+    """part, run, all_docs, very_first_id of the lines at the ends of parts, over all parts they reach into.
+
+    A document whose rows lie on both sides of a cut is counted once.
+    """
+    of_line = W.partitionBy("h1", "h2")
+    in_order = of_line.orderBy("part")
+    seen_before = F.lag(F.struct("last_id")).over(in_order)
+    again = (seen_before.isNotNull() & seen_before["last_id"].eqNullSafe(F.col("first_id"))).cast("long")
+    counted = edges.withColumn("again", again)
+    every = in_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return counted.select(
+        "part", "run", F.sum(F.col("docs") - F.col("again")).over(every).alias("all_docs"),
+        F.first("first_id").over(every).alias("very_first_id"),
+    )
+
+
+def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """doc_id, line_no of the lines to drop: the line is in `min_docs` documents, and not the last of them."""
+    told = stage(walked(ranged_lines(documents, min_chars)).filter(_at_edge() | (F.col("docs") >= min_docs)))
+    edges = told.filter(_at_edge()).groupBy("part", "run").agg(
+        F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("docs").alias("docs"),
+        F.min_by("doc_id", "pos").alias("first_id"), F.max_by("doc_id", "pos").alias("last_id"),
+    )
+    ends = joined_edges(edges)  # at most two rows a part
+    known = told.join(F.broadcast(ends), ["part", "run"], "left")
+    is_edge = F.col("all_docs").isNotNull()
+    docs = F.when(is_edge, F.col("all_docs")).otherwise(F.col("docs"))
+    first = F.when(is_edge, F.col("very_first_id")).otherwise(F.col("first_id"))
+    return known.filter((docs >= min_docs) & ~F.col("doc_id").eqNullSafe(first)).select("doc_id", "line_no")
+
+
+def drop_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """doc_id, dropped (array of word, bits; by word), for documents that lose lines.
+
+    Bit i of word w stands for line 64 * w + i. All other lines are kept.
     """
     found = dropped_lines(documents, min_chars, min_docs)
-    return found.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
+    bit = F.expr(f"shiftleft(1L, line_no % {WORD_LINES})")
+    words = found.groupBy("doc_id", F.expr(f"line_no div {WORD_LINES}").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return words.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("dropped"))
 
 
-def _kept_text(lines: Column, dropped: Column) -> Column:
-    """The kept lines joined again, run by run."""
-    def run(after: Column, before: Column) -> Column:
-        return F.slice(lines, after + 2, before - after - 1)
+def _kept_lines(lines: Column, dropped: Column) -> Column:
+    """The lines whose bits are not set; the words are laid out with the absent ones as zeros."""
+    def gap(word: Column, i: Column) -> Column:
+        behind = F.coalesce(F.get(dropped, i - 1)["word"], F.lit(-1).cast("bigint"))
+        return F.concat(F.array_repeat(F.lit(0).cast("bigint"), (word["word"] - behind - 1).cast("int")), F.array(word["bits"]))
 
-    edges = F.concat(F.array(F.lit(-1)), dropped, F.array(F.size(lines)))
+    def kept(words: Column) -> Column:
+        def is_kept(_: Column, i: Column) -> Column:
+            bits = F.coalesce(F.get(words, F.floor(i / WORD_LINES).cast("int")), F.lit(0).cast("bigint"))
+            return F.getbit(bits, i % WORD_LINES) == 0
 
-    def joined(at: Column) -> Column:
-        runs = F.transform(
-            F.sequence(F.lit(0), F.size(at) - 2),
-            lambda i: F.struct(F.get(at, i).alias("after"), F.get(at, i + 1).alias("before")),
-        )
-        some = F.filter(runs, lambda r: r["before"] - r["after"] > 1)
-        return F.array_join(F.transform(some, lambda r: F.array_join(run(r["after"], r["before"]), "\n")), "\n")
+        return F.filter(lines, is_kept)
 
-    return F.element_at(F.transform(F.array(edges), joined), 1)
+    return F.element_at(F.transform(F.array(F.flatten(F.transform(dropped, gap))), kept), 1)
 
 
 def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, n_lines, n_dropped, dropped, kept_text for each row.
+    """doc_id, n_lines, n_dropped, dropped (as in `drop_bitmaps`), kept_text for each row.
 
-    A null or empty text is one empty line. Rows that share a doc_id are one
+    A null or empty text is one empty line; very long texts are split into lines
+    whole. Rows that share a doc_id are one
     document when documents are counted, and all lose the same line numbers of it. A null
     doc_id is the smallest id and counts as a document. Ties cannot occur: the
     largest doc_id keeps all its lines. Empty tables give no rows. Only doc_id
     and text are read.
     """
     narrow = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    bitmaps = keep_bitmaps(narrow, min_chars, min_docs).withColumnRenamed("doc_id", "lossy_id")
+    bitmaps = drop_bitmaps(narrow, min_chars, min_docs).withColumnRenamed("doc_id", "lossy_id")
     joined = narrow.join(bitmaps, F.col("doc_id").eqNullSafe(F.col("lossy_id")), "left").drop("lossy_id")
-    dropped = F.coalesce("dropped", F.array().cast("array<int>"))
-    full = joined.select("doc_id", "text", dropped.alias("dropped"))
-    kept = F.when(F.size("dropped") == 0, F.col("text")).otherwise(
-        F.element_at(F.transform(F.array(F.split("text", "\n")), lambda x: _kept_text(x, F.col("dropped"))), 1)
-    )
-    return full.select(
-        "doc_id",
-        F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
-        F.size("dropped").cast("bigint").alias("n_dropped"),
-        "dropped",
-        kept.alias("kept_text"),
+    none = F.array().cast("array<struct<word:bigint,bits:bigint>>")
+    full = joined.select("doc_id", "text", F.coalesce("dropped", none).alias("dropped"))
+
+    def result(lines: Column) -> Column:
+        kept = F.transform(F.array(_kept_lines(lines, F.col("dropped"))), lambda x: F.struct(
+            (F.size(lines) - F.size(x)).cast("bigint").alias("n_dropped"), F.array_join(x, "\n").alias("kept_text")
+        ))
+        return F.struct(F.size(lines).cast("bigint").alias("n_lines"), F.element_at(kept, 1).alias("rest"))
+
+    def untouched(lines: Column) -> Column:
+        rest = F.struct(F.lit(0).cast("bigint").alias("n_dropped"), F.col("text").alias("kept_text"))
+        return F.struct(F.size(lines).cast("bigint").alias("n_lines"), rest.alias("rest"))
+
+    split = F.array(F.split("text", "\n"))
+    told = F.when(F.size("dropped") == 0, F.element_at(F.transform(split, untouched), 1)).otherwise(
+        F.element_at(F.transform(split, result), 1)
     )
+    rows = full.withColumn("told", told)
+    return rows.select("doc_id", "told.n_lines", "told.rest.n_dropped", "dropped", "told.rest.kept_text")
