@@ -1,5 +1,12 @@
 from __future__ import annotations
 
+import itertools
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 from millwright.llm import urls
 
 PAGES = "page_id bigint, url string, html string, verdict string, host string, bad string, key string, tokens string"
@@ -62,3 +69,77 @@ def test_rules_need_support_and_confidence(spark):
 def test_empty_tables(spark):
     assert judged(spark, [], [(1, 0, 0)]) == {}
     assert judged(spark, [(1, "x://a.net/")])[1].verdict == "allow"
+
+
+def brute_blocks(token_lists, bad, least_pages, least=0.5, lift=1.5, z=2.0):
+    """For each page the best confidence of any set of its tokens that passes, over all subsets of all pages."""
+    counts = {}
+    for tokens, is_bad in zip(token_lists, bad):
+        for k in range(1, len(tokens) + 1):
+            for some in itertools.combinations(sorted(tokens), k):
+                n, m = counts.get(some, (0, 0))
+                counts[some] = n + 1, m + is_bad
+    base, passing = sum(bad) / len(bad), {}
+    for some, (n, m) in counts.items():
+        share = m / n
+        bound = (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if m >= least_pages and bound > least and bound >= lift * base:
+            passing[some] = share
+    return passing
+
+
+def random_pages(seed, n=260):
+    """Hosts, nested paths and twin tokens; some combinations are mostly bad."""
+    rng = random.Random(seed)
+    found, bad = [], []
+    for i in range(n):
+        host = rng.choice(["a.net", "b.net", "c.b.net"])
+        path = "/".join(rng.sample(["p", "q", "r", "s"], rng.randint(0, 3)))
+        url = f"{rng.choice(['http', 'https'])}://{host}/{path}" + rng.choice(["", "?k=1", "?k=1&t=2"])
+        risk = 0.9 if "r" in path and "k=" in url else 0.7 if host == "c.b.net" and "q" in path else 0.1
+        found.append((i, url))
+        bad.append(rng.random() < risk)
+    return found, bad
+
+
+@pytest.mark.parametrize("seed, few", [(1, 12), (2, 12), (3, 1), (4, 2), (5, 3)])
+def test_verdicts_equal_a_brute_force_miner(spark, monkeypatch, seed, few):
+    """With many items a page and with few, all rules are mined and fit the same urls, also unlabelled ones."""
+    monkeypatch.setattr(urls, "FEW", few)
+    found, bad = random_pages(seed)
+    extra = [(1000 + i, u) for i, (_, u) in enumerate(random_pages(seed + 50, 60)[0])]
+    tokens = {
+        r.page_id: r.t for r in pages(spark, found + extra).select("page_id", urls.url_tokens(F.col("url")).alias("t")).collect()
+    }
+    passing = brute_blocks([tokens[i] for i, _ in found], bad, 5)
+    result = judged(spark, found + extra, [(i, int(not b), 0) for (i, _), b in zip(found, bad)], min_pages=5)
+    blocked = 0
+    for i, _ in found + extra:
+        own = set(tokens[i])
+        best = max((c for some, c in passing.items() if own.issuperset(some)), default=None)
+        assert result[i].confidence == (None if best is None else pytest.approx(best)), i
+        blocked += best is not None
+    assert 0 < blocked < len(found) + len(extra)
+
+
+def test_long_paths_that_occur_together(spark):
+    """A crawler trap: pages with one path of 24 segments, and pages at every depth of another."""
+    deep = "/".join(f"seg{chr(97 + k)}" for k in range(24))
+    found = [(i, f"https://trap.net/{deep}/") for i in range(40)] + [(100 + i, f"https://fine.net/n{chr(97 + i % 20)}") for i in range(200)]
+    marks = [(i, 0, 0) for i in range(40)] + [(100 + i, 1, 0) for i in range(200)]
+    nested = ["/".join(f"deep{chr(97 + k)}" for k in range(d)) for d in range(1, 17)]
+    for d, path in enumerate(nested):
+        for i in range(10):
+            found.append((1000 + 100 * d + i, f"http://chain.net/{path}?x{'' if i < 5 else 'y'}=1"))
+            marks.append((1000 + 100 * d + i, int(d < 8), 0))
+    def bound(n, m):
+        share = m / n
+        return (share + 2 / n - 2 * math.sqrt(share * (1 - share) / n + 1 / n**2)) / (1 + 4 / n)
+
+    # The pages below the 8th level are bad; a level tells once most of what lies below it is bad for certain.
+    telling = min(k for k in range(16) if bound(10 * (16 - k), min(80, 10 * (16 - k))) > 0.5)
+    assert 0 < telling < 8
+    result = judged(spark, found, marks)
+    for i, url in found:
+        is_bad = i < 40 or i >= 1000 + 100 * telling
+        assert result[i].verdict == ("block" if is_bad else "allow"), url
