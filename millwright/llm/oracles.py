@@ -121,22 +121,29 @@ counted AS (
            coalesce(c.n, 0) AS n_repeat_words
     FROM words w LEFT JOIN covered c ON w.doc_id = c.doc_id
 ),
+page_hosts AS (
+    SELECT page_id, min(host) AS page_host
+    FROM (SELECT page_id, translate(regexp_extract(url, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host FROM pages) h
+    WHERE host <> '' GROUP BY page_id
+),
 judged AS (
-    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+    SELECT c.*, coalesce(page_host, source) AS host, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+    FROM counted c LEFT JOIN page_hosts p ON c.doc_id = p.page_id
 ),
 hosts AS (
-    SELECT source, count(*) AS n_docs, count(*) FILTER (WHERE base_failed) AS n_failed FROM judged GROUP BY source
+    SELECT host, count(*) AS n_docs, count(*) FILTER (WHERE base_failed) AS n_failed FROM judged GROUP BY host
 ),
 prior AS (
     SELECT m, CASE WHEN v <= 0 THEN 1e6 ELSE greatest(1.0e0, least(1e6, m * (1 - m) / v - 1)) END AS s
     FROM (SELECT avg(n_failed / CAST(n_docs AS DOUBLE)) AS m, var_pop(n_failed / CAST(n_docs AS DOUBLE)) AS v FROM hosts) x
 ),
 verdicts AS (
-    SELECT source, (n_failed + m * s) / (n_docs + s) > 0.8e0 AS host_failed FROM hosts, prior
+    SELECT host, (n_failed + m * s) / (n_docs + s) > least(0.8e0, m + 3 * sqrt(m * (1 - m) / (s + 1))) AS host_failed
+    FROM hosts, prior
 )
 SELECT j.doc_id, j.n_words, j.word_chars, j.n_symbols, j.n_dup_lines, j.n_repeat_words, j.base_failed,
        NOT j.base_failed AND NOT v.host_failed AS kept
-FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source"""
+FROM judged j JOIN verdicts v ON j.host IS NOT DISTINCT FROM v.host"""
 
 CHAT = r"""
 WITH turns AS (

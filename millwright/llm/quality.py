@@ -3,18 +3,24 @@
 Counts per document come from array functions over the text; no Python runs. A
 host with few documents has its failure rate pulled towards that of all hosts,
 by a beta prior fitted to the hosts' rates (method of moments), so one bad page
-does not condemn a small host. The host's verdict is joined back to documents.
+does not condemn a small host. A host is condemned if its rate lies far above what
+the prior holds likely. The verdict is joined back to documents. The host of a
+document is that of the page it came from, or else its source.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millwright.workspace import stage
+
 from .common import SPACE_RUN, WORD
+from .urls import host_and_path
 
 MIN_WORDS = 50
 REPEAT_SHARE = 50  # percent
-MAX_HOST_RATE = 0.8
+SPREAD = 3.0  # standard deviations of the prior above its mean, from which on a host fails,
+MAX_HOST_RATE = 0.8  # and a rate that is too high for any prior
 
 
 def _once(value: Column, then) -> Column:
@@ -74,12 +80,25 @@ def with_base_verdict(counts: DataFrame) -> DataFrame:
     return counts.withColumn("base_failed", failed)
 
 
-def host_verdicts(judged: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """host, n_docs, n_failed, host_rate (shrunk) and host_failed, a row per host.
+def with_hosts(counts: DataFrame, pages: DataFrame) -> DataFrame:
+    """The counts with the host of the page of that id in place of the source, where there is such a page.
+
+    Of several pages with one id the least host by code point counts.
+    """
+    host, _ = host_and_path(F.col("url"))
+    hosts = pages.select(F.col("page_id"), host.alias("page_host")).filter("page_host <> ''")
+    hosts = hosts.groupBy("page_id").agg(F.min("page_host").alias("page_host"))
+    joined = counts.join(hosts, F.col("doc_id") == F.col("page_id"), "left")
+    return joined.withColumn("host", F.coalesce("page_host", "host")).drop("page_id", "page_host")
+
+
+def host_verdicts(judged: DataFrame, max_rate: float = MAX_HOST_RATE, spread: float = SPREAD) -> DataFrame:
+    """host, n_docs, n_failed, host_rate (shrunk), limit and host_failed, a row per host.
 
     With mean m and variance v of the hosts' own rates, the prior is
     Beta(m * s, (1 - m) * s), s = m * (1 - m) / v - 1, kept within 1 and 1e6;
-    where all hosts agree, or there is one, v is 0 and s is 1e6.
+    where all hosts agree, or there is one, v is 0 and s is 1e6. The limit is
+    m + `spread` * sqrt(m * (1 - m) / (s + 1)), but `max_rate` at most.
     A null host is a host of its own.
     """
     hosts = judged.groupBy("host").agg(
@@ -90,23 +109,31 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFra
     strength = F.when(F.col("v") <= 0, F.lit(1e6)).otherwise(
         F.greatest(F.lit(1.0), F.least(F.lit(1e6), F.col("m") * (1 - F.col("m")) / F.col("v") - 1))
     )
-    prior = moments.select("m", strength.alias("s"))  # one row
+    prior = moments.select("m", strength.alias("s"))
+    deviation = F.sqrt(F.col("m") * (1 - F.col("m")) / (F.col("s") + 1))
+    prior = prior.withColumn("limit", F.least(F.lit(max_rate), F.col("m") + spread * deviation))  # one row
     shrunk = (F.col("n_failed") + F.col("m") * F.col("s")) / (F.col("n_docs") + F.col("s"))
     return (
         hosts.join(F.broadcast(prior))
-        .select("host", "n_docs", "n_failed", shrunk.alias("host_rate"))
-        .withColumn("host_failed", F.col("host_rate") > max_rate)
+        .select("host", "n_docs", "n_failed", shrunk.alias("host_rate"), "limit")
+        .withColumn("host_failed", F.col("host_rate") > F.col("limit"))
     )
 
 
-def judge(documents: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The counts, base_failed, host_rate and kept, for each row.
+def judge(
+    documents: DataFrame, pages: DataFrame | None = None, host: str = "source", max_rate: float = MAX_HOST_RATE, spread: float = SPREAD
+) -> DataFrame:
+    """The counts, base_failed, host, host_rate and kept, for each row.
 
-    Empty tables give no rows; repeated rows count as often as they occur; a null
-    or empty text has no words and fails. Only doc_id, text and `host` are read.
+    Without `pages`, or for a document that is no page's, `host` names the column
+    to take. Empty tables give no rows; repeated rows count as often as they
+    occur; a null or empty text has no words and fails; a very long one is counted
+    whole; a null doc_id is no page's. Only doc_id, text, `host`, page_id and url are read.
     """
-    judged = with_base_verdict(document_counts(documents, host))
-    hosts = host_verdicts(judged, max_rate).withColumnRenamed("host", "verdict_host")
+    counts = document_counts(documents, host)
+    # Counted once; what is stored holds numbers, no text.
+    judged = stage(with_base_verdict(counts if pages is None else with_hosts(counts, pages)))
+    hosts = host_verdicts(judged, max_rate, spread).withColumnRenamed("host", "verdict_host")
     joined = judged.join(hosts, F.col("host").eqNullSafe(F.col("verdict_host")), "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -60,7 +60,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality.judge(read_table(spark, folder, "documents"))
+    judged = quality.judge(read_table(spark, folder, "documents"), read_table(spark, folder, "pages"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

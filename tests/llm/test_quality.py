@@ -56,3 +56,28 @@ def test_one_host_and_no_rows(spark):
     assert quality.judge(documents(spark, [])).collect() == []
     row = quality.judge(documents(spark, [(1, None, None, None)])).collect()[0]
     assert (row.n_words, row.base_failed, row.kept, row.host_rate) == (0, True, False, 1.0)
+
+
+PAGES = "page_id bigint, url string, host string, doc_id string"
+
+
+def test_hosts_come_from_pages(spark):
+    good, bad = " ".join(f"g{i} {i}" for i in range(40)), "bad"
+    rows = [(i, good, "en", "s") for i in range(300)] + [(1000 + i, bad if i % 2 else good, "en", "s") for i in range(200)]
+    rows += [(2000, good, "en", "s"), (None, good, "en", "s")]
+    pages = [(i, f"https://H{i % 6}.net/{i}", "x", "x") for i in range(300)]
+    pages += [(1000 + i, "https://Poor.org/", "x", "x") for i in range(200)] + [(7, "https://zz.net/", "x", "x"), (9, None, "x", "x"), (None, "https://poor.org/", "x", "x"), (2000, "no host", "x", "x")]
+    found = {r.doc_id: r for r in quality.judge(documents(spark, rows), spark.createDataFrame(pages, PAGES)).collect()}
+    assert found[7].host == "h1.net" and found[2000].host == "s" == found[None].host and found[1000].host == "poor.org"
+    # Half of the poor host's documents fail, far above what the other hosts let expect; its others go with them.
+    rates = [0.0] * 7 + [0.5]
+    m = sum(rates) / 8
+    v = sum((r - m) ** 2 for r in rates) / 8
+    s = m * (1 - m) / v - 1
+    limit = min(0.8, m + 3 * (m * (1 - m) / (s + 1)) ** 0.5)
+    assert found[1000].host_rate == pytest.approx((100 + m * s) / (200 + s))
+    assert not found[1000].base_failed and found[1000].kept == (found[1000].host_rate <= limit)
+    strict = {r.doc_id: r for r in quality.judge(documents(spark, rows), spark.createDataFrame(pages, PAGES), spread=2.0).collect()}
+    assert not strict[1000].kept and strict[0].kept and strict[2000].kept
+    assert len(found) == len(rows) == len(strict)
+    assert quality.judge(documents(spark, rows[:3]), spark.createDataFrame([], PAGES)).count() == 3
