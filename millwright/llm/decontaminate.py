@@ -1,13 +1,18 @@
 """Benchmark passages in documents, by latent semantic retrieval and sequence checks.
 
 A randomised SVD of TF-IDF passages, computed in one distributed pass over the
-corpus, gives a latent space. Windows of every document are compared there with
-the benchmark items by cosine; what comes near is checked word by word: longest
-common subsequence with the item, and for paraphrases also its answer, taken to
-be the item's last words. The benchmark is the query set: it is worked off in
-blocks of items, and only a block's words, bounded by it, reach the executors.
-The latent space has a direction for each item of a block at least: with fewer,
-an item would lie mostly outside and not even exact copies would be near it.
+corpus, gives a latent space. Items are cut into passages too. Windows of every
+document are compared there with the items' passages by cosine; where one comes
+near, the whole item is checked word by word: longest common subsequence with the
+stretch it would take up, and for paraphrases also its answer, taken to be the
+item's last words.
+
+The benchmark is the query set. It is worked off in groups: the documents are
+encoded with a group's words once, and blocks of passages are searched in that
+table, which goes when the group is done; so disk does not grow with the
+benchmark, and only a group's words, bounded by it, reach the executors. The
+latent space has a direction for each passage of a block at least: with fewer, a
+passage would lie mostly outside and not even exact copies would be near it.
 """
 
 from __future__ import annotations
@@ -22,12 +27,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millwright.workspace import stage
+from millwright.workspace import scratch, stage, stage_path
 
 from .common import row_key, segments, with_keys
 
-ITEMS = 256  # items worked off at once
-RANK = 192  # or as many as the block has distinct items, if more
+PASSAGES = 256  # passages of items searched at once: a block
+GROUP = 4096  # passages of items whose words the documents are encoded with at once
+LONGEST = 96  # words of an item's passage
+RANK = 192  # or as many as the block has distinct passages, if more
 EXTRA = 16  # columns of the sketch beyond the rank
 PASSAGE = 64  # words of a passage in the SVD
 STEP = 16  # words; windows of 2 and 4 steps are searched
@@ -99,6 +106,35 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(joined, np.int32), lengths
 
 
+def passages_of(n_words: int) -> list[tuple[int, int]]:
+    """(first word, words) of the passages of an item, as equal as can be and at most `LONGEST` words."""
+    n = max(1, -(-n_words // LONGEST))
+    cuts = [n_words * i // n for i in range(n + 1)]
+    return [(a, z - a) for a, z in zip(cuts, cuts[1:])]
+
+
+def stretches(begins: list[int], item_words: int, doc_words: int) -> list[tuple[int, int]]:
+    """(first, stop) of where an item of several passages may lie, from where those that were found put its beginning.
+
+    Beginnings that are near each other are one place with room around it, so
+    words that were put in or left out move nothing out of sight.
+    """
+    room, found = max(PASSAGE, item_words // 4), []
+    for begin in sorted(begins):
+        if found and begin - found[-1][1] <= room and begin - found[-1][0] <= item_words:
+            found[-1][1] = begin
+        else:
+            found.append([begin, begin])
+    return [(max(0, a - room) // STEP * STEP, min(doc_words, z + item_words + room)) for a, z in found]
+
+
+def common_words(item: tuple[np.ndarray, np.ndarray], window: np.ndarray) -> int:
+    """Words in common, however they are ordered; `item` has its distinct words and their counts. No subsequence is longer."""
+    words, counts = np.unique(window, return_counts=True)
+    at = np.minimum(np.searchsorted(words, item[0]), max(0, len(words) - 1))
+    return int(np.minimum(counts[at], item[1])[words[at] == item[0]].sum()) if len(words) else 0
+
+
 def _distinct(values: np.ndarray) -> np.ndarray:
     """Sorted distinct values; much faster than hashing them."""
     values = np.sort(values)
@@ -193,9 +229,14 @@ def _add_sketch(sketch: np.ndarray, units: np.ndarray, ids: np.ndarray, weights:
         sketch[t[order][starts]] += scale * np.add.reduceat(back, starts, axis=0)
 
 
-def latent_space(encoded: DataFrame, items: list[np.ndarray], weights: np.ndarray, passages: int, rank: int = RANK, seed: int = 11) -> np.ndarray:
+def latent_space(
+    encoded: DataFrame, items: list[np.ndarray], weights: np.ndarray, passages: int, rank: int = RANK, seed: int = 11,
+    local: np.ndarray | None = None,
+) -> np.ndarray:
     """(terms x rank): leading right singular vectors of the TF-IDF passages.
 
+    `local` gives the encoded words their numbers among the terms, -1 to those that are none.
+
     One pass: each task sums A^T (A omega) over its passages, in a matrix as wide
     as the sketch whatever it reads; the sums of eight tasks are added up in one,
     and so on until one is left. The
@@ -209,6 +250,7 @@ def latent_space(encoded: DataFrame, items: list[np.ndarray], weights: np.ndarra
         sketch, some = np.zeros((n_terms, width)), False
         for batch in batches:
             ids, lengths = _flat(batch.column(0))
+            ids = ids if local is None else local[ids]
             units, _ = _units(lengths, PASSAGE)
             known = np.flatnonzero(ids >= 0)
             known = known[weights[ids[known]] > 0]
@@ -288,79 +330,162 @@ def latent_index(items: list[np.ndarray], weights: np.ndarray, space: np.ndarray
     return term_vectors, np.ascontiguousarray(summed[:, :-1] / np.sqrt(np.maximum(summed[:, -1:], 1e-9)))
 
 
-def _search(encoded: DataFrame, item_ids: list, items: list[np.ndarray], item_type: str, weights: np.ndarray, space: np.ndarray, checks: Checks) -> DataFrame:
-    term_vectors, latent_items = latent_index(items, weights, space)
+@dataclass
+class Block:
+    """Passages searched together: (item, first word, words) of each, and their items' words in the numbers of the group."""
+
+    passages: list[tuple[int, int, int]]
+    items: list[np.ndarray]
+    terms: np.ndarray  # distinct words of the passages, in the numbers of the group
+
+    def local(self, n_words: int) -> np.ndarray:
+        """For each word of the group its number in the block, or -1; one more for words of no item, which are -1 themselves."""
+        numbers = np.full(n_words + 1, -1, np.int32)
+        numbers[self.terms] = np.arange(len(self.terms), dtype=np.int32)
+        return numbers
+
+    def texts(self, local: np.ndarray) -> list[np.ndarray]:
+        return [local[self.items[i][a : a + n]] for i, a, n in self.passages]
+
+
+def blocks_of(items: list[np.ndarray], size: int = PASSAGES) -> list[Block]:
+    """The passages of all items in blocks; an item is split over blocks only if it fills one."""
+    piles: list[list[tuple[int, int, int]]] = [[]]
+    for i, item in enumerate(items):
+        own = [(i, a, n) for a, n in passages_of(len(item))]
+        if piles[-1] and len(piles[-1]) + len(own) > size:
+            piles.append([])
+        for at in range(0, len(own), size):
+            if at:
+                piles.append([])
+            piles[-1] += own[at : at + size]
+    return [
+        Block(pile, items, np.unique(np.concatenate([items[i][a : a + n] for i, a, n in pile])))
+        for pile in piles if pile
+    ]
+
+
+_FOUND = "kind string, start_word int, common_words int, item_words int, cosine double"
+
+
+def _search(encoded: DataFrame, block: Block, weights: np.ndarray, space: np.ndarray, local: np.ndarray, checks: Checks) -> DataFrame:
+    """row_no, item (its place in the group), doc_id and what was found, for each document row and item."""
+    term_vectors, latent_items = latent_index(block.texts(local), weights, space)
+    items, passages = block.items, block.passages
+    bags = {i: np.unique(items[i], return_counts=True) for i, _, n in passages if n < len(items[i])}
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_type}, kind string, start_word int, common_words int, item_words int, cosine double"
+
+    def places(ids: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """(document, item, first word, stop, cosine) of every stretch to check."""
+        tried, begins = set(), {}
+        for doc, passage, start, size, cosine in candidate_windows(local[ids], lengths, term_vectors, latent_items, checks.cosine):
+            item, offset, _ = passages[passage]
+            if item in bags:
+                near = begins.setdefault((doc, item), ([], [0.0]))
+                near[0].append(start - offset)
+                near[1][0] = max(near[1][0], cosine)
+                continue
+            # A window of the item's length and half, around the middle of what was found.
+            reach = max(size, len(items[item]) * 3 // 2)
+            a = max(0, start + size // 2 - reach) // STEP * STEP
+            z = min(int(lengths[doc]), start + size // 2 + reach)
+            if (doc, item, a, z) not in tried:
+                tried.add((doc, item, a, z))
+                yield doc, item, a, z, cosine
+        for (doc, item), (found, cosine) in begins.items():
+            for a, z in stretches(found, len(items[item]), int(lengths[doc])):
+                yield doc, item, a, z, cosine[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lengths = _flat(batch.column(1))
+            ids, lengths = _flat(batch.column(2))
             offsets = np.cumsum(lengths) - lengths
             best: dict[tuple[int, int], tuple] = {}
-            tried = set()
-            for doc, item, start, size, cosine in candidate_windows(ids, lengths, term_vectors, latent_items, checks.cosine):
-                # A window of the item's length and half, around the middle of what was found.
-                reach = max(size, len(items[item]) * 3 // 2)
-                a = max(0, start + size // 2 - reach) // STEP * STEP
-                z = min(int(lengths[doc]), start + size // 2 + reach)
-                if (doc, item, a, z) in tried:
+            for doc, item, a, z, cosine in places(ids, lengths):
+                window = ids[offsets[doc] + a : offsets[doc] + z]
+                if item in bags and common_words(bags[item], window) < checks.paraphrase * len(items[item]):
                     continue
-                tried.add((doc, item, a, z))
-                found, common = verdict(items[item], ids[offsets[doc] + a : offsets[doc] + z], checks)
+                found, common = verdict(items[item], window, checks)
                 if found and (-common, a) < best.get((doc, item), ((1, 0),))[0]:
                     best[doc, item] = ((-common, a), found, common, cosine)
             keys = sorted(best)
+            rows = pa.array([d for d, _ in keys], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array([d for d, _ in keys], pa.int64())),
-                    pa.array([item_ids[i] for _, i in keys]).cast(item_arrow),
+                    batch.column(0).take(rows), pa.array([i for _, i in keys], pa.int32()), batch.column(1).take(rows),
                     pa.array([best[k][1] for k in keys], pa.string()),
                     pa.array([best[k][0][1] for k in keys], pa.int32()),
                     pa.array([best[k][2] for k in keys], pa.int32()),
                     pa.array([len(items[i]) for _, i in keys], pa.int32()),
                     pa.array([best[k][3] for k in keys], pa.float64()),
                 ],
-                ["doc_id", "item_id", "kind", "start_word", "common_words", "item_words", "cosine"],
+                ["row_no", "item", "doc_id", "kind", "start_word", "common_words", "item_words", "cosine"],
             )
 
-    item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
-    return encoded.mapInArrow(run, schema)
+    return encoded.select("row_no", "doc_id", "ids").mapInArrow(run, f"row_no bigint, item int, doc_id {kind}, {_FOUND}")
+
+
+def _search_group(documents: DataFrame, texts: list[list[bytes]], checks: Checks, rank: int) -> DataFrame:
+    """What `_search` finds of all items of a group, once for each document row and item."""
+    vocabulary = {w: i for i, w in enumerate(sorted({w for words in texts for w in words}))}
+    items = [np.array([vocabulary[w] for w in words], np.int32) for words in texts]
+    path = stage_path(documents.sparkSession)
+    with scratch(documents.sparkSession):
+        encoded = stage(encode(documents, vocabulary).withColumn("row_no", F.monotonically_increasing_id()))
+        frequencies, passages = passage_frequencies(encoded, len(vocabulary))
+        found, seen, split = [], set(), False
+        for block in blocks_of(items):
+            local = block.local(len(vocabulary))
+            pieces = block.texts(local)
+            weights = term_weights(frequencies[block.terms], passages, pieces)
+            # A direction for each distinct passage: copies of it then lie in the space with it.
+            distinct = len({piece.tobytes() for piece in pieces})
+            space = latent_space(encoded, pieces, weights, passages, max(rank, distinct), local=local)
+            found.append(_search(encoded, block, weights, space, local, checks))
+            own = {i for i, _, _ in block.passages}
+            split, seen = split or bool(own & seen), seen | own
+        every = reduce(DataFrame.unionByName, found)
+        if split:  # parts of one item were searched in several blocks
+            columns = every.columns
+            first = F.min_by(F.struct(*columns), F.struct(-F.col("common_words"), F.col("start_word"), -F.col("cosine")))
+            every = every.groupBy("row_no", "item").agg(first.alias("best")).select("best.*")
+        return stage(every, path)
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, checks: Checks | None = None, rank: int = RANK) -> DataFrame:
     """A row for each document row and item it holds: doc_id, item_id, kind, start_word, common_words, item_words, cosine.
 
-    Items and documents without words hold and are held by nothing; null ids are
-    ids like any other. Repeated document rows give repeated rows; repeated
-    items are searched as items of their own. Of several places of an item in a
-    document the one with most words in common is told, the first if they tie.
-    An empty table on either side gives no rows. Only doc_id, item_id and the texts are read.
+    Items may have any length; those of more than `LONGEST` words are found by their
+    passages and checked whole. Items and documents without words hold and are held by
+    nothing; null ids are ids like any other. Repeated document rows give repeated
+    rows; repeated items are searched as items of their own. Of several places of an
+    item in a document the one with most words in common is told, the first if they
+    tie. An empty table on either side gives no rows. Only doc_id, item_id and the
+    texts are read.
     """
     spark, checks = documents.sparkSession, checks or Checks()
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     doc_type = documents.schema["doc_id"].dataType.simpleString()
-    n_blocks = max(1, -(-benchmark.count() // ITEMS))
-    numbered = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)).alias("block"))
+    numbered = stage(benchmark.select("item_id", "text", F.monotonically_increasing_id().alias("item_no")))
+    words = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
+    n_passages = numbered.agg(F.sum(F.ceil(F.greatest(F.lit(1), words) / LONGEST))).first()[0] or 0
+    n_groups = max(1, -(-n_passages // GROUP))
     found = []
-    for block in range(n_blocks):
-        rows = numbered.filter(F.col("block") == block).select("item_id", "text").collect()  # ITEMS or so
-        rows = [(i, words) for i, text in rows if (words := words_of(text))]
-        if not rows:
+    for group in range(n_groups):
+        here = F.pmod(F.xxhash64("item_no"), F.lit(n_groups)) == group
+        rows = numbered.filter(here).select("item_no", "text").collect()  # GROUP passages or so
+        texts = [(number, parts) for number, text in rows if (parts := words_of(text))]
+        if not texts:
             continue
-        vocabulary = {w: i for i, w in enumerate(sorted({w for _, words in rows for w in words}))}
-        items = [np.array([vocabulary[w] for w in words], np.int32) for _, words in rows]
-        encoded = stage(encode(documents, vocabulary))
-        frequencies, passages = passage_frequencies(encoded, len(vocabulary))
-        weights = term_weights(frequencies, passages, items)
-        # A direction for each distinct item: copies of an item then lie in the space with it.
-        distinct = len({item.tobytes() for item in items})
-        space = latent_space(encoded, items, weights, passages, max(rank, distinct))
-        found.append(_search(encoded, [i for i, _ in rows], items, item_type, weights, space, checks))
+        leaks = _search_group(documents, [parts for _, parts in texts], checks, rank)
+        numbers = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(texts)], "item int, item_no bigint")
+        found.append(leaks.join(numbers, "item"))
+    schema = f"doc_id {doc_type}, item_id {item_type}, {_FOUND}"
     if not found:
-        schema = f"doc_id {doc_type}, item_id {item_type}, kind string, start_word int, common_words int, item_words int, cosine double"
         return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, found)
+    every = reduce(DataFrame.unionByName, found)
+    named = every.join(numbered.select("item_no", "item_id"), "item_no")
+    return named.select(*[f.split()[0] for f in schema.split(", ")])
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, checks: Checks | None = None) -> DataFrame:

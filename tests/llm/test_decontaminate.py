@@ -90,6 +90,82 @@ def test_recall_with_a_full_block_of_items(spark):
         assert sum((i, (i - 100) // 2) in held for i in copies) >= 0.9 * len(items)
 
 
+def long_items(rng, lengths):
+    rare = [f"w{k}" for k in range(6000)]
+    often = ["the", "of", "and", "to", "a"]
+    words = lambda k: [rng.choice(often) if rng.random() < 0.4 else rng.choice(rare) for _ in range(k)]
+    return [words(n) for n in lengths], words
+
+
+def changed(rng, item, share):
+    out = list(item)
+    for at in rng.sample(range(len(out)), int(share * len(out))):
+        out[at] = "other"
+    return out
+
+
+def test_recall_for_items_of_any_length(spark):
+    """Exact copies and copies with a tenth of the words changed, of items of 8 to 5,000 words, with full blocks of passages."""
+    rng = random.Random(12)
+    items, words = long_items(rng, [8, 20, 59, 64, 96, 97, 130, 200, 400, 900, 1200, 1500, 2500, 5000] * 3)
+    texts, expected = [words(500) for _ in range(40)], set()
+    for k, item in enumerate(items):
+        for body in (item, changed(rng, item, 0.1 if len(item) > 20 else 0)):
+            expected.add((len(texts), k))
+            texts.append([*words(rng.randint(0, 300)), *body, *words(rng.randint(0, 300))])
+    assert sum(len(d.passages_of(len(item))) for item in items) > 1.5 * d.PASSAGES
+    found = d.find_leaks(documents(spark, enumerate(map(" ".join, texts))), benchmark(spark, enumerate(map(" ".join, items)))).collect()
+    held = {(r.doc_id, r.item_id) for r in found}
+    assert len(held) == len(found) and held <= expected
+    for n in {len(item) for item in items}:
+        own = {(i, k) for i, k in expected if len(items[k]) == n}
+        assert len(own & held) >= 0.9 * len(own), n
+
+
+def test_an_item_larger_than_a_block_is_told_once(spark, monkeypatch):
+    monkeypatch.setattr(d, "PASSAGES", 4)
+    monkeypatch.setattr(d.blocks_of, "__defaults__", (4,))
+    rng = random.Random(3)
+    items, words = long_items(rng, [1000, 30, 500])
+    moved = [*items[0][:400], *words(90), *items[0][400:950]]
+    texts = [words(300), items[0], moved, [*words(50), *items[2], *items[1]], items[0][:300]]
+    found = d.find_leaks(documents(spark, enumerate(map(" ".join, texts))), benchmark(spark, enumerate(map(" ".join, items)))).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 0), (2, 0), (3, 1), (3, 2)]
+    assert {r.common_words for r in found if r.item_id == 0} == {1000, 950}
+
+
+def test_what_a_group_wrote_goes_with_it(spark, tmp_path):
+    """However many groups there are, one encoded copy of the documents is on disk."""
+    import os
+
+    from millwright.workspace import scratch
+
+    rng = random.Random(5)
+    items, words = long_items(rng, [30] * 40)
+    texts = [[*words(200), *item] for item in items]
+    before, d.GROUP = d.GROUP, 10
+    try:
+        with scratch(spark) as folder:
+            found = d.find_leaks(documents(spark, enumerate(map(" ".join, texts))), benchmark(spark, enumerate(map(" ".join, items))))
+            assert found.count() == 40
+            tables = [t for t in os.listdir(folder.removeprefix("file:"))]
+            # The numbered benchmark and what each group found.
+            assert len(tables) <= 6
+            assert not any("ids" in spark.read.parquet(f"{folder}/{t}").columns for t in tables)
+    finally:
+        d.GROUP = before
+
+
+def test_passages_and_stretches():
+    for n in (1, 8, 96, 97, 200, 5000):
+        parts = d.passages_of(n)
+        assert sum(k for _, k in parts) == n and max(k for _, k in parts) <= d.LONGEST and [a for a, _ in parts] == sorted(a for a, _ in parts)
+    assert d.stretches([100, 110, 2000], 400, 5000) == [(0, 610), (1888, 2500)]
+    assert d.stretches([-30], 400, 300) == [(0, 300)]
+    assert d.common_words(np.unique(np.array([1, 1, 2, 5]), return_counts=True), np.array([1, 5, 5, 9, -1])) == 2
+    assert d.common_words(np.unique(np.array([1]), return_counts=True), np.array([], np.int32)) == 0
+
+
 def test_paraphrase_needs_the_answer():
     item = np.arange(40, dtype=np.int32)
     other = np.full(40, -1, np.int32)
