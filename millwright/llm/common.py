@@ -67,26 +67,32 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
 
 
-def blocked(documents: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """(block, doc_id, text) hash-split by doc_id into blocks of about `block_bytes` of text.
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """`df` written once as a table bucketed by `key` into the shared folder.
 
-    The split is written once as a table bucketed by block into the shared folder,
-    so later groupings and co-groupings by block move no text. The number of
-    blocks follows the input; a block never grows with it.
+    Later groupings and co-groupings by that key move nothing.
     """
-    spark = documents.sparkSession
-    total = documents.agg(F.sum(text_bytes(F.col("text")) + 64)).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    # Blocks are dealt to buckets by Spark's own hash, so there are fewer buckets than blocks.
-    buckets = max(1, n // 2)
-    name = f"blocked_{uuid.uuid4().hex}"
-    split = documents.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block"), "doc_id", "text"
-    ).repartition(buckets, "block")
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    split = df.repartition(buckets, key)
     (
-        split.write.bucketBy(buckets, "block").option("compression", "zstd")
+        split.write.bucketBy(buckets, key).option("compression", "zstd")
         .option("path", f"{run_folder(spark)}/{name}").saveAsTable(name)
     )
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay; the frame has been resolved already
-    return table, n
+    return table
+
+
+def blocked(documents: DataFrame, block_bytes: int, together: bool = True) -> tuple[DataFrame, int]:
+    """(block, doc_id, text) hash-split by doc_id and text into blocks of about `block_bytes` of text.
+
+    Rows that share an id, or have none, spread over the blocks; rows that share
+    the text too do so unless they are to stay `together`. The split is `bucketed`
+    by block. The number of blocks follows the input; a block never grows with it.
+    """
+    total = documents.agg(F.sum(text_bytes(F.col("text")) + 64)).first()[0] or 0
+    n = max(1, -(-total // block_bytes))
+    # Blocks are dealt to buckets by Spark's own hash, so there are fewer buckets than blocks.
+    row = ["doc_id", "text"] if together else ["doc_id", "text", F.monotonically_increasing_id()]
+    split = documents.select(F.pmod(F.xxhash64(*row), F.lit(n)).cast("int").alias("block"), "doc_id", "text")
+    return bucketed(split, "block", max(1, n // 2)), n
