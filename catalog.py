@@ -124,15 +124,16 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(name, PLACES) for name in columns})
 
 
-def _as_view(df: DataFrame, name: str) -> DataFrame:
-    """The indicator as a view in display order.
+def _ordered(df: DataFrame, name: str) -> DataFrame:
+    """The indicator stored in display order and read without a sort."""
+    spark = df.sparkSession
+    stored = publish.publish(df, name, folder=run_folder(spark), namespace=publish.ANALYTICS, order=kpis.display_order(name))
+    return publish.in_order(spark, stored)
 
-    A global sort evaluates its input twice, once to find the ranges, so an
-    indicator with a display order is stored first.
-    """
-    if name in kpis.DISPLAY:
-        df = kpis.in_display_order(stage(df), name)
-    publish.register_view(df, name)
+
+def _as_view(df: DataFrame, name: str) -> DataFrame:
+    """The indicator as a view, in display order if it has one."""
+    publish.register_view(_ordered(df, name) if name in kpis.DISPLAY else df, name)
     return df.sparkSession.table(name)
 
 
@@ -386,7 +387,7 @@ def high_defect_flag(t: Factory) -> DataFrame:
 
 
 def _material_batch(t: Factory, **options: int) -> DataFrame:
-    result = kpis.kpi_material_batch(t.materials, t.quality, **options)
+    result = kpis.kpi_material_batch(t.materials, stage(t.quality), **options)
     return _rounded(result, "historical_avg_defect_rate_last_4")
 
 
@@ -404,10 +405,10 @@ def kpi_material_batch_split(t: Factory) -> DataFrame:
 def _places(df: DataFrame, name: str) -> DataFrame:
     """The display keys with the place of each row as the view shows them.
 
-    Rows are numbered as they come out of the sort: inside a part by their
-    position, over parts by how many rows the parts before hold.
+    Rows are numbered as they are read: inside a part by their position, over
+    parts by how many rows the parts before hold.
     """
-    shown = stage(kpis.in_display_order(stage(df), name).withColumn("_id", F.monotonically_increasing_id()))
+    shown = stage(_ordered(df, name).withColumn("_id", F.monotonically_increasing_id()))
     part, position = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     numbered = shown.withColumn("_part", part)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millwright.functions import is_high_defect, pct_change
 from millwright.operators.frames import GROUP_ROWS, over_preceding, with_rank
@@ -28,17 +28,17 @@ DISPLAY: dict[str, list[tuple[str, bool]]] = {
 }
 
 
-def display_sql(name: str) -> list[str]:
-    """The sort expressions of the named indicator, NULLs last."""
-    return [f"{c} {'DESC' if down else 'ASC'} NULLS LAST" for c, down in DISPLAY.get(name, [])]
+def display_order(name: str) -> list[Column]:
+    """What the named indicator is sorted by where it is shown, NULLs last; nothing if its order does not matter."""
+    return [F.expr(c).desc_nulls_last() if down else F.expr(c).asc_nulls_last() for c, down in DISPLAY.get(name, [])]
 
 
 def in_display_order(df: DataFrame, name: str) -> DataFrame:
-    """Sorted as the named indicator is shown, NULLs last.
+    """Sorted as the named indicator is shown.
 
     Pass a stored table: a global sort reads its input twice.
     """
-    keys = [F.expr(c).desc_nulls_last() if down else F.expr(c).asc_nulls_last() for c, down in DISPLAY.get(name, [])]
+    keys = display_order(name)
     return df.orderBy(*keys) if keys else df
 
 
@@ -136,6 +136,11 @@ def kpi_downtime(
     )
 
 
+def _most(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent value."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+
+
 def kpi_material_batch(
     materials: DataFrame,
     quality: DataFrame,
@@ -145,8 +150,16 @@ def kpi_material_batch(
     group_rows: int = GROUP_ROWS,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Material rows with their batch's defect rate and the supplier's recent mean."""
-    joined, rows = stage_counted(material_with_quality(materials, quality, hot_key_rows=hot_key_rows))
+    """Material rows with their batch's defect rate and the supplier's recent mean.
+
+    Pass stored tables. No supplier has more rows than its materials times the most
+    metric rows of a batch; only if that leaves open whether a window group fits
+    a task, the joined rows are stored to be measured.
+    """
+    joined = material_with_quality(materials, quality, hot_key_rows=hot_key_rows)
+    rows = _most(materials, "supplier_id") * _most(quality, "batch_id")
+    if rows > group_rows:
+        joined, rows = stage_counted(joined)
     return over_preceding(
         joined.withColumn("is_high_defect_batch", is_high_defect(F.col("defect_rate"), high_defect_pct)),
         ["supplier_id"],

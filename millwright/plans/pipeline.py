@@ -25,8 +25,8 @@ from millwright.plans import kpis, versions
 from millwright.plans.bronze import Ingested, ingest
 from millwright.plans.manifest import Entry, exists, recorded, remove, require_current, write_recorded
 from millwright.plans.publish import (
-    ANALYTICS, STAGING, Published, conform, constraint_rules, create_tables, create_view, namespace_folder, publish,
-    read_published, register_view,
+    ANALYTICS, STAGING, Published, conform, constraint_rules, create_tables, create_view, in_order, in_order_sql,
+    namespace_folder, publish, read_published, register_view,
 )
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.schemas import INGESTED_AT, RAW
@@ -307,12 +307,12 @@ def kpi_jobs(
 def refresh_kpis(
     spark: SparkSession, params: Params, published: Mapping[str, Published], folder: str, as_of: datetime | None = None
 ) -> dict[str, Published]:
-    """Indicators as tables of the analytics namespace below `folder`, from the published tables."""
+    """Indicators as tables of the analytics namespace below `folder`, from the published tables, in display order."""
     tables = {name: read_published(spark, p) for name, p in published.items()}
     builders = kpi_jobs(tables, params, as_of)
 
     def store(name: str) -> Published:
-        return publish(builders[name](), name, folder=folder, namespace=ANALYTICS)
+        return publish(builders[name](), name, folder=folder, namespace=ANALYTICS, order=kpis.display_order(name))
 
     with scratch(spark):
         return dict(zip(builders, concurrently(spark, [partial(store, name) for name in builders])))
@@ -329,7 +329,8 @@ def _into_catalog(spark: SparkSession, prefix: str, written: Mapping[str, Publis
     versions.turn_catalog(spark, {named[name].location: table.location for name, table in written.items()})
     for name, table in named.items():
         if table.table.endswith("_DATA"):
-            create_view(spark, f"{prefix}{ANALYTICS}.{name}", table.location, kpis.display_sql(name))
+            query = in_order_sql(written[name]) or f"SELECT * FROM {table.location}"
+            create_view(spark, f"{prefix}{ANALYTICS}.{name}", query)
     return named
 
 
@@ -360,7 +361,7 @@ def publish_all(
     if params.serving_path:
         versions.turn_folder(spark, store, version)
         for name, table in indicators.items():
-            register_view(kpis.in_display_order(read_published(spark, table), name), name)
+            register_view(in_order(spark, table) if table.order else read_published(spark, table), name)
         written |= indicators
     else:
         written = _into_catalog(spark, prefix, written | indicators)

@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from millwright.operators.checks import NullShare, Rule, UniqueKeys
+from millwright.plans.versions import names
 from millwright.schemas import SERVING
 
 # The two namespaces.
 STAGING, ANALYTICS = "staging", "analytics"
 
 
+# Files of a table that is stored in an order, at most. Each may have any size.
+ORDERED_FILES = 64
+_ORDER = "order"
+_ORDER_SCHEMA = "place int, file string"
+
+
 @dataclass(frozen=True)
 class Published:
     table: str
     location: str
     rows: int
+    # Of a table stored in an order: where the list of its files is, and the files in that order.
+    order: str | None = None
+    files: tuple[str, ...] = ()
 
 
 def conform(df: DataFrame, table: str, loaded_at: datetime | None = None) -> DataFrame:
@@ -109,6 +120,7 @@ def publish(
     prefix: str = "",
     source: str = "parquet",
     options: Mapping[str, str] | None = None,
+    order: Sequence[Column] = (),
 ) -> Published:
     """Replace a table with `df`, written by the executors, and report the rows.
 
@@ -116,14 +128,26 @@ def publish(
     `<prefix><namespace>.<TABLE>` of the catalog, where a defined serving table keeps
     its definition and any other is created or replaced. `source` and `options`
     select any Spark data source that is installed. Failures are raised.
+
+    With `order` (in a folder) the rows are range-partitioned and sorted, so the
+    files follow each other in that order, and a list of them is stored beside the
+    table: `in_order` reads them one after the other, without a sort.
     """
     name = table.upper()
     loaded = Observation()
+    if order:
+        if folder is None or source != "parquet":
+            raise ValueError("only Parquet files of a folder are stored in an order")
+        # The bounds are sampled, so the last stage of `df` runs twice; its shuffles do not.
+        files = min(ORDERED_FILES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
     counted = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode("overwrite").format(source).options(**(options or {}))
     if folder is not None:
         location = f"{folder.rstrip('/')}/{namespace}/{name}"
         writer.save(location)
+        if order:
+            return _listed(df.sparkSession, Published(name, location, loaded.get["rows"], f"{folder.rstrip('/')}/{_ORDER}/{name}"))
     else:
         location = f"{prefix}{namespace}.{name}"
         if namespace == STAGING and table in SERVING and df.sparkSession.catalog.tableExists(location):
@@ -133,6 +157,34 @@ def publish(
     return Published(name, location, loaded.get["rows"])
 
 
+def _listed(spark: SparkSession, published: Published) -> Published:
+    """Store the list of files. The number of a range is in the name of its file, so names are in the order of ranges."""
+    files = [f for f in names(spark, published.location) if f.startswith("part-")]
+    table = spark.createDataFrame(list(enumerate(files)), _ORDER_SCHEMA).coalesce(1)
+    table.write.mode("overwrite").parquet(published.order)
+    return replace(published, files=tuple(files))
+
+
+def ordered_files(spark: SparkSession, order: str) -> list[str]:
+    """The files of a table stored in an order, from its list; `ORDERED_FILES` at most."""
+    return [r.file for r in sorted(spark.read.schema(_ORDER_SCHEMA).parquet(order).collect())]
+
+
+def in_order(spark: SparkSession, published: Published) -> DataFrame:
+    """The rows in the order they were stored in: the files one after the other, nothing is sorted."""
+    files = published.files or ordered_files(spark, published.order)
+    schema = spark.read.parquet(published.location).schema
+    reader = spark.read.schema(schema)
+    parts = [reader.parquet(f"{published.location}/{f}") for f in files]
+    return reduce(DataFrame.unionAll, parts) if parts else reader.parquet(published.location)
+
+
+def in_order_sql(published: Published) -> str:
+    """The same as SQL, for a view that lasts."""
+    files = [f"{published.location}/{f}".replace("`", "``") for f in published.files]
+    return " UNION ALL ".join(f"SELECT * FROM parquet.`{f}`" for f in files)
+
+
 def read_published(spark: SparkSession, published: Published, source: str = "parquet") -> DataFrame:
     if "/" in published.location:
         return spark.read.format(source).load(published.location)
@@ -143,10 +195,6 @@ def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def create_view(spark: SparkSession, name: str, table: str, order: list[str]) -> None:
-    """A lasting view over a catalog table, for every session of the catalog.
-
-    `order` is what rows are shown by, as SQL sort expressions.
-    """
-    sort = f" ORDER BY {', '.join(order)}" if order else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}{sort}")
+def create_view(spark: SparkSession, name: str, query: str) -> None:
+    """A lasting view, for every session of the catalog."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

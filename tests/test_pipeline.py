@@ -377,6 +377,37 @@ def test_run_into_the_catalog(spark, params, dimensions, run):
     assert dates == sorted(dates, reverse=True)
 
 
+def test_a_table_stored_in_order_is_read_without_a_sort(spark, tmp_path):
+    df = spark.range(5000).select((F.rand(3) * 40).cast("int").alias("k"), F.when(F.col("id") % 50 != 0, F.col("id")).alias("v"))
+    order = [F.col("k").desc_nulls_last(), F.col("v").asc_nulls_last()]
+    published = publish.publish(df, "ranked", folder=str(tmp_path), namespace="analytics", order=order)
+    read = publish.in_order(spark, published)
+    assert published.rows == 5000 and len(published.files) > 1
+    found = [tuple(r) for r in read.collect()]
+    assert found == [tuple(r) for r in df.orderBy(*order).collect()]
+    text = read._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in text and "Exchange" not in text
+    again = publish.Published(published.table, published.location, published.rows, published.order)
+    assert [tuple(r) for r in publish.in_order(spark, again).collect()] == found
+    assert [tuple(r) for r in spark.sql(publish.in_order_sql(published)).collect()] == found
+    empty = publish.publish(df.limit(0), "nothing", folder=str(tmp_path), order=order)
+    assert publish.in_order(spark, empty).collect() == []
+    with pytest.raises(ValueError):
+        publish.publish(df, "ranked", order=order)
+
+
+def test_lasting_views_are_not_sorted_when_read(spark, small, product):
+    params = replace(small(), serving_path="", catalog_prefix="seen_")
+    try:
+        pipeline.run_pipeline(spark, params, product, as_of=datetime(2024, 1, 1, 12))
+        for name in ("kpi_defect_rate", "kpi_material_batch_trends"):
+            view = spark.newSession().table(f"seen_analytics.{name}")
+            assert view.count() == 1 and "Sort" not in view._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for namespace in (publish.STAGING, publish.ANALYTICS):
+            spark.sql(f"DROP SCHEMA IF EXISTS seen_{namespace} CASCADE")
+
+
 def test_conform_defaults_and_missing_columns(spark):
     machines = spark.createDataFrame(
         [(1, "A", None, "extra"), (2, "B", "RETIRED", "extra")], "MACHINE_ID int, production_line string, status string, more string"
