@@ -16,7 +16,7 @@ from millwright import functions as fn
 from millwright.operators import checks, joins, metrics, rows
 from millwright.operators.frames import with_rank
 from millwright.params import Params
-from millwright.plans import bronze, daily, kpis, manifest, pipeline, publish, silver, versions
+from millwright.plans import bronze, daily, kpis, manifest, pipeline, publish, silver, stream, versions
 from millwright.schemas import INGESTED_AT, RAW, SERVING
 from millwright.sources import read_parquet
 from millwright.workspace import concurrently, run_folder, stage, stage_counted
@@ -662,6 +662,42 @@ def gate_states(t: Factory) -> DataFrame:
     return t.spark.createDataFrame(states, "state string, may_publish boolean, repeated_rows bigint")
 
 
+@register
+def gate_observed(t: Factory) -> DataFrame:
+    """The gate's report on landed tables, as far as it was counted while they were written, and their repeated keys."""
+    base = run_folder(t.spark)
+    for dataset, df in t.raw_tables.items():
+        _write_raw(df, dataset, f"{base}/raw")
+    params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/serving")
+    pipeline.ingest_raw(t.spark, params, as_of=AS_OF)
+    pipeline.build_quality(t.spark, params)
+    pipeline.build_downtime(t.spark, params)
+    entries, rules = pipeline.current_tables(t.spark, params), pipeline.default_rules(params)
+    counted = pipeline.report_on({}, [r for r in rules if not isinstance(r, checks.UniqueKeys)], entries)
+    keys = pipeline.report_on(pipeline.gate_tables(t.spark, params, {}, AS_OF), [r for r in rules if isinstance(r, checks.UniqueKeys)])
+    schema = "check string, table string, target string, observed double, threshold double, passed boolean"
+    return _rounded(t.spark.createDataFrame([tuple(r) for r in counted + keys], schema), "observed")
+
+
+@register
+def csv_quarantine(t: Factory) -> DataFrame:
+    """Production landed from files in which some rows do not parse: what was kept, and what was set aside why."""
+    base, schema = run_folder(t.spark), RAW["production_records"]
+    text = _as_raw(t.production, "production_records").withColumn("units_produced", F.col("units_produced").cast("string"))
+    units = F.when(F.col("batch_id").cast("bigint") % 10 == 3, F.concat("units_produced", F.lit("x"))).otherwise(F.col("units_produced"))
+    start = F.when(F.col("batch_id").cast("bigint") % 25 == 7, F.lit("soon")).otherwise(F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"))
+    spoilt = text.withColumn("units_produced", units).withColumn("start_time", start)
+    spoilt.write.option("header", True).csv(f"{base}/raw/production_records.csv")
+    (landed,) = bronze.ingest(
+        t.spark, f"{base}/raw", f"{base}/bronze", datasets=["production_records"], as_of=AS_OF, quarantine=True
+    )
+    kept = read_parquet(t.spark, landed.path).select(F.lit("kept").alias("reason"))
+    aside = read_parquet(t.spark, f"{base}/bronze/{bronze.QUARANTINE}/production_records").select("reason")
+    totals = [("read", landed.rows_read), ("copies", landed.rows_dropped), ("rejected", landed.rows_rejected)]
+    counts = kept.unionByName(aside).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.unionByName(t.spark.createDataFrame(totals, "reason string, n_rows bigint"))
+
+
 @register
 def publish_version(t: Factory) -> DataFrame:
     """A set of tables, read back after a second set broke off at its third table."""
@@ -736,6 +772,17 @@ def daily_downtime(t: Factory) -> DataFrame:
     return daily.downtime_totals(t.spark, _delivered(t)[0])
 
 
+@register
+def stream_downtime(t: Factory) -> DataFrame:
+    """Downtime by day from a stream of log files that come one by one in no order, some rows twice."""
+    base = run_folder(t.spark)
+    logs = standins.with_copies(t.machine_logs, "machine_logs")
+    logs.withColumn("event_ts", F.col("event_ts").cast("timestamp")).repartition(5, F.xxhash64(*logs.columns) % 97).write.parquet(f"{base}/logs")
+    files = t.spark.readStream.schema(t.spark.read.parquet(f"{base}/logs").schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/logs")
+    stream.write_updates(stream.live_downtime(files, "event_ts", "60 days"), f"{base}/updates", f"{base}/checkpoint")
+    return stream.latest(t.spark, f"{base}/updates", ["machine_id", "production_line", "shift_id", "record_date"])
+
+
 def _carried(t: Factory, logs: bool, name: str) -> DataFrame:
     store = _delivered(t)[0 if logs else 1]
     return daily.read_periods(t.spark, store.serving(name)).drop(daily.PERIOD)

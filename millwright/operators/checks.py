@@ -175,6 +175,42 @@ def row_count_deviation(
     )
 
 
+def rule_counts(df: DataFrame, rules: Iterable[Rule]) -> dict[str, Column]:
+    """What has to be counted over the rows of a table so that its row-wise rules can be answered later, by name.
+
+    The counts can be observed while the table is written, and need no scan of their own.
+    """
+    counted: dict[str, Column] = {}
+    for rule in rules:
+        if isinstance(rule, NullShare):
+            counted |= {f"nulls {c}": _count_where(_missing(df, c)) for c in rule.columns}
+        elif isinstance(rule, LateEvents):
+            counted[_late_name(rule)] = _count_where(_late(rule.event, rule.reference, rule.max_hours))
+    return counted
+
+
+def _late_name(rule: LateEvents) -> str:
+    return f"late {rule.event} {rule.reference} {rule.max_hours}"
+
+
+def answered(rule: Rule, rows: int, counts: Mapping[str, int]) -> list[tuple[str, str, str, float | None, float, bool]] | None:
+    """The report rows of a row-wise rule from counts taken before; None if it takes more than those."""
+    if isinstance(rule, NullShare):
+        found = [("nulls", c, f"nulls {c}", True, rule.threshold) for c in rule.columns]
+    elif isinstance(rule, LateEvents):
+        strict = rule.share is None
+        found = [("late_events" if strict else "late_share", rule.event, _late_name(rule), not strict, 0.0 if strict else rule.share)]
+    else:
+        return None
+    if any(name not in counts for _, _, name, _, _ in found):
+        return None
+    report = []
+    for check, target, name, share, threshold in found:
+        observed = float(counts[name]) if not share else counts[name] / rows if rows else None
+        report.append((check, rule.table, target, observed, float(threshold), observed is None or observed <= threshold))
+    return report
+
+
 def _report(df: DataFrame, check: str, table: str, target: str | Column, observed: Column,
             threshold: float) -> DataFrame:
     limit = F.lit(float(threshold))

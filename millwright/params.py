@@ -14,6 +14,7 @@ _CONFIG_KEYS = {
     "serving_path": ("storage", "serving_layer_path"),
     "max_late_event_hours": ("pipeline_settings", "max_late_event_hours"),
     "late_event_share": ("data_quality", "late_event_share"),
+    "max_rejected_share": ("data_quality", "max_rejected_share"),
     "duplicate_tolerance": ("data_quality", "duplicate_tolerance"),
     "null_threshold_pct": ("data_quality", "null_threshold_pct"),
     "row_count_variance_pct": ("data_quality", "row_count_variance_pct"),
@@ -34,6 +35,8 @@ class Params:
     max_late_event_hours: float = 24
     # The share of late inspections that the gate lets pass, as the late filter drops them; None: not one.
     late_event_share: float | None = None
+    # The share of raw rows that may not parse: they are set aside. None: one stops the ingest.
+    max_rejected_share: float | None = None
     duplicate_tolerance: int = 0
     null_threshold_pct: float = 0.05
     row_count_variance_pct: float = 0.20

@@ -1,9 +1,9 @@
 """What each step wrote and from what, so that a later step can tell whether it still holds.
 
 Beside the tables of a layer lies one small entry per table: a fingerprint of
-its rows, one of its files, and the fingerprints of the tables it was made from.
-The rows' fingerprint is taken while they are written, without another scan;
-that of the files is a listing. An entry that no longer fits its files, or names
+its rows, one of its files, the fingerprints of the tables it was made from, and
+counts that checks ask for. The rows' fingerprint and the counts are taken while
+they are written, without another scan; the files are listed. An entry that no longer fits its files, or names
 inputs that have been written anew since, makes its table stale.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from millwright.sources import read_parquet, write_parquet
 
 MANIFEST = "manifest"
-_SCHEMA = "table string, n_rows bigint, content string, files string, made_from map<string,string>"
+_SCHEMA = "table string, n_rows bigint, content string, files string, made_from map<string,string>, counts map<string,bigint>"
 
 
 class StaleTableError(RuntimeError):
@@ -32,6 +32,7 @@ class Entry:
     content: str
     files: str
     made_from: Mapping[str, str] = field(default_factory=dict)
+    counts: Mapping[str, int] = field(default_factory=dict)
 
     @property
     def mark(self) -> tuple[str, str, str]:
@@ -83,17 +84,26 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def write_recorded(df: DataFrame, layer: str, table: str, made_from: Mapping[str, str] | None = None) -> Entry:
-    """Write a table of a layer and its entry.
+def write_recorded(
+    df: DataFrame,
+    layer: str,
+    table: str,
+    made_from: Mapping[str, str] | None = None,
+    counts: Mapping[str, Column] | None = None,
+) -> Entry:
+    """Write a table of a layer and its entry, with the named counts over its rows.
 
     The old entry goes first: a table whose writing breaks off has none.
     """
-    spark, path, seen = df.sparkSession, f"{layer}/{table}", Observation()
+    spark, path, seen, counts = df.sparkSession, f"{layer}/{table}", Observation(), dict(counts or {})
     remove(spark, f"{layer}/{MANIFEST}/{table}")
-    write_parquet(df.observe(seen, *fingerprint(df)), path)
+    asked = [value.alias(f"count_{i}") for i, value in enumerate(counts.values())]
+    write_parquet(df.observe(seen, *fingerprint(df), *asked), path)
     observed = seen.get
-    entry = Entry(table, observed["rows"], content_of(observed), file_fingerprints(spark, {table: path})[table], dict(made_from or {}))
-    row = [(entry.table, entry.rows, entry.content, entry.files, entry.made_from)]
+    files = file_fingerprints(spark, {table: path})[table]
+    told = {name: observed[f"count_{i}"] for i, name in enumerate(counts)}
+    entry = Entry(table, observed["rows"], content_of(observed), files, dict(made_from or {}), told)
+    row = [(entry.table, entry.rows, entry.content, entry.files, entry.made_from, entry.counts)]
     write_parquet(spark.createDataFrame(row, _SCHEMA).coalesce(1), f"{layer}/{MANIFEST}/{table}")
     return entry
 
@@ -104,7 +114,7 @@ def recorded(spark: SparkSession, layer: str, tables: Iterable[str]) -> dict[str
     if not paths:
         return {}
     rows = spark.read.schema(_SCHEMA).parquet(*paths).collect()  # a row per table
-    return {r["table"]: Entry(r["table"], r["n_rows"], r["content"], r["files"], r["made_from"]) for r in rows}
+    return {r["table"]: Entry(r["table"], r["n_rows"], r["content"], r["files"], r["made_from"], r["counts"]) for r in rows}
 
 
 def require_current(spark: SparkSession, layers: Mapping[str, str], entries: Mapping[str, Entry]) -> None:

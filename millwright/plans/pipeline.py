@@ -15,10 +15,10 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from millwright.operators.checks import (
-    LateEvents, NullShare, RowCountDeviation, Rule, UniqueKeys, run_checks,
+    REPORT_COLUMNS, LateEvents, NullShare, RowCountDeviation, Rule, UniqueKeys, answered, rule_counts, run_checks,
 )
 from millwright.params import Params
 from millwright.plans import kpis, versions
@@ -37,7 +37,7 @@ _HISTORY = "row_count_history"
 _HISTORY_SCHEMA = "dataset string, run_at timestamp, n_rows bigint"
 # Beside the tables: what the last ingest read and kept, and the tables that last passed the gate.
 _COUNTS = "ingest_counts"
-_COUNTS_SCHEMA = "dataset string, path string, rows_read bigint, rows_kept bigint, run_at timestamp"
+_COUNTS_SCHEMA = "dataset string, path string, rows_read bigint, rows_kept bigint, rows_rejected bigint, run_at timestamp"
 _PASSED = "gate_passed"
 _PASSED_SCHEMA = "table string, content string, files string"
 _METRICS = ("quality_metrics", "downtime_metrics")
@@ -71,6 +71,26 @@ def silver(spark: SparkSession, params: Params, name: str) -> DataFrame:
     return read_parquet(spark, f"{params.silver_path}/{name}")
 
 
+# Rules on a serving table that is a copy of a raw one are answered by what was counted there.
+_COPY_OF = {"FACT_PRODUCTION": "production_records"}
+
+
+def _observable(params: Params) -> dict[str, list[Rule]]:
+    """The row-wise default rules by the raw or metric table whose rows answer them."""
+    found: dict[str, list[Rule]] = {}
+    for rule in default_rules(params):
+        found.setdefault(_COPY_OF.get(rule.table, rule.table), []).append(rule)
+    return found
+
+
+def _to_observe(params: Params) -> dict[str, Callable[[DataFrame], dict[str, Column]]]:
+    return {table: partial(rule_counts, rules=rules) for table, rules in _observable(params).items()}
+
+
+def _observed(params: Params, table: str, df: DataFrame) -> dict[str, Column]:
+    return rule_counts(df, _observable(params).get(table, []))
+
+
 def _inputs(spark: SparkSession, params: Params, *names: str) -> dict[str, str]:
     """Fingerprints of the raw tables a metric table is about to be made from."""
     return {name: entry.content for name, entry in recorded(spark, params.bronze_path, names).items()}
@@ -84,13 +104,15 @@ def build_quality(spark: SparkSession, params: Params, late_reference: str = ING
             max_late_hours=params.max_late_event_hours, late_reference=late_reference,
             hot_key_rows=params.hot_key_rows,
         )
-        write_recorded(metrics, params.silver_path, "quality_metrics", made_from)
+        counts = _observed(params, "quality_metrics", metrics)
+        write_recorded(metrics, params.silver_path, "quality_metrics", made_from, counts)
 
 
 def build_downtime(spark: SparkSession, params: Params) -> None:
     made_from = _inputs(spark, params, "machine_logs")
     metrics = downtime_metrics(bronze(spark, params, "machine_logs"), shift_minutes=params.shift_minutes)
-    write_recorded(metrics, params.silver_path, "downtime_metrics", made_from)
+    counts = _observed(params, "downtime_metrics", metrics)
+    write_recorded(metrics, params.silver_path, "downtime_metrics", made_from, counts)
 
 
 def _history(spark: SparkSession, params: Params) -> tuple[DataFrame, str]:
@@ -106,8 +128,11 @@ def ingest_raw(
 ) -> list[Ingested]:
     """Land all raw files and store what was read and kept, one row per dataset."""
     run_at = as_of or datetime.now()
-    ingested = ingest(spark, params.raw_path, params.bronze_path, infer=infer, as_of=as_of)
-    counts = [(i.dataset, i.path, i.rows_read, i.rows_kept, run_at) for i in ingested]
+    ingested = ingest(
+        spark, params.raw_path, params.bronze_path, infer=infer, as_of=as_of,
+        quarantine=params.max_rejected_share is not None, counts=_to_observe(params),
+    )
+    counts = [(i.dataset, i.path, i.rows_read, i.rows_kept, i.rows_rejected, run_at) for i in ingested]
     table = spark.createDataFrame(counts, _COUNTS_SCHEMA).coalesce(1)
     write_parquet(table, f"{params.bronze_path}/{_COUNTS}")
     return ingested
@@ -119,7 +144,7 @@ def last_ingest(spark: SparkSession, params: Params) -> tuple[list[Ingested], da
     if not exists(spark, path):
         return [], None
     rows = spark.read.schema(_COUNTS_SCHEMA).parquet(path).collect()
-    return [Ingested(r.dataset, r.path, r.rows_read, r.rows_kept) for r in rows], rows[0].run_at
+    return [Ingested(r.dataset, r.path, r.rows_read, r.rows_kept, r.rows_rejected) for r in rows], rows[0].run_at
 
 
 def current_tables(spark: SparkSession, params: Params) -> dict[str, Entry]:
@@ -202,19 +227,48 @@ def default_rules(params: Params, dimensions: Iterable[str] = ()) -> list[Rule]:
     return rules
 
 
-def gate(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> list[Row]:
-    """Run the rules; raise if any failed, else return the report.
+def report_on(
+    tables: Mapping[str, DataFrame], rules: Iterable[Rule], entries: Mapping[str, Entry] | None = None
+) -> list[Row]:
+    """The report of all rules, without regard to whether they passed.
 
-    The report has one row per rule and column, so bringing it to the driver is
-    bounded by the rules, not by the data.
+    What was counted while a table was written answers the rules about its single
+    rows; only the others read tables. The report has one row per rule and
+    column, so bringing it to the driver is bounded by the rules, not by the data.
     """
-    report = run_checks(tables, rules).collect()
+    report, left = [], []
+    for rule in rules:
+        entry = (entries or {}).get(_COPY_OF.get(rule.table, rule.table))
+        known = answered(rule, entry.rows, entry.counts) if entry else None
+        if known is None:
+            left.append(rule)
+        else:
+            report += [Row(*REPORT_COLUMNS)(*row) for row in known]
+    return report + (run_checks(tables, left).collect() if left else [])
+
+
+def gate(
+    tables: Mapping[str, DataFrame], rules: Iterable[Rule], entries: Mapping[str, Entry] | None = None, also: Iterable[Row] = ()
+) -> list[Row]:
+    """Run the rules; raise if any of them, or of the rows reported `also`, failed, else return the report."""
+    report = [*report_on(tables, rules, entries), *also]
     failures = [row for row in report if not row["passed"]]
     if failures:
         raise QualityGateError(failures)
     return report
 
 
+def rejected_shares(ingested: Iterable[Ingested], limit: float | None) -> list[Row]:
+    """A report row per dataset: the share of raw rows that did not parse against what is allowed."""
+    if limit is None:
+        return []
+    shares = [(i.dataset, i.rows_rejected / i.rows_read if i.rows_read else None) for i in ingested]
+    return [
+        Row(*REPORT_COLUMNS)("rejected_share", name, "rows", share, float(limit), share is None or share <= limit)
+        for name, share in shares
+    ]
+
+
 def check(
     spark: SparkSession,
     params: Params,
@@ -253,7 +307,7 @@ def check(
             _HISTORY, "run_at", params.row_count_variance_pct, counts="n_rows", series="dataset"
         ))
     with scratch(spark):
-        report = gate(tables, rules)
+        report = gate(tables, rules, entries, rejected_shares(ingested, params.max_rejected_share))
     if ingested and history.where(F.col("run_at") == F.lit(run_at)).isEmpty():
         current.coalesce(1).write.mode("append").parquet(path)
     marks = spark.createDataFrame([entry.mark for entry in entries.values()], _PASSED_SCHEMA).coalesce(1)

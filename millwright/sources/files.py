@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -29,6 +29,33 @@ def read_csv(
     return reader.schema(schema).option("enforceSchema", False).option("mode", mode).csv(path)
 
 
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: StructType, rejected: str) -> DataFrame:
+    """CSV with a header row whose names are checked; a row that does not parse keeps its text in the column `rejected`.
+
+    Rows that parse have NULL there. All columns are parsed whatever is selected,
+    so the same rows are rejected in every query.
+    """
+    told = StructType([*schema.fields, StructField(rejected, StringType())])
+    reader = spark.read.option("header", True).schema(told).option("enforceSchema", False).option("columnPruning", False)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rejected).csv(path)
+
+
+def reject_reason(raw: Column, schema: StructType) -> Column:
+    """Why the text of a row does not parse: the columns whose values do not fit, or too few or too many values."""
+    as_text = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    values = F.from_csv(raw, as_text, {"mode": "PERMISSIVE"})
+    unfit = [
+        F.when(values[f.name].isNotNull() & values[f.name].try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema.fields
+    ]
+    wrong = F.array_compact(F.array(*unfit))
+    n_values = F.size(F.split(raw, ",", -1))
+    return (
+        F.when(F.size(wrong) > 0, F.concat(F.lit("does not fit: "), F.array_join(wrong, ", ")))
+        .when(n_values != len(schema.fields), F.concat(n_values.cast("string"), F.lit(f" values for {len(schema.fields)} columns")))
+        .otherwise("does not parse")
+    )
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

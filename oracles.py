@@ -508,3 +508,41 @@ ORACLES |= {
     "daily_kpi_throughput": _once("kpi_throughput"),
     "daily_kpi_material_batch": _once("kpi_material_batch"),
 }
+
+_LANDED_GATE = _UNION.join([
+    *(_duplicate_row(table, keys, alias) for table, (alias, keys) in _GRAINS.items()),
+    *(
+        _null_row(table, column, alias).format(threshold="0.05e0")
+        for table, (alias, keys) in _GRAINS.items() for column in keys.split(",")
+    ),
+    _duplicate_row("inspections", "inspection_id", "inspection_results"),
+    """
+SELECT 'late_events', 'inspection_results', 'inspection_timestamp', CAST(n AS DOUBLE), 0.0e0, n = 0
+FROM (SELECT COUNT(*) FILTER (
+          WHERE epoch_us(inspection_timestamp) - epoch_us(ingestion_timestamp) > 86400000000) AS n
+      FROM inspections) c""",
+    _duplicate_row("production", "batch_id", "FACT_PRODUCTION"),
+    *(_null_row("production", column, "FACT_PRODUCTION").format(threshold="0.0e0") for column in ("batch_id", "units_produced")),
+])
+
+ORACLES |= {
+    "gate_observed": "WITH " + ",".join((_LANDED, _QUALITY_DEFAULT, _downtime())) + _LANDED_GATE,
+    "csv_quarantine": _with() + """,
+distinct_rows AS (SELECT DISTINCT * FROM production),
+told AS (
+    SELECT CASE WHEN batch_id % 10 = 3 AND batch_id % 25 = 7 THEN 'does not fit: units_produced, start_time'
+                WHEN batch_id % 10 = 3 THEN 'does not fit: units_produced'
+                WHEN batch_id % 25 = 7 THEN 'does not fit: start_time' ELSE 'kept' END AS reason
+    FROM distinct_rows
+)
+SELECT reason, COUNT(*) AS n_rows FROM told GROUP BY reason
+UNION ALL SELECT 'read', COUNT(*) FROM production
+UNION ALL SELECT 'copies', (SELECT COUNT(*) FROM production WHERE NOT (batch_id % 10 = 3 OR batch_id % 25 = 7))
+                           - (SELECT COUNT(*) FROM told WHERE reason = 'kept')
+UNION ALL SELECT 'rejected', COUNT(*) FROM production WHERE batch_id % 10 = 3 OR batch_id % 25 = 7""",
+}
+
+ORACLES["stream_downtime"] = f"""
+SELECT machine_id, production_line, shift_id, CAST(event_ts AS DATE) AS record_date, {_MINUTES}
+FROM (SELECT DISTINCT * FROM ({_LOGS}) d) l WHERE {_IS_DOWNTIME}
+GROUP BY machine_id, production_line, shift_id, CAST(event_ts AS DATE)"""

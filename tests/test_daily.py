@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millwright.operators import frames, joins
 from millwright.params import Params
-from millwright.plans import daily, kpis, silver
+from millwright.plans import daily, kpis, silver, stream
 from millwright.schemas import RAW
 
 AS_OF = datetime(2024, 3, 1)
@@ -152,6 +152,48 @@ def test_day_from_files(spark, store, products, tmp_path):
     assert rows(stored.select(expected.columns)) == rows(expected)
 
 
+def _files(spark, store, parts):
+    """Each delivery as a file of its dataset's folder, in the given order."""
+    for part in parts:
+        for name, df in _frames(spark, part).items():
+            df.coalesce(1).write.mode("append").option("header", True).csv(f"{store.params.raw_path}/{name}")
+
+
+def test_a_stream_of_files_in_any_order_equals_the_whole(spark, products, tmp_path):
+    whole, parts = _deliveries(5)
+    expected = _whole_results(spark, whole, products)
+    results = []
+    for k, order in enumerate(([0, 1, 2], [2, 0, 1])):
+        base = tmp_path / str(k)
+        store = daily.Store(Params(str(base / "raw"), str(base / "b"), str(base / "s"), str(base / "out")))
+        _files(spark, store, [parts[i] for i in order[:2]])
+        stream.follow(spark, store, str(base / "checkpoint"), products, as_of=AS_OF, files_per_batch=1)
+        _files(spark, store, [parts[order[2]]])
+        assert stream.follow(spark, store, str(base / "checkpoint"), products, as_of=AS_OF)
+        assert stream.follow(spark, store, str(base / "checkpoint"), products, as_of=AS_OF) == {}
+        quality = daily.quality_table(spark, store)
+        assert rows(quality.select(expected["quality"].columns)) == rows(expected["quality"])
+        stored = daily.read_periods(spark, store.serving("kpi_defect_rate"))
+        results.append(rows(stored.select(expected["kpi_defect_rate"].columns)))
+    assert results[0] == results[1] == rows(expected["kpi_defect_rate"])
+
+
+def test_live_downtime_drops_copies_and_what_is_too_late(spark, tmp_path):
+    from millwright.schemas import RAW as raw
+
+    def send(number, *logs):
+        spark.createDataFrame(logs, raw["machine_logs"]).coalesce(1).write.mode("append").parquet(str(tmp_path / "logs"))
+        files = spark.readStream.schema(raw["machine_logs"]).parquet(str(tmp_path / "logs"))
+        stream.write_updates(stream.live_downtime(files), str(tmp_path / "updates"), str(tmp_path / "checkpoint"))
+
+    row = ("M", START + timedelta(hours=5), "idle", 10, "L", "S")
+    send(0, row, row, ("M", START + timedelta(hours=9), "changeover", 4, "L", "S"))
+    send(1, row, ("M", START + timedelta(days=6), "idle", 7, "L", "S"))
+    send(2, ("M", START + timedelta(hours=1), "idle", 1000, "L", "S"))  # days behind the watermark
+    found = stream.latest(spark, str(tmp_path / "updates"), ["machine_id", "record_date"]).select("record_date", "idle_mins", "total_downtime_mins")
+    assert rows(found) == [(date(2024, 1, 1), 10, 14), (date(2024, 1, 7), 7, 7)]
+
+
 def test_rows_with_one_hash_are_told_apart(spark, monkeypatch):
     """Hashes steer, whole rows decide."""
     monkeypatch.setattr(daily, "row_hash", lambda df: F.lit(1).cast("bigint"))

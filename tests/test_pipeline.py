@@ -267,6 +267,53 @@ def test_tables_changed_behind_the_steps_are_refused(spark, small, product):
         pipeline.check(spark, params, dimensions=product, as_of=as_of)
 
 
+def test_what_was_counted_in_the_write_is_not_read_again(spark, small, product, monkeypatch):
+    params, as_of = replace(small(), late_event_share=0.4), datetime(2024, 1, 1, 9) - timedelta(hours=24)
+    _steps(spark, params, as_of)
+    entries = pipeline.current_tables(spark, params)
+    rules = pipeline.default_rules(params, ["dim_product"])
+    tables = pipeline.gate_tables(spark, params, product, as_of)
+    scanned, run_checks = [], pipeline.run_checks
+    monkeypatch.setattr(pipeline, "run_checks", lambda tables, rules: scanned.extend(rules) or run_checks(tables, rules))
+    told = pipeline.report_on(tables, rules, entries)
+    left = [r for r in scanned if not isinstance(r, UniqueKeys)]
+    assert [r.table for r in left] == ["DIM_PRODUCT"]  # a dimension is not written by any step
+    assert sorted(map(str, told)) == sorted(map(str, pipeline.report_on(tables, rules)))
+    assert any(row["check"] == "late_share" and row["observed"] == 0.5 and not row["passed"] for row in told)
+    # A rule that nobody asked for beforehand is answered by a scan.
+    scanned.clear()
+    (row,) = pipeline.report_on(tables, [NullShare("quality_metrics", ("defect_rate",))], entries)
+    assert row["passed"] and len(scanned) == 1
+
+
+def test_rows_that_do_not_parse_are_set_aside(spark, small, product):
+    bad = ["B2,P1,A,S1,many,2024-01-02,2024-01-02 00:00:00,2024-01-02 06:00:00"] * 2 + ["B3,P1,A", "B4,P1,A,S1,7,someday,2024-01-02 00:00:00,late"]
+    good = "B5,P1,A,S1,,2024-01-02,2024-01-02 00:00:00,2024-01-02 06:00:00"
+    with pytest.raises(Exception):
+        pipeline.ingest_raw(spark, small(*bad))
+    params = replace(small(*bad, good, good), max_rejected_share=0.6)
+    found = {i.dataset: i for i in pipeline.ingest_raw(spark, params, as_of=datetime(2024, 1, 1, 12))}
+    made = found["production_records"]
+    assert (made.rows_read, made.rows_kept, made.rows_dropped, made.rows_rejected) == (7, 2, 1, 4)
+    aside = spark.read.parquet(f"{params.bronze_path}/quarantine/production_records")
+    assert rows(aside.select("raw_text", "reason", "n_rows")) == sorted([
+        (bad[0], "does not fit: units_produced", 2), (bad[2], "3 values for 8 columns", 1), (bad[3], "does not fit: production_date, end_time", 1),
+    ])
+    kept = spark.read.parquet(f"{params.bronze_path}/production_records")
+    assert sorted(r.batch_id for r in kept.collect()) == ["B1", "B5"] and "raw_text" not in kept.columns
+    pipeline.build_quality(spark, params)
+    pipeline.build_downtime(spark, params)
+    rules = [r for r in pipeline.default_rules(params) if r.table != "FACT_PRODUCTION"]
+    report = pipeline.check(spark, params, rules=rules, as_of=datetime(2024, 1, 1, 12))
+    assert {row["observed"] for row in report if row["check"] == "rejected_share"} == {0.0, 4 / 7}
+    with pytest.raises(pipeline.QualityGateError, match="rejected_share on production_records"):
+        pipeline.check(spark, replace(params, max_rejected_share=0.5), rules=rules, as_of=datetime(2024, 1, 1, 12))
+    # A clean delivery leaves nothing aside.
+    clean = replace(small(), max_rejected_share=0.0)
+    assert all(i.rows_rejected == 0 for i in pipeline.ingest_raw(spark, clean, as_of=datetime(2024, 1, 2)))
+    assert not manifest.exists(spark, f"{clean.bronze_path}/quarantine/production_records")
+
+
 def test_fingerprints(spark):
     def content(rows, schema="a int, b string"):
         return manifest.content_of(spark.createDataFrame(rows, schema).repartition(3).agg(*manifest.fingerprint(spark.createDataFrame(rows, schema))).first().asDict())
