@@ -3,7 +3,9 @@
     spark-submit -m millwright <step> --config pipeline.yaml --dimension dim_product=/path
 
 Steps: ingest, quality, downtime, check, publish, run. A failure ends the
-process with a non-zero status. `publish` also refreshes the indicators.
+process with a non-zero status. `publish` also refreshes the indicators. `day` lands
+what is new of today's files and recomputes only what that touches, in tables
+of its own, partitioned by `--unit`.
 """
 
 from __future__ import annotations
@@ -15,12 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from millwright.params import Params
-from millwright.plans import pipeline
+from millwright.plans import daily, pipeline
 from millwright.schemas import INGESTED_AT
 from millwright.sources import read_parquet
 from millwright.workspace import open_session
 
-STEPS = ("ingest", "quality", "downtime", "check", "publish", "run")
+STEPS = ("ingest", "quality", "downtime", "check", "publish", "run", "day")
 
 log = logging.getLogger("millwright")
 
@@ -35,6 +37,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
                         help="column that inspection times are compared with")
     parser.add_argument("--accept-row-counts", action="store_true",
                         help="check: take row counts as they are into the history")
+    parser.add_argument("--unit", default="day", help="day: the period of a partition, such as day or month")
     parser.add_argument("--infer", action="store_true", help="take CSV types from the files")
     return parser.parse_args(argv)
 
@@ -60,6 +63,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         pipeline.require_dimensions(dimensions)
         pipeline.require_passed_gate(spark, params)
         published = pipeline.publish_all(spark, params, dimensions)
+    elif args.step == "day":
+        pipeline.require_dimensions(dimensions)
+        landed, refreshed = daily.run_day(spark, params, dimensions["dim_product"], unit=args.unit, infer=args.infer)
+        for d in landed:
+            log.info("%s: %d rows read, %d new, in %d periods", d.dataset, d.rows_read, d.rows_new, len(d.periods))
+        for table, periods in refreshed.items():
+            log.info("%s: %d periods recomputed", table, len(periods))
     else:
         run = pipeline.run_pipeline(
             spark, params, dimensions, late_reference=args.late_reference, infer=args.infer,

@@ -404,6 +404,9 @@ def test_steps_from_the_command_line(spark, params, dimensions, tmp_path):
     main(["run", "--config", str(config), "--dimension", f"dim_product={products}", "--late-reference", "end_time"], spark)
     by_end_time = versions.read_current(spark, f"{tmp_path}/out", "analytics", "kpi_defect_rate").count()
     assert by_steps > 0 and by_end_time > 0
+    main(["day", "--config", str(config), "--dimension", f"dim_product={products}", "--unit", "year"], spark)
+    by_day = spark.read.parquet(f"{tmp_path}/out/daily/kpi_defect_rate").count()
+    assert by_day == by_steps
     with pytest.raises(SystemExit):
         main(["unknown", "--config", str(config)], spark)
 
