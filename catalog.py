@@ -127,6 +127,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 def _ordered(df: DataFrame, name: str) -> DataFrame:
     """The indicator stored in display order and read without a sort."""
     spark = df.sparkSession
+    df = stage(df) if name in kpis.SMALL else df
     stored = publish.publish(df, name, folder=run_folder(spark), namespace=publish.ANALYTICS, order=kpis.display_order(name))
     return publish.in_order(spark, stored)
 

@@ -28,6 +28,11 @@ DISPLAY: dict[str, list[tuple[str, bool]]] = {
 }
 
 
+# Indicators of a row per calendar day and cell: far cheaper to store once more than to
+# compute twice, as a write in display order does with the last stage of its input.
+SMALL = ("kpi_defect_rate",)
+
+
 def display_order(name: str) -> list[Column]:
     """What the named indicator is sorted by where it is shown, NULLs last; nothing if its order does not matter."""
     return [F.expr(c).desc_nulls_last() if down else F.expr(c).asc_nulls_last() for c, down in DISPLAY.get(name, [])]

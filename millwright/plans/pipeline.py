@@ -31,7 +31,7 @@ from millwright.plans.publish import (
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.schemas import INGESTED_AT, RAW
 from millwright.sources import read_parquet, write_parquet
-from millwright.workspace import concurrently, scratch
+from millwright.workspace import concurrently, scratch, stage
 
 _HISTORY = "row_count_history"
 _HISTORY_SCHEMA = "dataset string, run_at timestamp, n_rows bigint"
@@ -366,7 +366,9 @@ def refresh_kpis(
     builders = kpi_jobs(tables, params, as_of)
 
     def store(name: str) -> Published:
-        return publish(builders[name](), name, folder=folder, namespace=ANALYTICS, order=kpis.display_order(name))
+        df = builders[name]()
+        df = stage(df) if name in kpis.SMALL else df
+        return publish(df, name, folder=folder, namespace=ANALYTICS, order=kpis.display_order(name))
 
     with scratch(spark):
         return dict(zip(builders, concurrently(spark, [partial(store, name) for name in builders])))

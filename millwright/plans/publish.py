@@ -159,9 +159,9 @@ def publish(
 
 def _listed(spark: SparkSession, published: Published) -> Published:
     """Store the list of files. The number of a range is in the name of its file, so names are in the order of ranges."""
-    files = [f for f in names(spark, published.location) if f.startswith("part-")]
-    table = spark.createDataFrame(list(enumerate(files)), _ORDER_SCHEMA).coalesce(1)
-    table.write.mode("overwrite").parquet(published.order)
+    files = [f for f in names(spark, published.location) if f.startswith("part-")]  # ORDERED_FILES at most
+    listed = F.posexplode(F.array(*[F.lit(f) for f in files]).cast("array<string>")).alias("place", "file")
+    spark.range(1, numPartitions=1).select(listed).write.mode("overwrite").parquet(published.order)
     return replace(published, files=tuple(files))
 
 
