@@ -30,6 +30,15 @@ _SPREAD = "_spread"
 _SALTS, _SALT, _MATCHED = "_salts", "_salt", "_matched"
 
 
+def not_broadcast(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data, joined by shuffle.
+
+    Sizes are estimated from files, and a few columns of well packed ones may hold many times
+    the rows that the driver can take.
+    """
+    return side.hint("merge")
+
+
 def weights(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct combinations of `columns` with the number of rows behind each."""
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
@@ -102,7 +111,7 @@ def salted_join(
     """
     found = hot_keys(many, key, hot_key_rows)
     if found is None:
-        return many.join(one, key, "inner")
+        return many.join(not_broadcast(one), key, "inner")
     hot, n_hot = found
     if n_hot <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
@@ -114,7 +123,7 @@ def salted_join(
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop(_SALTS)
     )
-    return many_salted.join(one_salted, [key, _SALT], "inner").drop(_SALT)
+    return many_salted.join(not_broadcast(one_salted), [key, _SALT], "inner").drop(_SALT)
 
 
 def salted_left_join(
@@ -132,7 +141,7 @@ def salted_left_join(
     """
     found = hot_keys(right, key, hot_key_rows)
     if found is None:
-        return left.join(right, key, "left")
+        return left.join(not_broadcast(right), key, "left")
     hot, n_hot = found
     if n_hot <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
@@ -140,7 +149,7 @@ def salted_left_join(
     share = F.pmod(F.xxhash64(*spread_by), salts).cast("int")
     right_salted = right.join(hot, key, "left").withColumn(_SALT, share).drop(_SALTS).withColumn(_MATCHED, F.lit(True))
     left_salted = left.join(hot, key, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-    joined = left_salted.join(right_salted, [key, _SALT], "left")
+    joined = left_salted.join(not_broadcast(right_salted), [key, _SALT], "left")
     return joined.where(F.col(_SALTS).isNull() | F.col(_MATCHED).isNotNull()).drop(_SALT, _SALTS, _MATCHED)
 
 

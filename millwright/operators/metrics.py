@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millwright.functions import boundary_minutes, percent_of, week_start
-from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, weights_by_key
+from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, not_broadcast, weights_by_key
 
 # The event types that count as downtime, and their columns.
 DOWNTIME_COLUMNS = {
@@ -49,7 +49,7 @@ def defects_by_category(
             "batch_id", "production_line", "shift_id", "production_date",
             "defect_count", "total_inspected",
         )
-        .join(products_of_batch, "batch_id", "left")
+        .join(not_broadcast(products_of_batch), "batch_id", "left")
         .groupBy("production_line", "shift_id", "production_date", "product_id")
         .agg(
             F.sum(F.col("defect_count") * copies).alias("defects"),
@@ -58,7 +58,7 @@ def defects_by_category(
     )
     total, units = F.col("total_defects"), F.col("total_units")
     return (
-        per_product.join(products.select("product_id", "product_category"), "product_id", "left")
+        per_product.join(not_broadcast(products.select("product_id", "product_category")), "product_id", "left")
         .groupBy("production_line", "shift_id", "product_category", "production_date")
         .agg(F.sum("defects").alias("total_defects"), F.sum("units").alias("total_units"))
         .select(

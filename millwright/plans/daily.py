@@ -2,8 +2,9 @@
 
 Every stored table is partitioned by period (a day, or a longer unit for small
 data). A delivery may hold rows of any period and copies of rows landed long
-before. What is new is found by a hash that lies beside each landed row, and only
-where hashes meet are whole rows compared. The periods of new rows are written
+before. Rows of periods in which nothing has landed are new, and are shuffled once, to
+where they are stored. In the other periods what is new is found by a hash that lies beside
+each landed row, and only where hashes meet are whole rows compared. The periods of new rows are written
 down before the rows are, and drive everything behind: metrics are computed
 anew from those partitions and overwrite theirs. Indicators with frames go on
 from the last rows of each group that were kept at the end of an earlier run.
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from millwright.functions import availability_pct, is_high_defect, pct_change
 from millwright.operators.frames import GROUP_ROWS, Measure, over_carried, with_rank
-from millwright.operators.joins import material_with_quality
+from millwright.operators.joins import material_with_quality, not_broadcast
 from millwright.operators.metrics import DOWNTIME_COLUMNS, defects_by_category, units_per_hour
 from millwright.operators.rows import distinct_rows_counted, stamp
 from millwright.params import Params
@@ -37,6 +38,11 @@ from millwright.workspace import concurrently, scratch, stage, stage_counted
 
 PERIOD, ROW_HASH = "period", "row_hash"
 _OTHER = "_other_"
+# Rows of a delivery that one task takes, about.
+SHARE_ROWS = 1 << 20
+# A second tail of an indicator is kept this many periods before the last one.
+BACK = 3
+NO_DAY = 1 << 40  # the number of the day of rows without one
 
 # The column that tells to which day a raw row belongs.
 DAY_OF = {
@@ -95,12 +101,13 @@ def read_periods(spark: SparkSession, path: str, periods: Periods | None = None)
     return table if periods is None else table.where(in_periods(periods))
 
 
-def write_periods(df: DataFrame, path: str, *, append: bool = False) -> None:
+def write_periods(df: DataFrame, path: str, *, append: bool = False, rebalance: bool = True) -> None:
     """Add to the partitions, or replace those that `df` has rows of and no others.
 
     Rebalancing deals rows out by period: small ones share a task, a large one gets as many as it needs.
+    Without it each task writes a file of every period it holds.
     """
-    writer = df.hint("rebalance", PERIOD).write.partitionBy(PERIOD)
+    writer = (df.hint("rebalance", PERIOD) if rebalance else df).write.partitionBy(PERIOD)
     if append:
         writer.mode("append").parquet(path)
     else:
@@ -109,10 +116,21 @@ def write_periods(df: DataFrame, path: str, *, append: bool = False) -> None:
 
 def _some(periods: DataFrame) -> list[date | None]:
     """Distinct periods, oldest first, a null last; the calendar bounds them."""
-    found = {r[0] for r in periods.select(PERIOD).distinct().collect()}
+    return _in_order({r[0] for r in periods.select(PERIOD).distinct().collect()})
+
+
+def _in_order(found: set[date | None]) -> list[date | None]:
     return sorted(found - {None}) + ([None] if None in found else [])
 
 
+def stored_periods(spark: SparkSession, path: str) -> set[date | None]:
+    """The periods of a stored table, from the names of its partitions."""
+    if not exists(spark, path):
+        return set()
+    values = [n.removeprefix(f"{PERIOD}=") for n in versions.names(spark, path) if n.startswith(f"{PERIOD}=")]
+    return {None if v == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(v) for v in values}
+
+
 # --- landing ----------------------------------------------------------------
 
 
@@ -125,7 +143,33 @@ def _alike(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str)
     """Rows of `left` that have (`left_semi`) or have not (`left_anti`) an equal row on the right; NULL equals NULL."""
     other = right.select(*[F.col(f"`{c}`").alias(_OTHER + c) for c in [*columns, ROW_HASH]])
     same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`{_OTHER}{c}`")) for c in columns]
-    return left.join(other, reduce(and_, same, F.col(ROW_HASH) == F.col(_OTHER + ROW_HASH)), how)
+    return left.join(not_broadcast(other), reduce(and_, same, F.col(ROW_HASH) == F.col(_OTHER + ROW_HASH)), how)
+
+
+def distinct_by_period(raw: DataFrame, counts: Mapping[date | None, int], seen: Observation) -> DataFrame:
+    """The distinct rows of a delivery (with their period) and their hashes, laid out as they are stored; what was kept is observed.
+
+    Copies share a period and a hash, so one shuffle by both serves the grouping and
+    the layout. A task takes about `SHARE_ROWS` rows: a large period is spread over several by
+    the hash, small ones share one. `counts` are the rows of each period.
+    """
+    columns, before, shares = [c for c in raw.columns if c != PERIOD], 0, []
+    for period, n in sorted(counts.items(), key=lambda item: (item[0] is None, item[0] or date.min)):
+        first, last = before // SHARE_ROWS, (before + n - 1) // SHARE_ROWS
+        shares.append((NO_DAY if period is None else (period - date(1970, 1, 1)).days, first, last - first + 1))
+        before += n
+    places = raw.sparkSession.createDataFrame(shares, "_day bigint, _first int, _n int")  # a row per period
+    share = (F.col("_first") + F.pmod(row_hash(raw.select(*[f"`{c}`" for c in columns])), F.col("_n"))).cast("int")
+    found = raw.withColumn("_day", F.coalesce(F.unix_date(PERIOD).cast("bigint"), F.lit(NO_DAY))).join(F.broadcast(places), "_day")
+    spread = found.select(share.alias("_share"), PERIOD, *[f"`{c}`" for c in columns])
+    return (
+        spread.repartitionById(max(1, -(-before // SHARE_ROWS)), F.col("_share"))
+        .groupBy("_share", PERIOD, *[f"`{c}`" for c in columns]).agg(F.lit(1).alias("_one"))
+        .observe(seen, F.count(F.lit(1)).alias("rows_kept"))
+        .select(*[f"`{c}`" for c in columns], PERIOD)
+        .withColumn(ROW_HASH, row_hash(raw.select(*[f"`{c}`" for c in columns])))
+        .select(*[f"`{c}`" for c in columns], ROW_HASH, PERIOD)
+    )
 
 
 def fresh_rows(raw: DataFrame, day: str, unit: str, landed: DataFrame | None) -> tuple[DataFrame, Delivery]:
@@ -141,7 +185,7 @@ def fresh_rows(raw: DataFrame, day: str, unit: str, landed: DataFrame | None) ->
     )
     rows_read, rows_kept = seen.get["rows_read"], seen.get["rows_kept"]
     if landed is not None:
-        index = landed.where(in_periods(_some(candidates))).select(F.col(ROW_HASH).alias(_OTHER + ROW_HASH))
+        index = not_broadcast(landed.where(in_periods(_some(candidates))).select(F.col(ROW_HASH).alias(_OTHER + ROW_HASH)))
         met, n_met = stage_counted(candidates.join(index, F.col(ROW_HASH) == F.col(_OTHER + ROW_HASH), "left_semi"))
         if n_met:
             there = landed.where(in_periods(_some(met)))
@@ -153,24 +197,54 @@ def fresh_rows(raw: DataFrame, day: str, unit: str, landed: DataFrame | None) ->
 _TOUCHED = "dataset string, period date"
 
 
+@dataclass(frozen=True)
+class Found:
+    """A delivery taken apart: rows of periods in which nothing has landed, with their numbers, and what is new in the others."""
+
+    raw: DataFrame
+    alone: dict[date | None, int]
+    compared: DataFrame | None
+    seen: Delivery
+    rows_read: int
+
+    @property
+    def periods(self) -> tuple[date | None, ...]:
+        return tuple(_in_order({*self.alone, *self.seen.periods}))
+
+
 def land(spark: SparkSession, store: Store, deliveries: Mapping[str, DataFrame], as_of: datetime | Column | None = None) -> list[Delivery]:
     """Add what is new of each delivery to its table, and write down the periods it touches first."""
-    def find(name: str) -> tuple[DataFrame, Delivery]:
-        landed = read_periods(spark, store.bronze(name)) if exists(spark, store.bronze(name)) else None
-        return fresh_rows(deliveries[name], store.day_of[name], store.unit, landed)
-
-    def add(name: str, fresh: DataFrame) -> None:
-        write_periods(stamp(fresh, as_of), store.bronze(name), append=True)
+    def find(name: str) -> Found:
+        path, day = store.bronze(name), store.day_of[name]
+        raw = deliveries[name].withColumn(PERIOD, period_of(F.col(f"`{day}`"), store.unit))
+        read = dict(map(tuple, raw.groupBy(PERIOD).count().collect()))  # a row per period
+        there = stored_periods(spark, path)
+        alone = {p: n for p, n in read.items() if p not in there}
+        met, compared, seen = [p for p in read if p in there], None, Delivery("", 0, 0, ())
+        if met:
+            some = raw.where(in_periods(met)).drop(PERIOD)
+            compared, seen = fresh_rows(some, day, store.unit, read_periods(spark, path, met))
+        return Found(raw.where(in_periods(alone)), alone, compared, seen, sum(read.values()))
+
+    def add(name: str, found: Found) -> int:
+        kept, n_new = Observation(), found.seen.rows_new
+        if n_new:
+            write_periods(stamp(found.compared, as_of), store.bronze(name), append=True)
+        if found.alone:
+            rows = distinct_by_period(found.raw, found.alone, kept)
+            write_periods(stamp(rows, as_of), store.bronze(name), append=True, rebalance=False)
+            n_new += kept.get["rows_kept"]
+        return n_new
 
     with scratch(spark):
         names = list(deliveries)
         found = dict(zip(names, concurrently(spark, [partial(find, name) for name in names])))
-        touched = [(name, period) for name, (_, seen) in found.items() for period in seen.periods]
+        touched = [(name, period) for name in names for period in found[name].periods]
         if touched:
             log = f"{store.bronze('touched')}/{versions.new_version()}"
             spark.createDataFrame(touched, _TOUCHED).coalesce(1).write.parquet(log)
-        concurrently(spark, [partial(add, name, fresh) for name, (fresh, seen) in found.items() if seen.rows_new])
-    return [Delivery(name, seen.rows_read, seen.rows_new, seen.periods) for name, (_, seen) in found.items()]
+        n_new = concurrently(spark, [partial(add, name, found[name]) for name in names])
+    return [Delivery(name, found[name].rows_read, n, found[name].periods) for name, n in zip(names, n_new)]
 
 
 def land_files(spark: SparkSession, store: Store, *, infer: bool = False, as_of: datetime | None = None) -> list[Delivery]:
@@ -249,7 +323,7 @@ def refresh_quality(spark: SparkSession, store: Store, inspected: Periods, produ
         return []
     affected = list(produced)
     if inspected:
-        batches = read_periods(spark, sums_path, inspected).select("batch_id").distinct()
+        batches = not_broadcast(read_periods(spark, sums_path, inspected).select("batch_id").distinct())
         affected = list({*produced, *_some(read_periods(spark, made).join(batches, "batch_id", "left_semi"))})
     if not affected:
         return []
@@ -294,9 +368,10 @@ def roll_forward(
     """Bring an indicator with frames up to date from the first touched period on.
 
     `rows_after` gives its rows behind a period, by a filter on `PERIOD`. The last
-    `depth` rows of every group up to some period are kept beside the indicator; the
-    latest such tail in front of all touched periods seeds the frames, so only
-    partitions behind it are read. Tails that the new rows make wrong go first.
+    `depth` rows of every group up to the last period, and up to one `BACK` periods before, are
+    kept beside the indicator; the latest such tail in front of all touched periods seeds the
+    frames, so only partitions behind it are read, also where late rows reach back a little.
+    Tails that the new rows make wrong go first.
     Returns the period behind which rows were read, None for all.
     """
     tails, target = store.serving(f"tails/{name}"), store.serving(name)
@@ -306,15 +381,17 @@ def roll_forward(
     for until in set(known) - set(usable):
         remove(spark, f"{tails}/until={until}")
     since = usable[-1] if usable else None
-    new = stage(rows_after(_after(since)))
+    new, n_new = stage_counted(rows_after(_after(since)))
     tail = spark.read.schema(new.schema).parquet(f"{tails}/until={since}") if since else None
     done = over_carried(new, tail, group, order, depth, measures, group_rows=store.params.window_group_rows)
-    write_periods(finished(done.rows).withColumn(PERIOD, period_of(F.col(day), store.unit)), target)
-    dated = new.where(F.col(day).isNotNull())
-    last = dated.agg(F.max(period_of(F.col(day), store.unit))).first()[0]
-    if last is not None:
-        kept = over_carried(dated, tail, group, order, depth, {}).tail
-        kept.write.mode("overwrite").parquet(f"{tails}/until={last}")
+    period = period_of(F.col(day), store.unit)
+    periods = [p for p in _some(new.select(period.alias(PERIOD))) if p is not None]
+    # Where periods are large, every task may write a file of each, without another shuffle.
+    rebalance = n_new < SHARE_ROWS * (len(periods) + 1)
+    write_periods(finished(done.rows).withColumn(PERIOD, period), target, rebalance=rebalance)
+    for until in {*periods[-1:], *periods[-1 - BACK : -BACK]}:
+        kept = over_carried(new.where(period <= F.lit(until)), tail, group, order, depth, {}).tail
+        kept.write.mode("overwrite").parquet(f"{tails}/until={until}")
     return since
 
 
@@ -340,7 +417,7 @@ def refresh_defect_rate_kpi(spark: SparkSession, store: Store, products: DataFra
 
     def rows_after(behind: Column) -> DataFrame:
         quality = read_periods(spark, store.silver("quality_metrics")).where(behind)
-        batches = quality.select("batch_id").distinct()
+        batches = not_broadcast(quality.select("batch_id").distinct())
         made = read_periods(spark, store.bronze("production_records")).select("batch_id", "product_id")
         made = stage(made.join(batches, "batch_id", "left_semi"))
         return defects_by_category(quality, made, products, hot_key_rows=store.params.hot_key_rows)
@@ -380,7 +457,7 @@ def refresh_material_kpi(spark: SparkSession, store: Store, received: Periods, q
     """
     params, materials, n = store.params, store.bronze("material_batches"), store.params.supplier_window_rows
     if quality:
-        changed = quality_table(spark, store, quality).select("batch_id").distinct()
+        changed = not_broadcast(quality_table(spark, store, quality).select("batch_id").distinct())
         received = list({*received, *_some(read_periods(spark, materials).join(changed, "batch_id", "left_semi"))})
     if not received:
         return None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millwright.functions import availability_pct, defect_rate
-from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, salted_join, weights_by_key, weights_if_hot
+from millwright.operators.joins import HOT_KEY_ROWS, WEIGHT, not_broadcast, salted_join, weights_by_key, weights_if_hot
 from millwright.operators.metrics import DOWNTIME_COLUMNS, minutes_by_type
 from millwright.operators.rows import drop_late, of_types
 from millwright.schemas import INGESTED_AT
@@ -75,7 +75,7 @@ def _summed(per_batch: DataFrame, production: DataFrame, hot_key_rows: int) -> D
     made = weights_if_hot(production, "batch_id", *_GRAIN, hot_key_rows=hot_key_rows)
     copies = F.col(WEIGHT)
     return (
-        per_batch.join(made, "batch_id", "inner")
+        per_batch.join(not_broadcast(made), "batch_id", "inner")
         .groupBy(*_GRAIN)
         .agg(
             F.sum(F.col("_defects") * copies).alias("defect_count"),

@@ -233,3 +233,67 @@ def test_left_join_with_a_hot_right_side(spark):
         assert rows(joins.salted_left_join(left, right, "k", ["r"], hot_key_rows=limit)) == expected
     # Even where a share of the hot key holds no row.
     assert rows(joins.salted_left_join(left, right.withColumn("same", F.lit(0)), "k", ["same"], hot_key_rows=10).drop("same")) == expected
+
+
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joined_sides_that_grow_are_not_broadcast(spark, tmp_path):
+    """A few columns of well packed files look small."""
+    schema = "batch_id long, product_id long, material_id long, supplier_id long, received_date date, defect_rate double, day date"
+    spark.range(100).selectExpr(*[f"cast({'null' if 'date' in c or 'day' in c else 'id'} as {c.split()[1]}) as {c.split()[0]}" for c in schema.split(", ")]).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    assert "Broadcast" not in _executed(joins.material_with_quality(t, t))
+    assert "Broadcast" not in _executed(silver.metrics_of_batches(
+        t.selectExpr("batch_id", "1 as _defects", "1 as _inspected"),
+        t.selectExpr("batch_id", "'l' as production_line", "'s' as shift_id", "day as production_date"),
+    ))
+    hashed = t.withColumn(daily.ROW_HASH, F.xxhash64("batch_id"))
+    assert "Broadcast" not in _executed(daily._alike(hashed, hashed, ["batch_id"], "left_anti"))
+
+
+def test_rows_of_new_periods_are_shuffled_once_to_where_they_are_stored(spark, store, monkeypatch):
+    from pyspark.sql import Observation
+
+    monkeypatch.setattr(daily, "SHARE_ROWS", 4)
+    data = [(i % 20, None if i % 3 else "x", None if i % 5 == 0 else date(2024, 1, 1 + i % 2)) for i in range(60)]
+    raw = spark.createDataFrame(data, "a int, b string, day date").withColumn(daily.PERIOD, F.col("day"))
+    counts, seen = {r[0]: r[1] for r in raw.groupBy(daily.PERIOD).count().collect()}, Observation()
+    found = daily.distinct_by_period(raw, counts, seen)
+    assert rows(found.select("a", "b", "day")) == rows(raw.select("a", "b", "day").distinct())
+    assert seen.get["rows_kept"] == len(set(data))
+    assert found.where(F.col(daily.ROW_HASH) != daily.row_hash(raw.select("a", "b", "day"))).count() == 0
+    assert len(re.findall(r"(?<!Broadcast)Exchange ", _executed(found))) == 1
+    daily.write_periods(found, store.bronze("t"), append=True, rebalance=False)
+    assert daily.stored_periods(spark, store.bronze("t")) == set(counts)
+
+
+def test_a_delivery_of_new_and_landed_periods(spark, store):
+    """Copies in both, a period of which nothing is new, and rows without a day."""
+    days = [None, *[date(2024, 1, d) for d in (1, 2, 3)]]
+    frame = lambda some: {"material_batches": spark.createDataFrame(some, RAW["material_batches"])}
+    row = lambda k, day: (f"B{k}", "M", "S", day, "A")
+    (one,) = daily.land(spark, store, frame([row(0, days[1]), row(0, days[1]), row(1, days[2]), row(9, None)]), F.lit(AS_OF))
+    assert (one.rows_read, one.rows_new, one.periods) == (4, 3, (days[1], days[2], None))
+    (two,) = daily.land(spark, store, frame([row(0, days[1]), row(2, days[2]), row(1, days[2]), row(9, None), row(3, days[3]), row(3, days[3])]), F.lit(AS_OF))
+    assert (two.rows_read, two.rows_new, two.periods) == (6, 2, (days[2], days[3]))
+    stored = daily.read_periods(spark, store.bronze("material_batches"))
+    assert rows(stored.select("batch_id")) == [("B0",), ("B1",), ("B2",), ("B3",), ("B9",)]
+    log = daily.open_periods(spark, store, "refresh").periods
+    assert set(log["material_batches"]) == set(days)
+
+
+def test_late_rows_do_not_start_over(spark, store, products):
+    """A tail is also kept some periods back, and gives the same results."""
+    late = date(2024, 1, 9)
+    whole = _tables(7)
+    behind = {name: [r for r in some if name == "machine_logs" and r[1] is not None and r[1].date() == late][:1] for name, some in whole.items()}
+    first = {name: [r for r in some if r not in behind[name]] for name, some in whole.items()}
+    daily.land(spark, store, _frames(spark, first), F.lit(AS_OF))
+    daily.refresh(spark, store, products)
+    daily.land(spark, store, _frames(spark, {"machine_logs": behind["machine_logs"]}), F.lit(AS_OF))
+    assert daily.refresh_downtime_kpi(spark, store, [late]) == date(2024, 1, 7)
+    daily.refresh(spark, store, products)
+    expected = _whole_results(spark, whole, products)["kpi_downtime"]
+    assert rows(daily.read_periods(spark, store.serving("kpi_downtime")).select(expected.columns)) == rows(expected)
