@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timezone
-from functools import cached_property, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import TimestampType
@@ -160,6 +160,10 @@ def _write_raw(df: DataFrame, dataset: str, folder: str) -> None:
     _as_raw(df, dataset).write.option("header", True).csv(f"{folder}/{dataset}.csv")
 
 
+def _write_all_raw(t: Factory, folder: str) -> None:
+    concurrently(t.spark, [partial(_write_raw, df, dataset, folder) for dataset, df in t.raw_tables.items()])
+
+
 @register
 def csv_roundtrip(t: Factory) -> DataFrame:
     base = run_folder(t.spark)
@@ -560,8 +564,7 @@ def _whole_day(t: Factory, prefix: str | None = None) -> pipeline.RunReport:
     With `prefix` everything is published to the catalog, in namespaces of that prefix.
     """
     base = run_folder(t.spark)
-    for dataset, df in t.raw_tables.items():
-        _write_raw(df, dataset, f"{base}/raw")
+    _write_all_raw(t, f"{base}/raw")
     serving = f"{base}/serving" if prefix is None else ""
     params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", serving, prefix or "", late_event_share=LATE_SHARE)
     dimensions = {"dim_product": t.products} if prefix is None else t.dimensions
@@ -626,8 +629,7 @@ def end_to_end_tables(t: Factory) -> DataFrame:
 def gate_states(t: Factory) -> DataFrame:
     """Whether a day may be published: after a passed check, after one that failed, after a new ingest, and after its metrics."""
     base = run_folder(t.spark)
-    for dataset, df in t.raw_tables.items():
-        _write_raw(df, dataset, f"{base}/raw")
+    _write_all_raw(t, f"{base}/raw")
     params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/serving", late_event_share=LATE_SHARE)
     rules = pipeline.default_rules(params)
     fitting = [rule for rule in rules if not _known_faults(rule)]
@@ -667,8 +669,7 @@ def gate_states(t: Factory) -> DataFrame:
 def gate_observed(t: Factory) -> DataFrame:
     """The gate's report on landed tables, as far as it was counted while they were written, and their repeated keys."""
     base = run_folder(t.spark)
-    for dataset, df in t.raw_tables.items():
-        _write_raw(df, dataset, f"{base}/raw")
+    _write_all_raw(t, f"{base}/raw")
     params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/serving")
     pipeline.ingest_raw(t.spark, params, as_of=AS_OF)
     pipeline.build_quality(t.spark, params)
