@@ -40,8 +40,6 @@ PERIOD, ROW_HASH = "period", "row_hash"
 _OTHER = "_other_"
 # Rows of a delivery that one task takes, about.
 SHARE_ROWS = 1 << 20
-# A second tail of an indicator is kept this many periods before the last one.
-BACK = 3
 NO_DAY = 1 << 40  # the number of the day of rows without one
 
 # The column that tells to which day a raw row belongs.
@@ -368,10 +366,9 @@ def roll_forward(
     """Bring an indicator with frames up to date from the first touched period on.
 
     `rows_after` gives its rows behind a period, by a filter on `PERIOD`. The last
-    `depth` rows of every group up to the last period, and up to one `BACK` periods before, are
-    kept beside the indicator; the latest such tail in front of all touched periods seeds the
-    frames, so only partitions behind it are read, also where late rows reach back a little.
-    Tails that the new rows make wrong go first.
+    `depth` rows of every group up to some period are kept beside the indicator; the
+    latest such tail in front of all touched periods seeds the frames, so only
+    partitions behind it are read. Tails that the new rows make wrong go first.
     Returns the period behind which rows were read, None for all.
     """
     tails, target = store.serving(f"tails/{name}"), store.serving(name)
@@ -389,9 +386,9 @@ def roll_forward(
     # Where periods are large, every task may write a file of each, without another shuffle.
     rebalance = n_new < SHARE_ROWS * (len(periods) + 1)
     write_periods(finished(done.rows).withColumn(PERIOD, period), target, rebalance=rebalance)
-    for until in {*periods[-1:], *periods[-1 - BACK : -BACK]}:
-        kept = over_carried(new.where(period <= F.lit(until)), tail, group, order, depth, {}).tail
-        kept.write.mode("overwrite").parquet(f"{tails}/until={until}")
+    if periods:
+        kept = over_carried(new.where(F.col(day).isNotNull()), tail, group, order, depth, {}).tail
+        kept.write.mode("overwrite").parquet(f"{tails}/until={periods[-1]}")
     return since
 
 
