@@ -69,13 +69,21 @@ def _split(df: DataFrame, group: list[str], limit: int, rows: int | None) -> _Sp
 def _chunked(split: _Split, group: list[str], order: list[Column], limit: int) -> DataFrame:
     """Hot rows in contiguous chunks of the order, chunk numbers rising within each group.
 
-    There are as many chunks as their rows need. The chunk bounds are sampled,
-    so the numbered rows are stored: every reader must see the same chunks, also
-    after a lost executor.
+    Every `limit` rows of a sorted range are a chunk. There are as many ranges as a
+    shuffle has partitions, or as chunks are needed if that is less, so tasks and
+    files do not grow with the number of chunks; only beyond `GROUP_ROWS` rows a
+    range there are more. The bounds are sampled, so the numbered rows are stored:
+    every reader must see the same chunks, also after a lost executor.
     """
+    keys = [*_ascending(group), *order]
     chunks = max(2, -(-split.hot_rows // limit))
-    spread = split.hot.repartitionByRange(chunks, *_ascending(group), *order)
-    return stage(spread.withColumn(_CHUNK, F.spark_partition_id()))
+    partitions = int(split.hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(chunks, max(partitions, -(-split.hot_rows // GROUP_ROWS)))
+    spread = split.hot.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    # The range stands above the lower 33 bits, the place in it below.
+    row, place = F.col(_POS), F.col(_POS).bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = spread.withColumn(_POS, F.monotonically_increasing_id())
+    return stage(numbered.withColumn(_CHUNK, row - place % F.lit(limit)).drop(_POS))
 
 
 def over_preceding(

@@ -59,6 +59,19 @@ def test_chunks_split_the_hot_group(spark):
     assert frames._split(df, ["grp"], 2000, None) is None
 
 
+def test_tasks_and_files_do_not_grow_with_the_chunks(spark):
+    from millwright.operators import frames
+
+    df = stage(spark.range(3000).selectExpr("cast(id % 3 AS string) AS grp", "cast(id AS int) AS id"))
+    chunked = frames._chunked(frames._split(df, ["grp"], 10, None), ["grp"], frames._ascending(["id"]), 10)
+    assert len(chunked.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunked.groupBy("grp", "_chunk").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last")).collect()
+    assert max(c["n"] for c in chunks) <= 10 and sum(c["n"] for c in chunks) == 3000
+    for group in "012":
+        bounds = [(c["first"], c["last"]) for c in sorted(chunks, key=lambda c: c["_chunk"]) if c["grp"] == group]
+        assert all(last < first for (_, last), (first, _) in zip(bounds, bounds[1:]))
+
+
 @pytest.mark.parametrize("n,limit,seed", [(400, 10, 1), (400, 3, 2), (50, 1, 3)])
 def test_rank_in_chunks(spark, n, limit, seed):
     df = skewed(spark, n, seed).withColumn("v", F.col("v") + F.col("id") % 40)
