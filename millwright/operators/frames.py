@@ -3,7 +3,7 @@
 Spark evaluates one window group in one task, and adaptive execution cannot
 split it. Here the largest group is measured first. If it fits, the window is
 an ordinary one. If not, the rows are range-partitioned on group and order,
-every partition becomes a chunk, and each chunk gets the few rows in front of
+cut into chunks there, and each chunk gets the few rows in front of
 it that its frames reach back to. The result is the same to the last row.
 Only groups above the limit are cut; all others keep an ordinary window.
 
@@ -128,7 +128,8 @@ def over_preceding(
         .select(F.col(f"{_TAIL}.{_ROW}.*"), _CHUNK)
         .withColumn(_HALO, F.lit(True))
     )
-    window = Window.partitionBy(*group, _CHUNK).orderBy(*_ascending(order))
+    # Rows that tie in the whole order may lie on both sides of a bound: those of the halo come first.
+    window = Window.partitionBy(*group, _CHUNK).orderBy(*_ascending(order), F.col(_HALO).desc())
     hot = (
         chunked.withColumn(_HALO, F.lit(False))
         .unionByName(halo)

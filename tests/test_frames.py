@@ -46,6 +46,13 @@ def test_frames_when_everything_ties_but_the_last_key(spark):
     assert {r["id"]: r["before"] for r in got} == {i: list(range(max(0, i - 4), i)) for i in range(300)}
 
 
+def test_frames_when_everything_ties(spark):
+    df = stage(spark.range(300).select(F.lit("s").alias("grp"), F.lit(1).alias("day")))
+    measures = {"n": lambda w: F.count("day").over(w.rowsBetween(-4, -1))}
+    got = over_preceding(df, ["grp"], ["day"], 4, measures, group_rows=10)
+    assert sorted(r["n"] for r in got.collect()) == [0, 1, 2, 3, *[4] * 296]
+
+
 def test_chunks_split_the_hot_group(spark):
     from millwright.operators import frames
 
