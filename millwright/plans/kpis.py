@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millwright.functions import is_high_defect, pct_change
 from millwright.operators.frames import GROUP_ROWS, over_preceding, with_rank
 from millwright.operators.joins import HOT_KEY_ROWS, material_with_quality
+from millwright.operators.ranges import RANGE, in_ranges
 from millwright.operators.metrics import defects_by_category, units_per_hour
 from millwright.workspace import stage_counted
 
@@ -154,20 +155,26 @@ def kpi_material_batch(
     window_rows: int = 4,
     group_rows: int = GROUP_ROWS,
     hot_key_rows: int = HOT_KEY_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Material rows with their batch's defect rate and the supplier's recent mean.
 
     Pass stored tables. No supplier has more rows than its materials times the most
     metric rows of a batch; only if that leaves open whether a window group fits
-    a task, the joined rows are stored to be measured.
+    a task, the joined rows are stored to be measured. Where every group fits and
+    `ranges` is given, the one shuffle behind the join deals the suppliers into that
+    many ranges, whose number stays in the column `RANGE` for a write in display order.
     """
     joined = material_with_quality(materials, quality, hot_key_rows=hot_key_rows)
     rows = _most(materials, "supplier_id") * _most(quality, "batch_id")
+    group = ["supplier_id"]
     if rows > group_rows:
         joined, rows = stage_counted(joined)
+    elif ranges:
+        joined, group = in_ranges(joined, "supplier_id", ranges, materials), ["supplier_id", RANGE]
     return over_preceding(
         joined.withColumn("is_high_defect_batch", is_high_defect(F.col("defect_rate"), high_defect_pct)),
-        ["supplier_id"],
+        group,
         ["received_date", "batch_id", "material_id", "defect_rate"],
         window_rows,
         {

@@ -26,7 +26,7 @@ from millwright.plans.bronze import Ingested, ingest
 from millwright.plans.manifest import Entry, exists, recorded, remove, require_current, write_recorded
 from millwright.plans.publish import (
     ANALYTICS, STAGING, Published, conform, constraint_rules, create_tables, create_view, in_order, in_order_sql,
-    namespace_folder, publish, read_published, register_view,
+    n_files, namespace_folder, publish, read_published, register_view,
 )
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.schemas import INGESTED_AT, RAW
@@ -335,9 +335,9 @@ def publish_tables(
 
 
 def kpi_jobs(
-    tables: Mapping[str, DataFrame], params: Params, as_of: datetime | None = None
+    tables: Mapping[str, DataFrame], params: Params, as_of: datetime | None = None, ranges: int | None = None
 ) -> dict[str, Callable[[], DataFrame]]:
-    """How to build each indicator from the serving tables."""
+    """How to build each indicator from the serving tables; `ranges` for a write in display order."""
     limits = {"group_rows": params.window_group_rows}
     return {
         "kpi_defect_rate": partial(
@@ -353,7 +353,7 @@ def kpi_jobs(
         "kpi_material_batch_trends": partial(
             kpis.kpi_material_batch, tables["material_batches"], tables["fact_quality_metrics"],
             high_defect_pct=params.high_defect_pct, window_rows=params.supplier_window_rows,
-            hot_key_rows=params.hot_key_rows, **limits,
+            hot_key_rows=params.hot_key_rows, ranges=ranges, **limits,
         ),
     }
 
@@ -363,7 +363,7 @@ def refresh_kpis(
 ) -> dict[str, Published]:
     """Indicators as tables of the analytics namespace below `folder`, from the published tables, in display order."""
     tables = {name: read_published(spark, p) for name, p in published.items()}
-    builders = kpi_jobs(tables, params, as_of)
+    builders = kpi_jobs(tables, params, as_of, n_files(spark))
 
     def store(name: str) -> Published:
         df = builders[name]()

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from millwright.operators.checks import NullShare, Rule, UniqueKeys
+from millwright.operators.ranges import RANGE
 from millwright.plans.versions import names
 from millwright.schemas import SERVING
 
@@ -111,6 +112,11 @@ def create_tables(spark: SparkSession, source: str = "parquet", prefix: str = ""
         spark.sql(table_definition(table, source, prefix))
 
 
+def n_files(spark: SparkSession) -> int:
+    """How many files a table stored in an order has, at most."""
+    return min(ORDERED_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -131,16 +137,19 @@ def publish(
 
     With `order` (in a folder) the rows are range-partitioned and sorted, so the
     files follow each other in that order, and a list of them is stored beside the
-    table: `in_order` reads them one after the other, without a sort.
+    table: `in_order` reads them one after the other, without a sort. Rows that lie in
+    ranges of the order's first column already (`operators.ranges`) are only sorted.
     """
     name = table.upper()
     loaded = Observation()
     if order:
         if folder is None or source != "parquet":
             raise ValueError("only Parquet files of a folder are stored in an order")
-        # The bounds are sampled, so the last stage of `df` runs twice; its shuffles do not.
-        files = min(ORDERED_FILES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        df = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+        if RANGE in df.columns:
+            df = df.sortWithinPartitions(*order).drop(RANGE)
+        else:
+            # The bounds are sampled, so the last stage of `df` runs twice; its shuffles do not.
+            df = df.repartitionByRange(n_files(df.sparkSession), *order).sortWithinPartitions(*order)
     counted = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode("overwrite").format(source).options(**(options or {}))
     if folder is not None:

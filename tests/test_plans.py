@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from catalog import Factory
@@ -75,6 +76,27 @@ def test_one_window_per_specification(spark, testdata):
     assert unsorted._jdf.queryExecution().executedPlan().toString().count("Window [") == 1
 
 
+def test_material_rows_are_shuffled_and_computed_once_for_their_display(spark, tmp_path, shuffled):
+    """Suppliers lie in ranges behind the join; neither the window nor the write in order shuffles again."""
+    from millwright.plans import publish
+    from millwright.workspace import stage
+
+    supplier = F.when(F.col("id") % 11 != 0, F.concat(F.lit("S"), F.col("id") % 37))
+    materials = stage(spark.range(900).select(
+        (F.col("id") % 300).cast("string").alias("batch_id"), (F.col("id") % 5).cast("string").alias("material_id"),
+        supplier.alias("supplier_id"), F.when(F.col("id") % 13 != 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 17).cast("int"))).alias("received_date"),
+    ))
+    quality = stage(spark.range(280).select(F.col("id").cast("string").alias("batch_id"), (F.col("id") % 9).cast("double").alias("defect_rate")))
+    name, wanted = "kpi_material_batch_trends", kpis.kpi_material_batch(materials, quality)
+    ranged = kpis.kpi_material_batch(materials, quality, ranges=publish.n_files(spark))
+    text = ranged._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 3 and text.count("Window [") == 1 and "rangepartitioning" not in text
+    stored = publish.publish(ranged, name, folder=str(tmp_path), namespace="analytics", order=kpis.display_order(name))
+    read = publish.in_order(spark, stored)
+    assert read.columns == wanted.columns and len(stored.files) > 1
+    assert [tuple(r) for r in read.collect()] == [tuple(r) for r in kpis.in_display_order(wanted, name).collect()]
+
+
 def test_inspection_ids_are_not_shuffled(spark, tmp_path, shuffled):
     from millwright.plans import silver
     from millwright.schemas import BRONZE
