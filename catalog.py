@@ -654,8 +654,7 @@ def gate_states(t: Factory) -> DataFrame:
 
     pipeline.ingest_raw(t.spark, params, as_of=AS_OF)
     checked("ingested, no metrics", fitting)
-    pipeline.build_quality(t.spark, params)
-    pipeline.build_downtime(t.spark, params)
+    concurrently(t.spark, [partial(pipeline.build_quality, t.spark, params), partial(pipeline.build_downtime, t.spark, params)])
     note("not checked")
     checked("passed", fitting)
     checked("failed after a pass", rules)

@@ -9,6 +9,7 @@ inputs that have been written anew since, makes its table stale.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -39,20 +40,26 @@ class Entry:
         return self.table, self.content, self.files
 
 
-def fingerprint(df: DataFrame) -> list[Column]:
-    """Aggregates over all rows that do not depend on their order: a count and 128 bits.
-
-    NULL flags are hashed too, since a hash passes over NULLs.
-    """
+def _row_bits(df: DataFrame) -> list[Column]:
+    """Two hashes of a row. NULL flags are hashed too, since a hash passes over NULLs."""
     columns = [F.col(f"`{c}`") for c in df.columns]
     every = [*columns, *[c.isNull() for c in columns]]
+    return [F.xxhash64(*every), F.xxhash64(F.lit("second"), *every)]
+
+
+def _of_bits(first: Column, second: Column) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.bit_xor(F.xxhash64(*every)), F.lit(0)).alias("first_bits"),
-        F.coalesce(F.bit_xor(F.xxhash64(F.lit("second"), *every)), F.lit(0)).alias("second_bits"),
+        F.coalesce(F.bit_xor(first), F.lit(0)).alias("first_bits"),
+        F.coalesce(F.bit_xor(second), F.lit(0)).alias("second_bits"),
     ]
 
 
+def fingerprint(df: DataFrame) -> list[Column]:
+    """Aggregates over all rows that do not depend on their order: a count and 128 bits."""
+    return _of_bits(*_row_bits(df))
+
+
 def content_of(observed: Mapping[str, int]) -> str:
     halves = (observed["first_bits"] % (1 << 64), observed["second_bits"] % (1 << 64))
     return f"{observed['rows']}:{halves[0]:016x}{halves[1]:016x}"
@@ -93,12 +100,15 @@ def write_recorded(
 ) -> Entry:
     """Write a table of a layer and its entry, with the named counts over its rows.
 
-    The old entry goes first: a table whose writing breaks off has none.
+    The old entry goes first: a table whose writing breaks off has none. The hashes are
+    columns below the observation, which takes several times as long to hash a row by itself.
     """
     spark, path, seen, counts = df.sparkSession, f"{layer}/{table}", Observation(), dict(counts or {})
     remove(spark, f"{layer}/{MANIFEST}/{table}")
     asked = [value.alias(f"count_{i}") for i, value in enumerate(counts.values())]
-    write_parquet(df.observe(seen, *fingerprint(df), *asked), path)
+    bits = [f"{half}_{uuid.uuid4().hex}" for half in ("first", "second")]  # the table may have any other names
+    hashed = df.withColumns(dict(zip(bits, _row_bits(df))))
+    write_parquet(hashed.observe(seen, *_of_bits(*map(F.col, bits)), *asked).drop(*bits), path)
     observed = seen.get
     files = file_fingerprints(spark, {table: path})[table]
     told = {name: observed[f"count_{i}"] for i, name in enumerate(counts)}

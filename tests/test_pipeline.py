@@ -324,6 +324,21 @@ def test_fingerprints(spark):
     assert content([(None, "x")], "a string, b string") != content([("x", None)], "a string, b string")
 
 
+def test_rows_are_hashed_before_they_are_observed(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "x", None), (2, None, 0.5), (2, None, 0.5)], "a int, first string, `b.c` double")
+    written, write = [], manifest.write_parquet
+    monkeypatch.setattr(manifest, "write_parquet", lambda df, path: written.append(df) or write(df, path))
+    entry = manifest.write_recorded(df, str(tmp_path), "t", counts={"nulls first": F.count_if(F.col("first").isNull())})
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    observed = [line for line in plan if "CollectMetrics" in line]
+    assert len(observed) == 1 and "xxhash64" not in observed[0] and any("xxhash64" in line for line in plan)
+    assert entry.content == manifest.content_of(df.agg(*manifest.fingerprint(df)).first().asDict())
+    assert (entry.rows, entry.counts) == (3, {"nulls first": 2})
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert stored.columns == df.columns and sorted(map(str, stored.collect())) == sorted(map(str, df.collect()))
+    assert manifest.write_recorded(df.limit(0), str(tmp_path), "t").content == f"0:{0:032x}"
+
+
 def test_a_share_of_late_inspections_may_pass(spark, small, product):
     params, as_of = replace(small(), late_event_share=0.5), datetime(2024, 1, 1, 9) - timedelta(hours=24)
     run = pipeline.run_pipeline(spark, params, product, as_of=as_of)
