@@ -101,7 +101,7 @@ def write_recorded(
     """Write a table of a layer and its entry, with the named counts over its rows.
 
     The old entry goes first: a table whose writing breaks off has none. The hashes are
-    columns below the observation, which takes several times as long to hash a row by itself.
+    columns below the observation, which takes longer to hash a row by itself.
     """
     spark, path, seen, counts = df.sparkSession, f"{layer}/{table}", Observation(), dict(counts or {})
     remove(spark, f"{layer}/{MANIFEST}/{table}")
