@@ -18,7 +18,7 @@ from millwright.operators.frames import with_rank
 from millwright.params import Params
 from millwright.plans import bronze, daily, kpis, manifest, pipeline, publish, silver, stream, versions
 from millwright.schemas import INGESTED_AT, RAW, SERVING
-from millwright.sources import read_parquet
+from millwright.sources import read_parquet, write_csv
 from millwright.workspace import concurrently, run_folder, stage, stage_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,7 +157,7 @@ def _as_raw(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def _write_raw(df: DataFrame, dataset: str, folder: str) -> None:
-    _as_raw(df, dataset).write.option("header", True).csv(f"{folder}/{dataset}.csv")
+    write_csv(_as_raw(df, dataset), f"{folder}/{dataset}.csv")
 
 
 def _write_all_raw(t: Factory, folder: str) -> None:
@@ -562,6 +562,7 @@ def _whole_day(t: Factory, prefix: str | None = None) -> pipeline.RunReport:
     """CSV files of all four tables, through every step, to the published indicators.
 
     With `prefix` everything is published to the catalog, in namespaces of that prefix.
+    Nothing reads the files in front of what is published any more; they go at the end.
     """
     base = run_folder(t.spark)
     _write_all_raw(t, f"{base}/raw")
@@ -569,9 +570,13 @@ def _whole_day(t: Factory, prefix: str | None = None) -> pipeline.RunReport:
     params = Params(f"{base}/raw", f"{base}/bronze", f"{base}/silver", serving, prefix or "", late_event_share=LATE_SHARE)
     dimensions = {"dim_product": t.products} if prefix is None else t.dimensions
     rules = [rule for rule in pipeline.default_rules(params, dimensions) if not _known_faults(rule)]
-    return pipeline.run_pipeline(
-        t.spark, params, dimensions, as_of=AS_OF, rules=rules, publish_inspections=prefix is not None
-    )
+    try:
+        return pipeline.run_pipeline(
+            t.spark, params, dimensions, as_of=AS_OF, rules=rules, publish_inspections=prefix is not None
+        )
+    finally:
+        for folder in (params.raw_path, params.bronze_path, params.silver_path):
+            manifest.remove(t.spark, folder)
 
 
 def _in_catalog(t: Factory, read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:

@@ -31,7 +31,7 @@ from millwright.plans.publish import (
 from millwright.plans.silver import downtime_metrics, quality_metrics
 from millwright.schemas import INGESTED_AT, RAW
 from millwright.sources import read_parquet, write_parquet
-from millwright.workspace import concurrently, scratch, stage
+from millwright.workspace import concurrently, release_shuffles, scratch, stage
 
 _HISTORY = "row_count_history"
 _HISTORY_SCHEMA = "dataset string, run_at timestamp, n_rows bigint"
@@ -453,6 +453,7 @@ def run_pipeline(
         spark, params, run.ingested, dimensions=dimensions, rules=rules, as_of=as_of,
         accept_row_counts=accept_row_counts,
     )
+    release_shuffles(spark)
     run.published = publish_all(spark, params, dimensions, as_of, inspections=publish_inspections)
     run.views = [name for name in run.published if name in kpis.INDICATORS]
     return run

@@ -13,6 +13,7 @@ from millwright.operators.checks import NullShare, Rule, UniqueKeys
 from millwright.operators.ranges import RANGE
 from millwright.plans.versions import names
 from millwright.schemas import SERVING
+from millwright.sources import CODEC
 
 # The two namespaces.
 STAGING, ANALYTICS = "staging", "analytics"
@@ -151,7 +152,8 @@ def publish(
             # The bounds are sampled, so the last stage of `df` runs twice; its shuffles do not.
             df = df.repartitionByRange(n_files(df.sparkSession), *order).sortWithinPartitions(*order)
     counted = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite").format(source).options(**(options or {}))
+    packed = {"compression": CODEC} if source == "parquet" else {}
+    writer = counted.write.mode("overwrite").format(source).options(**packed | dict(options or {}))
     if folder is not None:
         location = f"{folder.rstrip('/')}/{namespace}/{name}"
         writer.save(location)
